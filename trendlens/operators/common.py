@@ -1,0 +1,19 @@
+"""Small shared helpers for operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only when its row count is known to be small.
+
+    ``known_rows`` is a bound the caller can prove (a parameter such as
+    depth x width, or a list built on the driver).  Without one the rows are
+    counted first.  Above ``max_rows`` the frame is returned unmarked and the
+    join falls back to a shuffle join (AQE may still pick a broadcast from
+    runtime sizes).
+    """
+    rows = known_rows if known_rows is not None else df.count()
+    return F.broadcast(df) if rows <= max_rows else df
