@@ -79,11 +79,11 @@ def item_cells(df: DataFrame, col: str, params: SketchParams, keep: list[str] |
     """The ``depth`` cells of every row's item: ``(*keep, row, bucket[, n])``."""
     h1, h2 = base_hashes(F.col(col))
     cols = [F.col(k) for k in (keep or [])]
-    hashed = df.select(*cols, h1.alias("_h1"), h2.alias("_h2"), _weight(weight_col).alias("_n"))
-    rows = hashed.select(*cols, "_h1", "_h2", "_n",
+    hashed = df.select(*cols, h1.alias("_h1"), h2.alias("_h2"), _weight(weight_col).alias("_wt"))
+    rows = hashed.select(*cols, "_h1", "_h2", "_wt",
                          F.explode(F.sequence(F.lit(0), F.lit(params.depth - 1))).alias("row"))
     return rows.select(*cols, "row", bucket(F.col("_h1"), F.col("_h2"), F.col("row"), params.width).alias("bucket"),
-                       F.col("_n").alias("n"))
+                       F.col("_wt").alias("n"))
 
 
 def sketch_cells(df: DataFrame, col: str, params: SketchParams, weight_col: str | None = None) -> DataFrame:
@@ -107,20 +107,30 @@ class CountMinSketch:
         return broadcast_if_bounded(self.cells, MAX_BROADCAST_CELLS, known_rows=self.params.cells)
 
     def estimate(self, items: DataFrame, col: str = "w", out: str = "estimate",
-                 distinct: bool = True) -> DataFrame:
+                 distinct: bool = True, own_count_col: str | None = None) -> DataFrame:
         """A5: ``(col, out)`` with the point estimate of every distinct item.
 
         The estimate is the minimum over the item's ``depth`` cells; a cell
         never written counts 0.  Pass ``distinct=False`` when ``items`` is
         already one row per item (for example the output of a group-by),
         which keeps that grouping's partitioning for the final minimum.
+
+        ``own_count_col`` names the weight each item added when this sketch
+        was built from these same rows.  Every cell of an item holds at least
+        that weight, so folding it into the minimum never changes the result;
+        it keeps the column alive so the item rows feeding the build and the
+        estimate are one plan, and Spark computes their shuffle once.
         """
-        asked = items.select(col).where(F.col(col).isNotNull())
+        cols = [col] + ([own_count_col] if own_count_col else [])
+        asked = items.select(*cols).where(F.col(col).isNotNull())
         if distinct:
             asked = asked.distinct()
-        cells = item_cells(asked, col, self.params, keep=[col])
+        cells = item_cells(asked, col, self.params, keep=cols)
         hit = cells.join(self._broadcast_cells(), ["row", "bucket"], "left")
-        return hit.groupBy(col).agg(F.min(F.coalesce(F.col("cnt"), F.lit(0))).cast("bigint").alias(out))
+        cell = F.coalesce(F.col("cnt"), F.lit(0))
+        if own_count_col:
+            cell = F.greatest(cell, F.col(own_count_col))
+        return hit.groupBy(col).agg(F.min(cell).cast("bigint").alias(out))
 
     def save(self, path: str, mode: str = "overwrite") -> None:
         """Cells and parameters as Parquet under ``path``."""
@@ -188,5 +198,5 @@ def sketch_top_k(words: DataFrame, k: int = 5, col: str = "w", params: SketchPar
     kept = words if stop is False else drop_stop_words(words, col, None if stop is None else stop)
     counts = word_counts(kept, col, out="_n")
     sketch = build_sketch(counts, col, params, weight_col="_n")
-    est = sketch.estimate(counts, col, out="estimate", distinct=False)
+    est = sketch.estimate(counts, col, out="estimate", distinct=False, own_count_col="_n")
     return top_k(est, k, "estimate", col), sketch

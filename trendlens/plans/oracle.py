@@ -1,12 +1,14 @@
 """DuckDB SQL twins of the named queries (same column names, same rules).
 
 Tables are the pre-registered views over the test parquet files.  Shared
-pieces (stop list, hashing, tokenising) are SQL fragments built from the same
-fixed values the Spark side uses.
+pieces (stop list, hashing, tokenising, scoring) are SQL fragments written
+from the same fixed values and rules the Spark side documents.
 """
 
 from __future__ import annotations
 
+from trendlens.operators import search as S
+from trendlens.operators.bloom import bloom_size
 from trendlens.plans import queries as Q
 from trendlens.sources.stopwords import ENGLISH_STOP_WORDS
 
@@ -16,6 +18,7 @@ def _quote(s: str) -> str:
 
 
 STOP_LIST = "[" + ", ".join(_quote(w) for w in ENGLISH_STOP_WORDS) + "]"
+ANALYZER = r"'[^\p{L}\p{N}]+'"
 
 
 def h1(expr: str) -> str:
@@ -26,43 +29,217 @@ def h2(expr: str) -> str:
     return f"('0x' || substr(md5({expr}), 9, 8))::UBIGINT::BIGINT"
 
 
-DOC_WORDS = """
-    SELECT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> ''
-"""
+def analyze(expr: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({expr}), {ANALYZER}), lambda t: t <> '')"
+
+
+def java_hash_text(expr: str) -> str:
+    """32-bit x31 string hash over UTF-16 units (BMP text), as a signed decimal string."""
+    h = (f"(CASE WHEN length({expr}) = 0 THEN 0 ELSE list_reduce(list_transform(string_split({expr}, ''), "
+         f"lambda c: unicode(c)::BIGINT), lambda a, x: (a * 31 + x) % 4294967296) END)")
+    return f"(CASE WHEN {h} >= 2147483648 THEN {h} - 4294967296 ELSE {h} END)::VARCHAR"
+
+
+def md5_utf16le(expr: str) -> str:
+    """md5 hex of the UTF-16LE code units of a (BMP) string."""
+    return (f"md5(array_to_string(list_transform(string_split({expr}, ''), "
+            rf"lambda c: printf('\x%02X\x%02X', unicode(c) % 256, unicode(c) // 256)), '')::BLOB)")
 
+
+DOC_WORDS = "SELECT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> ''"
 KEPT_WORDS = f"SELECT w FROM ({DOC_WORDS}) WHERE w NOT IN (SELECT unnest({STOP_LIST}))"
 
 
 def sketch_cte(words_sql: str, p, name: str = "cells") -> str:
     """CTEs ``wc`` (word counts) and ``{name}`` (sketch cells) over a one-column ``w`` query."""
     return f"""
-    wc AS (SELECT w, count(*) AS n FROM ({words_sql}) GROUP BY w),
-    wh AS (SELECT w, n, {h1('w')} AS h1, {h2('w')} AS h2 FROM wc),
+    wc AS (SELECT w, count(*) AS n FROM ({words_sql}) WHERE w IS NOT NULL GROUP BY w),
+    wh AS (SELECT w, n, {h1('w::VARCHAR')} AS h1, {h2('w::VARCHAR')} AS h2 FROM wc),
     {name} AS (
-        SELECT r AS row, (h1 + r * h2) % {p.width} AS bucket, sum(n) AS cnt
+        SELECT r::INTEGER AS row, (h1 + r * h2) % {p.width} AS bucket, sum(n)::BIGINT AS cnt
         FROM wh, range({p.depth}) t(r) GROUP BY 1, 2)
     """
 
 
 def estimate_sql(items_sql: str, p, cells: str = "cells") -> str:
-    """Estimates of the distinct words of ``items_sql`` (column ``w``) against ``cells``."""
+    """Estimates of the distinct values ``w`` of ``items_sql`` against ``cells``."""
     return f"""
-    SELECT i.w, min(coalesce(c.cnt, 0)) AS estimate
-    FROM (SELECT w, {h1('w')} AS h1, {h2('w')} AS h2 FROM (SELECT DISTINCT w FROM ({items_sql}))) i
+    SELECT i.w, min(coalesce(c.cnt, 0))::BIGINT AS estimate
+    FROM (SELECT w, {h1('w::VARCHAR')} AS h1, {h2('w::VARCHAR')} AS h2
+          FROM (SELECT DISTINCT w FROM ({items_sql}) WHERE w IS NOT NULL)) i
     CROSS JOIN range({p.depth}) t(r)
     LEFT JOIN {cells} c ON c.row = t.r AND c.bucket = (i.h1 + t.r * i.h2) % {p.width}
     GROUP BY i.w
     """
 
 
+TOPK_EXACT = f"""
+    SELECT w AS word, count(*) AS count FROM ({KEPT_WORDS})
+    GROUP BY w ORDER BY count DESC, word ASC LIMIT {Q.TOP_K}
+"""
+
+CMS_CELLS = f"WITH {sketch_cte(KEPT_WORDS, Q.TOPK_PARAMS)} SELECT row, bucket, cnt FROM cells"
+
+
+def _bloom_sql() -> str:
+    m, k = bloom_size(Q.BLOOM_CAPACITY, Q.BLOOM_FPP)
+    return f"""
+    WITH stop AS (SELECT lower(unnest({STOP_LIST})) AS w),
+    bits AS (SELECT DISTINCT ({h1('w')} + i * {h2('w')}) % {m} AS pos FROM stop, range({k}) t(i)),
+    wc AS (SELECT w, count(*) AS n FROM ({DOC_WORDS}) GROUP BY w),
+    probe AS (
+        SELECT p.w, bool_and(b.pos IS NOT NULL) AS member
+        FROM (SELECT w, ({h1('w')} + i * {h2('w')}) % {m} AS pos FROM wc, range({k}) t(i)) p
+        LEFT JOIN bits b ON b.pos = p.pos GROUP BY p.w)
+    SELECT wc.w AS word, wc.n AS count FROM wc JOIN probe USING (w) WHERE NOT probe.member
+    """
+
+
+# -- counted store and search ----------------------------------------------------
+
+def store_cte(lang: str | None = None) -> str:
+    where = "text IS NOT NULL" + (f" AND lang = {_quote(lang)}" if lang else "")
+    return f"""
+    store AS (
+        SELECT 'my_index' AS "index", 'my_type' AS "type", id, min(s) AS text, count(*) AS count
+        FROM (SELECT lower(text) AS s, {java_hash_text('lower(text)')} AS id FROM documents WHERE {where})
+        GROUP BY id),
+    toks AS (
+        SELECT "index", "type", id, len(arr) AS dl, unnest(arr) AS term
+        FROM (SELECT "index", "type", id, {analyze('text')} AS arr FROM store)),
+    nd AS (SELECT count(*) AS n FROM store)
+    """
+
+
+def _term_scores(pred: str, boost: float) -> str:
+    idf = "(1 + ln((SELECT n FROM nd) / (d.df + 1)))"
+    return f"""
+    SELECT "index", "type", id, sum(s) AS score FROM (
+        SELECT t."index", t."type", t.id,
+               sqrt(t.tf) * {idf} * {idf} / sqrt(t.dl) * {float(boost)} AS s
+        FROM (SELECT "index", "type", id, dl, term, count(*) AS tf FROM toks WHERE {pred} GROUP BY ALL) t
+        JOIN (SELECT term, count(*) AS df
+              FROM (SELECT DISTINCT "index", "type", id, term FROM toks WHERE {pred}) GROUP BY term) d
+        USING (term))
+    GROUP BY ALL
+    """
+
+
+def _constant(pred: str | None, boost: float) -> str:
+    if pred is None:
+        return f'SELECT "index", "type", id, {float(boost)} AS score FROM store'
+    return f"""SELECT "index", "type", id, {float(boost)} AS score FROM store
+               WHERE ("index", "type", id) IN (SELECT "index", "type", id FROM toks WHERE {pred})"""
+
+
+def scored_sql(q) -> str:
+    """``index, type, id, score`` of every document matching ``q`` (mirrors the Spark contract)."""
+    if isinstance(q, S.Term):
+        return _term_scores(f"term = {_quote(q.value)}", q.boost)
+    if isinstance(q, S.MultiMatch):
+        return _term_scores(f"list_contains({analyze(_quote(q.text))}, term)", q.boost)
+    if isinstance(q, S.Fuzzy):
+        pred = f"levenshtein(term, {_quote(q.value)}) <= {q.max_edits}"
+        if q.prefix_length:
+            pred += f" AND starts_with(term, {_quote(q.value[:q.prefix_length])})"
+        return _term_scores(pred, q.boost)
+    if isinstance(q, S.MatchAll):
+        return _constant(None, q.boost)
+    if isinstance(q, S.Prefix):
+        return _constant(f"starts_with(term, {_quote(q.value)})", q.boost)
+    if isinstance(q, S.Wildcard):
+        return _constant(f"term LIKE {_quote(S.wildcard_to_like(q.pattern))} ESCAPE '\\'", q.boost)
+    if isinstance(q, S.Bool):
+        must = [scored_sql(c) for c in q.must]
+        sql = must[0]
+        for other in must[1:]:
+            sql = f"""SELECT a."index", a."type", a.id, a.score + b.score AS score
+                      FROM ({sql}) a JOIN ({other}) b USING ("index", "type", id)"""
+        for c in q.must_not:
+            sql = f"""SELECT * FROM ({sql}) WHERE ("index", "type", id) NOT IN
+                      (SELECT "index", "type", id FROM ({scored_sql(c)}))"""
+        return sql
+    if isinstance(q, S.Boosting):
+        return f"""
+        SELECT p."index", p."type", p.id,
+               p.score * CASE WHEN n.id IS NOT NULL THEN {float(q.negative_boost)} ELSE 1.0 END AS score
+        FROM ({scored_sql(q.positive)}) p LEFT JOIN ({scored_sql(q.negative)}) n USING ("index", "type", id)
+        """
+    raise TypeError(q)
+
+
+def hits_sql(q, lang: str | None = None) -> str:
+    return f"""
+    WITH {store_cte(lang)}
+    SELECT s."index", s."type", s.id, s.text, s.count, round(h.score, {S.SCORE_DIGITS}) AS score,
+           to_json({{'text': s.text, 'count': s.count}}) AS json
+    FROM store s JOIN ({scored_sql(q)}) h USING ("index", "type", id)
+    """
+
+
+# -- entities ---------------------------------------------------------------------
+
+def _entities(rows_sql: str) -> str:
+    """``rows_sql`` yields (tweet_id, content_type, content_name); adds the content id."""
+    return f"""
+    SELECT tweet_id, content_type, content_name,
+           {md5_utf16le("content_type || coalesce(content_name, 'null')")} AS content_id
+    FROM (SELECT DISTINCT tweet_id, content_type, content_name FROM ({rows_sql}))
+    """
+
+
 ORACLE: dict[str, str] = {
-    "topk_words_exact": f"""
-        SELECT w AS word, count(*) AS count FROM ({KEPT_WORDS})
-        GROUP BY w ORDER BY count DESC, word ASC LIMIT {Q.TOP_K}
-    """,
+    "topk_words_exact": TOPK_EXACT,
     "topk_words_cms": f"""
         WITH {sketch_cte(KEPT_WORDS, Q.TOPK_PARAMS)}
         SELECT w AS word, estimate FROM ({estimate_sql('SELECT w FROM wc', Q.TOPK_PARAMS)})
         ORDER BY estimate DESC, word ASC LIMIT {Q.TOP_K}
     """,
+    "topk_string": f"""
+        SELECT coalesce(string_agg(word || ':' || count || '|', '' ORDER BY count DESC, word ASC), '') AS topk
+        FROM ({TOPK_EXACT})
+    """,
+    "word_count_lookup": f"""
+        WITH {sketch_cte(KEPT_WORDS, Q.COUNT_PARAMS)},
+        req AS (SELECT unnest(string_split({_quote(Q.LOOKUP_REQUEST)}, ' ')) AS query),
+        est AS ({estimate_sql('SELECT query AS w FROM req', Q.COUNT_PARAMS)})
+        SELECT r.query,
+               (CASE WHEN lower(r.query) IN (SELECT unnest({STOP_LIST})) THEN 0
+                     ELSE coalesce(e.estimate, 0) END)::BIGINT AS count
+        FROM req r LEFT JOIN est e ON e.w = r.query
+    """,
+    "cms_table": CMS_CELLS,
+    "cms_merge": CMS_CELLS,
+    "cms_total": f"SELECT count(*)::BIGINT AS total FROM ({KEPT_WORDS})",
+    "cms_long_items": f"""
+        WITH {sketch_cte('SELECT l_partkey AS w FROM lineitem', Q.TOPK_PARAMS)}
+        SELECT w AS l_partkey, estimate
+        FROM ({estimate_sql('SELECT l_partkey AS w FROM lineitem', Q.TOPK_PARAMS)})
+    """,
+    "bloom_stopword_filter": _bloom_sql(),
+    "track_filter": f"""
+        SELECT doc_id AS id, lang FROM (SELECT doc_id, lang, {analyze('text')} AS tk FROM documents)
+        WHERE lang = 'en' AND (
+            list_has_any(tk, {analyze(_quote(' '.join(k for k in Q.TRACK_KEYWORDS if len(k.split()) == 1)))})
+            {''.join(f" OR len(list_filter({analyze(_quote(k))}, lambda x: NOT list_contains(tk, x))) = 0"
+                     for k in Q.TRACK_KEYWORDS if len(k.split()) > 1)})
+    """,
+    "split_keep_empty": f"""
+        SELECT doc_id, unnest(range(len(arr)))::INTEGER AS pos, unnest(arr) AS piece
+        FROM (SELECT doc_id, string_split(text, {_quote(Q.SPLIT_SEPARATOR)}) AS arr FROM documents)
+    """,
+    "doc_counts": f'WITH {store_cte()} SELECT "index", "type", id, text, count FROM store',
+    **{name: hits_sql(q) for name, q in Q.SEARCHES.items()},
+    "hits_term_fr": hits_sql(S.Term(Q.TERM_FR), lang="fr"),
+    "entities_reply": _entities("""
+        SELECT conv_id * 1000 + turn AS tweet_id, 'reply_to_status' AS content_type,
+               (conv_id * 1000 + turn - 1)::VARCHAR AS content_name
+        FROM conversations WHERE turn > 0 AND conv_id * 1000 + turn - 1 > 0"""),
+    "entities_source": _entities("""
+        SELECT doc_id AS tweet_id, 'source' AS content_type, source AS content_name
+        FROM documents WHERE source IS NOT NULL"""),
+    "entities_url": _entities("""
+        SELECT page_id AS tweet_id, 'url' AS content_type,
+               unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS content_name
+        FROM pages"""),
 }

@@ -11,28 +11,70 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.operators.sketch import SketchParams, build_sketch, lookup_counts, sketch_top_k
-from trendlens.operators.topk import top_k
-from trendlens.operators.words import drop_stop_words, tokens, word_counts
+from trendlens.functions.text import split_keep_empty
+from trendlens.operators.bloom import bloom_drop, build_bloom
+from trendlens.operators.entities import extract_entities
+from trendlens.operators.search import (
+    Bool,
+    Boosting,
+    Fuzzy,
+    MatchAll,
+    MultiMatch,
+    Prefix,
+    Term,
+    Wildcard,
+    search,
+)
+from trendlens.operators.sketch import SketchParams, build_sketch, lookup_counts, merge_sketches, sketch_top_k
+from trendlens.operators.store import doc_store
+from trendlens.operators.topk import top_k, top_k_string
+from trendlens.operators.words import drop_stop_words, tokens, track_filter, word_counts
+from trendlens.sources.posts import conversations_as_posts, documents_as_posts, pages_as_posts
+from trendlens.sources.stopwords import stop_words_df
+from trendlens.sources.tables import read_table
 
 # Fixed values used by the named queries.
 TOP_K = 5
 TOPK_PARAMS = SketchParams(depth=15, width=1000, seed=10)   # top-k program's sketch
 COUNT_PARAMS = SketchParams(depth=15, width=100, seed=10)   # word-count program's sketch
-LOOKUP_REQUEST = "to the apple"
+LOOKUP_REQUEST = "to the apple ties under trash"
+BLOOM_CAPACITY = 500
+BLOOM_FPP = 0.01
+TRACK_KEYWORDS = ("trash", "idiot", "under the")
+SPLIT_SEPARATOR = ","
 
+# Search terms chosen among words that occur in the documents table.
+TERM_A = "under"
+TERM_B = "ties"
+TERM_C = "trash"
+MATCH_TEXT = "the Trash"
+FUZZY_VALUE = "thrund"
+PREFIX_VALUE = "thr"
+WILDCARD_PATTERN = "t??e*"
+NEGATIVE_BOOST = 0.2
+TERM_FR = "étre"
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+HIT_COLUMNS = ["index", "type", "id", "text", "count", "score", "json"]
+ENTITY_COLUMNS = ["tweet_id", "content_type", "content_name", "content_id"]
+
+
+def _docs(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    return read_table(spark, sf_dir, "documents", columns, fan_out=True)
 
 
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens(table(spark, sf_dir, "documents").select("text"), "text", out="w")
+    return tokens(_docs(spark, sf_dir, ["text"]), "text", out="w")
+
+
+def _kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_stop_words(_doc_words(spark, sf_dir), "w")
+
 
+# -- words, sketches, top-k ----------------------------------------------------
 
 def topk_words_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact top-5 non-stop words of all documents."""
-    counts = word_counts(drop_stop_words(_doc_words(spark, sf_dir), "w"), "w", out="count")
+    counts = word_counts(_kept_words(spark, sf_dir), "w", out="count")
     return top_k(counts, TOP_K, "count", "w").select(F.col("w").alias("word"), "count")
 
 
@@ -42,7 +84,133 @@ def topk_words_cms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(F.col("w").alias("word"), "estimate")
 
 
+def topk_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: exact top-5 rendered as ``w:c|w:c|...``."""
+    return top_k_string(topk_words_exact(spark, sf_dir), "count", "word", out="topk")
+
+
+def word_count_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per request word, its estimate in a 15 x 100 sketch of the documents; stop words 0."""
+    sketch = build_sketch(_kept_words(spark, sf_dir), "w", COUNT_PARAMS)
+    requests = spark.range(1).select(F.explode(F.split(F.lit(LOOKUP_REQUEST), " ")).alias("query"))
+    return lookup_counts(sketch, requests, "query", out="count").select("query", "count")
+
+
+def cms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: the full 15 x 1000 cell table of the documents' words."""
+    return build_sketch(_kept_words(spark, sf_dir), "w", TOPK_PARAMS).cells.select("row", "bucket", "cnt")
+
+
+def cms_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of English documents merged with the sketch of the others."""
+    docs = _docs(spark, sf_dir, ["text", "lang"])
+    part = [drop_stop_words(tokens(docs.where(cond), "text", out="w"), "w")
+            for cond in (F.col("lang") == "en", ~(F.col("lang") == "en") | F.col("lang").isNull())]
+    merged = merge_sketches(*[build_sketch(p, "w", TOPK_PARAMS) for p in part])
+    return merged.cells.select("row", "bucket", "cnt")
+
+
+def cms_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: total words added to the sketch."""
+    return build_sketch(_kept_words(spark, sf_dir), "w", TOPK_PARAMS).total()
+
+
+def cms_long_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of integer items (lineitem part keys) and the estimate of each."""
+    items = read_table(spark, sf_dir, "lineitem", ["l_partkey"])
+    sketch = build_sketch(items, "l_partkey", TOPK_PARAMS)
+    return sketch.estimate(items, "l_partkey", out="estimate")
+
+
+def bloom_stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words kept by a Bloom filter of the stop list (500 items, 1 %), with counts."""
+    bloom = build_bloom(stop_words_df(spark), "w", BLOOM_CAPACITY, BLOOM_FPP)
+    kept = bloom_drop(_doc_words(spark, sf_dir), bloom, "w")
+    return word_counts(kept, "w", out="count").select(F.col("w").alias("word"), "count")
+
+
+def track_filter_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents mentioning any tracked keyword."""
+    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
+    return track_filter(posts, list(TRACK_KEYWORDS)).select("id", "lang")
+
+
+def split_keep_empty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """every document split on ',' with empty pieces kept, one row per piece."""
+    docs = _docs(spark, sf_dir, ["doc_id", "text"])
+    return docs.select("doc_id", F.posexplode(split_keep_empty(F.col("text"), SPLIT_SEPARATOR)).alias("pos", "piece"))
+
+
+# -- counted store and search --------------------------------------------------
+
+def _store(spark: SparkSession, sf_dir: str, lang: str | None = None) -> DataFrame:
+    docs = _docs(spark, sf_dir, ["doc_id", "text", "lang", "source"])
+    if lang:
+        docs = docs.where(F.col("lang") == lang)
+    return doc_store(documents_as_posts(docs))
+
+
+def doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct lower-cased texts with hash id and count."""
+    return _store(spark, sf_dir).select("index", "type", "id", "text", "count")
+
+
+def _hits(q, lang: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return search(_store(spark, sf_dir, lang), q).select(*HIT_COLUMNS)
+    run.__doc__ = f"2.7: all hits of {q!r} over the counted store."
+    return run
+
+
+SEARCHES = {
+    "hits_term": Term(TERM_A),
+    "hits_multi_match": MultiMatch(MATCH_TEXT, ("text",)),
+    "hits_bool_not": Bool(must=(Term(TERM_B),), must_not=(Term(TERM_A),)),
+    "hits_bool_and": Bool(must=(Term(TERM_B), Term("the"))),
+    "hits_fuzzy": Fuzzy(FUZZY_VALUE, prefix_length=0, boost=1.0),
+    "hits_match_all": MatchAll(),
+    "hits_prefix": Prefix(PREFIX_VALUE, boost=2.0),
+    "hits_wildcard": Wildcard(WILDCARD_PATTERN),
+    "hits_boosting": Boosting(Term(TERM_C), Term("the"), NEGATIVE_BOOST),
+}
+
+
+# -- entities ------------------------------------------------------------------
+
+def entities_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply entities of conversation turns."""
+    posts = conversations_as_posts(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    return extract_entities(posts).select(*ENTITY_COLUMNS)
+
+
+def entities_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client entities of documents."""
+    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
+    return extract_entities(posts).select(*ENTITY_COLUMNS)
+
+
+def entities_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct link entities of every page."""
+    posts = pages_as_posts(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"], fan_out=True))
+    return extract_entities(posts).select(*ENTITY_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_words_exact": topk_words_exact,
     "topk_words_cms": topk_words_cms,
+    "topk_string": topk_string,
+    "word_count_lookup": word_count_lookup,
+    "cms_table": cms_table,
+    "cms_merge": cms_merge,
+    "cms_total": cms_total,
+    "cms_long_items": cms_long_items,
+    "bloom_stopword_filter": bloom_stopword_filter,
+    "track_filter": track_filter_docs,
+    "split_keep_empty": split_keep_empty_docs,
+    "doc_counts": doc_counts,
+    **{name: _hits(q) for name, q in SEARCHES.items()},
+    "hits_term_fr": _hits(Term(TERM_FR), lang="fr"),
+    "entities_reply": entities_reply,
+    "entities_source": entities_source,
+    "entities_url": entities_url,
 }
