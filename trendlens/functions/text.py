@@ -39,12 +39,15 @@ def split_keep_empty(c: str | Column, sep: str) -> Column:
 
 def words(c: str | Column, sep: str = " ") -> Column:
     """F2 as an array: split on ``sep`` (a regex; default one space), drop ''."""
-    return F.filter(F.split(_col(c), sep), lambda w: w != "")
+    return F.array_remove(F.split(_col(c), sep), "")
 
 
 def analyze(c: str | Column) -> Column:
-    """Search analyser: lower-case, split on non letter/digit runs, drop ''."""
-    return F.filter(F.split(F.lower(_col(c)), ANALYZER_SPLIT), lambda w: w != "")
+    """Search analyser: lower-case, split on non letter/digit runs, drop ''.
+
+    ``array_remove`` rather than a lambda filter keeps it in generated code.
+    """
+    return F.array_remove(F.split(F.lower(_col(c)), ANALYZER_SPLIT), "")
 
 
 def explode_words(df: DataFrame, text_col: str, out: str = "w", sep: str = " ",

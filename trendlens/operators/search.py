@@ -20,10 +20,10 @@ Scoring contract (the search server's own rules are external; these are ours):
   query also matches;
 - scores are rounded to 6 places; ``ranked`` orders by score, then id.
 
-Work plan: a query tokenises only the documents that can match (a substring
-test on the stored lower-case text is a necessary condition for most
-queries), explodes their tokens, keeps the matching ones and aggregates per
-document.  ``N`` is a scalar subquery, not a join.
+Work plan: the store is indexed once (``SearchIndex.build``); a query filters
+the postings by term (pushed into the Parquet scan), aggregates the few
+matching occurrences per document and joins the hits back to the documents.
+``N`` is a scalar subquery, not a join.
 """
 
 from __future__ import annotations
@@ -119,59 +119,95 @@ def wildcard_to_like(pattern: str) -> str:
     return "".join(out)
 
 
-def _contains_all(text: Column, pieces: list[str]) -> Column:
-    cond = F.lit(True)
-    for p in pieces:
-        if p:
-            cond = cond & (F.instr(text, p) > 0)
-    return cond
-
-
 class SearchIndex:
-    """The store plus what scoring needs: analysed tokens and lengths per field."""
-
-    def __init__(self, store: DataFrame, fields: tuple[str, ...] = ("text",),
-                 indices: list[str] | None = None, types: list[str] | None = None):
+    """A searchable copy of the counted store.
+
+    ``docs``: ``index, type, id, text, count`` -- one row per stored document.
+    ``postings``: ``index, type, id, field, doc_len, term`` -- one row per
+    analysed token occurrence, so building it needs no shuffle (a document is
+    one row).  ``build`` writes both as Parquet under the shared checkpoint
+    folder with every postings file sorted by ``(field, term)``: a term or
+    prefix filter is pushed into the scan and skips row groups, and every
+    query after the build reads the index instead of re-tokenising texts.
+    """
+
+    def __init__(self, docs: DataFrame, postings: DataFrame, fields: tuple[str, ...] = ("text",)):
+        self.docs = docs
+        self.postings = postings
+        self.fields = fields
+        self.n_docs = docs.select(F.count(F.lit(1))).scalar()
+
+    @staticmethod
+    def postings_of(docs: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
+        """Token occurrences of every field of every document (lazy)."""
+        per_field = []
+        for fld in fields:
+            toks = docs.select(*KEYS, analyze(F.col(fld)).alias("_toks"))
+            per_field.append(toks.select(*KEYS, F.lit(fld).alias("field"), F.size("_toks").alias("doc_len"),
+                                         F.explode("_toks").alias("term")))
+        return reduce(DataFrame.unionByName, per_field)
+
+    @classmethod
+    def from_store(cls, store: DataFrame, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
+        """An unmaterialised index (every query re-tokenises; for small or one-off use)."""
+        return cls(store, cls.postings_of(store, fields), fields)
+
+    @classmethod
+    def build(cls, store: DataFrame, path: str | None = None, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
+        """Write the store and its postings under ``path`` (default: a fresh folder in the checkpoint dir)."""
+        from trendlens.session import scratch_path
+
+        spark = store.sparkSession
+        path = path or scratch_path(spark, "search-index")
+        store.select(*KEYS, "text", "count", *[f for f in fields if f != "text"]).write.mode("overwrite").parquet(f"{path}/docs")
+        docs = spark.read.parquet(f"{path}/docs")
+        (cls.postings_of(docs, fields).sortWithinPartitions("field", "term")
+            .write.mode("overwrite").parquet(f"{path}/postings"))
+        return cls.open(spark, path, fields)
+
+    @classmethod
+    def open(cls, spark, path: str, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
+        return cls(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings"), fields)
+
+    def restrict(self, indices: list[str] | None = None, types: list[str] | None = None) -> SearchIndex:
+        """Only documents of the given indices and types."""
+        docs, postings = self.docs, self.postings
         if indices:
-            store = store.where(F.col("index").isin(list(indices)))
+            docs = docs.where(F.col("index").isin(list(indices)))
+            postings = postings.where(F.col("index").isin(list(indices)))
         if types:
-            store = store.where(F.col("type").isin(list(types)))
-        self.store = store
-        self.fields = fields
-        self.n_docs = store.select(F.count(F.lit(1))).scalar()
+            docs = docs.where(F.col("type").isin(list(types)))
+            postings = postings.where(F.col("type").isin(list(types)))
+        return SearchIndex(docs, postings, self.fields)
 
     # -- building blocks -------------------------------------------------
-    def _tokens(self, fld: str, prefilter: Column | None) -> DataFrame:
-        docs = self.store if prefilter is None else self.store.where(prefilter)
-        toks = analyze(F.col(fld))
-        return docs.select(*KEYS, F.size(toks).alias("_len"), F.explode(toks).alias("term"))
-
-    def term_scores(self, fld: str, pred, boost: float, prefilter: Column | None = None) -> DataFrame:
-        """Per (document, matched term): the term score; columns ``KEYS + [score]`` summed per doc."""
-        matched = self._tokens(fld, prefilter).where(pred(F.col("term")))
-        tf = matched.groupBy(*KEYS, "_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    def _matches(self, fld: str, pred) -> DataFrame:
+        return self.postings.where((F.col("field") == F.lit(fld)) & pred(F.col("term")))
+
+    def term_scores(self, fld: str, pred, boost: float) -> DataFrame:
+        """``KEYS + [score]``: summed term scores of the documents with a matching term in ``fld``."""
+        tf = self._matches(fld, pred).groupBy(*KEYS, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         idf = F.lit(1.0) + F.log(self.n_docs / (F.col("df") + F.lit(1)))
-        score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("_len")) * F.lit(float(boost))
+        score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len")) * F.lit(float(boost))
         per_term = tf.join(dfreq, "term").select(*KEYS, score.alias("score"))
         return per_term.groupBy(*KEYS).agg(F.sum("score").alias("score"))
 
-    def constant(self, cond: Column | None, boost: float, prefilter: Column | None = None) -> DataFrame:
-        docs = self.store if prefilter is None else self.store.where(prefilter)
-        if cond is not None:
-            docs = docs.where(cond)
-        return docs.select(*KEYS, F.lit(float(boost)).alias("score"))
+    def constant(self, fld: str | None, pred, boost: float) -> DataFrame:
+        """``KEYS + [score=boost]`` for documents with a matching term (all documents when ``pred`` is None)."""
+        if pred is None:
+            return self.docs.select(*KEYS, F.lit(float(boost)).alias("score"))
+        hit = self._matches(fld, pred).select(*KEYS).distinct()
+        return hit.select(*KEYS, F.lit(float(boost)).alias("score"))
 
     # -- compilation -------------------------------------------------------
     def scored(self, q) -> DataFrame:
         """``KEYS + [score]`` for every document matching ``q``."""
         if isinstance(q, Term):
-            return self.term_scores(q.field, lambda t: t == F.lit(q.value), q.boost,
-                                    F.instr(F.col(q.field), q.value) > 0)
+            return self.term_scores(q.field, lambda t: t == F.lit(q.value), q.boost)
         if isinstance(q, MultiMatch):
-            qtoks = analyze(F.lit(q.text))
-            per_field = [self.term_scores(f, lambda t: F.array_contains(qtoks, t), q.boost)
-                         for f in q.fields]
+            qtoks = query_tokens(self.docs.sparkSession, q.text)
+            per_field = [self.term_scores(f, lambda t: t.isin(qtoks), q.boost) for f in q.fields]
             if len(per_field) == 1:
                 return per_field[0]
             return reduce(DataFrame.unionByName, per_field).groupBy(*KEYS).agg(F.max("score").alias("score"))
@@ -181,19 +217,20 @@ class SearchIndex:
 
             def pred(t: Column) -> Column:
                 c = F.levenshtein(t, F.lit(q.value), n) >= 0
-                return c & t.startswith(prefix) if prefix else c
-            return self.term_scores(q.field, pred, q.boost,
-                                    F.instr(F.col(q.field), prefix) > 0 if prefix else None)
+                return t.startswith(prefix) & c if prefix else c
+            return self.term_scores(q.field, pred, q.boost)
         if isinstance(q, MatchAll):
-            return self.constant(None, q.boost)
+            return self.constant(None, None, q.boost)
         if isinstance(q, Prefix):
-            cond = F.exists(analyze(F.col(q.field)), lambda t: t.startswith(q.value))
-            return self.constant(cond, q.boost, F.instr(F.col(q.field), q.value) > 0)
+            return self.constant(q.field, lambda t: t.startswith(q.value), q.boost)
         if isinstance(q, Wildcard):
             like = wildcard_to_like(q.pattern)
-            cond = F.exists(analyze(F.col(q.field)), lambda t: t.like(like))
-            pieces = [p for p in q.pattern.replace("?", "*").split("*") if p]
-            return self.constant(cond, q.boost, _contains_all(F.col(q.field), pieces))
+            lead = q.pattern.split("*")[0].split("?")[0]
+
+            def pred(t: Column) -> Column:
+                # the literal lead is pushed into the scan as a prefix filter
+                return t.startswith(lead) & t.like(like) if lead else t.like(like)
+            return self.constant(q.field, pred, q.boost)
         if isinstance(q, Bool):
             return self._bool(q)
         if isinstance(q, Boosting):
@@ -217,7 +254,7 @@ class SearchIndex:
             hits = reduce(DataFrame.unionByName, [self.scored(c) for c in q.should])
             hits = hits.groupBy(*KEYS).agg(F.sum("score").alias("score"))
         else:
-            hits = self.constant(None, 1.0)
+            hits = self.constant(None, None, 1.0)
         for clause in q.must_not:
             hits = hits.join(self.scored(clause).select(*KEYS), KEYS, "left_anti")
         return hits
@@ -225,15 +262,26 @@ class SearchIndex:
     def search(self, q) -> DataFrame:
         """All hits of ``q``: ``index, type, id, text, count, score, json`` (unordered)."""
         hits = self.scored(q)
-        out = self.store.join(hits, KEYS, "inner").select(
+        out = self.docs.join(hits, KEYS, "inner").select(
             *KEYS, "text", "count", F.round(F.col("score"), SCORE_DIGITS).alias("score"))
         return hits_json(out)
 
 
-def search(store: DataFrame, q, indices: list[str] | None = None, types: list[str] | None = None,
-           fields: tuple[str, ...] = ("text",)) -> DataFrame:
-    """J3 + Q-*: evaluate ``q`` over the store (filtered to ``indices``/``types``)."""
-    return SearchIndex(store, fields, indices, types).search(q)
+def query_tokens(spark, text: str) -> list[str]:
+    """The analysed tokens of a query string, by the same Spark expression as the documents.
+
+    Catalyst folds the literal expression, so this runs no job.
+    """
+    row = spark.range(1).select(analyze(F.lit(text)).alias("t")).first()
+    return list(dict.fromkeys(row["t"]))
+
+
+def search(index: SearchIndex | DataFrame, q, indices: list[str] | None = None,
+           types: list[str] | None = None) -> DataFrame:
+    """J3 + Q-*: evaluate ``q`` over an index (or a store, indexed lazily), restricted to ``indices``/``types``."""
+    if isinstance(index, DataFrame):
+        index = SearchIndex.from_store(index)
+    return index.restrict(indices, types).search(q)
 
 
 def ranked(hits: DataFrame, size: int | None = None) -> DataFrame:

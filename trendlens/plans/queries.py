@@ -21,6 +21,7 @@ from trendlens.operators.search import (
     MatchAll,
     MultiMatch,
     Prefix,
+    SearchIndex,
     Term,
     Wildcard,
     search,
@@ -157,7 +158,8 @@ def doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hits(q, lang: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return search(_store(spark, sf_dir, lang), q).select(*HIT_COLUMNS)
+        index = SearchIndex.build(_store(spark, sf_dir, lang))
+        return search(index, q).select(*HIT_COLUMNS)
     run.__doc__ = f"2.7: all hits of {q!r} over the counted store."
     return run
 
