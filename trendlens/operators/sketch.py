@@ -86,9 +86,21 @@ def item_cells(df: DataFrame, col: str, params: SketchParams, keep: list[str] |
                        F.col("_wt").alias("n"))
 
 
-def sketch_cells(df: DataFrame, col: str, params: SketchParams, weight_col: str | None = None) -> DataFrame:
-    """A4: the sketch table of the items in ``col`` (each row adds ``weight_col`` or 1)."""
-    cells = item_cells(df.where(F.col(col).isNotNull()), col, params, weight_col=weight_col)
+def sketch_cells(df: DataFrame, col: str, params: SketchParams, weight_col: str | None = None,
+                 pre_aggregate: bool = True) -> DataFrame:
+    """A4: the sketch table of the items in ``col`` (each row adds ``weight_col`` or 1).
+
+    With ``pre_aggregate`` (the default) rows are first summed per item, so
+    each distinct item is hashed and spread over ``depth`` rows once; the
+    item-level shuffle carries only every task's distinct items.  For items
+    that barely repeat (ids), ``pre_aggregate=False`` hashes every row and
+    shuffles nothing but each task's ``depth x width`` partial cells.
+    """
+    items = df.where(F.col(col).isNotNull())
+    if pre_aggregate:
+        items = items.groupBy(col).agg(F.sum(_weight(weight_col)).alias("_sum"))
+        weight_col = "_sum"
+    cells = item_cells(items, col, params, weight_col=weight_col)
     return cells.groupBy("row", "bucket").agg(F.sum("n").alias("cnt"))
 
 
@@ -147,9 +159,9 @@ class CountMinSketch:
 
 
 def build_sketch(df: DataFrame, col: str, params: SketchParams = SketchParams(),
-                 weight_col: str | None = None) -> CountMinSketch:
+                 weight_col: str | None = None, pre_aggregate: bool = True) -> CountMinSketch:
     """Sketch of ``col`` (strings, or integers hashed by their decimal text)."""
-    return CountMinSketch(sketch_cells(df, col, params, weight_col), params)
+    return CountMinSketch(sketch_cells(df, col, params, weight_col, pre_aggregate), params)
 
 
 def merge_sketches(*sketches: CountMinSketch) -> CountMinSketch | None:
@@ -197,6 +209,6 @@ def sketch_top_k(words: DataFrame, k: int = 5, col: str = "w", params: SketchPar
 
     kept = words if stop is False else drop_stop_words(words, col, None if stop is None else stop)
     counts = word_counts(kept, col, out="_n")
-    sketch = build_sketch(counts, col, params, weight_col="_n")
+    sketch = build_sketch(counts, col, params, weight_col="_n", pre_aggregate=False)
     est = sketch.estimate(counts, col, out="estimate", distinct=False, own_count_col="_n")
     return top_k(est, k, "estimate", col), sketch
