@@ -229,6 +229,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT doc_id, string_split(text, {_quote(Q.SPLIT_SEPARATOR)}) AS arr FROM documents)
     """,
     "doc_counts": f'WITH {store_cte()} SELECT "index", "type", id, text, count FROM store',
+    "stream_doc_counts": f'WITH {store_cte()} SELECT "index", "type", id, text, count FROM store',
+    "stream_topk": TOPK_EXACT,
     **{name: hits_sql(q) for name, q in Q.SEARCHES.items()},
     "hits_term_fr": hits_sql(S.Term(Q.TERM_FR), lang="fr"),
     "entities_reply": _entities("""

@@ -30,9 +30,16 @@ from trendlens.operators.sketch import SketchParams, build_sketch, lookup_counts
 from trendlens.operators.store import doc_store
 from trendlens.operators.topk import top_k, top_k_string
 from trendlens.operators.words import drop_stop_words, tokens, track_filter, word_counts
-from trendlens.sources.posts import conversations_as_posts, documents_as_posts, pages_as_posts
+from trendlens.session import scratch_path
+from trendlens.sources.posts import (
+    conversations_as_posts,
+    documents_as_posts,
+    pages_as_posts,
+    read_posts_stream,
+)
 from trendlens.sources.stopwords import stop_words_df
 from trendlens.sources.tables import read_table
+from trendlens.streaming import Snapshots, land_posts, running_doc_counts, running_sketch_top_k, running_word_top_k
 
 # Fixed values used by the named queries.
 TOP_K = 5
@@ -55,6 +62,8 @@ WILDCARD_PATTERN = "t??e*"
 NEGATIVE_BOOST = 0.2
 TERM_FR = "étre"
 
+STREAM_FILES = 4          # landed JSON files; one per micro-batch
+
 HIT_COLUMNS = ["index", "type", "id", "text", "count", "score", "json"]
 ENTITY_COLUMNS = ["tweet_id", "content_type", "content_name", "content_id"]
 
@@ -215,6 +224,45 @@ def entities_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_entities(posts).select(*ENTITY_COLUMNS)
 
 
+# -- streaming -------------------------------------------------------------------
+
+def _stream_posts(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Documents landed as JSON post files, read back as a stream, one file per trigger."""
+    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
+    landing = land_posts(posts, f"{root}/landing", STREAM_FILES)
+    return read_posts_stream(spark, landing, max_files_per_trigger=1)
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, name: str, start) -> Snapshots:
+    root = scratch_path(spark, name)
+    snaps = Snapshots(f"{root}/snapshots")
+    query = start(_stream_posts(spark, sf_dir, root), snaps, f"{root}/checkpoint")
+    query.awaitTermination()
+    if query.exception():
+        raise RuntimeError(f"{name} failed: {query.exception()}")
+    return snaps
+
+
+def stream_doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted store kept by a streaming aggregation; the last published snapshot."""
+    snaps = _run_stream(spark, sf_dir, "stream-doc-counts", running_doc_counts)
+    return snaps.read(spark, "store").select("index", "type", "id", "text", "count")
+
+
+def stream_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 exact: running word counts; the top-5 published after the last micro-batch."""
+    snaps = _run_stream(spark, sf_dir, "stream-topk",
+                        lambda posts, s, ckpt: running_word_top_k(posts, s, ckpt, k=TOP_K))
+    return snaps.read(spark, "topk").select(F.col("w").alias("word"), "count")
+
+
+def stream_sketch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T3 bounded: sketch cells plus k rows as the only state; the last top-5."""
+    snaps = _run_stream(spark, sf_dir, "stream-sketch-topk",
+                        lambda posts, s, ckpt: running_sketch_top_k(posts, s, ckpt, k=TOP_K, params=TOPK_PARAMS))
+    return snaps.read(spark, "topk").select(F.col("w").alias("word"), "estimate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_words_exact": topk_words_exact,
     "topk_words_cms": topk_words_cms,
@@ -233,4 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entities_reply": entities_reply,
     "entities_source": entities_source,
     "entities_url": entities_url,
+    "stream_doc_counts": stream_doc_counts,
+    "stream_topk": stream_topk,
+    "stream_sketch_topk": stream_sketch_topk,
 }
