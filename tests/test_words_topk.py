@@ -86,3 +86,13 @@ def test_track_filter(spark, posts_path):
     assert [r["id"] for r in track_filter(posts, ["nothing here"]).collect()] == [2]
     assert track_filter(posts, ["here nothing else"]).count() == 0
     assert [r["id"] for r in track_filter(posts, ["#apple"]).collect()] == [1]
+
+
+def test_taps_keep_rows(spark):
+    from trendlens.operators.taps import tap, with_partition
+
+    df = spark.range(10)
+    tapped, obs = tap(df, "t")
+    assert tapped.count() == 10
+    assert obs.get["rows"] == 10
+    assert with_partition(df).select("partition").distinct().count() >= 1

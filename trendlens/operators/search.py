@@ -184,10 +184,18 @@ class SearchIndex:
     def _matches(self, fld: str, pred) -> DataFrame:
         return self.postings.where((F.col("field") == F.lit(fld)) & pred(F.col("term")))
 
-    def term_scores(self, fld: str, pred, boost: float) -> DataFrame:
-        """``KEYS + [score]``: summed term scores of the documents with a matching term in ``fld``."""
+    def term_scores(self, fld: str, pred, boost: float, max_terms: int | None = None) -> DataFrame:
+        """``KEYS + [score]``: summed term scores of the documents with a matching term in ``fld``.
+
+        Document frequencies are one row per matched term, combined map-side
+        (a term found in every document is no hot spot).  When the query names
+        its terms, ``max_terms`` bounds that table and it is broadcast; term
+        expansions (fuzzy) leave the choice to AQE's runtime sizes.
+        """
         tf = self._matches(fld, pred).groupBy(*KEYS, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        if max_terms is not None:
+            dfreq = F.broadcast(dfreq)
         idf = F.lit(1.0) + F.log(self.n_docs / (F.col("df") + F.lit(1)))
         score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len")) * F.lit(float(boost))
         per_term = tf.join(dfreq, "term").select(*KEYS, score.alias("score"))
@@ -204,10 +212,11 @@ class SearchIndex:
     def scored(self, q) -> DataFrame:
         """``KEYS + [score]`` for every document matching ``q``."""
         if isinstance(q, Term):
-            return self.term_scores(q.field, lambda t: t == F.lit(q.value), q.boost)
+            return self.term_scores(q.field, lambda t: t == F.lit(q.value), q.boost, max_terms=1)
         if isinstance(q, MultiMatch):
             qtoks = query_tokens(self.docs.sparkSession, q.text)
-            per_field = [self.term_scores(f, lambda t: t.isin(qtoks), q.boost) for f in q.fields]
+            per_field = [self.term_scores(f, lambda t: t.isin(qtoks), q.boost, max_terms=len(qtoks))
+                         for f in q.fields]
             if len(per_field) == 1:
                 return per_field[0]
             return reduce(DataFrame.unionByName, per_field).groupBy(*KEYS).agg(F.max("score").alias("score"))

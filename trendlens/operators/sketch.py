@@ -196,6 +196,21 @@ def lookup_counts(sketch: CountMinSketch, requests: DataFrame, col: str = "query
     return flagged.withColumn(out, value.cast("bigint")).drop("_est", "is_stop")
 
 
+def sketch_estimates(items: DataFrame, col: str, params: SketchParams = SketchParams(),
+                     out: str = "estimate") -> tuple[DataFrame, CountMinSketch]:
+    """A4 + A5 over one input: sketch every item of ``col`` and estimate each distinct item.
+
+    Items are counted once (one shuffle by item, combined map-side); the
+    sketch is built from those counts and the same counts are estimated, so
+    Spark plans one item shuffle for both.  Result ``(col, out)``.
+    """
+    from trendlens.operators.words import word_counts
+
+    counts = word_counts(items.where(F.col(col).isNotNull()), col, out="_n")
+    sketch = build_sketch(counts, col, params, weight_col="_n", pre_aggregate=False)
+    return sketch.estimate(counts, col, out=out, distinct=False, own_count_col="_n"), sketch
+
+
 def sketch_top_k(words: DataFrame, k: int = 5, col: str = "w", params: SketchParams = SketchParams(),
                  stop: DataFrame | None | bool = None) -> tuple[DataFrame, CountMinSketch]:
     """K1: stop words out, sketch the rest, top-k words by their estimate.
@@ -205,10 +220,8 @@ def sketch_top_k(words: DataFrame, k: int = 5, col: str = "w", params: SketchPar
     word is then estimated against it.  Result columns ``(col, estimate)``.
     """
     from trendlens.operators.topk import top_k
-    from trendlens.operators.words import drop_stop_words, word_counts
+    from trendlens.operators.words import drop_stop_words
 
     kept = words if stop is False else drop_stop_words(words, col, None if stop is None else stop)
-    counts = word_counts(kept, col, out="_n")
-    sketch = build_sketch(counts, col, params, weight_col="_n", pre_aggregate=False)
-    est = sketch.estimate(counts, col, out="estimate", distinct=False, own_count_col="_n")
+    est, sketch = sketch_estimates(kept, col, params, out="estimate")
     return top_k(est, k, "estimate", col), sketch

@@ -26,7 +26,14 @@ from trendlens.operators.search import (
     Wildcard,
     search,
 )
-from trendlens.operators.sketch import SketchParams, build_sketch, lookup_counts, merge_sketches, sketch_top_k
+from trendlens.operators.sketch import (
+    SketchParams,
+    build_sketch,
+    lookup_counts,
+    merge_sketches,
+    sketch_estimates,
+    sketch_top_k,
+)
 from trendlens.operators.store import doc_store
 from trendlens.operators.topk import top_k, top_k_string
 from trendlens.operators.words import drop_stop_words, tokens, track_filter, word_counts
@@ -128,8 +135,8 @@ def cms_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cms_long_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of integer items (lineitem part keys) and the estimate of each."""
     items = read_table(spark, sf_dir, "lineitem", ["l_partkey"])
-    sketch = build_sketch(items, "l_partkey", TOPK_PARAMS)
-    return sketch.estimate(items, "l_partkey", out="estimate")
+    est, _ = sketch_estimates(items, "l_partkey", TOPK_PARAMS)
+    return est
 
 
 def bloom_stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,20 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Only scans of at most this many splits are fanned out (a few GB at the
+# default 128 MB per split); bigger inputs keep their scan partitioning.
+SPREAD_MAX_SPLITS = 32
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Fan a few-split input out over the cluster's cores.
 
     Text tables hold few, heavy rows; a file written as one row group is a
     single scan task, which would then split and count every word alone.
-    When the scan yields fewer partitions than the cluster can run at once,
-    the rows are dealt round-robin to ``min_partitions`` (default: the
-    default parallelism).  Large inputs already have many splits and are
-    returned untouched, so they are never reshuffled.
+    When the scan yields fewer partitions than the cluster can run at once
+    (and no more than ``SPREAD_MAX_SPLITS``), the rows are dealt round-robin
+    to ``min_partitions`` (default: the default parallelism).  Large inputs
+    already have many splits and are returned untouched, so they are never
+    reshuffled.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as it is
+        return df
+    if splits >= target or splits > SPREAD_MAX_SPLITS:
         return df
     return df.repartition(target)
 
