@@ -69,7 +69,8 @@ WILDCARD_PATTERN = "t??e*"
 NEGATIVE_BOOST = 0.2
 TERM_FR = "étre"
 
-STREAM_FILES = 4          # landed JSON files; one per micro-batch
+STREAM_FILES = 32         # landed JSON files ...
+STREAM_FILES_PER_TRIGGER = 8   # ... taken 8 per micro-batch (4 micro-batches, 8 tasks each)
 
 HIT_COLUMNS = ["index", "type", "id", "text", "count", "score", "json"]
 ENTITY_COLUMNS = ["tweet_id", "content_type", "content_name", "content_id"]
@@ -234,10 +235,10 @@ def entities_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streaming -------------------------------------------------------------------
 
 def _stream_posts(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Documents landed as JSON post files, read back as a stream, one file per trigger."""
+    """Documents landed as JSON post files, read back as a stream, a few files per trigger."""
     posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
     landing = land_posts(posts, f"{root}/landing", STREAM_FILES)
-    return read_posts_stream(spark, landing, max_files_per_trigger=1)
+    return read_posts_stream(spark, landing, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
 
 
 def _run_stream(spark: SparkSession, sf_dir: str, name: str, start) -> Snapshots:

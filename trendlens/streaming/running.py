@@ -84,7 +84,9 @@ def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev_v = snapshots.latest_version(spark, before=batch_id)
-        cells = sketch_cells(batch, "w", params)
+        # two jobs use this micro-batch: count its words once and keep the counts
+        counts = word_counts(batch, "w", out="n").persist()
+        cells = sketch_cells(counts, "w", params, weight_col="n", pre_aggregate=False)
         if prev_v is not None:
             cells = (snapshots.read(spark, "cells", prev_v).unionByName(cells)
                      .groupBy("row", "bucket").agg(F.sum("cnt").cast("bigint").alias("cnt")))
@@ -92,10 +94,12 @@ def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         cells_path = snapshots.path("cells", batch_id)
         cells.write.mode("overwrite").parquet(cells_path)
         sketch = CountMinSketch(spark.read.parquet(cells_path), params)
-        cand = batch.select("w").distinct()
+        cand = counts.select("w")
         if prev_v is not None:
-            cand = cand.unionByName(snapshots.read(spark, "topk", prev_v).select("w")).distinct()
+            prev_top = snapshots.read(spark, "topk", prev_v).select("w")
+            cand = cand.unionByName(prev_top.join(cand, "w", "left_anti"))
         top = top_k(sketch.estimate(cand, "w", out="estimate", distinct=False), k, "estimate", "w")
         snapshots.publish(spark, {"topk": top}, batch_id)
+        counts.unpersist()
 
     return _start(words, publish, checkpoint, "append", trigger, name)
