@@ -16,27 +16,50 @@ def tokens(df: DataFrame, text_col: str = "text", out: str = "w", sep: str = " "
     return explode_words(df, text_col, out=out, sep=sep, keep=keep)
 
 
-def _stop_side(df: DataFrame, stop: DataFrame | None) -> DataFrame:
+# Stop lists given as values (the bundled one has 191 words) are compiled into
+# the plan as a hashed literal set when at most this long.
+MAX_INLINE_STOP_WORDS = 100_000
+
+StopWords = DataFrame | list | tuple | None
+
+
+def _stop_values(stop: StopWords) -> list[str] | None:
     if stop is None:
-        side = stop_words_df(df.sparkSession)
-        return broadcast_if_bounded(side, MAX_BROADCAST_STOP_WORDS, known_rows=len(ENGLISH_STOP_WORDS))
-    return broadcast_if_bounded(stop.select(F.lower(F.col("w")).alias("w")).distinct(),
-                                MAX_BROADCAST_STOP_WORDS)
+        return list(ENGLISH_STOP_WORDS)
+    if isinstance(stop, (list, tuple)) and len(stop) <= MAX_INLINE_STOP_WORDS:
+        return list(dict.fromkeys(w.strip().lower() for w in stop if w and w.strip()))
+    return None
+
+
+def _stop_side(df: DataFrame, stop: StopWords) -> DataFrame:
+    if isinstance(stop, DataFrame):
+        side = stop.select(F.lower(F.col("w")).alias("w")).distinct()
+    else:
+        side = stop_words_df(df.sparkSession, list(stop))
+    return broadcast_if_bounded(side, MAX_BROADCAST_STOP_WORDS)
 
 
-def drop_stop_words(df: DataFrame, col: str = "w", stop: DataFrame | None = None) -> DataFrame:
+def drop_stop_words(df: DataFrame, col: str = "w", stop: StopWords = None) -> DataFrame:
     """J2 exact: drop rows whose lower-cased ``col`` is a stop word.
 
-    A left-anti join against the stop list; the list is broadcast when its
-    size is bounded, so the token side is never shuffled for it.
+    A stop list known as values (default: the bundled list) becomes a
+    ``NOT IN`` over a literal set -- a hash lookup inside the scan's generated
+    code, no join and no exchange.  A stop list given as a DataFrame is a
+    left-anti join, broadcast after its size is checked.
     """
+    values = _stop_values(stop)
+    if values is not None:
+        return df.where(~F.lower(F.col(col)).isin(values))
     side = _stop_side(df, stop).withColumnRenamed("w", "_stop_w")
     return df.join(side, F.lower(F.col(col)) == F.col("_stop_w"), "left_anti")
 
 
-def flag_stop_words(df: DataFrame, col: str = "w", stop: DataFrame | None = None,
+def flag_stop_words(df: DataFrame, col: str = "w", stop: StopWords = None,
                     out: str = "is_stop") -> DataFrame:
     """Keep every row and add a boolean ``out`` telling whether ``col`` is a stop word."""
+    values = _stop_values(stop)
+    if values is not None:
+        return df.withColumn(out, F.coalesce(F.lower(F.col(col)).isin(values), F.lit(False)))
     side = _stop_side(df, stop).select(F.col("w").alias("_stop_w"), F.lit(True).alias("_stop_hit"))
     joined = df.join(side, F.lower(F.col(col)) == F.col("_stop_w"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_stop_hit"), F.lit(False))).drop("_stop_w", "_stop_hit")
