@@ -128,3 +128,14 @@ def test_bloom_sizing_and_membership(spark):
     assert kept.subtract(exact).count() == 0
     assert kept.count() >= exact.count() * (1 - 0.01)
     assert not math.isnan(bloom.expected_fpp)
+
+
+def test_builtin_alternatives(spark):
+    from trendlens.operators.sketch import sketch_blob
+    from trendlens.operators.topk import approx_top_k
+
+    words = drop_stop_words(tokens(fixed_sentences(spark, 3), "sentence"))
+    top = approx_top_k(words, "w", 3)
+    assert top.columns == ["w", "count"] and {r["count"] for r in top.collect()} == {3}
+    blob = sketch_blob(words, "w", 0.01, 0.99).first()["sketch"]
+    assert isinstance(blob, (bytes, bytearray)) and len(blob) > 0

@@ -164,6 +164,16 @@ def build_sketch(df: DataFrame, col: str, params: SketchParams = SketchParams(),
     return CountMinSketch(sketch_cells(df, col, params, weight_col, pre_aggregate), params)
 
 
+def sketch_blob(df: DataFrame, col: str, eps: float, confidence: float, seed: int = 10,
+                out: str = "sketch") -> DataFrame:
+    """A4 blob form: Spark's built-in ``count_min_sketch`` aggregate as one binary row.
+
+    Compact to store and ship, but Spark SQL has no reader for it; the table
+    form above is the one the estimate, merge and top-k operators use.
+    """
+    return df.agg(F.count_min_sketch(F.col(col), F.lit(eps), F.lit(confidence), F.lit(seed)).alias(out))
+
+
 def merge_sketches(*sketches: CountMinSketch) -> CountMinSketch | None:
     """Cell-wise sum; ``None`` when given none; error on a shape or seed mismatch."""
     if not sketches:

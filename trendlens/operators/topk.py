@@ -30,3 +30,15 @@ def top_k_string(top: DataFrame, count_col: str = "count", key_col: str = "word"
     entries = F.array_sort(F.collect_list(F.struct((-F.col(count_col)).alias("neg"), F.col(key_col).alias("k"))))
     rendered = F.transform(entries, lambda e: F.concat(e["k"], F.lit(":"), (-e["neg"]).cast("string"), F.lit("|")))
     return top.agg(F.array_join(rendered, "").alias(out))
+
+
+def approx_top_k(df: DataFrame, col: str, k: int, max_items_tracked: int = 10_000,
+                 out: str = "count") -> DataFrame:
+    """K4 approximate built-in: Spark's ``approx_top_k`` aggregate, one row per item.
+
+    The aggregate keeps at most ``max_items_tracked`` candidates per task and
+    merges those summaries, so its state is bounded whatever the input.
+    """
+    summary = df.agg(F.expr(f"approx_top_k(`{col}`, {int(k)}, {int(max_items_tracked)})").alias("_t"))
+    return summary.select(F.explode("_t").alias("_e")).select(
+        F.col("_e.item").alias(col), F.col("_e.count").alias(out))

@@ -45,14 +45,8 @@ def running_doc_counts(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
     counts = doc_store(posts)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev_v = snapshots.latest_version(spark, before=batch_id)
         changed = batch.select(*STORE_KEYS, "text", "count")
-        merged = changed
-        if prev_v is not None:
-            prev = snapshots.read(spark, "store", prev_v)
-            merged = prev.join(changed.select(*STORE_KEYS), STORE_KEYS, "left_anti").unionByName(changed)
-        snapshots.publish(spark, {"store": merged}, batch_id)
+        snapshots.upsert(batch.sparkSession, "store", changed, STORE_KEYS, batch_id)
 
     return _start(counts, publish, checkpoint, "update", trigger, name)
 

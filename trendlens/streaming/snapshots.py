@@ -51,6 +51,15 @@ class Snapshots:
         versions = [v for v in self._load(spark) if before is None or v < before]
         return max(versions) if versions else None
 
+    def upsert(self, spark: SparkSession, table: str, changed: DataFrame, keys: list[str], batch_id: int) -> None:
+        """The previous version with ``changed`` rows replacing theirs by key, published as ``batch_id``."""
+        prev_v = self.latest_version(spark, before=batch_id)
+        merged = changed
+        if prev_v is not None:
+            prev = self.read(spark, table, prev_v)
+            merged = prev.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
+        self.publish(spark, {table: merged}, batch_id)
+
     def read(self, spark: SparkSession, table: str, version: int | None = None) -> DataFrame | None:
         """One table at ``version`` (default: the latest committed); None before the first commit."""
         v = self.latest_version(spark) if version is None else version
