@@ -91,3 +91,17 @@ def bloom_drop(df: DataFrame, bloom: BloomFilter, col: str = "w", lowercase: boo
     """Drop rows the filter says might be members (stop words and rare false positives)."""
     value = F.lower(F.col(col)) if lowercase else F.col(col)
     return df.where(~bloom.might_contain(value))
+
+
+def bloom_drop_counted(counts: DataFrame, bloom: BloomFilter, col: str = "w", count_col: str = "count",
+                       lowercase: bool = True) -> DataFrame:
+    """``bloom_drop`` on per-item counts, probing each distinct item once.
+
+    Catalyst moves a filter on a grouping column below the aggregation, which
+    would hash every occurrence instead of every distinct item.  The predicate
+    here also reads the count (always at least 1, so the answer is unchanged),
+    which keeps it above the aggregation.
+    """
+    value = F.lower(F.col(col)) if lowercase else F.col(col)
+    keep = F.when(F.col(count_col) > 0, ~bloom.might_contain(value)).otherwise(F.lit(False))
+    return counts.where(keep)

@@ -21,8 +21,8 @@ Scoring contract (the search server's own rules are external; these are ours):
 - scores are rounded to 6 places; ``ranked`` orders by score, then id.
 
 Work plan: the store is indexed once (``SearchIndex.build``); a query filters
-the postings by term (pushed into the Parquet scan), aggregates the few
-matching occurrences per document and joins the hits back to the documents.
+the postings by term (pushed into the Parquet scan), counts documents per
+matched term and joins the hits back to the documents.
 ``N`` is a scalar subquery, not a join.
 """
 
@@ -123,9 +123,10 @@ class SearchIndex:
     """A searchable copy of the counted store.
 
     ``docs``: ``index, type, id, text, count`` -- one row per stored document.
-    ``postings``: ``index, type, id, field, doc_len, term`` -- one row per
-    analysed token occurrence, so building it needs no shuffle (a document is
-    one row).  ``build`` writes both as Parquet under the shared checkpoint
+    ``postings``: ``index, type, id, field, doc_len, term, tf`` -- one row per
+    document and distinct analysed term, counted without a shuffle because
+    the store is partitioned by document key.  ``build`` writes both as
+    Parquet under the shared checkpoint
     folder with every postings file sorted by ``(field, term)``: a term or
     prefix filter is pushed into the scan and skips row groups, and every
     query after the build reads the index instead of re-tokenising texts.
@@ -139,12 +140,21 @@ class SearchIndex:
 
     @staticmethod
     def postings_of(docs: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
-        """Token occurrences of every field of every document (lazy)."""
+        """``(index, type, id, field, doc_len, term, tf)`` for every field of every document.
+
+        When ``docs`` is partitioned by document key (the store's aggregation,
+        or a cache of it) the per-document term count needs no shuffle.
+        """
         per_field = []
         for fld in fields:
             toks = docs.select(*KEYS, analyze(F.col(fld)).alias("_toks"))
-            per_field.append(toks.select(*KEYS, F.lit(fld).alias("field"), F.size("_toks").alias("doc_len"),
-                                         F.explode("_toks").alias("term")))
+            # explode_outer + a filter on the generated column: a plain explode of a
+            # projected array makes Spark infer size(_toks) > 0 and push it below the
+            # projection, which would split every text again
+            occ = (toks.select(*KEYS, F.lit(fld).alias("field"), F.size("_toks").alias("doc_len"),
+                               F.explode_outer("_toks").alias("term"))
+                       .where(F.col("term").isNotNull()))
+            per_field.append(occ.groupBy(*KEYS, "field", "doc_len", "term").agg(F.count(F.lit(1)).alias("tf")))
         return reduce(DataFrame.unionByName, per_field)
 
     @classmethod
@@ -159,10 +169,15 @@ class SearchIndex:
 
         spark = store.sparkSession
         path = path or scratch_path(spark, "search-index")
-        store.select(*KEYS, "text", "count", *[f for f in fields if f != "text"]).write.mode("overwrite").parquet(f"{path}/docs")
-        docs = spark.read.parquet(f"{path}/docs")
-        (cls.postings_of(docs, fields).sortWithinPartitions("field", "term")
-            .write.mode("overwrite").parquet(f"{path}/postings"))
+        # both outputs come from one computation of the store; the cache keeps
+        # its partitioning by document key, so term counts need no shuffle
+        cached = store.select(*KEYS, "text", "count", *[f for f in fields if f != "text"]).persist()
+        try:
+            cached.write.mode("overwrite").parquet(f"{path}/docs")
+            (cls.postings_of(cached, fields).sortWithinPartitions("field", "term")
+                .write.mode("overwrite").parquet(f"{path}/postings"))
+        finally:
+            cached.unpersist()
         return cls.open(spark, path, fields)
 
     @classmethod
@@ -192,7 +207,7 @@ class SearchIndex:
         its terms, ``max_terms`` bounds that table and it is broadcast; term
         expansions (fuzzy) leave the choice to AQE's runtime sizes.
         """
-        tf = self._matches(fld, pred).groupBy(*KEYS, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+        tf = self._matches(fld, pred)
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         if max_terms is not None:
             dfreq = F.broadcast(dfreq)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import split_keep_empty
-from trendlens.operators.bloom import bloom_drop, build_bloom
+from trendlens.operators.bloom import bloom_drop_counted, build_bloom
 from trendlens.operators.entities import extract_entities
 from trendlens.operators.search import (
     Bool,
@@ -143,8 +143,8 @@ def cms_long_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bloom_stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words kept by a Bloom filter of the stop list (500 items, 1 %), with counts."""
     bloom = build_bloom(stop_words_df(spark), "w", BLOOM_CAPACITY, BLOOM_FPP)
-    kept = bloom_drop(_doc_words(spark, sf_dir), bloom, "w")
-    return word_counts(kept, "w", out="count").select(F.col("w").alias("word"), "count")
+    counts = word_counts(_doc_words(spark, sf_dir), "w", out="count")
+    return bloom_drop_counted(counts, bloom, "w", "count").select(F.col("w").alias("word"), "count")
 
 
 def track_filter_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
