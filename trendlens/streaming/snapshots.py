@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 class Snapshots:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
-        # committed versions seen so far; filled from disk on first use, so a
-        # restarted job finds what an earlier run committed
-        self._committed: set[int] | None = None
+        # the last version this object committed: a micro-batch normally
+        # follows the one just published, which then needs no lookup
+        self._last_published: int | None = None
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/data/{table}/v={version}"
@@ -34,22 +34,20 @@ class Snapshots:
             df.write.mode("overwrite").parquet(self.path(name, batch_id))
         spark.createDataFrame([(int(batch_id),)], "batch bigint").write.mode("overwrite") \
             .parquet(f"{self.root}/commits/v={batch_id}")
-        self._load(spark).add(int(batch_id))
-
-    def _load(self, spark: SparkSession) -> set[int]:
-        if self._committed is None:
-            try:
-                commits = spark.read.parquet(f"{self.root}/commits")
-                # one row per committed batch (a few bytes each)
-                self._committed = {int(r["batch"]) for r in commits.select("batch").distinct().collect()}
-            except AnalysisException:
-                self._committed = set()
-        return self._committed
+        self._last_published = int(batch_id)
 
     def latest_version(self, spark: SparkSession, before: int | None = None) -> int | None:
         """Highest committed version (below ``before`` when given); None when there is none."""
-        versions = [v for v in self._load(spark) if before is None or v < before]
-        return max(versions) if versions else None
+        if before is not None and self._last_published == before - 1:
+            return self._last_published
+        try:
+            commits = spark.read.parquet(f"{self.root}/commits")
+        except AnalysisException:
+            return None
+        if before is not None:
+            commits = commits.where(F.col("batch") < before)
+        row = commits.agg(F.max("batch").alias("b")).first()
+        return None if row is None or row["b"] is None else int(row["b"])
 
     def upsert(self, spark: SparkSession, table: str, changed: DataFrame, keys: list[str], batch_id: int) -> None:
         """The previous version with ``changed`` rows replacing theirs by key, published as ``batch_id``."""
