@@ -34,7 +34,7 @@ from trendlens.operators.sketch import (
     sketch_estimates,
     sketch_top_k,
 )
-from trendlens.operators.store import doc_store
+from trendlens.operators.store import STORE_KEYS, doc_store
 from trendlens.operators.topk import top_k, top_k_string
 from trendlens.operators.words import drop_stop_words, tokens, track_filter, word_counts
 from trendlens.session import scratch_path
@@ -254,7 +254,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, name: str, start) -> Snapshots
 def stream_doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted store kept by a streaming aggregation; the last published snapshot."""
     snaps = _run_stream(spark, sf_dir, "stream-doc-counts", running_doc_counts)
-    return snaps.read(spark, "store").select("index", "type", "id", "text", "count")
+    return snaps.read_keyed(spark, "store", STORE_KEYS).select("index", "type", "id", "text", "count")
 
 
 def stream_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Structured Streaming forms of the operators.
 
 - ``running_doc_counts`` (T1): the counted store kept by Spark's state store
-  (update mode); every micro-batch merges the changed keys into a new
-  snapshot version.
+  (update mode); every micro-batch writes the changed keys as a delta of the
+  published keyed table, compacted into a full copy every few batches.
 - ``running_word_top_k`` (T3, exact): running word counts in the state store;
   every micro-batch's top-k is the top-k of the previous top-k and the words
   whose counts just changed (counts only grow, so nothing else can enter).
@@ -40,13 +40,18 @@ def _start(df: DataFrame, fn, checkpoint: str, output_mode: str, trigger: dict |
 
 
 def running_doc_counts(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
-                       trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Running count per distinct text, published as table ``store`` after each batch."""
+                       trigger: dict | None = None, name: str | None = None,
+                       compact_every: int = 16) -> StreamingQuery:
+    """Running count per distinct text; keyed table ``store`` (``snapshots.read_keyed``).
+
+    Each micro-batch writes only the texts whose counts changed, and a full
+    copy every ``compact_every`` batches.
+    """
     counts = doc_store(posts)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         changed = batch.select(*STORE_KEYS, "text", "count")
-        snapshots.upsert(batch.sparkSession, "store", changed, STORE_KEYS, batch_id)
+        snapshots.upsert(batch.sparkSession, "store", changed, STORE_KEYS, batch_id, compact_every)
 
     return _start(counts, publish, checkpoint, "update", trigger, name)
 

@@ -2,10 +2,19 @@
 
 Layout under ``root`` (a folder in the shared checkpoint directory):
 
-    data/<table>/v=<batch_id>/   one complete copy of each table per batch
-    commits/v=<batch_id>/        written last; a version exists once this does
+    data/<table>/v=<batch_id>/   the table's rows written by that batch
+    commits/v=<batch_id>/        written last: (batch, base); a version exists once this does
 
-A retried micro-batch rebuilds from the last committed version *before* its
+Small tables (a top-k, sketch cells) are written whole every batch
+(``publish``).  Keyed tables that grow with the stream (the counted store)
+use ``upsert``: a batch writes only its changed rows (a delta) and, every
+``compact_every`` batches, a full base instead; the commit row names the base
+a version builds on.  ``read_keyed`` takes that base plus the deltas after it
+and keeps, per key, the row of the newest version.  So a micro-batch costs
+O(changed rows) plus an amortised share of one compaction, and a reader
+merges at most ``compact_every`` deltas.
+
+A replayed micro-batch rebuilds from the last committed version *before* its
 own id and overwrites its own folders, so replays neither lose nor double
 count.  Readers take the highest committed version, so they never see a
 half-written batch.
@@ -14,51 +23,99 @@ half-written batch.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+COMMIT_SCHEMA = "batch bigint, base bigint"
+
 
 class Snapshots:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
-        # the last version this object committed: a micro-batch normally
-        # follows the one just published, which then needs no lookup
-        self._last_published: int | None = None
+        # the last commit this object wrote: a micro-batch normally follows
+        # the one just published, which then needs no lookup
+        self._last: tuple[int, int] | None = None
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/data/{table}/v={version}"
 
-    def publish(self, spark: SparkSession, tables: dict[str, DataFrame], batch_id: int) -> None:
-        """Write every table for ``batch_id``, then the commit marker."""
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(self.path(name, batch_id))
-        spark.createDataFrame([(int(batch_id),)], "batch bigint").write.mode("overwrite") \
+    # -- commits -------------------------------------------------------------
+    def _commit(self, spark: SparkSession, batch_id: int, base: int) -> None:
+        spark.createDataFrame([(int(batch_id), int(base))], COMMIT_SCHEMA).write.mode("overwrite") \
             .parquet(f"{self.root}/commits/v={batch_id}")
-        self._last_published = int(batch_id)
+        self._last = (int(batch_id), int(base))
 
-    def latest_version(self, spark: SparkSession, before: int | None = None) -> int | None:
-        """Highest committed version (below ``before`` when given); None when there is none."""
-        if before is not None and self._last_published == before - 1:
-            return self._last_published
+    def _commits(self, spark: SparkSession) -> DataFrame | None:
         try:
-            commits = spark.read.parquet(f"{self.root}/commits")
+            return spark.read.parquet(f"{self.root}/commits").select("batch", "base")
         except AnalysisException:
             return None
+
+    def latest_commit(self, spark: SparkSession, before: int | None = None) -> tuple[int, int] | None:
+        """``(version, base)`` of the highest commit (below ``before`` when given)."""
+        if before is not None and self._last is not None and self._last[0] == before - 1:
+            return self._last
+        commits = self._commits(spark)
+        if commits is None:
+            return None
         if before is not None:
             commits = commits.where(F.col("batch") < before)
-        row = commits.agg(F.max("batch").alias("b")).first()
-        return None if row is None or row["b"] is None else int(row["b"])
-
-    def upsert(self, spark: SparkSession, table: str, changed: DataFrame, keys: list[str], batch_id: int) -> None:
-        """The previous version with ``changed`` rows replacing theirs by key, published as ``batch_id``."""
-        prev_v = self.latest_version(spark, before=batch_id)
-        merged = changed
-        if prev_v is not None:
-            prev = self.read(spark, table, prev_v)
-            merged = prev.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
-        self.publish(spark, {table: merged}, batch_id)
+        row = commits.orderBy(F.col("batch").desc()).limit(1).collect()
+        return (int(row[0]["batch"]), int(row[0]["base"])) if row else None
+
+    def latest_version(self, spark: SparkSession, before: int | None = None) -> int | None:
+        """Highest committed version (below ``before`` when given); None when there is none."""
+        c = self.latest_commit(spark, before)
+        return None if c is None else c[0]
+
+    # -- whole tables ----------------------------------------------------------
+    def publish(self, spark: SparkSession, tables: dict[str, DataFrame], batch_id: int) -> None:
+        """Write every table whole for ``batch_id``, then the commit."""
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(self.path(name, batch_id))
+        self._commit(spark, batch_id, batch_id)
 
     def read(self, spark: SparkSession, table: str, version: int | None = None) -> DataFrame | None:
-        """One table at ``version`` (default: the latest committed); None before the first commit."""
+        """A whole table at ``version`` (default: the latest committed); None before the first commit."""
         v = self.latest_version(spark) if version is None else version
         return None if v is None else spark.read.parquet(self.path(table, v))
+
+    # -- keyed tables: base + deltas ---------------------------------------------
+    def upsert(self, spark: SparkSession, table: str, changed: DataFrame, keys: list[str], batch_id: int,
+               compact_every: int = 16) -> None:
+        """``changed`` rows replace theirs by key, as version ``batch_id``."""
+        prev = self.latest_commit(spark, before=batch_id)
+        if prev is None or batch_id - prev[1] >= compact_every:
+            state = changed
+            if prev is not None:
+                old = self.read_keyed(spark, table, keys, version=prev)
+                state = old.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
+            state.write.mode("overwrite").parquet(self.path(table, batch_id))
+            self._commit(spark, batch_id, batch_id)
+        else:
+            changed.write.mode("overwrite").parquet(self.path(table, batch_id))
+            self._commit(spark, batch_id, prev[1])
+
+    def read_keyed(self, spark: SparkSession, table: str, keys: list[str],
+                   version: tuple[int, int] | int | None = None) -> DataFrame | None:
+        """The keyed table as of a committed version (default: the latest)."""
+        if version is None or isinstance(version, int):
+            commit = self.latest_commit(spark, None if version is None else version + 1)
+        else:
+            commit = version
+        if commit is None:
+            return None
+        top, base = commit
+        if top == base:
+            return spark.read.parquet(self.path(table, base))
+        # the committed versions between the base and the top: at most compact_every
+        versions = [int(r["batch"]) for r in self._commits(spark)
+                    .where((F.col("batch") > base) & (F.col("batch") <= top)).select("batch").collect()]
+        parts = [spark.read.parquet(self.path(table, base)).withColumn("_v", F.lit(base))]
+        parts += [spark.read.parquet(self.path(table, v)).withColumn("_v", F.lit(v)) for v in versions]
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        # keys are unique within a version, so each key has at most 1 + compact_every rows
+        newest = Window.partitionBy(*keys).orderBy(F.col("_v").desc())
+        return union.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_v", "_rank")
