@@ -80,15 +80,25 @@ def track_filter(posts: DataFrame, keywords: list[str] | tuple[str, ...] | None,
     """
     if not keywords:
         return posts
+    # the keywords' analysed words, by the same expression as the texts (constant-folded)
+    kw_words = [list(r) for r in posts.sparkSession.range(1).select(
+        *[analyze(F.lit(k)).alias(f"k{i}") for i, k in enumerate(keywords)]).first()]
     toks = analyze(F.col(text_col))
-    singles = [k for k in keywords if len(k.split()) == 1]
-    multis = [k for k in keywords if len(k.split()) > 1]
-    conds = []
-    if singles:
-        conds.append(F.arrays_overlap(toks, analyze(F.lit(" ".join(singles)))))
-    for k in multis:
-        conds.append(F.size(F.array_except(analyze(F.lit(k)), toks)) == 0)
-    any_kw = conds[0]
-    for c in conds[1:]:
-        any_kw = any_kw | c
-    return posts.where((F.col(lang_col) == F.lit(language)) & any_kw)
+    lowered = F.lower(F.col(text_col))
+    exact, maybe = [], []
+    for words_ in kw_words:
+        if not words_:
+            continue
+        exact.append(F.size(F.array_except(F.array(*[F.lit(w) for w in words_]), toks)) == 0)
+        # every analysed token is a substring of the lower-cased text, so this
+        # cheap test is a necessary condition and spares the split for most posts
+        pre = F.lit(True)
+        for w in words_:
+            pre = pre & (F.instr(lowered, w) > 0)
+        maybe.append(pre)
+    if not exact:
+        return posts.where(F.lit(False))
+    any_exact, any_maybe = exact[0], maybe[0]
+    for e, m in zip(exact[1:], maybe[1:]):
+        any_exact, any_maybe = any_exact | e, any_maybe | m
+    return posts.where((F.col(lang_col) == F.lit(language)) & any_maybe & any_exact)
