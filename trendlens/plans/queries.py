@@ -186,7 +186,7 @@ def build_index(spark: SparkSession, sf_dir: str, lang: str | None = None) -> Se
 
 def search_index(spark: SparkSession, sf_dir: str, lang: str | None = None) -> SearchIndex:
     files = tuple(sorted(_docs(spark, sf_dir, ["text"]).inputFiles()))
-    key = (spark.sparkContext.applicationId, files, lang)
+    key = (spark.conf.get("spark.app.id", None), files, lang)
     if key not in _INDEXES:
         _INDEXES[key] = build_index(spark, sf_dir, lang)
     return _INDEXES[key]

@@ -51,11 +51,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     every executor can reach).  Only when the setting is absent -- local runs
     and tests -- a private scratch folder is made and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.removeprefix("file:")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().removeprefix("file:")
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
@@ -63,6 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             configured = None
     if not configured:
         configured = tempfile.mkdtemp(prefix="trendlens-ckpt-")
+    if sc is None:
+        return configured.removeprefix("file:")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).removeprefix("file:")
 
