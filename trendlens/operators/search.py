@@ -119,24 +119,45 @@ def wildcard_to_like(pattern: str) -> str:
     return "".join(out)
 
 
+# Built indexes write the documents in this many hash buckets of the key.
+DEFAULT_DOC_BUCKETS = 32
+BUCKET = "_b"
+
+
+def key_bucket(buckets: int) -> Column:
+    """The document bucket: ``pmod(hash(index, type, id), buckets)``."""
+    return F.pmod(F.hash(*[F.col(k) for k in KEYS]), F.lit(buckets))
+
+
 class SearchIndex:
     """A searchable copy of the counted store.
 
     ``docs``: ``index, type, id, text, count`` -- one row per stored document.
     ``postings``: ``index, type, id, field, doc_len, term, tf`` -- one row per
     document and distinct analysed term, counted without a shuffle because
-    the store is partitioned by document key.  ``build`` writes both as
-    Parquet under the shared checkpoint
-    folder with every postings file sorted by ``(field, term)``: a term or
-    prefix filter is pushed into the scan and skips row groups, and every
-    query after the build reads the index instead of re-tokenising texts.
+    the store is partitioned by document key.  ``stats``: documents per
+    ``(index, type)``, so ``N`` never needs a scan of the documents.
+
+    ``build`` writes all three as Parquet under the shared checkpoint folder:
+    postings files sorted by ``(field, term)``, so a term or prefix filter is
+    pushed into the scan and skips row groups; documents partitioned into hash
+    buckets of their key, so joining a query's hits back to the documents
+    reads only the buckets holding hits (dynamic partition pruning) instead of
+    every stored text.  Every query after the build reads the index; nothing
+    is re-tokenised.
     """
 
-    def __init__(self, docs: DataFrame, postings: DataFrame, fields: tuple[str, ...] = ("text",)):
+    def __init__(self, docs: DataFrame, postings: DataFrame, fields: tuple[str, ...] = ("text",),
+                 stats: DataFrame | None = None, doc_buckets: int | None = None):
         self.docs = docs
         self.postings = postings
         self.fields = fields
-        self.n_docs = docs.select(F.count(F.lit(1))).scalar()
+        self.stats = stats
+        self.doc_buckets = doc_buckets
+        if stats is not None:
+            self.n_docs = stats.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+        else:
+            self.n_docs = docs.select(F.count(F.lit(1))).scalar()
 
     @staticmethod
     def postings_of(docs: DataFrame, fields: tuple[str, ...] = ("text",)) -> DataFrame:
@@ -163,37 +184,48 @@ class SearchIndex:
         return cls(store, cls.postings_of(store, fields), fields)
 
     @classmethod
-    def build(cls, store: DataFrame, path: str | None = None, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
-        """Write the store and its postings under ``path`` (default: a fresh folder in the checkpoint dir)."""
+    def build(cls, store: DataFrame, path: str | None = None, fields: tuple[str, ...] = ("text",),
+              doc_buckets: int = DEFAULT_DOC_BUCKETS) -> SearchIndex:
+        """Write the store, its postings and counts under ``path`` (default: a fresh folder in the checkpoint dir).
+
+        ``doc_buckets`` should leave a few hundred MB of text per bucket.
+        """
         from trendlens.session import scratch_path
 
         spark = store.sparkSession
         path = path or scratch_path(spark, "search-index")
-        # both outputs come from one computation of the store; the cache keeps
+        # all outputs come from one computation of the store; the cache keeps
         # its partitioning by document key, so term counts need no shuffle
         cached = store.select(*KEYS, "text", "count", *[f for f in fields if f != "text"]).persist()
         try:
-            cached.write.mode("overwrite").parquet(f"{path}/docs")
+            # one writer per bucket (the key hash is uniform, so no bucket is hot)
+            (cached.withColumn(BUCKET, key_bucket(doc_buckets)).repartition(doc_buckets, BUCKET)
+                .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/docs"))
             (cls.postings_of(cached, fields).sortWithinPartitions("field", "term")
                 .write.mode("overwrite").parquet(f"{path}/postings"))
+            cached.groupBy("index", "type").agg(F.count(F.lit(1)).alias("n")) \
+                .withColumn("buckets", F.lit(doc_buckets)).write.mode("overwrite").parquet(f"{path}/stats")
         finally:
             cached.unpersist()
         return cls.open(spark, path, fields)
 
     @classmethod
     def open(cls, spark, path: str, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
-        return cls(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings"), fields)
+        stats = spark.read.parquet(f"{path}/stats")
+        # one row per (index, type)
+        buckets = stats.agg(F.max("buckets")).first()[0]
+        return cls(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings"), fields,
+                   stats.select("index", "type", "n"), int(buckets) if buckets is not None else None)
 
     def restrict(self, indices: list[str] | None = None, types: list[str] | None = None) -> SearchIndex:
         """Only documents of the given indices and types."""
-        docs, postings = self.docs, self.postings
-        if indices:
-            docs = docs.where(F.col("index").isin(list(indices)))
-            postings = postings.where(F.col("index").isin(list(indices)))
-        if types:
-            docs = docs.where(F.col("type").isin(list(types)))
-            postings = postings.where(F.col("type").isin(list(types)))
-        return SearchIndex(docs, postings, self.fields)
+        docs, postings, stats = self.docs, self.postings, self.stats
+        for col, values in (("index", indices), ("type", types)):
+            if values:
+                cond = F.col(col).isin(list(values))
+                docs, postings = docs.where(cond), postings.where(cond)
+                stats = stats.where(cond) if stats is not None else None
+        return SearchIndex(docs, postings, self.fields, stats, self.doc_buckets)
 
     # -- building blocks -------------------------------------------------
     def _matches(self, fld: str, pred) -> DataFrame:
@@ -286,7 +318,12 @@ class SearchIndex:
     def search(self, q) -> DataFrame:
         """All hits of ``q``: ``index, type, id, text, count, score, json`` (unordered)."""
         hits = self.scored(q)
-        out = self.docs.join(hits, KEYS, "inner").select(
+        on = KEYS
+        if self.doc_buckets:
+            # the bucket in the join lets Spark prune the document partitions to the hit buckets
+            hits = hits.withColumn(BUCKET, key_bucket(self.doc_buckets))
+            on = KEYS + [BUCKET]
+        out = self.docs.join(hits, on, "inner").select(
             *KEYS, "text", "count", F.round(F.col("score"), SCORE_DIGITS).alias("score"))
         return hits_json(out)
 
