@@ -55,3 +55,13 @@ def test_adapters_have_post_schema(spark):
         (F.col("turn") > 0) & (F.col("conv_id") * 1000 + F.col("turn") - 1 > 0)).count()
     assert replies.count() == expected
     assert extract_entities(pages).where(F.col("content_type") == "url").count() > 0
+
+
+def test_posts_from_kafka_shaped_rows(spark, raw_posts_path):
+    from trendlens.sources import posts_from_kafka
+
+    lines = [r["value"] for r in spark.read.text(raw_posts_path).collect()]
+    records = spark.createDataFrame([(None, bytearray(v.encode())) for v in lines], "key binary, value binary")
+    posts, bad = posts_from_kafka(records)
+    assert sorted(r["id"] for r in posts.collect()) == [1, 2, 3]
+    assert bad.count() == 1

@@ -7,6 +7,7 @@ from trendlens.sources.posts import (
     documents_as_posts,
     pages_as_posts,
     parse_raw_posts,
+    posts_from_kafka,
     read_posts,
     read_posts_stream,
 )
@@ -20,5 +21,5 @@ from trendlens.sources.stopwords import (
 __all__ = [
     "ENGLISH_STOP_WORDS", "ENGLISH_STOP_WORDS_LINES", "FIXED_SENTENCES", "POST_SCHEMA",
     "conversations_as_posts", "documents_as_posts", "fixed_sentences", "pages_as_posts",
-    "parse_raw_posts", "read_posts", "read_posts_stream", "read_stop_words", "stop_words_df",
+    "parse_raw_posts", "posts_from_kafka", "read_posts", "read_posts_stream", "read_stop_words", "stop_words_df",
 ]

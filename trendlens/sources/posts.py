@@ -72,6 +72,16 @@ def parse_raw_posts(df: DataFrame, value_col: str = "value") -> tuple[DataFrame,
     return posts, corrupt
 
 
+def posts_from_kafka(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S1 from a message bus: Kafka-shaped rows (binary ``value``) parsed as posts.
+
+    Works on ``spark.readStream.format("kafka")...load()`` (with the Kafka
+    connector on the classpath) or on any batch of such rows; bad messages go
+    to the second frame, as in ``parse_raw_posts``.
+    """
+    return parse_raw_posts(records.select(F.col("value").cast("string").alias("value")), "value")
+
+
 def _null(dt: T.DataType) -> Column:
     return F.lit(None).cast(dt)
 
