@@ -139,3 +139,21 @@ def test_builtin_alternatives(spark):
     assert top.columns == ["w", "count"] and {r["count"] for r in top.collect()} == {3}
     blob = sketch_blob(words, "w", 0.01, 0.99).first()["sketch"]
     assert isinstance(blob, (bytes, bytearray)) and len(blob) > 0
+
+
+def test_xxhash_option(spark, tmp_path):
+    words = drop_stop_words(_doc_words(spark))
+    fast = SketchParams(5, 200, hash="xxhash64")
+    sk = build_sketch(words, "w", fast)
+    exact = word_counts(words, "w", "exact")
+    est = sk.estimate(words, "w").join(exact, "w")
+    assert est.where(F.col("estimate") < F.col("exact")).count() == 0
+    assert sk.total().first()["total"] == words.count()
+    with pytest.raises(SketchMergeError):
+        merge_sketches(sk, build_sketch(words, "w", SketchParams(5, 200)))
+    sk.save(str(tmp_path / "x"))
+    assert CountMinSketch.load(spark, str(tmp_path / "x")).params == fast
+    with pytest.raises(ValueError):
+        SketchParams(hash="crc")
+    bloom = build_bloom(stop_words_df(spark), "w", hash_kind="xxhash64")
+    assert bloom_drop(stop_words_df(spark), bloom, "w").count() == 0

@@ -37,12 +37,27 @@ def content_id(content_type: str | Column, content_name: str | Column) -> Column
     return F.md5(F.encode(joined, "UTF-16LE"))
 
 
-def base_hashes(c: str | Column) -> tuple[Column, Column]:
-    """F7 base pair: the two leading 32-bit words of ``md5(utf8(c))`` as unsigned bigints."""
-    digest = F.md5(_col(c).cast("string"))
-    h1 = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    h2 = F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint")
-    return h1, h2
+HASH_KINDS = ("md5", "xxhash64")
+
+
+def base_hashes(c: str | Column, kind: str = "md5") -> tuple[Column, Column]:
+    """F7 base pair as two unsigned 32-bit values in bigints.
+
+    ``md5``: the two leading 32-bit words of ``md5(utf8(c))`` (portable: the
+    same formula runs in other SQL engines, which is how results are checked).
+    ``xxhash64``: the low and high halves of Spark's seeded 64-bit xxHash of
+    the text -- much cheaper per item, for large jobs that need no parity.
+    """
+    text = _col(c).cast("string")
+    if kind == "md5":
+        digest = F.md5(text)
+        h1 = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+        h2 = F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint")
+        return h1, h2
+    if kind == "xxhash64":
+        x = F.xxhash64(text)
+        return x.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(x, 32)
+    raise ValueError(f"unknown hash kind {kind!r}; expected one of {HASH_KINDS}")
 
 
 def bucket(h1: Column, h2: Column, i: Column | int, width: int) -> Column:

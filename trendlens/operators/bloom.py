@@ -32,9 +32,9 @@ def bloom_size(capacity: int, fpp: float) -> tuple[int, int]:
     return m, k
 
 
-def positions(c: Column, num_bits: int, num_hashes: int) -> Column:
+def positions(c: Column, num_bits: int, num_hashes: int, hash_kind: str = "md5") -> Column:
     """The ``num_hashes`` bit positions of the string ``c``."""
-    h1, h2 = base_hashes(c)
+    h1, h2 = base_hashes(c, hash_kind)
     return F.transform(F.sequence(F.lit(0), F.lit(num_hashes - 1)),
                        lambda i: F.pmod(h1 + i.cast("bigint") * h2, F.lit(num_bits).cast("bigint")))
 
@@ -44,6 +44,7 @@ class BloomFilter:
     num_bits: int
     num_hashes: int
     set_bits: tuple[int, ...]
+    hash_kind: str = "md5"
 
     def might_contain(self, c: Column) -> Column:
         """True when every probe position of ``c`` is set (no false negatives).
@@ -58,7 +59,7 @@ class BloomFilter:
             bitmap[b] = 1
         lit_bits = F.lit(bitmap)
         one = F.lit(bytearray(b"\x01"))
-        h1, h2 = base_hashes(c)
+        h1, h2 = base_hashes(c, self.hash_kind)
         m = F.lit(self.num_bits).cast("bigint")
         probes = [F.substring(lit_bits, (F.pmod(h1 + F.lit(i).cast("bigint") * h2, m) + 1).cast("int"), 1) == one
                   for i in range(self.num_hashes)]
@@ -74,17 +75,17 @@ class BloomFilter:
 
 
 def build_bloom(df: DataFrame, col: str = "w", capacity: int = 500, fpp: float = 0.01,
-                lowercase: bool = True) -> BloomFilter:
+                lowercase: bool = True, hash_kind: str = "md5") -> BloomFilter:
     """Build from the distinct values of ``col`` (lower-cased by default)."""
     m, k = bloom_size(capacity, fpp)
     if m > MAX_INLINE_BITS:
         raise ValueError(f"{m} bits is too large to inline; lower the capacity or raise fpp")
     value = F.lower(F.col(col)) if lowercase else F.col(col)
-    bits = (df.select(F.explode(positions(value, m, k)).alias("pos"))
+    bits = (df.select(F.explode(positions(value, m, k, hash_kind)).alias("pos"))
               .agg(F.array_sort(F.collect_set("pos")).alias("bits")))
     # one row holding at most m distinct positions
     set_bits = tuple(int(b) for b in bits.first()["bits"])
-    return BloomFilter(m, k, set_bits)
+    return BloomFilter(m, k, set_bits, hash_kind)
 
 
 def bloom_drop(df: DataFrame, bloom: BloomFilter, col: str = "w", lowercase: bool = True) -> DataFrame:

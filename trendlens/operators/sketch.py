@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.functions.hashing import base_hashes, bucket
+from trendlens.functions.hashing import HASH_KINDS, base_hashes, bucket
 from trendlens.operators.common import broadcast_if_bounded
 
 # Sketch tables up to this many cells are broadcast to the estimating side
@@ -35,22 +35,30 @@ class SketchMergeError(ValueError):
 
 @dataclass(frozen=True)
 class SketchParams:
-    """Shape of a sketch: ``depth`` hash rows of ``width`` counters; ``seed`` tags compatibility."""
+    """Shape of a sketch: ``depth`` hash rows of ``width`` counters.
+
+    ``seed`` tags compatibility; ``hash`` picks the item hash (``md5``, the
+    portable default, or the cheaper ``xxhash64``).  Sketches merge only when
+    all four agree.
+    """
 
     depth: int = 15
     width: int = 1000
     seed: int = 10
+    hash: str = "md5"
 
     def __post_init__(self) -> None:
         if self.depth < 1 or self.width < 1:
             raise ValueError(f"depth and width must be positive, got {self.depth} x {self.width}")
+        if self.hash not in HASH_KINDS:
+            raise ValueError(f"unknown hash {self.hash!r}; expected one of {HASH_KINDS}")
 
     @classmethod
-    def from_error(cls, eps: float, confidence: float, seed: int = 10) -> SketchParams:
+    def from_error(cls, eps: float, confidence: float, seed: int = 10, hash: str = "md5") -> SketchParams:
         """width = ceil(2 / eps), depth = ceil(-log2(1 - confidence))."""
         width = int(math.ceil(2 / eps))
         depth = int(math.ceil(-math.log(1 - confidence) / math.log(2)))
-        return cls(depth=depth, width=width, seed=seed)
+        return cls(depth=depth, width=width, seed=seed, hash=hash)
 
     @property
     def relative_error(self) -> float:
@@ -77,7 +85,7 @@ def _weight(weight_col: str | None) -> Column:
 def item_cells(df: DataFrame, col: str, params: SketchParams, keep: list[str] | None = None,
                weight_col: str | None = None) -> DataFrame:
     """The ``depth`` cells of every row's item: ``(*keep, row, bucket[, n])``."""
-    h1, h2 = base_hashes(F.col(col))
+    h1, h2 = base_hashes(F.col(col), params.hash)
     cols = [F.col(k) for k in (keep or [])]
     hashed = df.select(*cols, h1.alias("_h1"), h2.alias("_h2"), _weight(weight_col).alias("_wt"))
     rows = hashed.select(*cols, "_h1", "_h2", "_wt",
@@ -148,14 +156,14 @@ class CountMinSketch:
         """Cells and parameters as Parquet under ``path``."""
         spark = self.cells.sparkSession
         self.cells.write.mode(mode).parquet(f"{path}/cells")
-        spark.createDataFrame([(self.params.depth, self.params.width, self.params.seed)],
-                              "depth int, width int, seed int").write.mode(mode).parquet(f"{path}/params")
+        spark.createDataFrame([(self.params.depth, self.params.width, self.params.seed, self.params.hash)],
+                              "depth int, width int, seed int, hash string").write.mode(mode).parquet(f"{path}/params")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CountMinSketch:
         """Read a sketch written by ``save``."""
         p = spark.read.parquet(f"{path}/params").first()
-        return cls(spark.read.parquet(f"{path}/cells"), SketchParams(p["depth"], p["width"], p["seed"]))
+        return cls(spark.read.parquet(f"{path}/cells"), SketchParams(p["depth"], p["width"], p["seed"], p["hash"]))
 
 
 def build_sketch(df: DataFrame, col: str, params: SketchParams = SketchParams(),
