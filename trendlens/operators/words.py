@@ -80,7 +80,7 @@ def track_filter(posts: DataFrame, keywords: list[str] | tuple[str, ...] | None,
     """
     if not keywords:
         return posts
-    # the keywords' analysed words, by the same expression as the texts (constant-folded)
+    # the keywords' analysed words, by the same expression as the texts (one folded row)
     kw_words = [list(r) for r in posts.sparkSession.range(1).select(
         *[analyze(F.lit(k)).alias(f"k{i}") for i, k in enumerate(keywords)]).first()]
     toks = analyze(F.col(text_col))
