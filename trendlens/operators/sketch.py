@@ -172,6 +172,33 @@ def build_sketch(df: DataFrame, col: str, params: SketchParams = SketchParams(),
     return CountMinSketch(sketch_cells(df, col, params, weight_col, pre_aggregate), params)
 
 
+def build_sketches_by(df: DataFrame, col: str, part: Column, parts: list, params: SketchParams = SketchParams(),
+                      weight_col: str | None = None) -> dict:
+    """One sketch per value of ``part`` in ``parts``, all from a single pass over ``df``.
+
+    Items are counted per ``(part, item)``, spread over the hash rows and
+    summed per ``(row, bucket)`` with one sum per part (a pivot of a known,
+    small set of parts).  Each returned sketch is a projection of that one
+    aggregate -- the only filter drops its empty cells and reads an
+    aggregated value, so Spark cannot push it back into the scan -- and the
+    input is read once whatever the number of parts.
+    """
+    items = df.where(F.col(col).isNotNull()).select(part.alias("_part"), F.col(col),
+                                                    _weight(weight_col).alias("_w"))
+    counts = items.groupBy("_part", col).agg(F.sum("_w").alias("_sum"))
+    spread = item_cells(counts, col, params, keep=["_part"], weight_col="_sum")
+    sums = [F.sum(F.when(F.col("_part") == F.lit(p), F.col("n")).otherwise(F.lit(0))).alias(f"_c{i}")
+            for i, p in enumerate(parts)]
+    cells = spread.groupBy("row", "bucket").agg(*sums)
+    # every cell row holds some weight, so ``greatest(all sums) > 0`` is always
+    # true; reading all sums keeps the projections on one identical aggregate
+    # (column pruning would otherwise give each part its own copy of it)
+    any_part = F.greatest(*[F.col(f"_c{i}") for i in range(len(parts))]) > 0 if len(parts) > 1 else F.lit(True)
+    return {p: CountMinSketch(cells.where(any_part & (F.col(f"_c{i}") > 0))
+                              .select("row", "bucket", F.col(f"_c{i}").cast("bigint").alias("cnt")), params)
+            for i, p in enumerate(parts)}
+
+
 def sketch_blob(df: DataFrame, col: str, eps: float, confidence: float, seed: int = 10,
                 out: str = "sketch") -> DataFrame:
     """A4 blob form: Spark's built-in ``count_min_sketch`` aggregate as one binary row.

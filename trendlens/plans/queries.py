@@ -29,6 +29,7 @@ from trendlens.operators.search import (
 from trendlens.operators.sketch import (
     SketchParams,
     build_sketch,
+    build_sketches_by,
     lookup_counts,
     merge_sketches,
     sketch_estimates,
@@ -122,9 +123,10 @@ def cms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cms_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of English documents merged with the sketch of the others."""
     docs = _docs(spark, sf_dir, ["text", "lang"])
-    part = [drop_stop_words(tokens(docs.where(cond), "text", out="w"), "w")
-            for cond in (F.col("lang") == "en", ~(F.col("lang") == "en") | F.col("lang").isNull())]
-    merged = merge_sketches(*[build_sketch(p, "w", TOPK_PARAMS) for p in part])
+    words = drop_stop_words(tokens(docs, "text", out="w", keep=["lang"]), "w")
+    is_en = F.coalesce(F.col("lang") == "en", F.lit(False))
+    parts = build_sketches_by(words, "w", is_en, [True, False], TOPK_PARAMS)
+    merged = merge_sketches(parts[True], parts[False])
     return merged.cells.select("row", "bucket", "cnt")
 
 
