@@ -157,3 +157,14 @@ def test_xxhash_option(spark, tmp_path):
         SketchParams(hash="crc")
     bloom = build_bloom(stop_words_df(spark), "w", hash_kind="xxhash64")
     assert bloom_drop(stop_words_df(spark), bloom, "w").count() == 0
+
+
+def test_sketches_by_part_equal_separate_sketches(spark):
+    from trendlens.operators.sketch import build_sketches_by
+
+    words = drop_stop_words(_doc_words(spark)).withColumn("long", F.length("w") > 4)
+    p = SketchParams(4, 64)
+    parts = build_sketches_by(words, "w", F.col("long"), [True, False], p)
+    for flag in (True, False):
+        alone = build_sketch(words.where(F.col("long") == flag), "w", p)
+        assert sorted(parts[flag].cells.collect()) == sorted(alone.cells.collect())
