@@ -246,6 +246,10 @@ class SearchIndex:
         idf = F.lit(1.0) + F.log(self.n_docs / (F.col("df") + F.lit(1)))
         score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len")) * F.lit(float(boost))
         per_term = tf.join(dfreq, "term").select(*KEYS, score.alias("score"))
+        if max_terms == 1:
+            # postings hold one row per (document, field, term): with a single
+            # term every document has at most one row, so there is nothing to sum
+            return per_term
         return per_term.groupBy(*KEYS).agg(F.sum("score").alias("score"))
 
     def constant(self, fld: str | None, pred, boost: float) -> DataFrame:
