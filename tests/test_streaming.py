@@ -121,3 +121,15 @@ def test_poll_snapshots_while_running(spark, tmp_path):
         assert seen and seen[-1] == [("ago", 3), ("apples", 3), ("bought", 3), ("candy", 3), ("cow", 3)]
     finally:
         q.stop()
+
+
+def test_stream_approx_top_k(spark, tmp_path):
+    from trendlens.streaming import running_approx_top_k
+
+    landing = land_posts(_posts(spark), str(tmp_path / "landing"), 3)
+    snaps = Snapshots(str(tmp_path / "snaps"))
+    _run(running_approx_top_k(read_posts_stream(spark, landing, 1), snaps, str(tmp_path / "ckpt"), k=5))
+    got = [(r["w"], r["count"]) for r in snaps.read(spark, "topk").orderBy(F.desc("count"), "w").collect()]
+    exact = top_k(word_counts(drop_stop_words(tokens(_posts(spark), "text")), "w", "count"), 5, "count", "w")
+    # the leading words stand far above the rest, so the summary finds them exactly
+    assert got == [(r["w"], r["count"]) for r in exact.collect()]

@@ -1,7 +1,13 @@
 """Structured Streaming jobs: running counts, running sketch, running top-k."""
 
 from trendlens.streaming.landing import land_posts
-from trendlens.streaming.running import running_doc_counts, running_sketch_top_k, running_word_top_k
+from trendlens.streaming.running import (
+    running_approx_top_k,
+    running_doc_counts,
+    running_sketch_top_k,
+    running_word_top_k,
+)
 from trendlens.streaming.snapshots import Snapshots
 
-__all__ = ["Snapshots", "land_posts", "running_doc_counts", "running_sketch_top_k", "running_word_top_k"]
+__all__ = ["Snapshots", "land_posts", "running_approx_top_k", "running_doc_counts", "running_sketch_top_k",
+           "running_word_top_k"]

@@ -10,6 +10,8 @@
   snapshot *is* the state -- ``depth x width`` cells plus ``k`` rows.  Every
   micro-batch adds its words' cells, re-estimates its own words and the
   previous top-k against the new cells and keeps k.
+- ``running_approx_top_k`` (T3 approximate): Spark's ``approx_top_k``
+  summary as a streaming global aggregate; one bounded state row.
 
 Every job checkpoints to a folder under the shared checkpoint directory, so
 a restarted query resumes where it stopped (T5: exactly-once state instead of
@@ -102,3 +104,22 @@ def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         counts.unpersist()
 
     return _start(words, publish, checkpoint, "append", trigger, name)
+
+
+def running_approx_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
+                         max_items_tracked: int = 10_000, stop: DataFrame | None = None,
+                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """T3 approximate built-in: Spark's ``approx_top_k`` as a streaming global aggregate.
+
+    The state is one summary row bounded by ``max_items_tracked``; every
+    micro-batch publishes the current top-k as table ``topk`` (``w, count``).
+    """
+    words = drop_stop_words(tokens(posts, "text", out="w"), "w", stop)
+    summary = words.agg(F.expr(f"approx_top_k(w, {int(k)}, {int(max_items_tracked)})").alias("_t"))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        top = batch.select(F.explode("_t").alias("_e")).select(
+            F.col("_e.item").alias("w"), F.col("_e.count").alias("count"))
+        snapshots.publish(batch.sparkSession, {"topk": top}, batch_id)
+
+    return _start(summary, publish, checkpoint, "complete", trigger, name)
