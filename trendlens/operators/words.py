@@ -70,6 +70,10 @@ def word_counts(df: DataFrame, col: str = "w", out: str = "count") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
+# Keyword lists up to this long also get a substring prefilter before the split.
+MAX_PREFILTER_KEYWORDS = 32
+
+
 def track_filter(posts: DataFrame, keywords: list[str] | tuple[str, ...] | None,
                  text_col: str = "text", lang_col: str = "lang", language: str = "en") -> DataFrame:
     """With keywords, keep posts in ``language`` that mention any keyword.
@@ -83,22 +87,31 @@ def track_filter(posts: DataFrame, keywords: list[str] | tuple[str, ...] | None,
     # the keywords' analysed words, by the same expression as the texts (one folded row)
     kw_words = [list(r) for r in posts.sparkSession.range(1).select(
         *[analyze(F.lit(k)).alias(f"k{i}") for i, k in enumerate(keywords)]).first()]
+    kw_words = [w for w in kw_words if w]
+    if not kw_words:
+        return posts.where(F.lit(False))
     toks = analyze(F.col(text_col))
-    lowered = F.lower(F.col(text_col))
-    exact, maybe = [], []
-    for words_ in kw_words:
-        if not words_:
-            continue
+    singles = sorted({w[0] for w in kw_words if len(w) == 1})
+    multis = [w for w in kw_words if len(w) > 1]
+    exact = []
+    if singles:
+        # one hashed overlap test for every one-word keyword at once
+        exact.append(F.arrays_overlap(toks, F.array(*[F.lit(w) for w in singles])))
+    for words_ in multis:
         exact.append(F.size(F.array_except(F.array(*[F.lit(w) for w in words_]), toks)) == 0)
+    cond = (F.col(lang_col) == F.lit(language))
+    if len(kw_words) <= MAX_PREFILTER_KEYWORDS:
         # every analysed token is a substring of the lower-cased text, so this
         # cheap test is a necessary condition and spares the split for most posts
-        pre = F.lit(True)
-        for w in words_:
-            pre = pre & (F.instr(lowered, w) > 0)
-        maybe.append(pre)
-    if not exact:
-        return posts.where(F.lit(False))
-    any_exact, any_maybe = exact[0], maybe[0]
-    for e, m in zip(exact[1:], maybe[1:]):
-        any_exact, any_maybe = any_exact | e, any_maybe | m
-    return posts.where((F.col(lang_col) == F.lit(language)) & any_maybe & any_exact)
+        lowered = F.lower(F.col(text_col))
+        maybe = F.lit(False)
+        for words_ in kw_words:
+            pre = F.lit(True)
+            for w in words_:
+                pre = pre & (F.instr(lowered, w) > 0)
+            maybe = maybe | pre
+        cond = cond & maybe
+    any_exact = exact[0]
+    for e in exact[1:]:
+        any_exact = any_exact | e
+    return posts.where(cond & any_exact)
