@@ -119,8 +119,6 @@ def wildcard_to_like(pattern: str) -> str:
     return "".join(out)
 
 
-# Built indexes write the documents in this many hash buckets of the key.
-DEFAULT_DOC_BUCKETS = 32
 BUCKET = "_b"
 
 
@@ -185,15 +183,19 @@ class SearchIndex:
 
     @classmethod
     def build(cls, store: DataFrame, path: str | None = None, fields: tuple[str, ...] = ("text",),
-              doc_buckets: int = DEFAULT_DOC_BUCKETS) -> SearchIndex:
+              doc_buckets: int | None = None) -> SearchIndex:
         """Write the store, its postings and counts under ``path`` (default: a fresh folder in the checkpoint dir).
 
-        ``doc_buckets`` should leave a few hundred MB of text per bucket.
+        ``doc_buckets`` should leave a few hundred MB of text per bucket; by
+        default it follows ``spark.sql.shuffle.partitions``, which a cluster
+        sizes to its data.
         """
         from trendlens.session import scratch_path
 
         spark = store.sparkSession
         path = path or scratch_path(spark, "search-index")
+        if doc_buckets is None:
+            doc_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         # all outputs come from one computation of the store; the cache keeps
         # its partitioning by document key, so term counts need no shuffle
         cached = store.select(*KEYS, "text", "count", *[f for f in fields if f != "text"]).persist()
