@@ -47,7 +47,7 @@ def _each(arr: str, fn) -> Column:
     return F.coalesce(F.transform(F.col(arr), fn), _empty())
 
 
-def entity_array(posts_cols: DataFrame | None = None) -> Column:
+def entity_array() -> Column:
     """E1-E11 as one array column (distinct entities of a post)."""
     rt = F.col("retweeted_status")
     place = F.col("place")
