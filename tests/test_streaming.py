@@ -133,3 +133,27 @@ def test_stream_approx_top_k(spark, tmp_path):
     exact = top_k(word_counts(drop_stop_words(tokens(_posts(spark), "text")), "w", "count"), 5, "count", "w")
     # the leading words stand far above the rest, so the summary finds them exactly
     assert got == [(r["w"], r["count"]) for r in exact.collect()]
+
+
+def test_live_search_index_equals_batch_index(spark, tmp_path):
+    from trendlens.operators.search import Bool, Fuzzy, MatchAll, Prefix, SearchIndex, Term, search
+    from trendlens.streaming import live_index, running_search_index
+
+    # every post twice, dealt over three files: texts are seen again in later batches
+    posts = _posts(spark).unionByName(_posts(spark))
+    landing = land_posts(posts, str(tmp_path / "landing"), 3)
+    snaps = Snapshots(str(tmp_path / "snaps"))
+    # three micro-batches, one base: the last read is the base plus two deltas
+    _run(running_search_index(read_posts_stream(spark, landing, 1), snaps, str(tmp_path / "ckpt"),
+                              compact_every=3))
+    assert snaps.latest_commit(spark) == (2, 0)
+    live = live_index(spark, snaps)
+    built = SearchIndex.build(doc_store(posts), str(tmp_path / "built"))
+    for q in (Term("the"), Term("under"), MatchAll(), Prefix("thr"), Fuzzy("thrund"),
+              Bool(must=(Term("the"),), must_not=(Term("under"),))):
+        got = sorted(search(live, q).select("id", "count", "score").collect())
+        want = sorted(search(built, q).select("id", "count", "score").collect())
+        assert got == want, q
+    # the appended postings do repeat rows; the index reads them once
+    raw = sum(spark.read.parquet(snaps.path("postings", v)).count() for v in (0, 1, 2))
+    assert raw > built.postings.count()

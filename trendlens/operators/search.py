@@ -146,12 +146,16 @@ class SearchIndex:
     """
 
     def __init__(self, docs: DataFrame, postings: DataFrame, fields: tuple[str, ...] = ("text",),
-                 stats: DataFrame | None = None, doc_buckets: int | None = None):
+                 stats: DataFrame | None = None, doc_buckets: int | None = None,
+                 repeated_postings: bool = False):
         self.docs = docs
         self.postings = postings
         self.fields = fields
         self.stats = stats
         self.doc_buckets = doc_buckets
+        # postings appended over time may repeat a document's rows (identical
+        # copies); matches are then de-duplicated after the term filter
+        self.repeated_postings = repeated_postings
         if stats is not None:
             self.n_docs = stats.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
         else:
@@ -227,11 +231,12 @@ class SearchIndex:
                 cond = F.col(col).isin(list(values))
                 docs, postings = docs.where(cond), postings.where(cond)
                 stats = stats.where(cond) if stats is not None else None
-        return SearchIndex(docs, postings, self.fields, stats, self.doc_buckets)
+        return SearchIndex(docs, postings, self.fields, stats, self.doc_buckets, self.repeated_postings)
 
     # -- building blocks -------------------------------------------------
     def _matches(self, fld: str, pred) -> DataFrame:
-        return self.postings.where((F.col("field") == F.lit(fld)) & pred(F.col("term")))
+        m = self.postings.where((F.col("field") == F.lit(fld)) & pred(F.col("term")))
+        return m.dropDuplicates([*KEYS, "field", "term"]) if self.repeated_postings else m
 
     def term_scores(self, fld: str, pred, boost: float, max_terms: int | None = None) -> DataFrame:
         """``KEYS + [score]``: summed term scores of the documents with a matching term in ``fld``.

@@ -233,6 +233,7 @@ ORACLE: dict[str, str] = {
     "stream_topk": TOPK_EXACT,
     **{name: hits_sql(q) for name, q in Q.SEARCHES.items()},
     "hits_term_fr": hits_sql(S.Term(Q.TERM_FR), lang="fr"),
+    "stream_hits_term": hits_sql(Q.SEARCHES["hits_term"]),
     "entities_reply": _entities("""
         SELECT conv_id * 1000 + turn AS tweet_id, 'reply_to_status' AS content_type,
                (conv_id * 1000 + turn - 1)::VARCHAR AS content_name

@@ -47,7 +47,15 @@ from trendlens.sources.posts import (
 )
 from trendlens.sources.stopwords import stop_words_df
 from trendlens.sources.tables import read_table
-from trendlens.streaming import Snapshots, land_posts, running_doc_counts, running_sketch_top_k, running_word_top_k
+from trendlens.streaming import (
+    Snapshots,
+    land_posts,
+    live_index,
+    running_doc_counts,
+    running_search_index,
+    running_sketch_top_k,
+    running_word_top_k,
+)
 
 # Fixed values used by the named queries.
 TOP_K = 5
@@ -273,6 +281,12 @@ def stream_sketch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snaps.read(spark, "topk").select(F.col("w").alias("word"), "estimate")
 
 
+def stream_hits_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + 2.7 live: the search index kept by the stream; a term query on its last version."""
+    snaps = _run_stream(spark, sf_dir, "stream-search", running_search_index)
+    return search(live_index(spark, snaps), SEARCHES["hits_term"]).select(*HIT_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_words_exact": topk_words_exact,
     "topk_words_cms": topk_words_cms,
@@ -294,4 +308,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_doc_counts": stream_doc_counts,
     "stream_topk": stream_topk,
     "stream_sketch_topk": stream_sketch_topk,
+    "stream_hits_term": stream_hits_term,
 }

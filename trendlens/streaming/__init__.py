@@ -1,6 +1,7 @@
 """Structured Streaming jobs: running counts, running sketch, running top-k."""
 
 from trendlens.streaming.landing import land_posts
+from trendlens.streaming.live_index import live_index, running_search_index
 from trendlens.streaming.running import (
     running_approx_top_k,
     running_doc_counts,
@@ -9,5 +10,5 @@ from trendlens.streaming.running import (
 )
 from trendlens.streaming.snapshots import Snapshots
 
-__all__ = ["Snapshots", "land_posts", "running_approx_top_k", "running_doc_counts", "running_sketch_top_k",
+__all__ = ["Snapshots", "land_posts", "live_index", "running_search_index", "running_approx_top_k", "running_doc_counts", "running_sketch_top_k",
            "running_word_top_k"]

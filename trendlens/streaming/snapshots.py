@@ -40,7 +40,7 @@ class Snapshots:
         return f"{self.root}/data/{table}/v={version}"
 
     # -- commits -------------------------------------------------------------
-    def _commit(self, spark: SparkSession, batch_id: int, base: int) -> None:
+    def commit(self, spark: SparkSession, batch_id: int, base: int) -> None:
         spark.createDataFrame([(int(batch_id), int(base))], COMMIT_SCHEMA).write.mode("overwrite") \
             .parquet(f"{self.root}/commits/v={batch_id}")
         self._last = (int(batch_id), int(base))
@@ -73,7 +73,7 @@ class Snapshots:
         """Write every table whole for ``batch_id``, then the commit."""
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(self.path(name, batch_id))
-        self._commit(spark, batch_id, batch_id)
+        self.commit(spark, batch_id, batch_id)
 
     def read(self, spark: SparkSession, table: str, version: int | None = None) -> DataFrame | None:
         """A whole table at ``version`` (default: the latest committed); None before the first commit."""
@@ -91,10 +91,17 @@ class Snapshots:
                 old = self.read_keyed(spark, table, keys, version=prev)
                 state = old.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
             state.write.mode("overwrite").parquet(self.path(table, batch_id))
-            self._commit(spark, batch_id, batch_id)
+            self.commit(spark, batch_id, batch_id)
         else:
             changed.write.mode("overwrite").parquet(self.path(table, batch_id))
-            self._commit(spark, batch_id, prev[1])
+            self.commit(spark, batch_id, prev[1])
+
+    def versions_between(self, spark: SparkSession, base: int, top: int) -> list[int]:
+        """Committed versions in ``(base, top]`` -- at most ``compact_every`` of them."""
+        if top == base:
+            return []
+        return sorted(int(r["batch"]) for r in self._commits(spark)
+                      .where((F.col("batch") > base) & (F.col("batch") <= top)).select("batch").collect())
 
     def read_keyed(self, spark: SparkSession, table: str, keys: list[str],
                    version: tuple[int, int] | int | None = None) -> DataFrame | None:
@@ -108,9 +115,7 @@ class Snapshots:
         top, base = commit
         if top == base:
             return spark.read.parquet(self.path(table, base))
-        # the committed versions between the base and the top: at most compact_every
-        versions = [int(r["batch"]) for r in self._commits(spark)
-                    .where((F.col("batch") > base) & (F.col("batch") <= top)).select("batch").collect()]
+        versions = self.versions_between(spark, base, top)
         parts = [spark.read.parquet(self.path(table, base)).withColumn("_v", F.lit(base))]
         parts += [spark.read.parquet(self.path(table, v)).withColumn("_v", F.lit(v)) for v in versions]
         union = parts[0]
