@@ -244,17 +244,29 @@ def entities_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- streaming -------------------------------------------------------------------
 
-def _stream_posts(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+# Landed post files per (application, input files): the landing stands in for
+# the producer that writes posts; every streaming query reads it from the
+# start with its own checkpoint.
+_LANDINGS: dict[tuple, str] = {}
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    docs = _docs(spark, sf_dir, ["doc_id", "text", "lang", "source"])
+    key = (spark.conf.get("spark.app.id", None), tuple(sorted(docs.inputFiles())))
+    if key not in _LANDINGS:
+        _LANDINGS[key] = land_posts(documents_as_posts(docs), scratch_path(spark, "landing"), STREAM_FILES)
+    return _LANDINGS[key]
+
+
+def _stream_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents landed as JSON post files, read back as a stream, a few files per trigger."""
-    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
-    landing = land_posts(posts, f"{root}/landing", STREAM_FILES)
-    return read_posts_stream(spark, landing, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    return read_posts_stream(spark, _landing(spark, sf_dir), max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
 
 
 def _run_stream(spark: SparkSession, sf_dir: str, name: str, start) -> Snapshots:
     root = scratch_path(spark, name)
     snaps = Snapshots(f"{root}/snapshots")
-    query = start(_stream_posts(spark, sf_dir, root), snaps, f"{root}/checkpoint")
+    query = start(_stream_posts(spark, sf_dir), snaps, f"{root}/checkpoint")
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(f"{name} failed: {query.exception()}")
