@@ -51,3 +51,11 @@ def test_write_store_overwrite_and_append(spark, tmp_path):
     write_store(one, path)                                         # recreate
     assert spark.read.parquet(path).count() == 1
     assert spark.read.parquet(path).where(F.col("count") == 1).count() == 1
+
+
+def test_cluster_conf_sizes_partitions_from_input():
+    from trendlens.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024 ** 4, cores=4000)              # 100 TB on 4000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+    assert cluster_conf(10 * 1024 ** 2, cores=8)["spark.sql.shuffle.partitions"] == "16"

@@ -74,3 +74,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "trendlens", f"{name}-{uuid.uuid4().hex}")
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
+    """Settings that keep every task's share of the data to about ``target_partition_bytes``.
+
+    Scan splits and shuffle partitions are sized from the input (word and
+    posting shuffles are a fraction of the text, so the input size bounds
+    them); there are at least two tasks per core so stragglers overlap, and
+    AQE coalesces small partitions and splits skewed ones at run time.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
