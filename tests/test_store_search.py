@@ -144,3 +144,9 @@ def test_index_restrict(spark, store):
     index = SearchIndex.from_store(store)
     assert search(index, MatchAll(), indices=["other"]).count() == 0
     assert search(index, MatchAll(), indices=["my_index"], types=["my_type"]).count() == 8
+
+
+def test_index_of_an_empty_store(spark, store, tmp_path):
+    empty = SearchIndex.build(store.limit(0), str(tmp_path / "empty"))
+    assert search(empty, Term("apple")).count() == 0
+    assert search(empty, MatchAll()).count() == 0

@@ -217,10 +217,15 @@ class SearchIndex:
 
     @classmethod
     def open(cls, spark, path: str, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
-        stats = spark.read.parquet(f"{path}/stats")
+        """Read an index written by ``build`` (schemas are known, so nothing is inferred from files)."""
+        extra = "".join(f", `{f}` string" for f in fields if f != "text")
+        docs_schema = f"index string, type string, id string, text string, count bigint{extra}, {BUCKET} int"
+        postings_schema = "index string, type string, id string, field string, doc_len int, term string, tf bigint"
+        stats = spark.read.schema("index string, type string, n bigint, buckets int").parquet(f"{path}/stats")
         # one row per (index, type)
         buckets = stats.agg(F.max("buckets")).first()[0]
-        return cls(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings"), fields,
+        return cls(spark.read.schema(docs_schema).parquet(f"{path}/docs"),
+                   spark.read.schema(postings_schema).parquet(f"{path}/postings"), fields,
                    stats.select("index", "type", "n"), int(buckets) if buckets is not None else None)
 
     def restrict(self, indices: list[str] | None = None, types: list[str] | None = None) -> SearchIndex:
