@@ -157,3 +157,15 @@ def test_live_search_index_equals_batch_index(spark, tmp_path):
     # the appended postings do repeat rows; the index reads them once
     raw = sum(spark.read.parquet(snaps.path("postings", v)).count() for v in (0, 1, 2))
     assert raw > built.postings.count()
+
+
+def test_state_partitions_apply_to_the_stream_only(spark, tmp_path):
+    landing = land_posts(_posts(spark), str(tmp_path / "landing"), 2)
+    snaps = Snapshots(str(tmp_path / "snaps"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = running_word_top_k(read_posts_stream(spark, landing, 1), snaps, str(tmp_path / "ckpt"), k=5,
+                           state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    _run(q)
+    state = tmp_path / "ckpt" / "state" / "0"
+    assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == ["0", "1", "2"]

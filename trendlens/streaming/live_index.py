@@ -28,7 +28,7 @@ STORE_COLUMNS = [*STORE_KEYS, "text", "count"]
 
 def running_search_index(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
                          compact_every: int = 16, trigger: dict | None = None,
-                         name: str | None = None) -> StreamingQuery:
+                         name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Count posts into the store and keep its search index current (tables ``store``, ``postings``)."""
     counts = doc_store(posts)
 
@@ -52,7 +52,7 @@ def running_search_index(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         snapshots.commit(spark, batch_id, base)
         changed.unpersist()
 
-    return _start(counts, publish, checkpoint, "update", trigger, name)
+    return _start(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
 
 def live_index(spark: SparkSession, snapshots: Snapshots) -> SearchIndex | None:

@@ -32,18 +32,34 @@ from trendlens.streaming.snapshots import Snapshots
 
 
 def _start(df: DataFrame, fn, checkpoint: str, output_mode: str, trigger: dict | None,
-           name: str | None) -> StreamingQuery:
+           name: str | None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start ``df`` into ``foreachBatch(fn)``.
+
+    A stateful query keeps as many state partitions as
+    ``spark.sql.shuffle.partitions`` says when it first starts (the number is
+    then fixed in its checkpoint).  ``state_partitions`` sets it for this query
+    alone: Spark runs a stream on a copy of the session taken at start, so the
+    caller's setting is restored right after.
+    """
     writer = (df.writeStream.outputMode(output_mode).foreachBatch(fn)
                 .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def running_doc_counts(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
                        trigger: dict | None = None, name: str | None = None,
-                       compact_every: int = 16) -> StreamingQuery:
+                       compact_every: int = 16, state_partitions: int | None = None) -> StreamingQuery:
     """Running count per distinct text; keyed table ``store`` (``snapshots.read_keyed``).
 
     Each micro-batch writes only the texts whose counts changed, and a full
@@ -55,12 +71,12 @@ def running_doc_counts(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
         changed = batch.select(*STORE_KEYS, "text", "count")
         snapshots.upsert(batch.sparkSession, "store", changed, STORE_KEYS, batch_id, compact_every)
 
-    return _start(counts, publish, checkpoint, "update", trigger, name)
+    return _start(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
 
 def running_word_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
                        stop: DataFrame | None = None, trigger: dict | None = None,
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """T3 exact: running word counts (stop words out); table ``topk`` after each batch."""
     counts = word_counts(drop_stop_words(tokens(posts, "text", out="w"), "w", stop), "w", out="count")
 
@@ -73,12 +89,13 @@ def running_word_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
             cand = cand.groupBy("w").agg(F.max("count").alias("count"))
         snapshots.publish(spark, {"topk": top_k(cand, k, "count", "w")}, batch_id)
 
-    return _start(counts, publish, checkpoint, "update", trigger, name)
+    return _start(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
 
 def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
                          params: SketchParams = SketchParams(), stop: DataFrame | None = None,
-                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, name: str | None = None,
+                         state_partitions: int | None = None) -> StreamingQuery:
     """T2 + T3 bounded: tables ``cells`` (the sketch) and ``topk`` after each batch."""
     words = drop_stop_words(tokens(posts, "text", out="w"), "w", stop)
 
@@ -103,12 +120,13 @@ def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         snapshots.publish(spark, {"topk": top}, batch_id)
         counts.unpersist()
 
-    return _start(words, publish, checkpoint, "append", trigger, name)
+    return _start(words, publish, checkpoint, "append", trigger, name, state_partitions)
 
 
 def running_approx_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
                          max_items_tracked: int = 10_000, stop: DataFrame | None = None,
-                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, name: str | None = None,
+                         state_partitions: int | None = None) -> StreamingQuery:
     """T3 approximate built-in: Spark's ``approx_top_k`` as a streaming global aggregate.
 
     The state is one summary row bounded by ``max_items_tracked``; every
@@ -122,4 +140,4 @@ def running_approx_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
             F.col("_e.item").alias("w"), F.col("_e.count").alias("count"))
         snapshots.publish(batch.sparkSession, {"topk": top}, batch_id)
 
-    return _start(summary, publish, checkpoint, "complete", trigger, name)
+    return _start(summary, publish, checkpoint, "complete", trigger, name, state_partitions)
