@@ -187,27 +187,40 @@ class SearchIndex:
 
     @classmethod
     def build(cls, store: DataFrame, path: str | None = None, fields: tuple[str, ...] = ("text",),
-              doc_buckets: int | None = None) -> SearchIndex:
+              doc_buckets: int | None = None, bucket_bytes: int = 128 * 1024 ** 2) -> SearchIndex:
         """Write the store, its postings and counts under ``path`` (default: a fresh folder in the checkpoint dir).
 
-        ``doc_buckets`` should leave a few hundred MB of text per bucket; by
-        default it follows ``spark.sql.shuffle.partitions``, which a cluster
-        sizes to its data.
+        ``doc_buckets`` should leave about ``bucket_bytes`` of text per
+        bucket; by default it is derived from the store's text size (one
+        aggregate, which also materialises the cache) and capped at the
+        session's shuffle partition count.
         """
         from trendlens.session import scratch_path
 
         spark = store.sparkSession
         path = path or scratch_path(spark, "search-index")
-        if doc_buckets is None:
-            doc_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         # all outputs come from one computation of the store; the cache keeps
         # its partitioning by document key, so term counts need no shuffle
         cached = store.select(*KEYS, "text", "count", *[f for f in fields if f != "text"]).persist()
         try:
+            # one row: the text bytes of the store (this also fills the cache)
+            text_bytes = int(cached.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+            cap = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+            if doc_buckets is None:
+                doc_buckets = max(1, min(cap, -(-text_bytes // bucket_bytes)))
+            try:
+                cores = spark.sparkContext.defaultParallelism
+            except Exception:  # noqa: BLE001 - remote session
+                cores = cap
+            # postings take about twice the text; keep one task per core at least
+            postings_files = max(cores, -(-2 * text_bytes // bucket_bytes))
             # one writer per bucket (the key hash is uniform, so no bucket is hot)
             (cached.withColumn(BUCKET, key_bucket(doc_buckets)).repartition(doc_buckets, BUCKET)
                 .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/docs"))
-            (cls.postings_of(cached, fields).sortWithinPartitions("field", "term")
+            postings = cls.postings_of(cached, fields)
+            # coalesce only ever lowers the file count (no shuffle), for stores
+            # partitioned more finely than their size needs
+            (postings.coalesce(postings_files).sortWithinPartitions("field", "term")
                 .write.mode("overwrite").parquet(f"{path}/postings"))
             cached.groupBy("index", "type").agg(F.count(F.lit(1)).alias("n")) \
                 .withColumn("buckets", F.lit(doc_buckets)).write.mode("overwrite").parquet(f"{path}/stats")
