@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trendlens.operators.search import SearchIndex
 from trendlens.operators.store import STORE_KEYS, doc_store
-from trendlens.streaming.running import _start
+from trendlens.streaming.running import start_foreach_batch
 from trendlens.streaming.snapshots import Snapshots
 
 STORE_COLUMNS = [*STORE_KEYS, "text", "count"]
@@ -52,7 +52,7 @@ def running_search_index(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         snapshots.commit(spark, batch_id, base)
         changed.unpersist()
 
-    return _start(counts, publish, checkpoint, "update", trigger, name, state_partitions)
+    return start_foreach_batch(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
 
 def live_index(spark: SparkSession, snapshots: Snapshots) -> SearchIndex | None:

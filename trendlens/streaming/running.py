@@ -31,7 +31,7 @@ from trendlens.operators.words import drop_stop_words, tokens, word_counts
 from trendlens.streaming.snapshots import Snapshots
 
 
-def _start(df: DataFrame, fn, checkpoint: str, output_mode: str, trigger: dict | None,
+def start_foreach_batch(df: DataFrame, fn, checkpoint: str, output_mode: str, trigger: dict | None,
            name: str | None, state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` into ``foreachBatch(fn)``.
 
@@ -71,7 +71,7 @@ def running_doc_counts(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
         changed = batch.select(*STORE_KEYS, "text", "count")
         snapshots.upsert(batch.sparkSession, "store", changed, STORE_KEYS, batch_id, compact_every)
 
-    return _start(counts, publish, checkpoint, "update", trigger, name, state_partitions)
+    return start_foreach_batch(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
 
 def running_word_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
@@ -89,7 +89,7 @@ def running_word_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
             cand = cand.groupBy("w").agg(F.max("count").alias("count"))
         snapshots.publish(spark, {"topk": top_k(cand, k, "count", "w")}, batch_id)
 
-    return _start(counts, publish, checkpoint, "update", trigger, name, state_partitions)
+    return start_foreach_batch(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
 
 def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
@@ -120,7 +120,7 @@ def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         snapshots.publish(spark, {"topk": top}, batch_id)
         counts.unpersist()
 
-    return _start(words, publish, checkpoint, "append", trigger, name, state_partitions)
+    return start_foreach_batch(words, publish, checkpoint, "append", trigger, name, state_partitions)
 
 
 def running_approx_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str, k: int = 5,
@@ -140,4 +140,4 @@ def running_approx_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
             F.col("_e.item").alias("w"), F.col("_e.count").alias("count"))
         snapshots.publish(batch.sparkSession, {"topk": top}, batch_id)
 
-    return _start(summary, publish, checkpoint, "complete", trigger, name, state_partitions)
+    return start_foreach_batch(summary, publish, checkpoint, "complete", trigger, name, state_partitions)
