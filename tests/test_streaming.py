@@ -67,6 +67,9 @@ def test_keyed_upsert_deltas_and_compaction(spark, tmp_path):
     # older versions stay readable, and a fresh reader finds the same state
     assert {r["k"]: r["n"] for r in snaps.read_keyed(spark, "t", ["k"], version=1).collect()} == {"a": 2, "b": 1}
     assert Snapshots(str(tmp_path / "snaps")).latest_commit(spark, before=4) == (3, 2)
+    # versions 0..3 are below the newest base (4) and no reader needs them
+    assert sorted(r["batch"] for r in snaps.obsolete_versions(spark).collect()) == [0, 1, 2, 3]
+    assert sorted(r["batch"] for r in snaps.obsolete_versions(spark, keep_bases=2).collect()) == [0, 1]
     # replaying batch 3 gives the same result
     snaps.upsert(spark, "t", spark.createDataFrame([("b", 5)], "k string, n bigint"), ["k"], 3, compact_every=2)
     assert {r["k"]: r["n"] for r in snaps.read_keyed(spark, "t", ["k"], version=3).collect()} == \

@@ -96,6 +96,23 @@ class Snapshots:
             changed.write.mode("overwrite").parquet(self.path(table, batch_id))
             self.commit(spark, batch_id, prev[1])
 
+    def obsolete_versions(self, spark: SparkSession, keep_bases: int = 1) -> DataFrame | None:
+        """Committed versions no reader needs: those older than the ``keep_bases``-th newest base.
+
+        Returns a DataFrame ``(batch)`` (it grows with the stream's history,
+        so it is not collected here); a lifecycle job removes
+        ``data/*/v=<batch>`` and ``commits/v=<batch>`` for each row.
+        """
+        commits = self._commits(spark)
+        if commits is None:
+            return None
+        bases = commits.where(F.col("batch") == F.col("base")).select("batch") \
+            .orderBy(F.col("batch").desc()).limit(keep_bases).agg(F.min("batch").alias("oldest_kept"))
+        oldest = bases.first()["oldest_kept"]
+        if oldest is None:
+            return commits.limit(0).select("batch")
+        return commits.where(F.col("batch") < oldest).select("batch")
+
     def versions_between(self, spark: SparkSession, base: int, top: int) -> list[int]:
         """Committed versions in ``(base, top]`` -- at most ``compact_every`` of them."""
         if top == base:
