@@ -301,7 +301,9 @@ class SearchIndex:
             prefix = q.value[: q.prefix_length]
 
             def pred(t: Column) -> Column:
-                c = F.levenshtein(t, F.lit(q.value), n) >= 0
+                # within n edits the lengths differ by at most n: a cheap test first
+                c = (F.abs(F.length(t) - F.lit(len(q.value))) <= F.lit(n)) & \
+                    (F.levenshtein(t, F.lit(q.value), n) >= 0)
                 return t.startswith(prefix) & c if prefix else c
             return self.term_scores(q.field, pred, q.boost)
         if isinstance(q, MatchAll):
