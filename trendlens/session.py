@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,36 +43,40 @@ def get_session(
     return spark
 
 
+def local_master(master: str | None) -> bool:
+    """True where driver and executors are one process and so share local folders."""
+    return bool(master) and (master == "local" or master.startswith("local["))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, snapshots and stream checkpoints.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a folder
-    every executor can reach).  Only when the setting is absent -- local runs
-    and tests -- a private scratch folder is made and registered.
+    On a cluster this is whatever ``spark.checkpoint.dir`` names, with its
+    scheme (a folder every executor can reach).  Only a local session, where
+    driver and executors are one process, may leave the setting out: a private
+    scratch folder is made and registered.  Elsewhere a missing setting is an
+    error, since executors would write to disks that the others cannot see.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote session has no SparkContext
         sc = None
     if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir().removeprefix("file:")
-    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="trendlens-ckpt-")
+        if sc is None or not local_master(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = "file://" + tempfile.mkdtemp(prefix="trendlens-ckpt-")
     if sc is None:
-        return configured.removeprefix("file:")
+        return configured
     sc.setCheckpointDir(configured)
-    return (sc.getCheckpointDir() or configured).removeprefix("file:")
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    return os.path.join(checkpoint_root(spark), "trendlens", f"{name}-{uuid.uuid4().hex}")
+    return f"{checkpoint_root(spark).rstrip('/')}/trendlens/{name}-{uuid.uuid4().hex}"
 
 
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 128 * 1024 ** 2) -> dict[str, str]:
