@@ -7,13 +7,37 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlens.llm import bpe_automaton, token_files
+from trendlens.llm import (
+    bpe_automaton,
+    chat_windows,
+    cube_mix,
+    license_scan,
+    piecewise_hash,
+    secret_scan,
+    token_files,
+)
 from trendlens.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+#: A conversation whose texts hold the marks of common templates.
+MARKS = r"\### Assistant: </turn> ok"
+
+
+def op1_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' targets by balanced sampling."""
+    return cube_mix.mix(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold template marks, formatted and read back."""
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], turns.schema)
+    return chat_windows.format_and_read(turns.unionByName(marked))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as rANS segments and read back."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -26,9 +50,29 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(bpe_automaton.encode_texts(docs, WORD_BPE))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template matches of all documents."""
+    return license_scan.scan_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and their likeness."""
+    return piecewise_hash.fingerprint_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secret_scan.scan_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cube_mix": op1_cube_mix,
+    "op3_chat_windows": op3_chat_windows,
     "op4_token_files": op4_token_files,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op7_license_scan": op7_license_scan,
+    "op9_piecewise_hash": op9_piecewise_hash,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
