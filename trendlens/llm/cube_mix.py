@@ -11,8 +11,9 @@ the rows taken at their expected totals:
 - rows still fractional are gathered into new blocks and fly again, round by
   round (each round leaves two rows of ``BLOCK``), until one block per source
   is left;
-- landing: its last rows fly on under the words constraint alone, and the
-  last one is drawn by its probability.
+- landing: its last rows fly on under the words constraint alone, the last one
+  is drawn by its probability, and exchanges of two rows of that block bring
+  the words nearer to the target.
 
 All draws come from hashes of the rows, so reruns agree.
 """
@@ -20,14 +21,14 @@ All draws come from hashes of the rows, so reruns agree.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import WORD_PATTERN, fresh, written
+from trendlens.llm.common import WORD_PATTERN, fresh, shuffle_partitions, written
 
 #: Rows of a source that fly together; at most two of them stay fractional.
 BLOCK = 512
@@ -89,9 +90,36 @@ def fly(pi: np.ndarray, sizes: np.ndarray, draws: np.ndarray, land: bool) -> np.
             live = [i for i in live if 0 < p[i] < 1]
         for i in live:
             p[i] = 1.0 if float(draws[i]) < p[i] else 0.0
+        return _repair(np.array(p), pi, sizes)
     return np.array(p)
 
 
+def _repair(taken: np.ndarray, pi: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Brings the words taken nearer to their expectation by exchanging a taken unit for another.
+
+    An exchange keeps the number of rows; each step makes the best one, as
+    long as the words' distance from the target shrinks.
+    """
+    size = sizes.astype(float)
+    free = np.flatnonzero((pi > 0) & (pi < 1))
+    for _ in range(4):
+        error = float(((taken - pi) * size)[free].sum())
+        ins = free[taken[free] == 1]
+        outs = free[taken[free] == 0]
+        if not len(ins) or not len(outs) or abs(error) < 0.5:
+            break
+        outs = outs[np.argsort(size[outs], kind="stable")]
+        wanted = size[ins] - error
+        near = np.searchsorted(size[outs], wanted)
+        pick = [(abs(error + size[outs[j]] - size[i]), i, outs[j]) for i, k in zip(ins, near, strict=True)
+                for j in (k - 1, k) if 0 <= j < len(outs)]
+        left, out_of, into = min(pick)
+        if left >= abs(error):
+            break
+        taken[out_of], taken[into] = 0.0, 1.0
+    return taken
+
+
 # -- targets -----------------------------------------------------------------------
 
 def source_targets(sizes: DataFrame, most: float = MOST, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -104,7 +132,7 @@ def source_targets(sizes: DataFrame, most: float = MOST, weights: tuple[float, .
     """
     totals = written(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     ordered = written(totals.withColumn("null_source", F.col("source").isNull()).repartitionByRange(
-        max(1, totals.rdd.getNumPartitions()), "null_source", "source").sortWithinPartitions(
+        shuffle_partitions(sizes.sparkSession), "null_source", "source").sortWithinPartitions(
         "null_source", "source").withColumn("part", F.spark_partition_id()), "mix-order")
     before = ordered.groupBy("part").count().select(
         F.col("part").alias("b_part"),
@@ -135,6 +163,19 @@ def source_targets(sizes: DataFrame, most: float = MOST, weights: tuple[float, .
 _UNIT = "unit_id long, source string, size long, n long, whole long, pi double, draw long"
 
 
+def _block_flight(land: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def fly_block(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["draw", "unit_id", "size"], kind="stable").reset_index(drop=True)
+        n = rows["n"].to_numpy()
+        draws = (rows["draw"].to_numpy().astype(np.uint64) >> np.uint64(11)).astype(float) / (1 << 53)
+        done = fly(rows["pi"].to_numpy(), rows["size"].to_numpy() * n, draws, land)
+        rows["whole"] = rows["whole"] + (done == 1)
+        rows["pi"] = np.where((done == 0) | (done == 1), 0.0, done)
+        return rows[["unit_id", "source", "size", "n", "whole", "pi", "draw"]]
+
+    return fly_block
+
+
 def plan(units: DataFrame, targets: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
     """``copies`` of every unit: (unit_id, source, size, n) rows with distinct (unit_id, source, size)."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
@@ -157,16 +198,7 @@ def plan(units: DataFrame, targets: DataFrame, seed: int = 0, block: int = BLOCK
         dealt = todo.join(blocks, F.col("source").eqNullSafe(F.col("c_source"))).withColumn(
             "block", F.pmod(F.xxhash64("draw", F.lit(len(settled))), "blocks"))
 
-        def fly_block(rows: pd.DataFrame, land: bool = last) -> pd.DataFrame:
-            rows = rows.sort_values(["draw", "unit_id", "size"], kind="stable").reset_index(drop=True)
-            n = rows["n"].to_numpy()
-            draws = (rows["draw"].to_numpy().astype(np.uint64) >> np.uint64(11)).astype(float) / (1 << 53)
-            done = fly(rows["pi"].to_numpy(), rows["size"].to_numpy() * n, draws, land)
-            rows["whole"] = rows["whole"] + (done == 1)
-            rows["pi"] = np.where((done == 0) | (done == 1), 0.0, done)
-            return rows[["unit_id", "source", "size", "n", "whole", "pi", "draw"]]
-
-        todo = written(dealt.groupBy("source", "block").applyInPandas(fly_block, _UNIT), "mix-round")
+        todo = written(dealt.groupBy("source", "block").applyInPandas(_block_flight(last), _UNIT), "mix-round")
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
