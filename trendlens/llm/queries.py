@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendlens.llm import (
     bpe_automaton,
     chat_windows,
     cube_mix,
+    jaccard_join,
     license_scan,
+    nn_descent,
     piecewise_hash,
+    quality,
     secret_scan,
     token_files,
 )
@@ -31,6 +35,14 @@ def op1_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_mix.mix(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents the classifier keeps, with their chances and evidence."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    judged, _ = quality.classify(docs, labels, keep_text=False)
+    return judged.where("keep").drop("keep")
+
+
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold template marks, formatted and read back."""
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
@@ -50,11 +62,22 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(bpe_automaton.encode_texts(docs, WORD_BPE))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template matches of all documents."""
     return license_scan.scan_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest neighbours of every hundredth vector among all others."""
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nn_descent.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op9_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and their likeness."""
     return piecewise_hash.fingerprint_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -67,10 +90,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cube_mix": op1_cube_mix,
+    "op2_quality": op2_quality,
     "op3_chat_windows": op3_chat_windows,
     "op4_token_files": op4_token_files,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_license_scan": op7_license_scan,
+    "op8_nn_descent": op8_nn_descent,
     "op9_piecewise_hash": op9_piecewise_hash,
     "op10_secret_scan": op10_secret_scan,
 }
