@@ -33,6 +33,7 @@ import os
 import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -300,11 +301,17 @@ def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def brute_force(text: str, path: str) -> tuple[list[int], str]:
     """The tokenizers library's answer, for tests."""
+    lib = _library(path)
+    ids = lib.encode(text, add_special_tokens=False).ids
+    return ids, lib.decode(ids, skip_special_tokens=False)
+
+
+@cache
+def _library(path: str) -> Tokenizer:
     lib = Tokenizer.from_file(path)
     lib.no_truncation()
     lib.no_padding()
-    ids = lib.encode(text, add_special_tokens=False).ids
-    return ids, lib.decode(ids, skip_special_tokens=False)
+    return lib
 
 
 def sha256_hex(data: bytes) -> str:

@@ -21,6 +21,7 @@ from trendlens.llm import (
     token_files,
 )
 from trendlens.llm.common import read_table
+from trendlens.llm.oracle import ORACLE
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -101,4 +102,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
