@@ -41,13 +41,17 @@ from trendlens.llm.components import connected_components
 SHINGLE = 5
 PERCENT = 75
 #: Groups of the count vectors (a power of two).
-GROUPS = 64
+GROUPS = 256
 #: Shingles that at least this many sets were seen to hold are ordered last, the commonest ``HOT`` of them.
 COMMON = 24
 HOT = 1 << 17
 #: Members of a block that meet in one tree; larger blocks are split.
 PART = 512
 LEAF = 16
+#: The largest count a byte holds.
+FULL = 255
+#: Members up to which a block's pairs are bounded directly: two leaves need no tree above them.
+SMALL = 2 * LEAF
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -132,7 +136,18 @@ def needed_overlap(a, b, percent: int = PERCENT):
 
 
 def _counts(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS).astype("<i4")
+    """Group counts in a byte each; ``FULL`` stands for itself or more."""
+    group = (s >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(group, minlength=GROUPS), FULL).astype(np.uint8)
+
+
+def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At least the intersection of sets (or of any set in a box) with these counts, per row."""
+    least = np.minimum(x, y)
+    bound = least.sum(-1, dtype=np.int64)
+    if (least == FULL).any():
+        bound[(least == FULL).any(-1)] = np.iinfo(np.int64).max     # the counts themselves are not known
+    return bound
 
 
 # -- sets -------------------------------------------------------------------------------
@@ -301,7 +316,7 @@ class CountTree:
         def allowed(box, low, high):
             least = np.maximum(low, -(-percent * size // 100))          # smallest partner in the box that can link
             fits = (least <= high) & (low * percent <= size * 100)
-            return fits & (np.minimum(box, count).sum(1) >= needed_overlap(least, size, percent))
+            return fits & (overlap_bound(box, count) >= needed_overlap(least, size, percent))
 
         tops = np.flatnonzero(allowed(self.top_box, self.top_low, self.top_high))
         if not len(tops):
@@ -358,28 +373,44 @@ def _tree_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame | None, p
             yield pairs(rest, np.concatenate([[0], change, [rest.num_rows]]))
 
     def pairs(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<i4").reshape(-1, GROUPS)
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
         size, part, i, j, node, comp = (table.column(c).to_numpy() for c in
                                         ("n", "part", "i", "j", "node", "component"))
-        left, right = [], []
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if i[a] == j[a]:
+        size = size.astype(np.int64)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        starts, members = bounds[:-1], np.diff(bounds)
+        whole = i[starts] == j[starts]                       # a block or part that meets itself
+        for m in range(2, SMALL + 1):                        # small ones of one size side by side
+            base = starts[whole & (members == m)]
+            x, y = (base[:, None] + place for place in np.triu_indices(m, 1))
+            x, y = x.ravel(), y.ravel()
+            fits = (comp[x] != comp[y]) & (
+                100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+            x, y = x[fits], y[fits]
+            for at in range(0, len(x), 1 << 16):
+                p, q = x[at:at + (1 << 16)], y[at:at + (1 << 16)]
+                good = overlap_bound(counts[p], counts[q]) >= needed_overlap(size[p], size[q], percent)
+                left.append(node[p[good]])
+                right.append(node[q[good]])
+        for a, b, own in zip(starts.tolist(), bounds[1:].tolist(), whole.tolist(), strict=True):
+            if own and b - a <= SMALL:
+                continue
+            if own:
                 mine = other = np.arange(a, b)
             else:
                 mine = a + np.flatnonzero(part[a:b] == i[a])
                 other = a + np.flatnonzero(part[a:b] == j[a])
             if not len(mine) or not len(other):
                 continue
-            tree = CountTree(counts[other], size[other].astype(np.int64))
+            tree = CountTree(counts[other], size[other])
             for q in mine.tolist():
                 found = other[tree.search(counts[q], int(size[q]), percent)]
                 found = found[comp[found] != comp[q]]
-                if i[a] == j[a]:
+                if own:
                     found = found[found > q]
                 left.append(np.full(len(found), node[q]))
                 right.append(node[found])
-        x = np.concatenate(left).astype(np.int64) if left else np.zeros(0, np.int64)
-        y = np.concatenate(right).astype(np.int64) if right else np.zeros(0, np.int64)
+        x, y = np.concatenate(left).astype(np.int64), np.concatenate(right).astype(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     ordered = full.repartition(partitions, "h", "i", "j").sortWithinPartitions("h", "i", "j")
@@ -394,9 +425,9 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS) for c in ("ca", "cb"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("ca", "cb"))
             na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
-            good = (np.minimum(x, y).sum(1) >= needed_overlap(na, nb, percent)) & (
+            good = (overlap_bound(x, y) >= needed_overlap(na, nb, percent)) & (
                 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
