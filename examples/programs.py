@@ -97,7 +97,7 @@ def main() -> None:
                 top = snaps.read(spark, "topk", version)
                 print(f"RESULT {poll}: {top_k_string(top, 'estimate', 'w').first()['topk']}")
             elif args.program == "count":
-                sketch = CountMinSketch(spark.read.parquet(snaps.path("cells", version)), params)
+                sketch = CountMinSketch(snaps.read(spark, "cells", version), params)
                 req = spark.range(1).select(F.explode(F.split(F.lit(args.words), " ")).alias("query"))
                 counts = {r["query"]: r["count"] for r in lookup_counts(sketch, req).collect()}
                 print(f"RESULT {poll}: {counts}")

@@ -79,7 +79,7 @@ def test_merge_rules(spark):
 
 def test_negative_weight_is_an_error(spark):
     df = spark.createDataFrame([("a", 1), ("b", -1)], "w string, n bigint")
-    with pytest.raises(Exception, match="Negative increments"):
+    with pytest.raises(Exception, match="a count cannot go down"):
         build_sketch(df, "w", SketchParams(2, 10), weight_col="n").cells.collect()
 
 
@@ -130,6 +130,23 @@ def test_bloom_sizing_and_membership(spark):
     assert not math.isnan(bloom.expected_fpp)
 
 
+def test_large_bloom_is_a_table(spark):
+    items = spark.range(2_000_000).selectExpr("cast(id as string) AS w")
+    bloom = build_bloom(items, "w", capacity=2_000_000, hash_kind="xxhash64")
+    assert bloom.num_bits > 19_000_000 and bloom.blocks.count() == -(-bloom.num_bits // 32_768)
+    asked = spark.range(0, 4_000_000, 1000).selectExpr("cast(id as string) AS w")
+    flagged = bloom.flag(asked, "w").selectExpr("maybe", "cast(w as long) < 2000000 AS member").groupBy("member").agg(
+        F.avg(F.col("maybe").cast("int")).alias("rate")).collect()
+    rate = {r["member"]: r["rate"] for r in flagged}
+    assert rate[True] == 1.0 and rate[False] < 0.03
+
+
+def test_bloom_keeps_nulls_and_repeats(spark):
+    bloom = build_bloom(spark.createDataFrame([("a",)], "w string"), "w")
+    df = spark.createDataFrame([("A",), (None,), ("b",), ("b",)], "w string")
+    assert sorted(str(r["w"]) for r in bloom_drop(df, bloom, "w").collect()) == ["None", "b", "b"]
+
+
 def test_builtin_alternatives(spark):
     from trendlens.operators.sketch import sketch_blob
     from trendlens.operators.topk import approx_top_k

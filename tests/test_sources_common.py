@@ -1,11 +1,12 @@
 import contextlib
 import io
 
+import pytest
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import broadcast_if_bounded
-from trendlens.operators.store import write_store
-from trendlens.sources.tables import SPREAD_MAX_SPLITS, read_table, spread
+from trendlens.operators.store import update_store, write_store
+from trendlens.session import checkpoint_root, scratch_path
+from trendlens.sources.tables import FAN_OUT, read_table, session_fan_out
 
 
 def _plan(df) -> str:
@@ -15,15 +16,36 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-def test_spread_fans_out_few_split_inputs_only(spark):
-    few = spark.range(100).coalesce(1)
-    assert few.rdd.getNumPartitions() == 1
-    spread_few = spread(few, min_partitions=8)
-    assert spread_few.rdd.getNumPartitions() == 8
-    many = spark.range(1000).repartition(SPREAD_MAX_SPLITS + 1)
-    assert spread(many, min_partitions=10_000) is many          # never reshuffle a large input
-    enough = spark.range(100).repartition(8)
-    assert spread(enough, min_partitions=8) is enough
+def test_fan_out_is_explicit(spark):
+    assert read_table(spark, "/root/testdata/sf0.001", "documents", fan_out=7).rdd.getNumPartitions() == 7
+    assert session_fan_out(spark) is None
+    spark.conf.set(FAN_OUT, "5")
+    try:
+        assert session_fan_out(spark) == 5
+    finally:
+        spark.conf.unset(FAN_OUT)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_scratch_keeps_the_scheme(spark):
+    assert scratch_path(spark, "x").startswith("file:/")
 
 
 def test_read_table_prunes_columns(spark):
@@ -32,22 +54,13 @@ def test_read_table_prunes_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in _plan(df)
 
 
-def test_broadcast_if_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(10)
-    joined_small = spark.range(1000).join(broadcast_if_bounded(small, 100), "id")
-    joined_big = spark.range(1000).join(broadcast_if_bounded(big, 100, known_rows=1_000_000), "id")
-    assert "BroadcastHashJoin" in _plan(joined_small)
-    assert joined_big.count() == 10                               # unmarked: the planner decides
-    assert joined_small.count() == 10
-
-
 def test_write_store_overwrite_and_append(spark, tmp_path):
     path = str(tmp_path / "store")
     one = spark.createDataFrame([("my_index", "my_type", "1", "a", 1)], "index string, type string, id string, text string, count bigint")
     write_store(one, path)
-    write_store(one, path, mode="append")
-    assert spark.read.parquet(path).count() == 2
+    two = spark.createDataFrame([("my_index", "my_type", "1", "0", 2), ("my_index", "my_type", "2", "b", 1)], one.schema)
+    merged = update_store(spark.read.parquet(path), two)           # keep and update: one row per key
+    assert sorted((r["id"], r["text"], r["count"]) for r in merged.collect()) == [("1", "0", 3), ("2", "b", 1)]
     write_store(one, path)                                         # recreate
     assert spark.read.parquet(path).count() == 1
     assert spark.read.parquet(path).where(F.col("count") == 1).count() == 1

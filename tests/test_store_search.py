@@ -17,6 +17,7 @@ from trendlens.operators.search import (
     search,
     wildcard_to_like,
 )
+from trendlens.sources import documents_as_posts
 from trendlens.operators.store import (
     build_documents,
     count_documents,
@@ -150,3 +151,21 @@ def test_index_of_an_empty_store(spark, store, tmp_path):
     empty = SearchIndex.build(store.limit(0), str(tmp_path / "empty"))
     assert search(empty, Term("apple")).count() == 0
     assert search(empty, MatchAll()).count() == 0
+
+
+def test_many_document_buckets_are_pruned_alike(spark):
+    store = doc_store(documents_as_posts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
+    one, many = SearchIndex.build(store), SearchIndex.build(store, doc_buckets=8)
+    assert many.doc_buckets == 8 and many.docs.select("_b").distinct().count() == 8
+    by_bytes = SearchIndex.build(store, bucket_bytes=20_000)
+    assert by_bytes.doc_buckets > 8
+    for q in (Term("the"), Bool(must=(Term("the"),), should=(Term("under"),)), MatchAll(), Bool(must_not=(Term("the"),))):
+        rows = [sorted(search(i, q).collect()) for i in (one, many, by_bytes)]
+        assert rows[0] == rows[1] == rows[2] and rows[0]
+
+
+def test_match_all_reads_the_documents_once(spark):
+    from test_plans import executed_plan
+
+    store = doc_store(documents_as_posts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
+    assert "Join" not in executed_plan(search(SearchIndex.build(store), MatchAll()))

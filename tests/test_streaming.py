@@ -27,8 +27,10 @@ def test_snapshot_versions(spark, tmp_path):
         snaps.publish(spark, {"t": spark.createDataFrame([(v,)], "x int")}, v)
     assert snaps.latest_version(spark) == 2
     assert snaps.latest_version(spark, before=2) == 1
-    # a replayed batch overwrites its own version
+    # a replayed batch is published anew, and a reader of the first attempt keeps its rows
+    held = snaps.read(spark, "t", 1)
     snaps.publish(spark, {"t": spark.createDataFrame([(9,)], "x int")}, 1)
+    assert held.first()["x"] == 1
     assert snaps.read(spark, "t", 1).first()["x"] == 9
     assert snaps.read(spark, "t").first()["x"] == 2
 
@@ -62,8 +64,8 @@ def test_keyed_upsert_deltas_and_compaction(spark, tmp_path):
         assert got == expected
     # a delta holds only its batch's rows; a base holds everything
     assert snaps.latest_commit(spark) == (4, 4)
-    assert spark.read.parquet(snaps.path("t", 3)).count() == 1
-    assert spark.read.parquet(snaps.path("t", 4)).count() == 4
+    assert snaps.read(spark, "t", 3).count() == 1
+    assert snaps.read(spark, "t", 4).count() == 4
     # older versions stay readable, and a fresh reader finds the same state
     assert {r["k"]: r["n"] for r in snaps.read_keyed(spark, "t", ["k"], version=1).collect()} == {"a": 2, "b": 1}
     assert Snapshots(str(tmp_path / "snaps")).latest_commit(spark, before=4) == (3, 2)
@@ -158,7 +160,7 @@ def test_live_search_index_equals_batch_index(spark, tmp_path):
         want = sorted(search(built, q).select("id", "count", "score").collect())
         assert got == want, q
     # the appended postings do repeat rows; the index reads them once
-    raw = sum(spark.read.parquet(snaps.path("postings", v)).count() for v in (0, 1, 2))
+    raw = sum(snaps.read(spark, "postings", v).count() for v in (0, 1, 2))
     assert raw > built.postings.count()
 
 
@@ -172,3 +174,46 @@ def test_state_partitions_apply_to_the_stream_only(spark, tmp_path):
     _run(q)
     state = tmp_path / "ckpt" / "state" / "0"
     assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == ["0", "1", "2"]
+
+
+def test_id_takeover_on_the_live_index(spark, tmp_path):
+    # "zz b[" and "zz az" have one 32-bit id; the smaller text takes the document over
+    from trendlens.operators.search import SearchIndex, Term, search
+    from trendlens.streaming import live_index, running_search_index
+
+    posts = _posts(spark).limit(1)
+    rows = [posts.withColumn("text", F.lit(t)) for t in ("zz b[", "zz az")]
+    landing, snaps = str(tmp_path / "landing"), Snapshots(str(tmp_path / "snaps"))
+    for i, part in enumerate(rows):
+        part.coalesce(1).write.mode("append").json(landing)
+        _run(running_search_index(read_posts_stream(spark, landing, 1), snaps, str(tmp_path / "ckpt"), compact_every=9))
+    live, built = live_index(spark, snaps), SearchIndex.from_store(doc_store(rows[0].unionByName(rows[1])))
+    for term, texts in (("b", []), ("az", ["zz az"]), ("zz", ["zz az"])):
+        for index in (live, built):
+            assert [r["text"] for r in search(index, Term(term)).collect()] == texts, term
+
+
+def test_changed_rows_are_computed_once_per_compaction(spark, tmp_path):
+    snaps = Snapshots(str(tmp_path / "snaps"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for i in range(3):
+        changed = spark.range(100).withColumn("n", F.lit(i)).mapInArrow(count, "id long, n int")
+        snaps.upsert(spark, "t", changed, ["id"], i, compact_every=1)
+        assert seen.value == 100 * (i + 1)
+    assert snaps.read_keyed(spark, "t", ["id"]).where("n = 2").count() == 100
+
+
+def test_a_broken_commit_folder_is_an_error(spark, tmp_path):
+    import pytest
+
+    root = tmp_path / "snaps"
+    (root / "commits").mkdir(parents=True)
+    (root / "commits" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|read"):
+        Snapshots(str(root)).latest_commit(spark)

@@ -96,3 +96,14 @@ def test_taps_keep_rows(spark):
     assert tapped.count() == 10
     assert obs.get["rows"] == 10
     assert with_partition(df).select("partition").distinct().count() >= 1
+
+
+def test_stop_list_forms_give_equal_rows(spark):
+    words = spark.createDataFrame([("the",), ("x",), (None,), ("The",), ("y ",), ("",)], "w string")
+    listed = [" The", "", None, "Y "]
+    table = spark.createDataFrame([(w,) for w in listed], "w string")
+    for stop in (listed, table):
+        assert sorted(str(r["w"]) for r in drop_stop_words(words, "w", stop).collect()) == ["", "None", "x", "y "]
+        from trendlens.operators.words import flag_stop_words
+        flags = {str(r["w"]): r["is_stop"] for r in flag_stop_words(words, "w", stop).collect()}
+        assert flags == {"the": True, "x": False, "None": False, "The": True, "y ": False, "": False}

@@ -5,10 +5,10 @@ and ``k = max(1, round(m / n * ln 2))`` probes; 500 items at 1 % give 4792
 bits and 7 probes.  Probe positions use the same double hashing as the
 count-min sketch: ``pos_i = (h1 + i*h2) mod m`` for ``i < k``.
 
-Building is a Spark aggregation (the distinct set positions, at most ``m``
-of them, so the result has a proven bound).  The bit set then becomes a
-boolean array literal in the plan, and probing is ``k`` array lookups per
-word inside the generated code of the scan -- no join and no shuffle.
+The filter is a table of blocks: ``(block bigint, bits binary)``, each block a
+bitmap of ``BLOCK_BITS`` positions built by Spark's bitmap aggregate.  Its size
+follows the capacity and is spread over tasks like any table; probing joins
+the ``k`` positions of each distinct item to their blocks.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from trendlens.functions.hashing import base_hashes
 
-# Bloom filters larger than this many bits are not inlined into plans.
-MAX_INLINE_BITS = 8_000_000
+#: Positions of one block; fixed by Spark's bitmap functions.
+BLOCK_BITS = 32_768
 
 
 def bloom_size(capacity: int, fpp: float) -> tuple[int, int]:
@@ -41,68 +41,51 @@ def positions(c: Column, num_bits: int, num_hashes: int, hash_kind: str = "md5")
 
 @dataclass(frozen=True)
 class BloomFilter:
+    """``blocks``: the bit table ``(block, bits)`` of ``num_bits`` bits probed ``num_hashes`` times."""
+
+    blocks: DataFrame
     num_bits: int
     num_hashes: int
-    set_bits: tuple[int, ...]
     hash_kind: str = "md5"
 
-    def might_contain(self, c: Column) -> Column:
-        """True when every probe position of ``c`` is set (no false negatives).
+    def flag(self, items: DataFrame, col: str, out: str = "maybe", lowercase: bool = True) -> DataFrame:
+        """``items`` with a boolean ``out``: every probe position of ``col`` is set (no false negatives).
 
-        The bit set is one binary literal (a byte per bit) and the ``k`` probes
-        are plain arithmetic plus a one-byte ``substring`` each (no lambda), so
-        the test compiles into the scan's generated code and the md5 of ``c``
-        is computed once per row.
+        Each distinct value is probed once; a null is never a member.
         """
-        bitmap = bytearray(self.num_bits)
-        for b in self.set_bits:
-            bitmap[b] = 1
-        lit_bits = F.lit(bitmap)
-        one = F.lit(bytearray(b"\x01"))
-        h1, h2 = base_hashes(c, self.hash_kind)
-        m = F.lit(self.num_bits).cast("bigint")
-        probes = [F.substring(lit_bits, (F.pmod(h1 + F.lit(i).cast("bigint") * h2, m) + 1).cast("int"), 1) == one
-                  for i in range(self.num_hashes)]
-        out = probes[0]
-        for p in probes[1:]:
-            out = out & p
-        return out
+        value = F.lower(F.col(col)) if lowercase else F.col(col)
+        asked = items.select(value.alias("_item")).where(F.col("_item").isNotNull()).distinct()
+        probes = asked.select("_item", F.explode(positions(F.col("_item"), self.num_bits, self.num_hashes,
+                                                           self.hash_kind)).alias("_pos"))
+        probes = probes.select("_item", F.floor(F.col("_pos") / BLOCK_BITS).alias("block"),
+                               (F.col("_pos") % BLOCK_BITS).cast("int").alias("_bit"))
+        byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10)
+        is_set = F.coalesce(F.getbit(byte.cast("int"), F.col("_bit") % 8) == 1, F.lit(False))
+        members = probes.join(self.blocks, "block", "left").groupBy("_item").agg(F.every(is_set).alias("_member"))
+        return items.join(members.withColumnRenamed("_item", "_probed"), value == F.col("_probed"), "left").withColumn(
+            out, F.coalesce("_member", F.lit(False))).drop("_member", "_probed")
+
+    def bits_set(self) -> DataFrame:
+        """One row: how many bits are set."""
+        return self.blocks.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("bits_set"))
 
     @property
     def expected_fpp(self) -> float:
         """Chance that an absent word passes, given the bits actually set."""
-        return (len(self.set_bits) / self.num_bits) ** self.num_hashes
+        return (self.bits_set().first()[0] / self.num_bits) ** self.num_hashes
 
 
 def build_bloom(df: DataFrame, col: str = "w", capacity: int = 500, fpp: float = 0.01,
                 lowercase: bool = True, hash_kind: str = "md5") -> BloomFilter:
-    """Build from the distinct values of ``col`` (lower-cased by default)."""
+    """Build from the values of ``col`` (lower-cased by default); nothing passes the driver."""
     m, k = bloom_size(capacity, fpp)
-    if m > MAX_INLINE_BITS:
-        raise ValueError(f"{m} bits is too large to inline; lower the capacity or raise fpp")
     value = F.lower(F.col(col)) if lowercase else F.col(col)
-    bits = (df.select(F.explode(positions(value, m, k, hash_kind)).alias("pos"))
-              .agg(F.array_sort(F.collect_set("pos")).alias("bits")))
-    # one row holding at most m distinct positions
-    set_bits = tuple(int(b) for b in bits.first()["bits"])
-    return BloomFilter(m, k, set_bits, hash_kind)
+    pos = df.select(F.explode(positions(value, m, k, hash_kind)).alias("pos"))
+    blocks = pos.groupBy(F.floor(F.col("pos") / BLOCK_BITS).alias("block")).agg(
+        F.bitmap_construct_agg((F.col("pos") % BLOCK_BITS).cast("long")).alias("bits"))
+    return BloomFilter(blocks, m, k, hash_kind)
 
 
 def bloom_drop(df: DataFrame, bloom: BloomFilter, col: str = "w", lowercase: bool = True) -> DataFrame:
     """Drop rows the filter says might be members (stop words and rare false positives)."""
-    value = F.lower(F.col(col)) if lowercase else F.col(col)
-    return df.where(~bloom.might_contain(value))
-
-
-def bloom_drop_counted(counts: DataFrame, bloom: BloomFilter, col: str = "w", count_col: str = "count",
-                       lowercase: bool = True) -> DataFrame:
-    """``bloom_drop`` on per-item counts, probing each distinct item once.
-
-    Catalyst moves a filter on a grouping column below the aggregation, which
-    would hash every occurrence instead of every distinct item.  The predicate
-    here also reads the count (always at least 1, so the answer is unchanged),
-    which keeps it above the aggregation.
-    """
-    value = F.lower(F.col(col)) if lowercase else F.col(col)
-    keep = F.when(F.col(count_col) > 0, ~bloom.might_contain(value)).otherwise(F.lit(False))
-    return counts.where(keep)
+    return bloom.flag(df, col, "_maybe", lowercase).where(~F.col("_maybe")).drop("_maybe")

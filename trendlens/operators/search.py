@@ -31,7 +31,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import analyze
@@ -147,17 +147,19 @@ class SearchIndex:
 
     def __init__(self, docs: DataFrame, postings: DataFrame, fields: tuple[str, ...] = ("text",),
                  stats: DataFrame | None = None, doc_buckets: int | None = None,
-                 repeated_postings: bool = False):
+                 version_col: str | None = None):
         self.docs = docs
         self.postings = postings
         self.fields = fields
         self.stats = stats
         self.doc_buckets = doc_buckets
-        # postings appended over time may repeat a document's rows (identical
-        # copies); matches are then de-duplicated after the term filter
-        self.repeated_postings = repeated_postings
+        # rows of a kept-up index carry a version; only a document's newest
+        # version counts, and it is looked up for matched documents alone
+        self.version_col = version_col
         if stats is not None:
             self.n_docs = stats.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+        elif version_col:
+            self.n_docs = docs.select(*KEYS).distinct().select(F.count(F.lit(1))).scalar()
         else:
             self.n_docs = docs.select(F.count(F.lit(1))).scalar()
 
@@ -192,8 +194,7 @@ class SearchIndex:
 
         ``doc_buckets`` should leave about ``bucket_bytes`` of text per
         bucket; by default it is derived from the store's text size (one
-        aggregate, which also materialises the cache) and capped at the
-        session's shuffle partition count.
+        aggregate, which also materialises the cache).
         """
         from trendlens.session import scratch_path
 
@@ -205,17 +206,12 @@ class SearchIndex:
         try:
             # one row: the text bytes of the store (this also fills the cache)
             text_bytes = int(cached.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
-            cap = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
             if doc_buckets is None:
-                doc_buckets = max(1, min(cap, -(-text_bytes // bucket_bytes)))
-            try:
-                cores = spark.sparkContext.defaultParallelism
-            except Exception:  # noqa: BLE001 - remote session
-                cores = cap
-            # postings take about twice the text; keep one task per core at least
-            postings_files = max(cores, -(-2 * text_bytes // bucket_bytes))
-            # one writer per bucket (the key hash is uniform, so no bucket is hot)
-            (cached.withColumn(BUCKET, key_bucket(doc_buckets)).repartition(doc_buckets, BUCKET)
+                doc_buckets = max(1, -(-text_bytes // bucket_bytes))
+            # postings take about twice the text
+            postings_files = max(1, -(-2 * text_bytes // bucket_bytes))
+            # a range of buckets per writer: about one bucket each, and keys hash evenly over buckets
+            (cached.withColumn(BUCKET, key_bucket(doc_buckets)).repartitionByRange(doc_buckets, BUCKET)
                 .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/docs"))
             postings = cls.postings_of(cached, fields)
             # coalesce only ever lowers the file count (no shuffle), for stores
@@ -249,12 +245,25 @@ class SearchIndex:
                 cond = F.col(col).isin(list(values))
                 docs, postings = docs.where(cond), postings.where(cond)
                 stats = stats.where(cond) if stats is not None else None
-        return SearchIndex(docs, postings, self.fields, stats, self.doc_buckets, self.repeated_postings)
+        return SearchIndex(docs, postings, self.fields, stats, self.doc_buckets, self.version_col)
 
     # -- building blocks -------------------------------------------------
     def _matches(self, fld: str, pred) -> DataFrame:
         m = self.postings.where((F.col("field") == F.lit(fld)) & pred(F.col("term")))
-        return m.dropDuplicates([*KEYS, "field", "term"]) if self.repeated_postings else m
+        if not self.version_col:
+            return m
+        v = self.version_col
+        newest = self.docs.select(*KEYS, v).join(m.select(*KEYS).distinct(), KEYS, "left_semi") \
+            .groupBy(*KEYS).agg(F.max(v).alias(v))
+        return m.join(newest, [*KEYS, v]).drop(v)
+
+    def _current(self, docs: DataFrame) -> DataFrame:
+        """Only the newest version of each document in ``docs``."""
+        if not self.version_col:
+            return docs
+        newest = Window.partitionBy(*KEYS).orderBy(F.col(self.version_col).desc())
+        return docs.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop(
+            "_rank", self.version_col)
 
     def term_scores(self, fld: str, pred, boost: float, max_terms: int | None = None) -> DataFrame:
         """``KEYS + [score]``: summed term scores of the documents with a matching term in ``fld``.
@@ -280,7 +289,7 @@ class SearchIndex:
     def constant(self, fld: str | None, pred, boost: float) -> DataFrame:
         """``KEYS + [score=boost]`` for documents with a matching term (all documents when ``pred`` is None)."""
         if pred is None:
-            return self.docs.select(*KEYS, F.lit(float(boost)).alias("score"))
+            return self.docs.select(*KEYS).distinct().withColumn("score", F.lit(float(boost)))
         hit = self._matches(fld, pred).select(*KEYS).distinct()
         return hit.select(*KEYS, F.lit(float(boost)).alias("score"))
 
@@ -348,13 +357,20 @@ class SearchIndex:
 
     def search(self, q) -> DataFrame:
         """All hits of ``q``: ``index, type, id, text, count, score, json`` (unordered)."""
+        if isinstance(q, MatchAll) or isinstance(q, Bool) and not q.must and not q.should:
+            # every document but those of must-not clauses: the documents need no join to themselves
+            out = self._current(self.docs)
+            for clause in getattr(q, "must_not", ()):
+                out = out.join(self.scored(clause).select(*KEYS), KEYS, "left_anti")
+            return hits_json(out.select(*KEYS, "text", "count",
+                                        F.lit(float(getattr(q, "boost", 1.0))).alias("score")))
         hits = self.scored(q)
         on = KEYS
         if self.doc_buckets:
             # the bucket in the join lets Spark prune the document partitions to the hit buckets
             hits = hits.withColumn(BUCKET, key_bucket(self.doc_buckets))
             on = KEYS + [BUCKET]
-        out = self.docs.join(hits, on, "inner").select(
+        out = self._current(self.docs.join(hits, on, "inner")).select(
             *KEYS, "text", "count", F.round(F.col("score"), SCORE_DIGITS).alias("score"))
         return hits_json(out)
 

@@ -5,10 +5,10 @@ its parameters.  Each item hashes once (two 32-bit words of its md5) and is
 spread over ``depth`` rows by double hashing, ``bucket_i = (h1 + i*h2) mod width``.
 
 Building is one aggregation on ``(row, bucket)``: every task combines its own
-items into at most ``depth x width`` partial cells before the shuffle, so the
-shuffle never grows with the input.  Estimating is a join of the asked items'
-cells against the sketch table, which has a size fixed by its parameters and
-is therefore broadcast when that size is moderate.
+items into at most ``depth x width`` partial cells before that shuffle.  By
+default items are counted first, a shuffle of each task's distinct items.
+Estimating reads all cells, whose number the parameters fix, as one array: an
+item's estimate is the least of ``depth`` array entries, in one projection.
 """
 
 from __future__ import annotations
@@ -20,11 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.functions.hashing import HASH_KINDS, base_hashes, bucket
-from trendlens.operators.common import broadcast_if_bounded
-
-# Sketch tables up to this many cells are broadcast to the estimating side
-# (15 x 1000 by default); larger ones are joined with a shuffle.
-MAX_BROADCAST_CELLS = 2_000_000
 
 CELL_SCHEMA = "row int, bucket bigint, cnt bigint"
 
@@ -49,7 +44,7 @@ class SketchParams:
 
     def __post_init__(self) -> None:
         if self.depth < 1 or self.width < 1:
-            raise ValueError(f"depth and width must be positive, got {self.depth} x {self.width}")
+            raise ValueError(f"a sketch needs at least one row and one bucket, not {self.depth} x {self.width}")
         if self.hash not in HASH_KINDS:
             raise ValueError(f"unknown hash {self.hash!r}; expected one of {HASH_KINDS}")
 
@@ -79,7 +74,7 @@ def _weight(weight_col: str | None) -> Column:
     if weight_col is None:
         return F.lit(1).cast("bigint")
     n = F.col(weight_col).cast("bigint")
-    return F.when(n < 0, F.raise_error(F.lit("Negative increments not implemented"))).otherwise(n)
+    return F.when(n < 0, F.raise_error(F.lit("a count cannot go down: weights must be 0 or more"))).otherwise(n)
 
 
 def item_cells(df: DataFrame, col: str, params: SketchParams, keep: list[str] | None = None,
@@ -123,8 +118,13 @@ class CountMinSketch:
         """A10: total weight added (every hash row sums to it); one row ``total``."""
         return self.cells.where(F.col("row") == 0).agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("total"))
 
-    def _broadcast_cells(self) -> DataFrame:
-        return broadcast_if_bounded(self.cells, MAX_BROADCAST_CELLS, known_rows=self.params.cells)
+    def _entries(self) -> Column:
+        """All ``depth x width`` counters as one array, cell ``(row, bucket)`` at ``row * width + bucket``."""
+        slots = self.cells.sparkSession.range(self.params.cells).withColumnRenamed("id", "_slot")
+        held = self.cells.select((F.col("row").cast("bigint") * self.params.width + F.col("bucket")).alias("_at"), "cnt")
+        full = slots.join(held, F.col("_slot") == F.col("_at"), "left").agg(F.array_sort(F.collect_list(
+            F.struct("_slot", F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt")))).alias("_all"))
+        return full.select(F.transform("_all", lambda x: x["cnt"])).scalar()
 
     def estimate(self, items: DataFrame, col: str = "w", out: str = "estimate",
                  distinct: bool = True, own_count_col: str | None = None) -> DataFrame:
@@ -132,8 +132,7 @@ class CountMinSketch:
 
         The estimate is the minimum over the item's ``depth`` cells; a cell
         never written counts 0.  Pass ``distinct=False`` when ``items`` is
-        already one row per item (for example the output of a group-by),
-        which keeps that grouping's partitioning for the final minimum.
+        already one row per item (for example the output of a group-by).
 
         ``own_count_col`` names the weight each item added when this sketch
         was built from these same rows.  Every cell of an item holds at least
@@ -145,12 +144,16 @@ class CountMinSketch:
         asked = items.select(*cols).where(F.col(col).isNotNull())
         if distinct:
             asked = asked.distinct()
-        cells = item_cells(asked, col, self.params, keep=cols)
-        hit = cells.join(self._broadcast_cells(), ["row", "bucket"], "left")
-        cell = F.coalesce(F.col("cnt"), F.lit(0))
+        h1, h2 = base_hashes(F.col(col), self.params.hash)
+        hashed = asked.select(*cols, h1.alias("_h1"), h2.alias("_h2"))
+        entries, width = self._entries(), self.params.width
+        found = [F.get(entries, (F.lit(r).cast("bigint") * width
+                                 + bucket(F.col("_h1"), F.col("_h2"), r, width)).cast("int"))
+                 for r in range(self.params.depth)]
+        least = F.least(*found) if len(found) > 1 else found[0]
         if own_count_col:
-            cell = F.greatest(cell, F.col(own_count_col))
-        return hit.groupBy(col).agg(F.min(cell).cast("bigint").alias(out))
+            least = F.greatest(least, F.col(own_count_col))
+        return hashed.select(col, least.cast("bigint").alias(out))
 
     def save(self, path: str, mode: str = "overwrite") -> None:
         """Cells and parameters as Parquet under ``path``."""

@@ -81,6 +81,16 @@ def doc_store(posts: DataFrame, index: str = DEFAULT_INDEX, doc_type: str = DEFA
               id_mode: str = "java") -> DataFrame:
     """Posts -> counted store ``(index, type, id, text, count)``."""
     parsed = drop_nulls(parse_posts(posts), "text")
+    if not posts.isStreaming:
+        # count equal texts first: a hash aggregate that combines map-side, so
+        # ids are hashed and texts compared once per distinct text; a stream
+        # keeps one aggregate, the only stateful step an update query may have
+        counted = sentences(parsed).groupBy("sentence").agg(F.count(F.lit(1)).alias("_n"))
+        d = F.col("document")
+        return (build_documents(counted, "sentence", index, doc_type, id_mode)
+                .select(d["index"].alias("index"), d["type"].alias("type"), d["id"].alias("id"),
+                        d["text"].alias("text"), "_n")
+                .groupBy(*STORE_KEYS).agg(F.min("text").alias("text"), F.sum("_n").alias("count")))
     return count_documents(build_documents(sentences(parsed), "sentence", index, doc_type, id_mode))
 
 
@@ -90,10 +100,20 @@ def hits_json(df: DataFrame, out: str = "json") -> DataFrame:
 
 
 def write_store(store: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``overwrite`` drops and recreates the stored index; ``append`` keeps it."""
+    """``overwrite`` drops and recreates the stored index; ``append`` keeps it and adds rows of new keys only."""
     store.write.mode(mode).parquet(path)
 
 
+def update_store(store: DataFrame, changed: DataFrame) -> DataFrame:
+    """S7 keep-and-update: ``store`` with the counts of ``changed`` added, one row per key.
+
+    Where both hold a key, the counts are summed and the smaller text stays,
+    as if all posts had been counted at once.
+    """
+    return store.select(*STORE_KEYS, "text", "count").unionByName(changed.select(*STORE_KEYS, "text", "count")) \
+        .groupBy(*STORE_KEYS).agg(F.min("text").alias("text"), F.sum("count").alias("count"))
+
+
 def parse_search_args(df: DataFrame, col: str = "args") -> DataFrame:
     """``"<query> <index> <type>"`` -> ``query, indices[1], types[1]``.
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import analyze, explode_words
-from trendlens.operators.common import broadcast_if_bounded
-from trendlens.sources.stopwords import ENGLISH_STOP_WORDS, MAX_BROADCAST_STOP_WORDS, stop_words_df
+from trendlens.sources.stopwords import ENGLISH_STOP_WORDS
 
 
 def tokens(df: DataFrame, text_col: str = "text", out: str = "w", sep: str = " ",
@@ -16,51 +15,38 @@ def tokens(df: DataFrame, text_col: str = "text", out: str = "w", sep: str = " "
     return explode_words(df, text_col, out=out, sep=sep, keep=keep)
 
 
-# Stop lists given as values (the bundled one has 191 words) are compiled into
-# the plan as a hashed literal set when at most this long.
-MAX_INLINE_STOP_WORDS = 100_000
-
 StopWords = DataFrame | list | tuple | None
 
 
-def _stop_values(stop: StopWords) -> list[str] | None:
-    if stop is None:
-        return list(ENGLISH_STOP_WORDS)
-    if isinstance(stop, (list, tuple)) and len(stop) <= MAX_INLINE_STOP_WORDS:
-        return list(dict.fromkeys(w.strip().lower() for w in stop if w and w.strip()))
-    return None
+def _cleaned(stop: DataFrame) -> DataFrame:
+    """One column ``_stop_w``: stripped, lower-cased, distinct, no blank and no null."""
+    return stop.select(F.lower(F.trim(F.col("w"))).alias("_stop_w")).where(F.col("_stop_w") != "").distinct()
 
 
-def _stop_side(df: DataFrame, stop: StopWords) -> DataFrame:
-    if isinstance(stop, DataFrame):
-        side = stop.select(F.lower(F.col("w")).alias("w")).distinct()
-    else:
-        side = stop_words_df(df.sparkSession, list(stop))
-    return broadcast_if_bounded(side, MAX_BROADCAST_STOP_WORDS)
+def _values(stop: list | tuple | None) -> list[str]:
+    words = ENGLISH_STOP_WORDS if stop is None else stop
+    return list(dict.fromkeys(w.strip().lower() for w in words if w and w.strip()))
 
 
 def drop_stop_words(df: DataFrame, col: str = "w", stop: StopWords = None) -> DataFrame:
-    """J2 exact: drop rows whose lower-cased ``col`` is a stop word.
+    """J2 exact: drop rows whose lower-cased ``col`` is a stop word; a null is none and stays.
 
-    A stop list known as values (default: the bundled list) becomes a
-    ``NOT IN`` over a literal set -- a hash lookup inside the scan's generated
-    code, no join and no exchange.  A stop list given as a DataFrame is a
-    left-anti join, broadcast after its size is checked.
+    A stop list given as values (default: the bundled list) becomes a ``NOT
+    IN`` over a literal set -- a hash lookup inside the scan's generated code.
+    One given as a DataFrame (column ``w``) is a left-anti join, whose kind
+    Spark picks from sizes.  Both forms are cleaned alike and give equal rows.
     """
-    values = _stop_values(stop)
-    if values is not None:
-        return df.where(~F.lower(F.col(col)).isin(values))
-    side = _stop_side(df, stop).withColumnRenamed("w", "_stop_w")
-    return df.join(side, F.lower(F.col(col)) == F.col("_stop_w"), "left_anti")
+    if isinstance(stop, DataFrame):
+        return df.join(_cleaned(stop), F.lower(F.col(col)) == F.col("_stop_w"), "left_anti")
+    return df.where(F.coalesce(~F.lower(F.col(col)).isin(_values(stop)), F.lit(True)))
 
 
 def flag_stop_words(df: DataFrame, col: str = "w", stop: StopWords = None,
                     out: str = "is_stop") -> DataFrame:
-    """Keep every row and add a boolean ``out`` telling whether ``col`` is a stop word."""
-    values = _stop_values(stop)
-    if values is not None:
-        return df.withColumn(out, F.coalesce(F.lower(F.col(col)).isin(values), F.lit(False)))
-    side = _stop_side(df, stop).select(F.col("w").alias("_stop_w"), F.lit(True).alias("_stop_hit"))
+    """Keep every row and add a boolean ``out`` telling whether ``col`` is a stop word (false for null)."""
+    if not isinstance(stop, DataFrame):
+        return df.withColumn(out, F.coalesce(F.lower(F.col(col)).isin(_values(stop)), F.lit(False)))
+    side = _cleaned(stop).withColumn("_stop_hit", F.lit(True))
     joined = df.join(side, F.lower(F.col(col)) == F.col("_stop_w"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_stop_hit"), F.lit(False))).drop("_stop_w", "_stop_hit")
 
@@ -70,10 +56,6 @@ def word_counts(df: DataFrame, col: str = "w", out: str = "count") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
-# Keyword lists up to this long also get a substring prefilter before the split.
-MAX_PREFILTER_KEYWORDS = 32
-
-
 def track_filter(posts: DataFrame, keywords: list[str] | tuple[str, ...] | None,
                  text_col: str = "text", lang_col: str = "lang", language: str = "en") -> DataFrame:
     """With keywords, keep posts in ``language`` that mention any keyword.
@@ -99,18 +81,16 @@ def track_filter(posts: DataFrame, keywords: list[str] | tuple[str, ...] | None,
         exact.append(F.arrays_overlap(toks, F.array(*[F.lit(w) for w in singles])))
     for words_ in multis:
         exact.append(F.size(F.array_except(F.array(*[F.lit(w) for w in words_]), toks)) == 0)
-    cond = (F.col(lang_col) == F.lit(language))
-    if len(kw_words) <= MAX_PREFILTER_KEYWORDS:
-        # every analysed token is a substring of the lower-cased text, so this
-        # cheap test is a necessary condition and spares the split for most posts
-        lowered = F.lower(F.col(text_col))
-        maybe = F.lit(False)
-        for words_ in kw_words:
-            pre = F.lit(True)
-            for w in words_:
-                pre = pre & (F.instr(lowered, w) > 0)
-            maybe = maybe | pre
-        cond = cond & maybe
+    # every analysed token is a substring of the lower-cased text, so this
+    # cheap test is a necessary condition and spares the split for most posts
+    lowered = F.lower(F.col(text_col))
+    maybe = F.lit(False)
+    for words_ in kw_words:
+        pre = F.lit(True)
+        for w in words_:
+            pre = pre & (F.instr(lowered, w) > 0)
+        maybe = maybe | pre
+    cond = (F.col(lang_col) == F.lit(language)) & maybe
     any_exact = exact[0]
     for e in exact[1:]:
         any_exact = any_exact | e

@@ -8,7 +8,6 @@ from the same fixed values and rules the Spark side documents.
 from __future__ import annotations
 
 from trendlens.operators import search as S
-from trendlens.operators.bloom import bloom_size
 from trendlens.plans import queries as Q
 from trendlens.sources.stopwords import ENGLISH_STOP_WORDS
 
@@ -81,28 +80,32 @@ TOPK_EXACT = f"""
 CMS_CELLS = f"WITH {sketch_cte(KEPT_WORDS, Q.TOPK_PARAMS)} SELECT row, bucket, cnt FROM cells"
 
 
+# 500 items at 1 %: floor(500 * ln(100) / ln(2)^2) bits and round(bits / 500 * ln 2) probes
+BLOOM_BITS, BLOOM_PROBES = 4792, 7
+
+
 def _bloom_sql() -> str:
-    m, k = bloom_size(Q.BLOOM_CAPACITY, Q.BLOOM_FPP)
+    """Every word is hashed once; a word is dropped when all its positions are set."""
     return f"""
-    WITH stop AS (SELECT lower(unnest({STOP_LIST})) AS w),
-    bits AS (SELECT DISTINCT ({h1('w')} + i * {h2('w')}) % {m} AS pos FROM stop, range({k}) t(i)),
-    wc AS (SELECT w, count(*) AS n FROM ({DOC_WORDS}) GROUP BY w),
-    probe AS (
-        SELECT p.w, bool_and(b.pos IS NOT NULL) AS member
-        FROM (SELECT w, ({h1('w')} + i * {h2('w')}) % {m} AS pos FROM wc, range({k}) t(i)) p
-        LEFT JOIN bits b ON b.pos = p.pos GROUP BY p.w)
-    SELECT wc.w AS word, wc.n AS count FROM wc JOIN probe USING (w) WHERE NOT probe.member
+    WITH stop AS MATERIALIZED (
+        SELECT w, {h1('w')} AS a, {h2('w')} AS b FROM (SELECT DISTINCT lower(unnest({STOP_LIST})) AS w)),
+    bits AS MATERIALIZED (SELECT list(DISTINCT (a + i * b) % {BLOOM_BITS}) AS l FROM stop, range({BLOOM_PROBES}) t(i)),
+    wc AS MATERIALIZED (
+        SELECT w, n, {h1('w')} AS a, {h2('w')} AS b FROM (SELECT w, count(*) AS n FROM ({DOC_WORDS}) GROUP BY w)),
+    hit AS MATERIALIZED (
+        SELECT w, count(*) AS hits FROM (SELECT w, (a + i * b) % {BLOOM_BITS} AS pos FROM wc, range({BLOOM_PROBES}) t(i))
+        WHERE pos IN (SELECT unnest(l) FROM bits) GROUP BY w)
+    SELECT wc.w AS word, wc.n AS count FROM wc LEFT JOIN hit USING (w) WHERE coalesce(hits, 0) < {BLOOM_PROBES}
     """
 
 
 # -- counted store and search ----------------------------------------------------
 
-def store_cte(lang: str | None = None) -> str:
-    where = "text IS NOT NULL" + (f" AND lang = {_quote(lang)}" if lang else "")
+def store_cte() -> str:
     return f"""
     store AS (
         SELECT 'my_index' AS "index", 'my_type' AS "type", id, min(s) AS text, count(*) AS count
-        FROM (SELECT lower(text) AS s, {java_hash_text('lower(text)')} AS id FROM documents WHERE {where})
+        FROM (SELECT lower(text) AS s, {java_hash_text('lower(text)')} AS id FROM documents WHERE text IS NOT NULL)
         GROUP BY id),
     toks AS (
         SELECT "index", "type", id, len(arr) AS dl, unnest(arr) AS term
@@ -139,7 +142,9 @@ def scored_sql(q) -> str:
     if isinstance(q, S.MultiMatch):
         return _term_scores(f"list_contains({analyze(_quote(q.text))}, term)", q.boost)
     if isinstance(q, S.Fuzzy):
-        pred = f"levenshtein(term, {_quote(q.value)}) <= {q.max_edits}"
+        n = len(q.value)     # edits allowed by length unless the query names them
+        edits = q.fuzziness if q.fuzziness is not None else 0 if n <= 2 else 1 if n <= 5 else 2
+        pred = f"levenshtein(term, {_quote(q.value)}) <= {edits}"
         if q.prefix_length:
             pred += f" AND starts_with(term, {_quote(q.value[:q.prefix_length])})"
         return _term_scores(pred, q.boost)
@@ -148,13 +153,23 @@ def scored_sql(q) -> str:
     if isinstance(q, S.Prefix):
         return _constant(f"starts_with(term, {_quote(q.value)})", q.boost)
     if isinstance(q, S.Wildcard):
-        return _constant(f"term LIKE {_quote(S.wildcard_to_like(q.pattern))} ESCAPE '\\'", q.boost)
+        # a glob as a whole-term regular expression: ? one character, * any run
+        rule = "".join({"?": ".", "*": ".*"}.get(c, f"\\x{{{ord(c):x}}}") for c in q.pattern)
+        return _constant(f"regexp_full_match(term, {_quote(rule)}, 's')", q.boost)
     if isinstance(q, S.Bool):
         must = [scored_sql(c) for c in q.must]
-        sql = must[0]
+        should = [scored_sql(c) for c in q.should]
+        if not must:
+            any_of = " UNION ALL ".join(should) if should else _constant(None, 1.0)
+            sql = f'SELECT "index", "type", id, sum(score) AS score FROM ({any_of}) GROUP BY ALL'
+        else:
+            sql = must[0]
         for other in must[1:]:
             sql = f"""SELECT a."index", a."type", a.id, a.score + b.score AS score
                       FROM ({sql}) a JOIN ({other}) b USING ("index", "type", id)"""
+        for c in should if must else []:
+            sql = f"""SELECT a."index", a."type", a.id, a.score + coalesce(b.score, 0) AS score
+                      FROM ({sql}) a LEFT JOIN ({c}) b USING ("index", "type", id)"""
         for c in q.must_not:
             sql = f"""SELECT * FROM ({sql}) WHERE ("index", "type", id) NOT IN
                       (SELECT "index", "type", id FROM ({scored_sql(c)}))"""
@@ -168,10 +183,10 @@ def scored_sql(q) -> str:
     raise TypeError(q)
 
 
-def hits_sql(q, lang: str | None = None) -> str:
+def hits_sql(q) -> str:
     return f"""
-    WITH {store_cte(lang)}
-    SELECT s."index", s."type", s.id, s.text, s.count, round(h.score, {S.SCORE_DIGITS}) AS score,
+    WITH {store_cte()}
+    SELECT s."index", s."type", s.id, s.text, s.count, round(h.score, 6) AS score,
            to_json({{'text': s.text, 'count': s.count}}) AS json
     FROM store s JOIN ({scored_sql(q)}) h USING ("index", "type", id)
     """
@@ -230,9 +245,13 @@ ORACLE: dict[str, str] = {
     """,
     "doc_counts": f'WITH {store_cte()} SELECT "index", "type", id, text, count FROM store',
     "stream_doc_counts": f'WITH {store_cte()} SELECT "index", "type", id, text, count FROM store',
+    "doc_counts_sha2": """
+        SELECT 'my_index' AS "index", 'my_type' AS "type", sha256(lower(text)) AS id, lower(text) AS text, count(*) AS count
+        FROM documents WHERE text IS NOT NULL GROUP BY lower(text)
+    """,
     "stream_topk": TOPK_EXACT,
     **{name: hits_sql(q) for name, q in Q.SEARCHES.items()},
-    "hits_term_fr": hits_sql(S.Term(Q.TERM_FR), lang="fr"),
+    "hits_term_fr": hits_sql(S.Term(Q.TERM_FR)),
     "stream_hits_term": hits_sql(Q.SEARCHES["hits_term"]),
     "entities_reply": _entities("""
         SELECT conv_id * 1000 + turn AS tweet_id, 'reply_to_status' AS content_type,
@@ -246,3 +265,6 @@ ORACLE: dict[str, str] = {
                unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS content_name
         FROM pages"""),
 }
+
+# a stream that has read all documents holds what one pass over them gives
+ORACLE["stream_sketch_topk"] = ORACLE["topk_words_cms"]

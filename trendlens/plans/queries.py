@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import split_keep_empty
-from trendlens.operators.bloom import bloom_drop_counted, build_bloom
+from trendlens.operators.bloom import bloom_drop, build_bloom
 from trendlens.operators.entities import extract_entities
 from trendlens.operators.search import (
     Bool,
@@ -46,7 +46,7 @@ from trendlens.sources.posts import (
     read_posts_stream,
 )
 from trendlens.sources.stopwords import stop_words_df
-from trendlens.sources.tables import read_table
+from trendlens.sources.tables import read_table, session_fan_out
 from trendlens.streaming import (
     Snapshots,
     land_posts,
@@ -86,7 +86,7 @@ ENTITY_COLUMNS = ["tweet_id", "content_type", "content_name", "content_id"]
 
 
 def _docs(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    return read_table(spark, sf_dir, "documents", columns, fan_out=True)
+    return read_table(spark, sf_dir, "documents", columns, fan_out=session_fan_out(spark))
 
 
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,7 @@ def bloom_stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words kept by a Bloom filter of the stop list (500 items, 1 %), with counts."""
     bloom = build_bloom(stop_words_df(spark), "w", BLOOM_CAPACITY, BLOOM_FPP)
     counts = word_counts(_doc_words(spark, sf_dir), "w", out="count")
-    return bloom_drop_counted(counts, bloom, "w", "count").select(F.col("w").alias("word"), "count")
+    return bloom_drop(counts, bloom, "w").select(F.col("w").alias("word"), "count")
 
 
 def track_filter_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,11 +171,14 @@ def split_keep_empty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- counted store and search --------------------------------------------------
 
-def _store(spark: SparkSession, sf_dir: str, lang: str | None = None) -> DataFrame:
+def _store(spark: SparkSession, sf_dir: str, id_mode: str = "java") -> DataFrame:
     docs = _docs(spark, sf_dir, ["doc_id", "text", "lang", "source"])
-    if lang:
-        docs = docs.where(F.col("lang") == lang)
-    return doc_store(documents_as_posts(docs))
+    return doc_store(documents_as_posts(docs), id_mode=id_mode)
+
+
+def doc_counts_sha2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 A1 A2 with the collision-free id: distinct lower-cased texts with SHA-256 id and count."""
+    return _store(spark, sf_dir, "sha2").select("index", "type", "id", "text", "count")
 
 
 def doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,28 +186,27 @@ def doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir).select("index", "type", "id", "text", "count")
 
 
-# One built index per (application, input files, language): the store is
+# One built index per (application, input folder): the store is
 # indexed once and every later search reads it, as posts are indexed once and
 # then queried repeatedly.  ``build_index`` always builds.
 _INDEXES: dict[tuple, SearchIndex] = {}
 
 
-def build_index(spark: SparkSession, sf_dir: str, lang: str | None = None) -> SearchIndex:
+def build_index(spark: SparkSession, sf_dir: str) -> SearchIndex:
     """Count the documents into the store and write its search index."""
-    return SearchIndex.build(_store(spark, sf_dir, lang))
+    return SearchIndex.build(_store(spark, sf_dir))
 
 
-def search_index(spark: SparkSession, sf_dir: str, lang: str | None = None) -> SearchIndex:
-    files = tuple(sorted(_docs(spark, sf_dir, ["text"]).inputFiles()))
-    key = (spark.conf.get("spark.app.id", None), files, lang)
+def search_index(spark: SparkSession, sf_dir: str) -> SearchIndex:
+    key = (spark.conf.get("spark.app.id", None), sf_dir)
     if key not in _INDEXES:
-        _INDEXES[key] = build_index(spark, sf_dir, lang)
+        _INDEXES[key] = build_index(spark, sf_dir)
     return _INDEXES[key]
 
 
-def _hits(q, lang: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
+def _hits(q) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return search(search_index(spark, sf_dir, lang), q).select(*HIT_COLUMNS)
+        return search(search_index(spark, sf_dir), q).select(*HIT_COLUMNS)
     run.__doc__ = f"2.7: all hits of {q!r} over the counted store."
     return run
 
@@ -214,6 +216,8 @@ SEARCHES = {
     "hits_multi_match": MultiMatch(MATCH_TEXT, ("text",)),
     "hits_bool_not": Bool(must=(Term(TERM_B),), must_not=(Term(TERM_A),)),
     "hits_bool_and": Bool(must=(Term(TERM_B), Term("the"))),
+    "hits_bool_should": Bool(must=(Term(TERM_B),), should=(Term(TERM_A), Prefix(PREFIX_VALUE))),
+    "hits_any_of": Bool(should=(Term(TERM_A), Term(TERM_C)), must_not=(Term("the"),)),
     "hits_fuzzy": Fuzzy(FUZZY_VALUE, prefix_length=0, boost=1.0),
     "hits_match_all": MatchAll(),
     "hits_prefix": Prefix(PREFIX_VALUE, boost=2.0),
@@ -238,13 +242,13 @@ def entities_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entities_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct link entities of every page."""
-    posts = pages_as_posts(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"], fan_out=True))
+    posts = pages_as_posts(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"], fan_out=session_fan_out(spark)))
     return extract_entities(posts).select(*ENTITY_COLUMNS)
 
 
 # -- streaming -------------------------------------------------------------------
 
-# Landed post files per (application, input files): the landing stands in for
+# Landed post files per (application, input folder): the landing stands in for
 # the producer that writes posts; every streaming query reads it from the
 # start with its own checkpoint.
 _LANDINGS: dict[tuple, str] = {}
@@ -252,7 +256,7 @@ _LANDINGS: dict[tuple, str] = {}
 
 def _landing(spark: SparkSession, sf_dir: str) -> str:
     docs = _docs(spark, sf_dir, ["doc_id", "text", "lang", "source"])
-    key = (spark.conf.get("spark.app.id", None), tuple(sorted(docs.inputFiles())))
+    key = (spark.conf.get("spark.app.id", None), sf_dir)
     if key not in _LANDINGS:
         _LANDINGS[key] = land_posts(documents_as_posts(docs), scratch_path(spark, "landing"), STREAM_FILES)
     return _LANDINGS[key]
@@ -322,8 +326,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "track_filter": track_filter_docs,
     "split_keep_empty": split_keep_empty_docs,
     "doc_counts": doc_counts,
+    "doc_counts_sha2": doc_counts_sha2,
     **{name: _hits(q) for name, q in SEARCHES.items()},
-    "hits_term_fr": _hits(Term(TERM_FR), lang="fr"),
+    "hits_term_fr": _hits(Term(TERM_FR)),
     "entities_reply": entities_reply,
     "entities_source": entities_source,
     "entities_url": entities_url,

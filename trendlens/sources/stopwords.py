@@ -31,10 +31,6 @@ should like get por de que el follow much one
 ENGLISH_STOP_WORDS_LINES: tuple[str, ...] = tuple(_ENGLISH_STOP_WORDS_TEXT.split())
 ENGLISH_STOP_WORDS: tuple[str, ...] = tuple(dict.fromkeys(ENGLISH_STOP_WORDS_LINES))
 
-# A stop list is broadcast to every task; lists longer than this are joined
-# with a shuffle instead (the bundled list has 191 words).
-MAX_BROADCAST_STOP_WORDS = 1_000_000
-
 
 def stop_words_df(spark: SparkSession, words: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     """The stop words as a one-column DataFrame ``w`` (bundled list by default)."""

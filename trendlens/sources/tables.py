@@ -4,36 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Only scans of at most this many splits are fanned out (a few GB at the
-# default 128 MB per split); bigger inputs keep their scan partitioning.
-SPREAD_MAX_SPLITS = 32
+#: Session setting that names the fan-out of text scans (unset: none).
+FAN_OUT = "spark.trendlens.scan.fanOut"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Fan a few-split input out over the cluster's cores.
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               fan_out: int | None = None) -> DataFrame:
+    """``{sf_dir}/{name}.parquet``; ``columns`` prunes the scan.
 
-    Text tables hold few, heavy rows; a file written as one row group is a
-    single scan task, which would then split and count every word alone.
-    When the scan yields fewer partitions than the cluster can run at once
-    (and no more than ``SPREAD_MAX_SPLITS``), the rows are dealt round-robin
-    to ``min_partitions`` (default: the default parallelism).  Large inputs
-    already have many splits and are returned untouched, so they are never
-    reshuffled.
+    ``fan_out`` deals the rows round-robin to that many tasks.  It is for
+    tables in one file with one row group, which a single task would split
+    into words alone; tables of many splits need none, and get none unless
+    the caller asks.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as it is
-        return df
-    if splits >= target or splits > SPREAD_MAX_SPLITS:
-        return df
-    return df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               fan_out: bool = False) -> DataFrame:
-    """``{sf_dir}/{name}.parquet``; ``columns`` prunes the scan, ``fan_out`` applies ``spread``."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df) if fan_out else df
+    return df.repartition(fan_out) if fan_out else df
+
+
+def session_fan_out(spark: SparkSession) -> int | None:
+    """The fan-out that ``spark.trendlens.scan.fanOut`` names, if it is set."""
+    value = spark.conf.get(FAN_OUT, None)
+    return int(value) if value else None

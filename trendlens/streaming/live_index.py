@@ -5,12 +5,13 @@ Each micro-batch publishes, under one commit:
 - ``store``: the texts whose counts changed (a delta of the keyed store);
 - ``postings``: the postings of those texts, sorted by term.
 
-Postings depend only on a text, so a text seen again yields the same rows;
-readers drop such copies after the term filter, which touches only the
-matched rows.  Every ``compact_every`` batches both tables are written whole
-instead (the postings re-derived from the compacted store), which bounds how
-many versions a reader unions.  A micro-batch therefore costs the
-tokenisation of its changed texts plus a share of one compaction.
+A posting belongs to the text its version's store row holds.  Where another
+text takes over an id (two texts with one 32-bit id: the smaller one stays), or
+a text is seen again, a later version holds the document's postings anew; a
+reader takes, for the documents a query matches, only the postings of their
+newest version.  Every ``compact_every`` batches both tables are written whole
+instead, which bounds how many versions a reader unions.  A micro-batch costs
+the tokenisation of its changed texts plus a share of one compaction.
 """
 
 from __future__ import annotations
@@ -21,36 +22,37 @@ from pyspark.sql.streaming import StreamingQuery
 from trendlens.operators.search import SearchIndex
 from trendlens.operators.store import STORE_KEYS, doc_store
 from trendlens.streaming.running import start_foreach_batch
-from trendlens.streaming.snapshots import Snapshots
+from trendlens.streaming.snapshots import Snapshots, new_attempt
 
 STORE_COLUMNS = [*STORE_KEYS, "text", "count"]
 
 
 def running_search_index(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
                          compact_every: int = 16, trigger: dict | None = None,
-                         name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                         name: str | None = None, state_partitions: int | None = None,
+                         id_mode: str = "java") -> StreamingQuery:
     """Count posts into the store and keep its search index current (tables ``store``, ``postings``)."""
-    counts = doc_store(posts)
+    counts = doc_store(posts, id_mode=id_mode)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, attempt = batch.sparkSession, new_attempt()
         changed = batch.select(*STORE_COLUMNS).persist()
-        prev = snapshots.latest_commit(spark, before=batch_id)
-        if prev is None or batch_id - prev[1] >= compact_every:
-            state = changed
-            if prev is not None:
+        try:
+            prev = snapshots.latest_commit(spark, before=batch_id)
+            state, base = changed, batch_id
+            if prev is not None and batch_id - prev[1] >= compact_every:
                 old = snapshots.read_keyed(spark, "store", STORE_KEYS, version=prev)
                 state = old.join(changed.select(*STORE_KEYS), STORE_KEYS, "left_anti").unionByName(changed)
-            state.write.mode("overwrite").parquet(snapshots.path("store", batch_id))
-            written = spark.read.parquet(snapshots.path("store", batch_id))
-            postings, base = SearchIndex.postings_of(written), batch_id
-        else:
-            changed.write.mode("overwrite").parquet(snapshots.path("store", batch_id))
-            postings, base = SearchIndex.postings_of(changed), prev[1]
-        postings.sortWithinPartitions("field", "term").write.mode("overwrite") \
-            .parquet(snapshots.path("postings", batch_id))
-        snapshots.commit(spark, batch_id, base)
-        changed.unpersist()
+            elif prev is not None:
+                base = prev[1]
+            path = snapshots.path("store", batch_id, attempt)
+            state.write.parquet(path)
+            postings = SearchIndex.postings_of(spark.read.schema(state.schema).parquet(path))
+            postings.sortWithinPartitions("field", "term").write.parquet(
+                snapshots.path("postings", batch_id, attempt))
+            snapshots.commit(spark, batch_id, base, attempt)
+        finally:
+            changed.unpersist()
 
     return start_foreach_batch(counts, publish, checkpoint, "update", trigger, name, state_partitions)
 
@@ -61,10 +63,5 @@ def live_index(spark: SparkSession, snapshots: Snapshots) -> SearchIndex | None:
     if commit is None:
         return None
     top, base = commit
-    docs = snapshots.read_keyed(spark, "store", STORE_KEYS, version=commit)
-    versions = [base] + snapshots.versions_between(spark, base, top)
-    postings = None
-    for v in versions:
-        part = spark.read.parquet(snapshots.path("postings", v))
-        postings = part if postings is None else postings.unionByName(part)
-    return SearchIndex(docs, postings, repeated_postings=top != base)
+    return SearchIndex(snapshots.read_versions(spark, "store", base, top),
+                       snapshots.read_versions(spark, "postings", base, top), version_col="_v")

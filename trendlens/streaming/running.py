@@ -28,7 +28,7 @@ from trendlens.operators.sketch import CountMinSketch, SketchParams, sketch_cell
 from trendlens.operators.store import STORE_KEYS, doc_store
 from trendlens.operators.topk import top_k
 from trendlens.operators.words import drop_stop_words, tokens, word_counts
-from trendlens.streaming.snapshots import Snapshots
+from trendlens.streaming.snapshots import Snapshots, new_attempt
 
 
 def start_foreach_batch(df: DataFrame, fn, checkpoint: str, output_mode: str, trigger: dict | None,
@@ -59,13 +59,16 @@ def start_foreach_batch(df: DataFrame, fn, checkpoint: str, output_mode: str, tr
 
 def running_doc_counts(posts: DataFrame, snapshots: Snapshots, checkpoint: str,
                        trigger: dict | None = None, name: str | None = None,
-                       compact_every: int = 16, state_partitions: int | None = None) -> StreamingQuery:
+                       compact_every: int = 16, state_partitions: int | None = None,
+                       id_mode: str = "java") -> StreamingQuery:
     """Running count per distinct text; keyed table ``store`` (``snapshots.read_keyed``).
 
+    ``id_mode``: ``java`` (32-bit ids, parity) or ``sha2`` (no collisions; for many texts).
+
     Each micro-batch writes only the texts whose counts changed, and a full
     copy every ``compact_every`` batches.
     """
-    counts = doc_store(posts)
+    counts = doc_store(posts, id_mode=id_mode)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         changed = batch.select(*STORE_KEYS, "text", "count")
@@ -104,21 +107,24 @@ def running_sketch_top_k(posts: DataFrame, snapshots: Snapshots, checkpoint: str
         prev_v = snapshots.latest_version(spark, before=batch_id)
         # two jobs use this micro-batch: count its words once and keep the counts
         counts = word_counts(batch, "w", out="n").persist()
-        cells = sketch_cells(counts, "w", params, weight_col="n", pre_aggregate=False)
-        if prev_v is not None:
-            cells = (snapshots.read(spark, "cells", prev_v).unionByName(cells)
-                     .groupBy("row", "bucket").agg(F.sum("cnt").cast("bigint").alias("cnt")))
-        # write the new cells first, then estimate against the written copy
-        cells_path = snapshots.path("cells", batch_id)
-        cells.write.mode("overwrite").parquet(cells_path)
-        sketch = CountMinSketch(spark.read.parquet(cells_path), params)
-        cand = counts.select("w")
-        if prev_v is not None:
-            prev_top = snapshots.read(spark, "topk", prev_v).select("w")
-            cand = cand.unionByName(prev_top.join(cand, "w", "left_anti"))
-        top = top_k(sketch.estimate(cand, "w", out="estimate", distinct=False), k, "estimate", "w")
-        snapshots.publish(spark, {"topk": top}, batch_id)
-        counts.unpersist()
+        try:
+            cells = sketch_cells(counts, "w", params, weight_col="n", pre_aggregate=False)
+            if prev_v is not None:
+                cells = (snapshots.read(spark, "cells", prev_v).unionByName(cells)
+                         .groupBy("row", "bucket").agg(F.sum("cnt").cast("bigint").alias("cnt")))
+            # write the new cells first, then estimate against the written copy
+            attempt = new_attempt()
+            cells_path = snapshots.path("cells", batch_id, attempt)
+            cells.write.parquet(cells_path)
+            sketch = CountMinSketch(spark.read.schema(cells.schema).parquet(cells_path), params)
+            cand = counts.select("w")
+            if prev_v is not None:
+                prev_top = snapshots.read(spark, "topk", prev_v).select("w")
+                cand = cand.unionByName(prev_top.join(cand, "w", "left_anti"))
+            top = top_k(sketch.estimate(cand, "w", out="estimate", distinct=False), k, "estimate", "w")
+            snapshots.publish(spark, {"topk": top}, batch_id, attempt)
+        finally:
+            counts.unpersist()
 
     return start_foreach_batch(words, publish, checkpoint, "append", trigger, name, state_partitions)
 

@@ -2,8 +2,8 @@
 
 Layout under ``root`` (a folder in the shared checkpoint directory):
 
-    data/<table>/v=<batch_id>/   the table's rows written by that batch
-    commits/v=<batch_id>/        written last: (batch, base); a version exists once this does
+    data/<table>/v=<batch_id>/<attempt>/   the table's rows written by that attempt at the batch
+    commits/                               one row per commit: (batch, base, attempt), appended last
 
 Small tables (a top-k, sketch cells) are written whole every batch
 (``publish``).  Keyed tables that grow with the stream (the counted store)
@@ -15,18 +15,26 @@ O(changed rows) plus an amortised share of one compaction, and a reader
 merges at most ``compact_every`` deltas.
 
 A replayed micro-batch rebuilds from the last committed version *before* its
-own id and overwrites its own folders, so replays neither lose nor double
-count.  Readers take the highest committed version, so they never see a
-half-written batch.
+own id and writes to a folder of its own, which its commit names; of several
+commits for one batch the latest counts.  So replays neither lose nor double
+count, and nothing that a reader may hold is ever rewritten.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-COMMIT_SCHEMA = "batch bigint, base bigint"
+COMMIT_SCHEMA = "batch bigint, base bigint, attempt string"
+
+
+def new_attempt() -> str:
+    """A name for one attempt at a batch; later attempts sort after earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 class Snapshots:
@@ -36,20 +44,30 @@ class Snapshots:
         # the one just published, which then needs no lookup
         self._last: tuple[int, int] | None = None
 
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/data/{table}/v={version}"
+    def path(self, table: str, version: int, attempt: str) -> str:
+        return f"{self.root}/data/{table}/v={version}/{attempt}"
 
     # -- commits -------------------------------------------------------------
-    def commit(self, spark: SparkSession, batch_id: int, base: int) -> None:
-        spark.createDataFrame([(int(batch_id), int(base))], COMMIT_SCHEMA).write.mode("overwrite") \
-            .parquet(f"{self.root}/commits/v={batch_id}")
+    def commit(self, spark: SparkSession, batch_id: int, base: int, attempt: str) -> None:
+        spark.createDataFrame([(int(batch_id), int(base), attempt)], COMMIT_SCHEMA).coalesce(1) \
+            .write.mode("append").parquet(f"{self.root}/commits")
         self._last = (int(batch_id), int(base))
 
     def _commits(self, spark: SparkSession) -> DataFrame | None:
+        """One row per committed batch: its latest commit; None before the first."""
         try:
-            return spark.read.parquet(f"{self.root}/commits").select("batch", "base")
-        except AnalysisException:
-            return None
+            rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/commits")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        last = rows.groupBy("batch").agg(F.max(F.struct("attempt", "base")).alias("c"))
+        return last.select("batch", "c.base", "c.attempt")
+
+    def attempts(self, spark: SparkSession, versions: list[int]) -> dict[int, str]:
+        """The committed attempt of each of ``versions``."""
+        rows = self._commits(spark).where(F.col("batch").isin(versions)).collect()
+        return {int(r["batch"]): r["attempt"] for r in rows}
 
     def latest_commit(self, spark: SparkSession, before: int | None = None) -> tuple[int, int] | None:
         """``(version, base)`` of the highest commit (below ``before`` when given)."""
@@ -69,39 +87,48 @@ class Snapshots:
         return None if c is None else c[0]
 
     # -- whole tables ----------------------------------------------------------
-    def publish(self, spark: SparkSession, tables: dict[str, DataFrame], batch_id: int) -> None:
+    def publish(self, spark: SparkSession, tables: dict[str, DataFrame], batch_id: int,
+                attempt: str | None = None) -> None:
         """Write every table whole for ``batch_id``, then the commit."""
+        attempt = attempt or new_attempt()
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(self.path(name, batch_id))
-        self.commit(spark, batch_id, batch_id)
+            df.write.parquet(self.path(name, batch_id, attempt))
+        self.commit(spark, batch_id, batch_id, attempt)
 
     def read(self, spark: SparkSession, table: str, version: int | None = None) -> DataFrame | None:
         """A whole table at ``version`` (default: the latest committed); None before the first commit."""
         v = self.latest_version(spark) if version is None else version
-        return None if v is None else spark.read.parquet(self.path(table, v))
+        return None if v is None else spark.read.parquet(self.path(table, v, self.attempts(spark, [v])[v]))
 
     # -- keyed tables: base + deltas ---------------------------------------------
     def upsert(self, spark: SparkSession, table: str, changed: DataFrame, keys: list[str], batch_id: int,
                compact_every: int = 16) -> None:
-        """``changed`` rows replace theirs by key, as version ``batch_id``."""
-        prev = self.latest_commit(spark, before=batch_id)
+        """``changed`` rows replace theirs by key, as version ``batch_id``.
+
+        ``changed`` is computed once, also where a compaction reads it twice.
+        """
+        prev, attempt = self.latest_commit(spark, before=batch_id), new_attempt()
         if prev is None or batch_id - prev[1] >= compact_every:
-            state = changed
-            if prev is not None:
-                old = self.read_keyed(spark, table, keys, version=prev)
-                state = old.join(changed.select(*keys), keys, "left_anti").unionByName(changed)
-            state.write.mode("overwrite").parquet(self.path(table, batch_id))
-            self.commit(spark, batch_id, batch_id)
+            held = changed.persist()
+            try:
+                state = held
+                if prev is not None:
+                    old = self.read_keyed(spark, table, keys, version=prev)
+                    state = old.join(held.select(*keys), keys, "left_anti").unionByName(held)
+                state.write.parquet(self.path(table, batch_id, attempt))
+            finally:
+                held.unpersist()
+            self.commit(spark, batch_id, batch_id, attempt)
         else:
-            changed.write.mode("overwrite").parquet(self.path(table, batch_id))
-            self.commit(spark, batch_id, prev[1])
+            changed.write.parquet(self.path(table, batch_id, attempt))
+            self.commit(spark, batch_id, prev[1], attempt)
 
     def obsolete_versions(self, spark: SparkSession, keep_bases: int = 1) -> DataFrame | None:
         """Committed versions no reader needs: those older than the ``keep_bases``-th newest base.
 
         Returns a DataFrame ``(batch)`` (it grows with the stream's history,
         so it is not collected here); a lifecycle job removes
-        ``data/*/v=<batch>`` and ``commits/v=<batch>`` for each row.
+        ``data/*/v=<batch>`` for each row.
         """
         commits = self._commits(spark)
         if commits is None:
@@ -130,14 +157,22 @@ class Snapshots:
         if commit is None:
             return None
         top, base = commit
+        union = self.read_versions(spark, table, base, top)
         if top == base:
-            return spark.read.parquet(self.path(table, base))
-        versions = self.versions_between(spark, base, top)
-        parts = [spark.read.parquet(self.path(table, base)).withColumn("_v", F.lit(base))]
-        parts += [spark.read.parquet(self.path(table, v)).withColumn("_v", F.lit(v)) for v in versions]
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
+            return union.drop("_v")
         # keys are unique within a version, so each key has at most 1 + compact_every rows
         newest = Window.partitionBy(*keys).orderBy(F.col("_v").desc())
         return union.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_v", "_rank")
+
+    def read_versions(self, spark: SparkSession, table: str, base: int, top: int) -> DataFrame:
+        """All rows of a base and the deltas after it, with their version ``_v``."""
+        versions = [base, *self.versions_between(spark, base, top)]
+        attempts = self.attempts(spark, versions)
+        schema, union = None, None
+        for v in versions:
+            reader = spark.read if schema is None else spark.read.schema(schema)
+            part = reader.parquet(self.path(table, v, attempts[v]))
+            schema = schema or part.schema
+            part = part.withColumn("_v", F.lit(v))
+            union = part if union is None else union.unionByName(part)
+        return union
