@@ -52,6 +52,8 @@ LEAF = 16
 FULL = 255
 #: Members up to which a block's pairs are bounded directly: two leaves need no tree above them.
 SMALL = 2 * LEAF
+#: Bits of the filter that keeps sets no pair names from being shuffled for verification: 1 MB, whatever the input.
+FILTER_BITS = 1 << 23
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -437,6 +439,22 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a long, b long")
 
 
+def _maybe_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``node`` may be among ``wanted`` (column ``w``), by a bitmap of fixed size.
+
+    Nodes are digests, so their low bits spread evenly.  A bitmap that a large
+    input fills lets more rows through; the join that follows decides.
+    """
+    slot = lambda node: F.pmod(node, F.lit(FILTER_BITS))
+    per_block = 32_768                                    # positions of one of Spark's bitmaps
+    blocks = wanted.groupBy(F.floor(slot(F.col("w")) / per_block).alias("f_block")).agg(
+        F.bitmap_construct_agg(slot(F.col("w")) % per_block).alias("f_bits"))
+    bit = slot(F.col("node")) % per_block
+    byte = F.conv(F.hex(F.substring("f_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(blocks), F.floor(slot(F.col("node")) / per_block) == F.col("f_block")).where(
+        F.getbit(byte, (bit % 8).cast("int")) == 1).drop("f_block", "f_bits")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,7 +470,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     pairs = written(pairs, "set-pairs")
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     # of equal sets, each task has kept one copy; one of them is enough
-    held = docs.where("shingles IS NOT NULL").select("node", "shingles").join(
+    held = _maybe_among(docs.where("shingles IS NOT NULL").select("node", "shingles"), wanted).join(
         wanted, F.col("node") == F.col("w"), "left_semi").dropDuplicates(["node"])
     held = written(held, "set-members")
     both = pairs.join(held.select(F.col("node").alias("a_node"), F.col("shingles").alias("sa")),
