@@ -393,6 +393,39 @@ def search(index: SearchIndex | DataFrame, q, indices: list[str] | None = None,
     return index.restrict(indices, types).search(q)
 
 
+def search_requests(index: SearchIndex | DataFrame, requests: DataFrame, fld: str = "text") -> DataFrame:
+    """J3 + A3: answers a table of requests in one plan.
+
+    ``requests`` holds ``request_id, kind, value, index, type``; ``kind`` is
+    ``term`` (the value is one analysed token) or ``match`` (the value is
+    analysed; every token scores).  Equal requests are answered once, under
+    their smallest id.  Requests' tokens are joined to the postings once, so
+    the work follows the matched postings, not the number of requests.
+    Result: ``request_id`` and the columns of ``search``.
+    """
+    if isinstance(index, DataFrame):
+        index = SearchIndex.from_store(index)
+    asked = requests.groupBy("kind", "value", "index", "type").agg(F.min("request_id").alias("request_id"))
+    terms = F.when(F.col("kind") == "term", F.array("value")).when(
+        F.col("kind") == "match", F.array_distinct(analyze(F.col("value"))))
+    tokens = asked.select("request_id", "index", "type", F.explode(terms).alias("term"))
+    stats = index.stats if index.stats is not None else index.docs.groupBy("index", "type").agg(
+        F.count(F.lit(1)).alias("n"))
+    known = tokens.join(stats.groupBy("index", "type").agg(F.sum("n").alias("_n")), ["index", "type"])
+    tf = index._matches(fld, lambda t: t.isNotNull()).join(known, ["index", "type", "term"])
+    dfreq = tf.groupBy("request_id", "term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.lit(1.0) + F.log(F.col("_n") / (F.col("df") + F.lit(1)))
+    score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len"))
+    hits = tf.join(dfreq, ["request_id", "term"]).groupBy("request_id", *KEYS).agg(F.sum(score).alias("score"))
+    on = KEYS
+    if index.doc_buckets:
+        hits, on = hits.withColumn(BUCKET, key_bucket(index.doc_buckets)), KEYS + [BUCKET]
+    docs = index._current(index.docs)
+    out = hits.join(docs, on).select("request_id", *KEYS, "text", "count",
+                                     F.round(F.col("score"), SCORE_DIGITS).alias("score"))
+    return hits_json(out)
+
+
 def ranked(hits: DataFrame, size: int | None = None) -> DataFrame:
     """Hits by score descending, then id; the first ``size`` only when given."""
     out = hits.orderBy(F.col("score").desc(), F.col("id").asc())

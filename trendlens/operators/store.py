@@ -114,14 +114,15 @@ def update_store(store: DataFrame, changed: DataFrame) -> DataFrame:
         .groupBy(*STORE_KEYS).agg(F.min("text").alias("text"), F.sum("count").alias("count"))
 
 
-def parse_search_args(df: DataFrame, col: str = "args") -> DataFrame:
-    """``"<query> <index> <type>"`` -> ``query, indices[1], types[1]``.
+def parse_search_args(df: DataFrame, col: str = "args", keep: list[str] | None = None) -> DataFrame:
+    """``"<query> <index> <type>"`` -> ``query, indices[1], types[1]`` (and the columns ``keep``).
 
     Index and type are the last two space-free words, so a query holding
     spaces survives (quirk X6).
     """
     pattern = r"^(.*) (\S+) (\S+)$"
     return df.select(
+        *(keep or []),
         F.regexp_extract(F.col(col), pattern, 1).alias("query"),
         F.array(F.regexp_extract(F.col(col), pattern, 2)).alias("indices"),
         F.array(F.regexp_extract(F.col(col), pattern, 3)).alias("types"))

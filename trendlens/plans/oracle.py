@@ -268,3 +268,45 @@ ORACLE: dict[str, str] = {
 
 # a stream that has read all documents holds what one pass over them gives
 ORACLE["stream_sketch_topk"] = ORACLE["topk_words_cms"]
+ORACLE |= {
+    "entities_events": _entities("""
+        SELECT event_id AS tweet_id, unnest(['account_mentioned', 'reply_to_account', 'hashtag']) AS content_type,
+               unnest([user_id::VARCHAR, CASE WHEN user_id > 0 THEN user_id::VARCHAR END, lower(event_type)]) AS content_name
+        FROM events""") + " WHERE content_type <> 'reply_to_account' OR content_name IS NOT NULL",
+    "entities_reposts": _entities("""
+        SELECT l_orderkey * 10 + l_linenumber AS tweet_id, unnest(['account_retweeted', 'status_retweeted']) AS content_type,
+               unnest([l_suppkey::VARCHAR, l_partkey::VARCHAR]) AS content_name
+        FROM lineitem""").replace("SELECT DISTINCT", "SELECT"),   # order lines that share their numbers are posts of their own
+    "entities_places": _entities("""
+        SELECT c_custkey AS tweet_id, unnest(['place_country-code', 'place_fullname']) AS content_type,
+               unnest([n_nationkey::VARCHAR, n_name]) AS content_name
+        FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
+    "topk_words_own_stop_list": f"""
+        WITH wc AS (SELECT w, count(*) AS n FROM ({DOC_WORDS}) GROUP BY w),
+        stop AS (SELECT w FROM wc ORDER BY n DESC, w LIMIT 30)
+        SELECT w AS word, n AS count FROM wc WHERE w NOT IN (SELECT trim(w) FROM stop) ORDER BY n DESC, w LIMIT {Q.TOP_K}
+    """,
+    "parsed_posts": """
+        SELECT lang, count(*) AS posts, sum(length(text))::BIGINT AS chars FROM documents WHERE doc_id % 7 <> 0 GROUP BY lang
+        UNION ALL SELECT NULL, count(*), 12 * count(*) FROM documents WHERE doc_id % 7 = 0
+    """,
+    "cms_from_error": f"""
+        WITH wh AS (SELECT w, n, {h1('w')} AS a, {h2('w')} AS b FROM (SELECT w, count(*) AS n FROM ({KEPT_WORDS}) GROUP BY w))
+        SELECT r::INTEGER AS row, (a + r * b) % 1000 AS bucket, sum(n)::BIGINT AS cnt FROM wh, range(10) t(r) GROUP BY 1, 2
+    """,
+    "cms_saved": CMS_CELLS,
+    "store_updated": ORACLE["doc_counts"],
+    "requests_search": f"""
+        WITH {store_cte()},
+        req AS (
+            SELECT min(item_id) AS request_id, value
+            FROM (SELECT item_id, regexp_split_to_array(lower(text), {ANALYZER})[1] AS value FROM benchmark)
+            WHERE value <> '' GROUP BY value),
+        tf AS (
+            SELECT r.request_id, t.id, t.dl, count(*) AS tf FROM toks t JOIN req r ON t.term = r.value GROUP BY ALL),
+        scored AS (
+            SELECT f.request_id, f.id, sqrt(tf) * (1 + ln((SELECT n FROM nd) / (d.df + 1))) ^ 2 / sqrt(dl) AS score
+            FROM tf f JOIN (SELECT request_id, count(*) AS df FROM tf GROUP BY request_id) d USING (request_id))
+        SELECT x.request_id, x.id, s.count, round(x.score, 6) AS score FROM scored x JOIN store s USING (id)
+    """,
+}

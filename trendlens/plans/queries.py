@@ -25,8 +25,10 @@ from trendlens.operators.search import (
     Term,
     Wildcard,
     search,
+    search_requests,
 )
 from trendlens.operators.sketch import (
+    CountMinSketch,
     SketchParams,
     build_sketch,
     build_sketches_by,
@@ -35,17 +37,29 @@ from trendlens.operators.sketch import (
     sketch_estimates,
     sketch_top_k,
 )
-from trendlens.operators.store import STORE_KEYS, doc_store
+from trendlens.operators.store import (
+    DEFAULT_INDEX,
+    DEFAULT_TYPE,
+    STORE_KEYS,
+    doc_store,
+    parse_search_args,
+    update_store,
+    write_store,
+)
 from trendlens.operators.topk import top_k, top_k_string
 from trendlens.operators.words import drop_stop_words, tokens, track_filter, word_counts
 from trendlens.session import scratch_path
 from trendlens.sources.posts import (
     conversations_as_posts,
+    customers_as_posts,
     documents_as_posts,
+    events_as_posts,
+    lineitems_as_posts,
     pages_as_posts,
+    parse_raw_posts,
     read_posts_stream,
 )
-from trendlens.sources.stopwords import stop_words_df
+from trendlens.sources.stopwords import read_stop_words, stop_words_df
 from trendlens.sources.tables import read_table, session_fan_out
 from trendlens.streaming import (
     Snapshots,
@@ -63,6 +77,7 @@ TOPK_PARAMS = SketchParams(depth=15, width=1000, seed=10)   # top-k program's sk
 COUNT_PARAMS = SketchParams(depth=15, width=100, seed=10)   # word-count program's sketch
 LOOKUP_REQUEST = "to the apple ties under trash"
 BLOOM_CAPACITY = 500
+OWN_STOP_WORDS = 30
 BLOOM_FPP = 0.01
 TRACK_KEYWORDS = ("trash", "idiot", "under the")
 SPLIT_SEPARATOR = ","
@@ -246,6 +261,85 @@ def entities_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_entities(posts).select(*ENTITY_COLUMNS)
 
 
+def entities_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentioned and replied-to accounts and hashtags of events."""
+    posts = events_as_posts(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"]))
+    return extract_entities(posts).select(*ENTITY_COLUMNS)
+
+
+def entities_reposts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts and statuses that order lines pass on."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    posts = lineitems_as_posts(read_table(spark, sf_dir, "lineitem", columns))
+    return extract_entities(posts).select(*ENTITY_COLUMNS)
+
+
+def entities_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of customers."""
+    posts = customers_as_posts(read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"]),
+                               read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    return extract_entities(posts).select(*ENTITY_COLUMNS)
+
+
+# -- files, requests, updates ------------------------------------------------------
+
+def topk_words_own_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commonest words, written as a stop-word file and read back, leave; top-5 of the rest."""
+    words = _doc_words(spark, sf_dir)
+    path = scratch_path(spark, "stop-words")
+    commonest = top_k(word_counts(words, "w", out="count"), OWN_STOP_WORDS, "count", "w")
+    commonest.select(F.concat(F.upper("w"), F.lit("\r")).alias("value")).write.text(path)
+    kept = drop_stop_words(words, "w", read_stop_words(spark, path))
+    return top_k(word_counts(kept, "w", out="count"), TOP_K, "count", "w").select(F.col("w").alias("word"), "count")
+
+
+def parsed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as raw JSON lines, every seventh cut short; good posts and bad lines counted by language."""
+    docs = _docs(spark, sf_dir, ["doc_id", "text", "lang"])
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), "text", "lang"))
+    raw = docs.select(F.when(F.col("doc_id") % 7 == 0, F.substring(line, 1, 12)).otherwise(line).alias("value"))
+    good, bad = parse_raw_posts(raw)
+    return good.groupBy("lang").agg(F.count(F.lit(1)).alias("posts"), F.sum(F.length("text")).alias("chars")).unionByName(
+        bad.agg(F.lit(None).cast("string").alias("lang"), F.count(F.lit(1)).alias("posts"),
+                F.sum(F.length("_corrupt")).alias("chars")))
+
+
+def cms_from_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of a sketch sized from error targets (0.2 % at 99.9 %)."""
+    params = SketchParams.from_error(0.002, 0.999)
+    return build_sketch(_kept_words(spark, sf_dir), "w", params).cells.select("row", "bucket", "cnt")
+
+
+def cms_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' sketch, saved and loaded."""
+    path = scratch_path(spark, "sketch")
+    build_sketch(_kept_words(spark, sf_dir), "w", TOPK_PARAMS).save(path)
+    return CountMinSketch.load(spark, path).cells.select("row", "bucket", "cnt")
+
+
+def store_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store of the English documents, written, kept and updated with the others."""
+    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    path = scratch_path(spark, "store")
+    write_store(doc_store(posts.where(english)), path)
+    kept = spark.read.schema("index string, type string, id string, text string, count bigint").parquet(path)
+    return update_store(kept, doc_store(posts.where(~english)))
+
+
+def requests_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests made of the benchmark's texts, parsed, de-duplicated and answered together."""
+    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    first = F.get(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), 0)
+    args = bench.select("item_id", F.concat(first, F.lit(f" {DEFAULT_INDEX} {DEFAULT_TYPE}")).alias("args"))
+    parsed = parse_search_args(args, keep=["item_id"])
+    requests = parsed.select(F.col("item_id").alias("request_id"), F.lit("match").alias("kind"),
+                             F.col("query").alias("value"), F.get("indices", 0).alias("index"),
+                             F.get("types", 0).alias("type"))
+    found = search_requests(search_index(spark, sf_dir), requests)
+    return found.select("request_id", "id", "count", "score")
+
+
 # -- streaming -------------------------------------------------------------------
 
 # Landed post files per (application, input folder): the landing stands in for
@@ -332,6 +426,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entities_reply": entities_reply,
     "entities_source": entities_source,
     "entities_url": entities_url,
+    "entities_events": entities_events,
+    "entities_reposts": entities_reposts,
+    "entities_places": entities_places,
+    "topk_words_own_stop_list": topk_words_own_stop_list,
+    "parsed_posts": parsed_posts,
+    "cms_from_error": cms_from_error,
+    "cms_saved": cms_saved,
+    "store_updated": store_updated,
+    "requests_search": requests_search,
     "stream_doc_counts": stream_doc_counts,
     "stream_topk": stream_topk,
     "stream_sketch_topk": stream_sketch_topk,

@@ -125,3 +125,33 @@ def pages_as_posts(pages: DataFrame) -> DataFrame:
         id=F.col("page_id"), text=F.col("url"),
         user=F.struct(_null(T.LongType()).alias("id"), _null(T.StringType()).alias("screen_name")),
         urls=urls))
+
+
+def events_as_posts(events: DataFrame) -> DataFrame:
+    """``events`` as posts: the event's user is mentioned and replied to, its type is a hashtag."""
+    user = F.struct(F.col("user_id").cast("bigint").alias("id"), _null(T.StringType()).alias("screen_name"))
+    return events.select(*_post(
+        id=F.col("event_id"), created_at=F.col("ts"), text=F.col("props"), user=user, user_mentions=F.array(user),
+        hashtags=F.array(F.struct(F.upper("event_type").alias("text"))),
+        in_reply_to_user_id=F.col("user_id"), urls=F.array().cast(POST_SCHEMA["urls"].dataType)))
+
+
+def lineitems_as_posts(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` as posts: an order line passes on the part (a status) of its supplier (an account)."""
+    none = F.struct(_null(T.LongType()).alias("id"), _null(T.StringType()).alias("screen_name"))
+    return lineitem.select(*_post(
+        id=F.col("l_orderkey") * 10 + F.col("l_linenumber"), text=F.lit(""), user=none,
+        retweeted_status=F.struct(F.col("l_partkey").cast("bigint").alias("id"),
+                                  F.struct(F.col("l_suppkey").cast("bigint").alias("id")).alias("user")),
+        urls=F.array().cast(POST_SCHEMA["urls"].dataType)))
+
+
+def customers_as_posts(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """``customer`` joined to ``nation`` as posts placed in the customer's nation."""
+    placed = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    place = F.when(F.col("n_name").isNotNull(), F.struct(
+        F.col("n_nationkey").cast("string").alias("country_code"), F.col("n_name").alias("full_name")))
+    return placed.select(*_post(
+        id=F.col("c_custkey"), text=F.col("c_name"), place=place,
+        user=F.struct(F.col("c_custkey").cast("bigint").alias("id"), F.col("c_name").alias("screen_name")),
+        urls=F.array().cast(POST_SCHEMA["urls"].dataType)))
