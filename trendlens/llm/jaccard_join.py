@@ -18,6 +18,8 @@ union.  The join is exact, and a document is one of a class of equal sets.
    the points is searched for partners in other components: a box bounds the
    overlap by the sum of the smaller of its largest counts and the query's.
    Blocks beyond ``PART`` members are split into parts, which meet in pairs.
+   Blocks of one or two leaves (``SMALL``) need no tree: their pairs are
+   bounded by the same sum, each distinct pair once.
 5. Surviving pairs are verified on the sets themselves, and links become
    components by rounds of joins.
 
@@ -50,7 +52,7 @@ PART = 512
 LEAF = 16
 #: The largest count a byte holds.
 FULL = 255
-#: Members up to which a block's pairs are bounded directly: two leaves need no tree above them.
+#: Members up to which a block's pairs are bounded directly: no more than two leaves.
 SMALL = 2 * LEAF
 #: Bits of the filter that keeps sets no pair names from being shuffled for verification: 1 MB, whatever the input.
 FILTER_BITS = 1 << 23
@@ -238,10 +240,13 @@ def _renumbered(sets: DataFrame) -> DataFrame:
 # -- blocks --------------------------------------------------------------------------------
 
 def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) -> DataFrame:
-    """(h, node, center) of every prefix shingle that two sets or more hold; ``center`` is the block's first node."""
+    """(h, node, n, center, center_n) of every prefix shingle that two sets or more hold.
+
+    ``n`` is the set's size; ``center`` is the block's first node.
+    """
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, nodes = [], []
+            hashes, nodes, sizes = [], [], []
             for node, data in zip(batch.column("node").to_pylist(), batch.column("shingles"), strict=True):
                 s = np.frombuffer(data.as_buffer(), "<u8")
                 keep = len(s) - -(-percent * len(s) // 100) + 1
@@ -251,47 +256,49 @@ def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) ->
                         s = np.concatenate([s[~last], s[last]])
                 hashes.append(s[:keep])
                 nodes.append(np.full(keep, node, np.int64))
+                sizes.append(np.full(keep, len(s), np.int32))
             if hashes:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)),
-                                                  pa.array(np.concatenate(nodes))], names=["h", "node"])
+                                                  pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
+                                                 names=["h", "node", "n"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by (h, node): keeps runs of one h with two nodes or more, without repeats."""
-        open_h, center, alone, last = None, None, False, None
+        open_h, center, center_n, alone, last = None, 0, 0, False, None
         for batch in batches:
-            h, node = (batch.column(c).to_numpy() for c in ("h", "node"))
+            h, node, n = (batch.column(c).to_numpy() for c in ("h", "node", "n"))
             if not len(h):
                 continue
             new = np.concatenate([[h[0] != open_h], h[1:] != h[:-1]])
             again = ~new & (node == np.concatenate([[last if last is not None else node[0] + 1], node[:-1]]))
             first = np.flatnonzero(new)
-            run = np.cumsum(new) - 1                      # -1: the run that the last batch left open
-            centers = node[first]
-            its = np.where(run >= 0, centers[np.maximum(run, 0)] if len(first) else 0,
-                           center if center is not None else 0)
+            run = np.cumsum(new)                          # 0: the run that the last batch left open
+            its = np.concatenate([[center], node[first]])[run]
+            its_n = np.concatenate([[center_n], n[first]])[run]
             member = (node != its) & ~again               # a second, third, ... node of its run
-            shared = np.zeros(len(first), bool)
-            shared[run[member & (run >= 0)]] = True
-            heads = first[shared]
-            out_h, out_node, out_center = [h[member]], [node[member]], [its[member]]
-            out_h.append(h[heads])
-            out_node.append(node[heads])
-            out_center.append(node[heads])
-            if alone and (member & (run < 0)).any():      # the open run's first node was held back
-                out_h.append(np.array([open_h]))
-                out_node.append(np.array([center]))
-                out_center.append(np.array([center]))
+            shared = np.zeros(len(first) + 1, bool)
+            shared[run[member]] = True
+            heads = first[shared[1:]]
+            out = [[h[member], node[member], n[member], its[member], its_n[member]],
+                   [h[heads], node[heads], n[heads], node[heads], n[heads]]]
+            if alone and shared[0]:                       # the open run's first node was held back
+                out.append([np.array([x]) for x in (open_h, center, center_n, center, center_n)])
                 alone = False
             if len(first):
-                alone = not shared[-1]
-                center = centers[-1]
+                alone, center, center_n = not shared[-1], node[first[-1]], n[first[-1]]
             open_h, last = h[-1], node[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in
-                                              (out_h, out_node, out_center)], names=["h", "node", "center"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], names=names)
 
-    rows = docs.where("shingles IS NOT NULL").select("node", "shingles").mapInArrow(prefixes, "h long, node long")
+    names = ["h", "node", "n", "center", "center_n"]
+    rows = docs.where("shingles IS NOT NULL").select("node", "shingles").mapInArrow(
+        prefixes, "h long, node long, n int")
     ordered = rows.repartition(partitions, "h").sortWithinPartitions("h", "node")
-    return written(ordered.mapInArrow(runs, "h long, node long, center long"), "shingle-blocks")
+    return written(ordered.mapInArrow(runs, ", ".join(f"{c} long" for c in names)), "shingle-blocks")
+
+
+def _sizes_allow(a: str, b: str, percent: int):
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 # -- the tree ---------------------------------------------------------------------------------
@@ -337,71 +344,90 @@ def _spread(starts: np.ndarray, width: int, end: int) -> np.ndarray:
     return every[every < end]
 
 
-def _tree_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame | None, percent: int, partitions: int
-                ) -> DataFrame:
-    """(a, b) of all pairs of one block, in different components, that the trees let through."""
-    rows = blocks.select("h", "node")
-    if comps is not None:
-        rows = rows.join(comps.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select(
-            "h", "node", F.coalesce("component", "node").alias("component"))
-    else:
-        rows = rows.withColumn("component", F.col("node"))
+def _runs_of(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, with the groups' bounds, from rows sorted by ``keys``."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None or not rest.num_rows else pa.concat_tables([rest, table])
+        change = _changes(rest, keys)
+        if len(change):
+            yield rest.slice(0, int(change[-1])), np.concatenate([[0], change])
+            rest = rest.slice(int(change[-1]))
+    if rest is not None and rest.num_rows:
+        yield rest, np.concatenate([[0], _changes(rest, keys), [rest.num_rows]])
+
+
+def _changes(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    values = [table.column(k).to_numpy() for k in keys]
+    return np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in values])) + 1
+
+
+def _pair_batch(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    none = [np.zeros(0, np.int64)]
+    x, y = np.concatenate(none + left).astype(np.int64), np.concatenate(none + right).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+
+def _open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """(a, b) of the pairs of one block, in different components, whose counts allow a link.
+
+    Blocks up to ``SMALL`` members pair those whose sizes allow a link, and
+    each distinct pair is bounded once; larger blocks are searched by trees.
+    """
+    rows = blocks.select("h", "node", "n").join(
+        comps.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select(
+        "h", "node", "n", F.coalesce("component", "node").alias("component"))
     rows = written(rows, "block-members")
     open_blocks = rows.groupBy(F.col("h").alias("o_h")).agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where(
-        "low <> high").select("o_h", F.ceil(F.col("members") / PART).alias("parts"))
-    dealt = rows.join(open_blocks, F.col("h") == F.col("o_h")).withColumn(
+        "low <> high").drop("low", "high")
+    left = written(rows.join(open_blocks, F.col("h") == F.col("o_h")).drop("o_h"), "open-blocks")
+
+    def side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _runs_of(batches, "h"):
+            size, node, comp = (table.column(c).to_numpy() for c in ("n", "node", "component"))
+            starts, members = bounds[:-1], np.diff(bounds)
+            one, two = [], []
+            for m in np.unique(members).tolist():
+                base = starts[members == m]
+                x, y = (base[:, None] + place for place in np.triu_indices(m, 1))
+                x, y = x.ravel(), y.ravel()
+                fits = (comp[x] != comp[y]) & (
+                    100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+                one.append(node[x[fits]])
+                two.append(node[y[fits]])
+            yield _pair_batch(one, two)
+
+    small = left.where(F.col("members") <= SMALL).select("h", "node", "n", "component").repartition(
+        partitions, "h").sortWithinPartitions("h").mapInArrow(side_by_side, "a long, b long").distinct()
+    return _bounded(small, points, percent).unionByName(
+        _tree_pairs(left.where(F.col("members") > SMALL), points, percent, partitions)).distinct()
+
+
+def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """(a, b) of the pairs of one block, in different components, that the trees let through."""
+    dealt = rows.withColumn("parts", F.ceil(F.col("members") / PART)).withColumn(
         "part", F.pmod(F.xxhash64("node"), "parts")).withColumn(
         "meets", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     placed = dealt.select("h", F.least("part", "meets").alias("i"), F.greatest("part", "meets").alias("j"), "part",
-                          "node", "component")
-    full = placed.join(points.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node")).drop("p_node")
+                          "node", "n", "component")
+    counts = points.select(F.col("node").alias("p_node"), "counts")
+    full = placed.join(counts, F.col("node") == F.col("p_node")).drop("p_node")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            keys = [rest.column(c).to_numpy() for c in ("h", "i", "j")]
-            change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-            if not len(change):
-                continue
-            cut = int(change[-1])
-            yield pairs(rest.slice(0, cut), np.concatenate([[0], change]))
-            rest = rest.slice(cut)
-        if rest is not None and rest.num_rows:
-            keys = [rest.column(c).to_numpy() for c in ("h", "i", "j")]
-            change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-            yield pairs(rest, np.concatenate([[0], change, [rest.num_rows]]))
+        for table, bounds in _runs_of(batches, "h", "i", "j"):
+            yield pairs(table, bounds)
 
     def pairs(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
         size, part, i, j, node, comp = (table.column(c).to_numpy() for c in
                                         ("n", "part", "i", "j", "node", "component"))
-        size = size.astype(np.int64)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        starts, members = bounds[:-1], np.diff(bounds)
-        whole = i[starts] == j[starts]                       # a block or part that meets itself
-        for m in range(2, SMALL + 1):                        # small ones of one size side by side
-            base = starts[whole & (members == m)]
-            x, y = (base[:, None] + place for place in np.triu_indices(m, 1))
-            x, y = x.ravel(), y.ravel()
-            fits = (comp[x] != comp[y]) & (
-                100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
-            x, y = x[fits], y[fits]
-            for at in range(0, len(x), 1 << 16):
-                p, q = x[at:at + (1 << 16)], y[at:at + (1 << 16)]
-                good = overlap_bound(counts[p], counts[q]) >= needed_overlap(size[p], size[q], percent)
-                left.append(node[p[good]])
-                right.append(node[q[good]])
-        for a, b, own in zip(starts.tolist(), bounds[1:].tolist(), whole.tolist(), strict=True):
-            if own and b - a <= SMALL:
-                continue
-            if own:
-                mine = other = np.arange(a, b)
-            else:
-                mine = a + np.flatnonzero(part[a:b] == i[a])
-                other = a + np.flatnonzero(part[a:b] == j[a])
+        left, right = [], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            own = i[a] == j[a]                            # a part that meets itself
+            mine = a + np.flatnonzero(part[a:b] == i[a])
+            other = mine if own else a + np.flatnonzero(part[a:b] == j[a])
             if not len(mine) or not len(other):
                 continue
             tree = CountTree(counts[other], size[other])
@@ -412,8 +438,7 @@ def _tree_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame | None, p
                     found = found[found > q]
                 left.append(np.full(len(found), node[q]))
                 right.append(node[found])
-        x, y = np.concatenate(left).astype(np.int64), np.concatenate(right).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        return _pair_batch(left, right)
 
     ordered = full.repartition(partitions, "h", "i", "j").sortWithinPartitions("h", "i", "j")
     return ordered.mapInArrow(search, "a long, b long").distinct()
@@ -497,10 +522,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = np.sort(np.array([r[0] for r in hot.select("hashes").collect()], np.int64).view(np.uint64))
     blocks = _blocks(rows, hot, percent, partitions)
     points = written(rows.where("counts IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"]), "points")
-    stars = blocks.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    stars = blocks.where("node <> center").where(_sizes_allow("n", "center_n", percent)).select(
+        F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     links = written(_verified(_bounded(stars, points, percent), rows, percent), "star-links")
     comps = written(connected_components(links), "star-components")
-    found = _verified(_tree_pairs(blocks, points, comps, percent, partitions), rows, percent)
+    found = _verified(_open_pairs(blocks, points, comps, percent, partitions), rows, percent)
     every = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
     comps = connected_components(every)
     slim = rows.select("id", "n", "node")
