@@ -189,7 +189,8 @@ def _components(texts):
     return [(len(s), n) for s, n in zip(sets, name)]
 
 
-def test_jaccard_on_near_copies_and_shared_passages(spark, monkeypatch):
+@pytest.mark.parametrize("batch", ["10000", "7"])
+def test_jaccard_on_near_copies_and_shared_passages(spark, monkeypatch, batch):
     rng = random.Random(5)
     passage = " ".join(f"p{i}" for i in range(40))
     base = [f"w{i}" for i in range(60)]
@@ -203,7 +204,14 @@ def test_jaccard_on_near_copies_and_shared_passages(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PART", 8)
     monkeypatch.setattr(jaccard_join, "COMMON", 3)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"         # runs of one shingle go over several batches
+    before = spark.conf.get(size)
+    spark.conf.set(size, batch)
+    try:
+        found = jaccard_join.jaccard_components(df).collect()
+    finally:
+        spark.conf.set(size, before)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found}
     assert [got[i] for i in range(len(texts))] == _components(texts)
 
 

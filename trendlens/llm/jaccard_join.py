@@ -12,14 +12,15 @@ union.  The join is exact, and a document is one of a class of equal sets.
    shingles that many sets hold last (at most ``HOT`` of them are told to the
    tasks; which ones changes the work, never the result).  The sets that hold
    the same such shingle form a block; only sets of one block are compared.
-3. First each block's members are compared to the block's first member, which
-   joins large groups of near copies into components without their pairs.
-4. Then, in every block whose members are not yet one component, an R-tree of
-   the points is searched for partners in other components: a box bounds the
-   overlap by the sum of the smaller of its largest counts and the query's.
-   Blocks beyond ``PART`` members are split into parts, which meet in pairs.
-   Blocks of one or two leaves (``SMALL``) need no tree: their pairs are
-   bounded by the same sum, each distinct pair once.
+3. The pairs of blocks of up to ``SMALL`` members, no more than two leaves, are
+   bounded directly.  Of a larger block, first each member is compared to the
+   block's first member, which joins large groups of near copies into
+   components without their pairs.
+4. Then, in every large block whose members are not yet one component, an
+   R-tree of the points is searched for partners in other components: a box
+   bounds the overlap by the sum of the smaller of its largest counts and the
+   query's.  Blocks beyond ``PART`` members are split into parts, which meet in
+   pairs.
 5. Surviving pairs are verified on the sets themselves, and links become
    components by rounds of joins.
 
@@ -239,10 +240,16 @@ def _renumbered(sets: DataFrame) -> DataFrame:
 
 # -- blocks --------------------------------------------------------------------------------
 
+_BLOCKS = "kind string, h long, node long, n long, center long, center_n long"
+_BLOCKS_NAMES = [c.split()[0] for c in _BLOCKS.split(", ")]
+
+
 def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) -> DataFrame:
-    """(h, node, n, center, center_n) of every prefix shingle that two sets or more hold.
+    """Of the prefix shingles ``h`` that two sets or more hold, a written table of two kinds of rows.
 
-    ``n`` is the set's size; ``center`` is the block's first node.
+    ``pair``: a pair (node, center) of a block of up to ``SMALL`` members, of
+    sizes (n, center_n) that allow a link.  ``member``: a member of a larger
+    block, with the block's first node as ``center``.
     """
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,38 +270,80 @@ def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) ->
                                                  names=["h", "node", "n"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by (h, node): keeps runs of one h with two nodes or more, without repeats."""
-        open_h, center, center_n, alone, last = None, 0, 0, False, None
+        """Rows come by (h, node).  A run is held back until it ends or has more than ``SMALL`` members."""
+        rest, large_h, center, center_n = [np.zeros(0, np.int64)] * 3, None, 0, 0
         for batch in batches:
-            h, node, n = (batch.column(c).to_numpy() for c in ("h", "node", "n"))
-            if not len(h):
-                continue
-            new = np.concatenate([[h[0] != open_h], h[1:] != h[:-1]])
-            again = ~new & (node == np.concatenate([[last if last is not None else node[0] + 1], node[:-1]]))
-            first = np.flatnonzero(new)
-            run = np.cumsum(new)                          # 0: the run that the last batch left open
-            its = np.concatenate([[center], node[first]])[run]
-            its_n = np.concatenate([[center_n], n[first]])[run]
-            member = (node != its) & ~again               # a second, third, ... node of its run
-            shared = np.zeros(len(first) + 1, bool)
-            shared[run[member]] = True
-            heads = first[shared[1:]]
-            out = [[h[member], node[member], n[member], its[member], its_n[member]],
-                   [h[heads], node[heads], n[heads], node[heads], n[heads]]]
-            if alone and shared[0]:                       # the open run's first node was held back
-                out.append([np.array([x]) for x in (open_h, center, center_n, center, center_n)])
-                alone = False
-            if len(first):
-                alone, center, center_n = not shared[-1], node[first[-1]], n[first[-1]]
-            open_h, last = h[-1], node[-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], names=names)
-
-    names = ["h", "node", "n", "center", "center_n"]
+            new = [batch.column(c).to_numpy().astype(np.int64) for c in ("h", "node", "n")]
+            rows = [np.concatenate(x) for x in zip(rest, new, strict=True)]
+            once = np.ones(len(rows[0]), bool)            # a set that several tasks saw comes more than once
+            once[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+            h, node, n = (x[once] for x in rows)
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+            ends = np.append(starts[1:], len(h))
+            # the last run may go on: it stays back unless it is large already
+            keep_from = int(starts[-1]) if len(starts) else 0
+            if len(starts) and (ends[-1] - starts[-1] > SMALL or h[-1] == large_h):
+                keep_from = len(h) - 1                    # its last row stays, so that a repeat of it is seen
+            yield emit(h, node, n, starts, ends, keep_from, large_h, center, center_n)
+            if len(starts) and keep_from > starts[-1] and h[-1] != large_h:
+                large_h, center, center_n = h[-1], node[starts[-1]], n[starts[-1]]
+            rest = [x[keep_from:] for x in (h, node, n)]
+        h, node, n = rest
+        if len(h):
+            yield emit(h, node, n, np.zeros(1, np.int64), np.array([len(h)]), len(h), large_h, center, center_n)
+
+    def emit(h, node, n, starts, ends, upto, large_h, center, center_n) -> pa.RecordBatch:
+        """Rows before ``upto``; a run of ``large_h`` goes on with its block's center."""
+        out = []
+        members = ends - starts
+        goes_on = (h[starts] == large_h) if large_h is not None and len(starts) else np.zeros(len(starts), bool)
+        for m in range(2, SMALL + 1):                     # small runs of one size side by side
+            base = starts[(members == m) & ~goes_on & (ends <= upto)]
+            if len(base):
+                x, y = (base[:, None] + place for place in np.triu_indices(m, 1))
+                x, y = x.ravel(), y.ravel()
+                fits = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+                x, y = x[fits], y[fits]
+                out.append(("pair", h[x], node[x], n[x], node[y], n[y]))
+        for k in np.flatnonzero((members > SMALL) | goes_on).tolist():
+            at = np.arange(starts[k], min(int(ends[k]), upto))
+            first = (center, center_n) if goes_on[k] else (node[starts[k]], n[starts[k]])
+            out.append(("member", h[at], node[at], n[at], np.full(len(at), first[0]), np.full(len(at), first[1])))
+        kinds = np.concatenate([np.full(len(o[1]), o[0], object) for o in out]) if out else np.zeros(0, object)
+        columns = [np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(1, 6)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kinds, pa.string()), *(pa.array(c.astype(np.int64)) for c in columns)], names=_BLOCKS_NAMES)
+
     rows = docs.where("shingles IS NOT NULL").select("node", "shingles").mapInArrow(
         prefixes, "h long, node long, n int")
     ordered = rows.repartition(partitions, "h").sortWithinPartitions("h", "node")
-    return written(ordered.mapInArrow(runs, ", ".join(f"{c} long" for c in names)), "shingle-blocks")
+    return written(ordered.mapInArrow(runs, _BLOCKS), "shingle-blocks", "kind")
+
+
+def _first_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of small blocks, and of large blocks' members with their first, whose prefixes allow a link.
+
+    A shared shingle lies in both prefixes or in the rest of one of the sets.
+    So the intersection is at most the small blocks that hold both, plus the
+    large blocks that may hold both, plus the longer of the two rests.
+    """
+    large = blocks.where("kind = 'member'")
+    stars = large.where("node <> center").where(_sizes_allow("n", "center_n", percent)).select(
+        F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+    small = blocks.where("kind = 'pair'").select(
+        F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"),
+        F.when(F.col("node") < F.col("center"), F.col("n")).otherwise(F.col("center_n")).alias("na"),
+        F.when(F.col("node") < F.col("center"), F.col("center_n")).otherwise(F.col("n")).alias("nb"))
+    pairs = small.groupBy("a", "b").agg(F.count("*").alias("together"), F.first("na").alias("na"),
+                                        F.first("nb").alias("nb"))
+    held = written(large.groupBy(F.col("node").alias("l_node")).agg(F.count("*").alias("held")), "large-members")
+    for side in ("a", "b"):
+        pairs = pairs.join(held.withColumnRenamed("held", f"held_{side}"), F.col(side) == F.col("l_node"),
+                           "left").drop("l_node")
+    rest = F.ceil(F.greatest("na", "nb") * percent / 100) - 1
+    most = F.col("together") + F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0))) + rest
+    likely = pairs.where(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+    return likely.select("a", "b").union(stars).distinct()
 
 
 def _sizes_allow(a: str, b: str, percent: int):
@@ -370,39 +419,15 @@ def _pair_batch(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBat
 
 
 def _open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """(a, b) of the pairs of one block, in different components, whose counts allow a link.
-
-    Blocks up to ``SMALL`` members pair those whose sizes allow a link, and
-    each distinct pair is bounded once; larger blocks are searched by trees.
-    """
-    rows = blocks.select("h", "node", "n").join(
+    """(a, b) of the pairs of one large block, in different components, that the trees let through."""
+    rows = blocks.where("kind = 'member'").select("h", "node", "n").join(
         comps.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select(
         "h", "node", "n", F.coalesce("component", "node").alias("component"))
     rows = written(rows, "block-members")
     open_blocks = rows.groupBy(F.col("h").alias("o_h")).agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where(
         "low <> high").drop("low", "high")
-    left = written(rows.join(open_blocks, F.col("h") == F.col("o_h")).drop("o_h"), "open-blocks")
-
-    def side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in _runs_of(batches, "h"):
-            size, node, comp = (table.column(c).to_numpy() for c in ("n", "node", "component"))
-            starts, members = bounds[:-1], np.diff(bounds)
-            one, two = [], []
-            for m in np.unique(members).tolist():
-                base = starts[members == m]
-                x, y = (base[:, None] + place for place in np.triu_indices(m, 1))
-                x, y = x.ravel(), y.ravel()
-                fits = (comp[x] != comp[y]) & (
-                    100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
-                one.append(node[x[fits]])
-                two.append(node[y[fits]])
-            yield _pair_batch(one, two)
-
-    small = left.where(F.col("members") <= SMALL).select("h", "node", "n", "component").repartition(
-        partitions, "h").sortWithinPartitions("h").mapInArrow(side_by_side, "a long, b long").distinct()
-    return _bounded(small, points, percent).unionByName(
-        _tree_pairs(left.where(F.col("members") > SMALL), points, percent, partitions)).distinct()
+    return _tree_pairs(rows.join(open_blocks, F.col("h") == F.col("o_h")).drop("o_h"), points, percent, partitions)
 
 
 def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: int) -> DataFrame:
@@ -522,9 +547,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = np.sort(np.array([r[0] for r in hot.select("hashes").collect()], np.int64).view(np.uint64))
     blocks = _blocks(rows, hot, percent, partitions)
     points = written(rows.where("counts IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"]), "points")
-    stars = blocks.where("node <> center").where(_sizes_allow("n", "center_n", percent)).select(
-        F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_verified(_bounded(stars, points, percent), rows, percent), "star-links")
+    pairs = written(_first_pairs(blocks, percent), "first-pairs")
+    links = written(_verified(_bounded(pairs, points, percent), rows, percent), "star-links")
     comps = written(connected_components(links), "star-components")
     found = _verified(_open_pairs(blocks, points, comps, percent, partitions), rows, percent)
     every = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
