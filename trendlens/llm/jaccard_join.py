@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import batches_of, shuffle_partitions, written
+from trendlens.llm.common import batches_of, release_shuffles, shuffle_partitions, written
 from trendlens.llm.components import connected_components
 
 SHINGLE = 5
@@ -46,8 +46,8 @@ PERCENT = 75
 #: Groups of the count vectors (a power of two).
 GROUPS = 256
 #: Shingles that at least this many sets were seen to hold are ordered last, the commonest ``HOT`` of them.
-COMMON = 24
-HOT = 1 << 17
+COMMON = 16
+HOT = 1 << 18
 #: Members of a block that meet in one tree; larger blocks are split.
 PART = 512
 LEAF = 16
@@ -183,7 +183,7 @@ def build_sets(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE)
 
         def hot() -> pa.RecordBatch:
             value, seen = np.unique(np.concatenate(fresh), return_counts=True)
-            often = seen >= 3
+            often = seen >= 2
             row = ("hot", None, None, None, None, None, None, value[often].view(np.int64), seen[often].astype(np.int32))
             fresh.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _SETS_KINDS, strict=True)],
@@ -547,8 +547,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = np.sort(np.array([r[0] for r in hot.select("hashes").collect()], np.int64).view(np.uint64))
     blocks = _blocks(rows, hot, percent, partitions)
     points = written(rows.where("counts IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"]), "points")
+    spark = docs.sparkSession
+    release_shuffles(spark)
     pairs = written(_first_pairs(blocks, percent), "first-pairs")
+    release_shuffles(spark)
     links = written(_verified(_bounded(pairs, points, percent), rows, percent), "star-links")
+    release_shuffles(spark)
     comps = written(connected_components(links), "star-components")
     found = _verified(_open_pairs(blocks, points, comps, percent, partitions), rows, percent)
     every = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
