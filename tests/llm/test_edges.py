@@ -253,6 +253,23 @@ def test_license_phrases_and_templates(spark):
     assert got["labels"] == "cc-by,cc-by-nc,gpl,mit" and got["score"] == 1.0
 
 
+def test_wrapped_notices_are_found(spark):
+    notices, rows = [*license_scan.HEADERS, *license_scan.TEMPLATES], []
+    for number, (_, notice) in enumerate(notices):
+        w = notice.split()
+        rows.append((number, "code();\n" + "".join(f" * {' '.join(w[i:i + 4]).capitalize()},\n" for i in range(0, len(w), 4))))
+    got = {r["doc_id"]: r for r in license_scan.scan_documents(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for number, (label, _) in enumerate(notices):
+        assert label in got[number]["labels"].split(",") and got[number]["score"] >= license_scan.THRESHOLD
+
+
+def test_words_scattered_over_a_text_are_no_notice(spark):
+    text = "released\n" + "filler of lines\n" * 40 + "under\n" + "filler of lines\n" * 40 + "the mit licensed license"
+    got = license_scan.scan_documents(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (got["labels"], got["score"]) == ("", 0.0)
+
+
 def test_vectors_edges(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None]), (5, [nan, 1.0]),

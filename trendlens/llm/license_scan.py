@@ -1,8 +1,12 @@
 """License scans: exact set-similarity join of text blocks with license templates, in DataFrame operations only.
 
-A block is a line of a document; its set and a template's set are their
-distinct words.  A block matches a template when it holds at least
-``THRESHOLD`` of the template's words.  The join is exact:
+A block is a line of a document, or a run of words across its lines; its set
+and a template's set are their distinct words.  A block matches a template
+when it holds at least ``THRESHOLD`` of the template's words.  A run reaches
+as far to both sides of a template's rare word as the template is long, and
+``SLACK`` of that for words that wrapped lines add (comment marks such as
+``dnl``), so a notice is found wherever its lines are broken.  The join is
+exact:
 
 - the templates' words are ordered by how many blocks of the corpus hold them,
   rarest first (ties by word);
@@ -49,8 +53,29 @@ TEMPLATES = [
     ("cc0", "to the extent possible under law the author has waived all copyright"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
+#: (label, notice): license texts and source headers, which usually stand wrapped over several lines.
+HEADERS = [
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
+            "that the following conditions are met"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+            "public license as published by the free software foundation"),
+    ("lgpl", "is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+             "public license as published by the free software foundation"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero "
+             "general public license as published by the free software foundation"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the "
+                   "license at http www apache org licenses license 2 0"),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+            "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("boost-1.0", "distributed under the boost software license version 1 0"),
+]
 #: Share of a template's distinct words that a block must hold.
 THRESHOLD = 0.92
+#: How much longer than its template a run of words reaches, as a share.
+SLACK = 0.125
 
 # words after lower-casing A-Z: runs of digits, letters and anything beyond ASCII
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -67,11 +92,17 @@ def _template_rows(spark: SparkSession, templates: list[tuple[str, str]], thresh
     rows = []
     for number, (label, notice) in enumerate(templates):
         distinct = sorted(set(notice.split()))
-        rows.append((number, label, distinct, len(distinct), math.ceil(threshold * len(distinct) - 1e-9)))
-    return spark.createDataFrame(rows, "template int, label string, t_words array<string>, t_size int, needed int")
+        rows.append((number, label, distinct, len(distinct), math.ceil(threshold * len(distinct) - 1e-9),
+                     _reach(notice)))
+    return spark.createDataFrame(
+        rows, "template int, label string, t_words array<string>, t_size int, needed int, reach int")
+
+
+def _reach(notice: str) -> int:
+    return math.ceil(len(notice.split()) * (1 + SLACK))
 
 
-def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMPLATES,
+def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=(*TEMPLATES, *HEADERS),
                      threshold: float = THRESHOLD) -> DataFrame:
     """(id, text hash, label, containment) of every document and template that one of its blocks matches."""
     spark = docs.sparkSession
@@ -98,7 +129,21 @@ def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMP
             .withColumn("b_words", F.array_distinct(words(F.col("block")))).drop("block"))
     pairs = held.select("d_id", "d_hash", "b_words", F.explode("b_words").alias("word")).join(
         F.broadcast(prefix), "word").groupBy("d_id", "d_hash", "b_words", "template").agg(F.min("place").alias("first"))
-    surviving = pairs.join(F.broadcast(template_rows), "template").where(
+    lines = pairs.join(F.broadcast(template_rows), "template")
+    # what lies within a line is found there; runs are cut from texts of several lines, around each rare word
+    most = max((_reach(notice) for _, notice in templates), default=1)
+    wrapped = docs.where(F.instr(text_col, "\n") > 0).select(
+        F.col(id_col).alias("d_id"), F.xxhash64(text_col).alias("d_hash"), words(F.col(text_col)).alias("all_words"))
+    near = wrapped.select("d_id", "d_hash", "all_words", F.posexplode("all_words").alias("at", "word")).where(
+        F.col("word").isin(heads)).withColumn("from", F.greatest(F.lit(0), F.col("at") - most + 1)).select(
+        "d_id", "d_hash", "word", (F.col("at") - F.col("from")).alias("at"),
+        F.slice("all_words", F.col("from") + 1, F.lit(2 * most - 1)).alias("near"))
+    start = F.greatest(F.lit(0), F.col("at") - F.col("reach") + 1)
+    runs = near.join(F.broadcast(prefix), "word").join(F.broadcast(template_rows), "template").withColumn(
+        "b_words", F.array_distinct(F.slice("near", start + 1, F.col("at") - start + F.col("reach")))).withColumnRenamed(
+        "place", "first")
+    columns = ["d_id", "d_hash", "b_words", "first", "label", "t_words", "t_size", "needed"]
+    surviving = lines.select(*columns).unionByName(runs.select(*columns)).where(
         (F.size("b_words") >= F.col("needed")) & (F.col("t_size") - F.col("first") >= F.col("needed")))
     shared = F.size(F.array_intersect("b_words", "t_words"))
     return surviving.withColumn("shared", shared).where("shared >= needed").groupBy("d_id", "d_hash", "label").agg(
@@ -120,7 +165,7 @@ def phrase_places(list_of_words: Column, phrase: str) -> Column:
         F.array().cast("array<int>"))
 
 
-def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
+def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=(*TEMPLATES, *HEADERS),
                    threshold: float = THRESHOLD) -> DataFrame:
     """Phrases and template matches of every whole text, one row per row of ``docs``.
 
