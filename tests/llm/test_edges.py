@@ -282,6 +282,23 @@ def test_vectors_edges(spark):
     assert nn_descent.nearest_neighbours(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def _graph_recall(spark, x):
+    """Share of the ten nearest of every row that are among its neighbours in the graph."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    nodes, _, length = nn_descent.points_of(df, "vec_id", "embedding")
+    edges = {(r["u"], r["v"]) for r in nn_descent.build_graph(nodes, length).collect()}
+    d = np.array([((x - v) ** 2).sum(1) for v in x])
+    np.fill_diagonal(d, np.inf)
+    near = np.argsort(d, axis=1)[:, :10]
+    return np.mean([(i, int(j)) in edges for i, js in enumerate(near) for j in js])
+
+
+@pytest.mark.parametrize(("scale", "shift"), [(1e6, 0.0), (1e-8, 0.0), (1e-5, 1.0)])
+def test_graph_of_large_small_and_tight_vectors(spark, scale, shift):
+    x = np.random.default_rng(3).standard_normal((600, 16)) * scale + shift
+    assert _graph_recall(spark, x) >= 0.9
+
+
 def test_fingerprints():
     text = ("some words of a text that goes on, " * 90).encode()
     assert piecewise_hash.fingerprint(b"") == "3::" and piecewise_hash.fingerprint(text) == piecewise_hash.fingerprint(text)
