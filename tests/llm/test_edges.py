@@ -322,6 +322,19 @@ def test_secret_patterns_and_lexing():
     assert secret_scan.redact(text, secret_scan.scan(text)[1]).startswith('base = "[SECRET]"\n')
 
 
+@pytest.mark.parametrize("links", [10, 5000])
+def test_secrets_pass_any_number_of_names(links):
+    text = 'a0 = "kX93mQ/zz81Lw"\n' + "".join(f"a{i} = a{i - 1}\n" for i in range(1, links + 1)) + f"db_password = a{links}\n"
+    assert ("literal", 6, 19) in secret_scan.scan(text)[1]
+
+
+def test_passphrases_are_scored_by_words():
+    assert secret_scan.scan('passphrase = "correct horse battery staple"')[1] == [("literal", 14, 42)]
+    assert secret_scan.scan('authorization: "Bearer kX93mQ/zz81Lw"')[1] == [("literal", 16, 36)]
+    for message in ("please enter your new password", "the token is missing or invalid", "Authentication failed"):
+        assert secret_scan.lexed_spans(f'error_password = "{message}"') == []
+
+
 def test_redaction_keeps_rows_and_columns(docs):
     out = secret_scan.redact_documents(docs, length_col="n_chars")
     rows = {(r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()}

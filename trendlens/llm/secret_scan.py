@@ -39,8 +39,13 @@ SENSITIVE = {
 }
 THRESHOLD = 0.55
 SHORTEST = 8
-#: How often a binding is passed on from name to name.
-HOPS = 8
+#: Words that sentences and messages are made of; a passphrase is scored by its other words.
+COMMON = frozenset(
+    "a an and any are as at be been by can cannot could do does enter expired failed for from has have here if in "
+    "incorrect invalid is it its may missing must new no not of on or our please required set should so that the "
+    "their then there these they this to use valid value was we were when which will with wrong you your".split())
+#: Such words that make a literal as good as random.
+PHRASE = 5
 
 # a name, perhaps quoted, then an operator: the left side of a pair
 _PAIR = re.compile(
@@ -62,8 +67,10 @@ def sensitivity(name: str) -> float:
 def randomness(literal: str) -> float:
     """0 to 1: entropy of the characters against that of a random string as long, and mixed character kinds."""
     n = len(literal)
-    if n < SHORTEST or " " in literal:
+    if n < SHORTEST:
         return 0.0
+    if " " in literal:
+        return _phrase(literal.split())
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
     share = min(1.0, entropy / math.log2(min(n, 64)))
     kinds = (any(c.isdigit() for c in literal) + any(c.islower() for c in literal) + any(c.isupper() for c in literal)
@@ -71,6 +78,16 @@ def randomness(literal: str) -> float:
     return share * (0.5 if kinds < 2 else 0.85 if kinds == 2 else 1.0)
 
 
+def _phrase(words: list[str]) -> float:
+    """0 to 1: distinct uncommon words, by number and share; or the most random word that mixes letters and digits."""
+    if not words:
+        return 0.0
+    bare = {w.strip(".,;:!?()").lower() for w in words}
+    uncommon = sum(len(w) > 2 and w not in COMMON and not sensitivity(w) for w in bare)
+    mixed = (w for w in words if any(c.isdigit() for c in w) and any(c.isalpha() for c in w))
+    return max([min(1.0, uncommon / PHRASE) * uncommon / len(words), *map(randomness, mixed)])
+
+
 def pairs(text: str) -> list[tuple[str, list[tuple[int, int, str]], list[str]]]:
     """(name, literals with their spans, names used) of each assignment of a text."""
     out = []
@@ -101,15 +118,20 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
         return []
     best: dict[tuple[int, int], tuple[float, str]] = {}
     reach = {name: sensitivity(name) for name, _, _ in found}
-    # a name is as sensitive as the most sensitive name that is built from it
-    for _ in range(HOPS):
-        changed = False
-        for name, _, used in found:
-            for u in used:
-                if u in reach and reach[u] < reach[name]:
-                    reach[u], changed = reach[name], True
-        if not changed:
-            break
+    # a name is as sensitive as the most sensitive name that is built from it: the most sensitive first, each
+    # passes its sensitivity on along all bindings, and no name is visited twice
+    uses: dict[str, list[str]] = {name: [] for name in reach}
+    for name, _, used in found:
+        uses[name] += [u for u in used if u in reach]
+    visited: set[str] = set()
+    for start in sorted(reach, key=reach.__getitem__, reverse=True):
+        waiting = [start]
+        while waiting:
+            name = waiting.pop()
+            if name not in visited:
+                visited.add(name)
+                reach[name] = reach[start]
+                waiting += uses[name]
     bound = {name for name, _, _ in found}
     for name, literals, _ in found:
         for start, end, literal in literals:
