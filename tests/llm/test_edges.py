@@ -299,6 +299,17 @@ def test_graph_of_large_small_and_tight_vectors(spark, scale, shift):
     assert _graph_recall(spark, x) >= 0.9
 
 
+def test_over_full_leaves_are_split_by_directions(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "SAMPLE", 64)
+    monkeypatch.setattr(nn_descent, "BLOCK", 32)
+    x = np.random.default_rng(4).standard_normal((3000, 4))
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<double>")
+    first = nn_descent._first_neighbours(nodes, 4, 8, 8, np.float64).select("u", "v").distinct().collect()
+    edges = {(r["u"], r["v"]) for r in first}
+    near = [np.argsort(((x - x[i]) ** 2).sum(1))[1:6] for i in range(0, 3000, 10)]
+    assert np.mean([(10 * i, int(j)) in edges for i, js in enumerate(near) for j in js]) >= 0.6
+
+
 def test_fingerprints():
     text = ("some words of a text that goes on, " * 90).encode()
     assert piecewise_hash.fingerprint(b"") == "3::" and piecewise_hash.fingerprint(text) == piecewise_hash.fingerprint(text)
