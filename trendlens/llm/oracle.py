@@ -63,4 +63,62 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n
 FROM words w LEFT JOIN base b USING (doc_id) LEFT JOIN named n USING (doc_id) LEFT JOIN best c USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op6_jaccard_join": OP6, "op7_license_scan": OP7}
+# CRC-32, bit by bit (reflected polynomial 0xEDB88320), of the ASCII digits of a number
+_BITS = ("flatten(list_transform(string_split(c::VARCHAR, ''), "
+         "lambda ch: list_transform(range(8), lambda k: (unicode(ch)::BIGINT >> k) & 1)))")
+_CRC32 = (f"xor(list_reduce(list_concat([4294967295::BIGINT], {_BITS}), "
+          "lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1))), 4294967295)")
+
+# a path is the hex digests (32 letters each) of its turns
+OP11 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (SELECT c, {_CRC32} % 6 AS h, c - c % 100 AS b FROM (SELECT DISTINCT c FROM turns)), joined AS (
+  SELECT v.c, t.p, t.r, t.x FROM convs v JOIN turns t ON t.c = v.b AND t.p < v.h
+  UNION ALL SELECT v.c, t.p, t.r, t.x FROM convs v JOIN turns t ON t.c = v.c AND t.p >= v.h
+), numbered AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY p) AS d, md5(length(r) || ':' || r || x) AS k, length(x) AS chars
+  FROM joined
+), paths AS (
+  SELECT c, d, chars, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS path FROM numbered
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM paths GROUP BY path, d
+), kids AS (
+  SELECT path[:32 * (d - 1)] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), sums AS (
+  SELECT path[:32 * k] AS path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM (
+    SELECT n.path, unnest(range(n.d + 1)) AS k, CASE WHEN q.path IS NULL THEN 1 ELSE 0 END AS leaf,
+           (n.n_convs - 1) * n.chars AS saved FROM nodes n LEFT JOIN kids q USING (path)) GROUP BY 1
+), ends AS (
+  SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT c, arg_max(path, d) AS path FROM paths GROUP BY c) GROUP BY path
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(q.n_children, 0) AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s USING (path) LEFT JOIN kids q USING (path) LEFT JOIN ends e USING (path)
+LEFT JOIN nodes u ON u.d = n.d - 1 AND u.path = n.path[:32 * (n.d - 1)]
+"""
+
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP12 = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+  SELECT doc_id, i, line, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), repeated AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE keeper IS NULL OR keeper = doc_id), ''))
+         AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (k) GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op6_jaccard_join": OP6, "op7_license_scan": OP7, "op11_prefix_trie": OP11,
+                          "op12_line_dedup": OP12}

@@ -14,10 +14,13 @@ from trendlens.llm import (
     cube_mix,
     jaccard_join,
     license_scan,
+    line_dedup,
     nn_descent,
     piecewise_hash,
+    prefix_trie,
     quality,
     secret_scan,
+    structure_repair,
     token_files,
 )
 from trendlens.llm.common import read_table
@@ -89,6 +92,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each behind the opening turns of its hundred."""
+    return prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that others repeat."""
+    return line_dedup.digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule and repaired."""
+    return structure_repair.repair_damaged(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cube_mix": op1_cube_mix,
     "op2_quality": op2_quality,
@@ -100,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nn_descent": op8_nn_descent,
     "op9_piecewise_hash": op9_piecewise_hash,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
