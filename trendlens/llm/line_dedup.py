@@ -45,6 +45,8 @@ BLOCK_BITS = 1 << 19
 
 MIN_CHARS = 40
 MIN_DOCS = 5
+#: Parts in which the documents of one line learn that it is repeated.
+SALTS = 16
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -184,8 +186,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         min_docs: int = MIN_DOCS, bits: int = BITS) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with repeated lines dropped from the texts, and the names of the columns added (``n_lines``, ``n_dropped``).
 
-    A line's documents are counted by (digest, id) first, so a line in a third
-    of all documents is spread over tasks.  The lines that a text loses are
+    A line's documents are counted by (digest, id) first and told by (digest,
+    part of the documents), so a line in a third of all documents is spread
+    over tasks.  The lines that a text loses are
     gathered by (id, hash of the text): never more than the text has.
     """
     n_lines, n_dropped = fresh(docs.columns, "n_lines", "n_dropped")
@@ -196,7 +199,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     suspected = written(suspects(hashed, id_col, text_col, text_hash, twice, min_chars), "suspects")
     repeated = suspected.groupBy("digest", "doc").agg(F.lit(1).alias("_one")).groupBy("digest").agg(
         F.count(F.lit(1)).alias("docs"), F.max("doc").alias("keeper")).where(F.col("docs") >= min_docs)
-    lost = suspected.join(repeated.select("digest", "keeper"), "digest").where(
+    # a line in a third of all documents meets its verdict in SALTS tasks
+    salt = F.pmod(F.hash("doc", "text_hash"), F.lit(SALTS)).alias("salt")
+    told = repeated.select("digest", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    lost = suspected.select("*", salt).join(told, ["digest", "salt"]).where(
         ~F.col("doc").eqNullSafe(F.col("keeper"))).groupBy("doc", "text_hash").agg(
         F.collect_set("digest").alias("_lost"))
 
@@ -214,9 +220,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return pd.DataFrame(rows, columns=["kept", "n_lines", "n_dropped"])
 
     doc, theirs, gone, new = fresh([*docs.columns, text_hash, n_lines, n_dropped], "_doc", "_theirs", "_gone", "_new")
-    told = hashed.join(lost.select(F.col("doc").alias(doc), F.col("text_hash").alias(theirs), F.col("_lost").alias(gone)),
+    joined = hashed.join(lost.select(F.col("doc").alias(doc), F.col("text_hash").alias(theirs), F.col("_lost").alias(gone)),
                        F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(text_hash) == F.col(theirs)), "left")
-    judged = told.withColumn(new, drop(F.coalesce(text_col, F.lit("")), F.col(gone)))
+    judged = joined.withColumn(new, drop(F.coalesce(text_col, F.lit("")), F.col(gone)))
     columns = [F.col(f"{new}.kept").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return judged.select(*columns, F.col(f"{new}.n_lines").alias(n_lines), F.col(f"{new}.n_dropped").alias(n_dropped)), {
         "n_lines": n_lines, "n_dropped": n_dropped}
