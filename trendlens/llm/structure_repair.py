@@ -453,7 +453,11 @@ LEGAL = ("su", "ua", "au")
 
 def _reports(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
         for kind, *event in _segments(batches):
+            if len(out) >= 256 or held >= PIECE_BYTES:
+                yield _batch(out, _REPORT)
+                out, held = [], 0
             if kind == "open":
                 conv, segment, (entry, audit, cost, segments) = event
                 apply, sha, parts, size, piece, begun = Apply(entry, audit), hashlib.sha256(), [], 0, 0, False
@@ -482,12 +486,13 @@ def _reports(rows: DataFrame) -> DataFrame:
                 parts.append(line.encode())
                 size += len(parts[-1])
                 if size >= PIECE_BYTES:
-                    yield _batch([(conv, segment, piece, *[None] * 11, None, b"".join(parts))], _REPORT)
-                    parts, size, piece = [], 0, piece + 1
+                    out.append((conv, segment, piece, *[None] * 12, b"".join(parts)))
+                    parts, size, piece, held = [], 0, piece + 1, held + size
             if kind == "close":
-                yield _batch([(conv, segment, piece, counts["b"], counts["d"], counts["t"], illegal, turns, low, high,
-                               first, last, cost, audit, sha.hexdigest() if segments == 1 else None,
-                               b"".join(parts))], _REPORT)
+                out.append((conv, segment, piece, counts["b"], counts["d"], counts["t"], illegal, turns, low, high,
+                            first, last, cost, audit, sha.hexdigest() if segments == 1 else None, b"".join(parts)))
+                held += size
+        yield _batch(out, _REPORT)
 
     return _plan(rows).mapInArrow(run, _REPORT_SCHEMA)
 
