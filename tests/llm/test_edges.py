@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -384,3 +385,27 @@ def test_pipeline_on_odd_tables(spark, docs, tmp_path):
         assert stage.columns == docs.columns
     for _, step in corpus_pipeline.STAGES:
         step(spark, docs.limit(0), f"file://{tmp_path}").collect()
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_long_words_that_polynomials_confuse_are_different(spark):
+    word = thue_morse(1024)
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_sets_whose_numbers_clash_stay_apart(spark, monkeypatch):
+    # numbers of two bits: most sets clash, and their digests tell them apart
+    rows = [(i, f"word{i // 2} two three four five six") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(frame).collect()}
+    texts = jaccard_join._texts(frame, "doc_id", "text")
+    sets = jaccard_join.build_sets(texts).withColumn("node", F.col("node").bitwiseAND(F.lit(3)))
+    again = jaccard_join._renumbered(sets.where("kind = 'doc'"), jaccard_join._clashes(sets))
+    assert again.select("node", "key").distinct().count() == again.select("node").distinct().count() == 20
+    assert want == {i: i - i % 2 for i in range(40)}

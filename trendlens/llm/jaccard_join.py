@@ -64,7 +64,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-_CHUNK = 1 << 20
+#: Bytes hashed at once; words of more than ``LONG`` bytes are hashed alone, by xxh3.
+_CHUNK = 1 << 17
+LONG = 64
 _MIX = [np.uint64(m) for m in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
                                0x2545F4914F6CDD1D)]
 
@@ -101,11 +103,14 @@ class _Hasher:
             if b - a > _CHUNK:
                 out[at] = xxhash.xxh3_64_intdigest(_LOWER[raw[a:b]].tobytes())
             else:
-                part = _BYTES[_LOWER[raw[a:b]]] * self.up[:b - a]
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(part)])
+                low = _LOWER[raw[a:b]]
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[low] * self.up[:b - a])])
                 s, e = start[at:to] - a, end[at:to] - a
                 h = (sums[e] - sums[s]) * self.down[s] + (e - s).astype(np.uint64) * _MIX[0]
                 out[at:to] = (h ^ (h >> np.uint64(31))) * _MIX[1]
+                # the sums are modulo 2^64, under which some long words meet whatever the base
+                for k in np.flatnonzero(e - s > LONG).tolist():
+                    out[at + k] = xxhash.xxh3_64_intdigest(low[s[k]:e[k]].tobytes())
             at = to
         return start, out
 
@@ -157,11 +162,13 @@ def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 # -- sets -------------------------------------------------------------------------------
 
-_SETS = ("kind string, id long, n int, key binary, node long, counts binary, shingles binary, "
-         "hashes array<long>, seen array<int>")
-_SETS_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(),
-               pa.list_(pa.int64()), pa.list_(pa.int32())]
+_SETS = "kind string, id long, n int, key binary, node long, counts binary, hashes array<long>, seen array<int>"
+_SETS_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()),
+               pa.list_(pa.int32())]
 _SETS_NAMES = [c.split()[0] for c in _SETS.split(", ")]
+#: Hashes of a task's sets that are counted at once, and digests of sets it remembers.
+HELD = 1 << 18
+KNOWN = 1 << 18
 
 
 def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -173,69 +180,90 @@ def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def build_sets(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
+def _key(s: np.ndarray) -> bytes | None:
+    """128 bits that name a set; None for the empty one."""
+    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+
+
+def _node(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+
+def _each_batch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Small batches of texts with their sets."""
+    hasher = _Hasher()
+    for whole in batches:
+        for batch in batches_of(whole, "text", _CHUNK):
+            yield batch, shingle_sets(hasher, *_buffer(batch.column("text")), size)
+
+
+def build_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
     """A written table of kind ``doc`` (one row per document) and kind ``hot`` (shingles repeated within a task).
 
-    Of equal sets only the first in a task carries its shingles.
+    Of equal sets only the first that a task remembers carries its counts.
+    The shingles are not stored: whoever needs them hashes the text again,
+    which is cheaper than writing eight bytes for every word.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, known, fresh, held = _Hasher(), set(), [], 0
+        known, fresh, held = set(), [], 0
 
         def hot() -> pa.RecordBatch:
             value, seen = np.unique(np.concatenate(fresh), return_counts=True)
             often = seen >= 2
-            row = ("hot", None, None, None, None, None, None, value[often].view(np.int64), seen[often].astype(np.int32))
+            row = ("hot", None, None, None, None, None, value[often].view(np.int64), seen[often].astype(np.int32))
             fresh.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _SETS_KINDS, strict=True)],
                                               names=_SETS_NAMES)
 
-        for whole in batches:
-            for batch in batches_of(whole, "text", _CHUNK):
-                sets = shingle_sets(hasher, *_buffer(batch.column("text")), size)
-                rows: list[list] = [[] for _ in range(5)]
-                for s in sets:
-                    data = s.tobytes()
-                    key = xxhash.xxh3_128_digest(data) if len(s) else None
-                    new = key is not None and key not in known
-                    if new:
-                        known.add(key)
-                        fresh.append(s)
-                        held += len(s)
-                    for column, value in zip(rows, (
-                            len(s), key, int.from_bytes(key[:8], "little", signed=True) if key else None,
-                            _counts(s).tobytes() if new else None, data if new else None), strict=True):
-                        column.append(value)
-                n = batch.num_rows
-                values = [["doc"] * n, batch.column("id"), *rows, [None] * n, [None] * n]
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(values, _SETS_KINDS, strict=True)],
-                    names=_SETS_NAMES)
-                if held > 1 << 21:
-                    yield hot()
-                    held = 0
+        for batch, sets in _each_batch(batches, size):
+            rows: list[list] = [[] for _ in range(4)]
+            if len(known) >= KNOWN:
+                known.clear()
+            for s in sets:
+                key = _key(s)
+                new = key is not None and key not in known
+                if new:
+                    known.add(key)
+                    fresh.append(s)
+                    held += len(s)
+                for column, value in zip(rows, (len(s), key, _node(key) if key else None,
+                                                _counts(s).tobytes() if new else None), strict=True):
+                    column.append(value)
+            n = batch.num_rows
+            values = [["doc"] * n, batch.column("id"), *rows, [None] * n, [None] * n]
+            yield pa.RecordBatch.from_arrays(
+                [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(values, _SETS_KINDS, strict=True)],
+                names=_SETS_NAMES)
+            if held > HELD:
+                yield hot()
+                held = 0
         if fresh:
             yield hot()
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return written(slim.mapInArrow(run, _SETS), "shingle-sets", "kind")
+    return written(texts.mapInArrow(run, _SETS), "shingle-sets", "kind")
+
 
+def _clashes(sets: DataFrame) -> DataFrame:
+    """``node, low``: 64-bit numbers that several sets have, and the digest of the set that keeps the number."""
+    return sets.where("kind = 'doc' AND node IS NOT NULL").groupBy("node").agg(
+        F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("node", "low")
 
-def _renumbered(sets: DataFrame) -> DataFrame:
-    """Document rows whose ``node`` (64 bits of the set's digest) is unique to the set.
 
-    Where two sets' numbers are equal, which some 10^9 sets make likely, the
-    later ones take other bits of the digest.
+def _renumbered(rows: DataFrame, clashes: DataFrame | None) -> DataFrame:
+    """``rows`` (with ``node`` and ``key``) with ``node`` unique to the set.
+
+    Where the numbers of sets are equal, which some 10^9 sets make likely, all
+    but one set take other bits of their digest.
     """
-    docs = sets.where("kind = 'doc'")
-    twice = docs.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").limit(1000).collect()
-    if not twice:
-        return docs
+    if clashes is None:
+        return rows
     other = F.conv(F.hex(F.substring("key", 9, 7)), 16, 10).cast("long")
-    lows = {bytes(r["low"]) for r in twice}
-    return docs.withColumn("node", F.when(F.col("node").isin([r["node"] for r in twice])
-                                          & ~F.col("key").isin([bytearray(x) for x in lows]), other)
-                           .otherwise(F.col("node")))
+    return rows.join(clashes.toDF("clash", "low"), F.col("node") == F.col("clash"), "left").withColumn(
+        "node", F.when(F.col("low") != F.col("key"), other).otherwise(F.col("node"))).drop("clash", "low")
 
 
 # -- blocks --------------------------------------------------------------------------------
@@ -244,7 +272,8 @@ _BLOCKS = "kind string, h long, node long, n long, center long, center_n long"
 _BLOCKS_NAMES = [c.split()[0] for c in _BLOCKS.split(", ")]
 
 
-def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) -> DataFrame:
+def _blocks(texts: DataFrame, clashes: DataFrame | None, hot: np.ndarray, size: int, percent: int,
+            partitions: int) -> DataFrame:
     """Of the prefix shingles ``h`` that two sets or more hold, a written table of two kinds of rows.
 
     ``pair``: a pair (node, center) of a block of up to ``SMALL`` members, of
@@ -252,22 +281,32 @@ def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) ->
     block, with the block's first node as ``center``.
     """
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, nodes, sizes = [], [], []
-            for node, data in zip(batch.column("node").to_pylist(), batch.column("shingles"), strict=True):
-                s = np.frombuffer(data.as_buffer(), "<u8")
+        known: set[bytes] = set()
+        for _, sets in _each_batch(batches, size):
+            hashes, nodes, keys, sizes = [], [], [], []
+            if len(known) >= KNOWN:
+                known.clear()
+            for s in sets:
+                key = _key(s)
+                if key is None or key in known:
+                    continue
+                known.add(key)
                 keep = len(s) - -(-percent * len(s) // 100) + 1
                 if len(hot):
                     last = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
                     if last.any():
                         s = np.concatenate([s[~last], s[last]])
                 hashes.append(s[:keep])
-                nodes.append(np.full(keep, node, np.int64))
+                nodes.append(np.full(keep, _node(key), np.int64))
                 sizes.append(np.full(keep, len(s), np.int32))
+                if clashes is not None:
+                    keys += [key] * keep
             if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)),
-                                                  pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
-                                                 names=["h", "node", "n"])
+                columns = [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(nodes)),
+                           pa.array(np.concatenate(sizes))]
+                if clashes is not None:
+                    columns.append(pa.array(keys, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by (h, node).  A run is held back until it ends or has more than ``SMALL`` members."""
@@ -314,8 +353,10 @@ def _blocks(docs: DataFrame, hot: np.ndarray, percent: int, partitions: int) ->
         return pa.RecordBatch.from_arrays(
             [pa.array(kinds, pa.string()), *(pa.array(c.astype(np.int64)) for c in columns)], names=_BLOCKS_NAMES)
 
-    rows = docs.where("shingles IS NOT NULL").select("node", "shingles").mapInArrow(
-        prefixes, "h long, node long, n int")
+    names = ["h", "node", "n"] + ["key"] * (clashes is not None)
+    found = texts.select("text").mapInArrow(
+        prefixes, "h long, node long, n int" + ", key binary" * (clashes is not None))
+    rows = _renumbered(found, clashes).select("h", "node", "n")
     ordered = rows.repartition(partitions, "h").sortWithinPartitions("h", "node")
     return written(ordered.mapInArrow(runs, _BLOCKS), "shingle-blocks", "kind")
 
@@ -489,23 +530,52 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a long, b long")
 
 
-def _maybe_among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows whose ``node`` may be among ``wanted`` (column ``w``), by a bitmap of fixed size.
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (``FILTER_BITS``) of the nodes ``w``; they are digests, so their low bits spread evenly."""
+    slot = F.pmod(F.col("w"), F.lit(FILTER_BITS))
+    per_block = 32_768                                    # positions of one of Spark's bitmaps
+    blocks = wanted.groupBy(F.floor(slot / per_block).alias("block")).agg(
+        F.bitmap_construct_agg(slot % per_block).alias("bits")).collect()       # at most FILTER_BITS / 32,768 rows
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in blocks:
+        out[row["block"] * per_block // 8:(row["block"] + 1) * per_block // 8] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _members(texts: DataFrame, clashes: DataFrame | None, wanted: DataFrame, size: int) -> DataFrame:
+    """``node, shingles`` of the sets that ``wanted`` (column ``w``) names, once each, written.
 
-    Nodes are digests, so their low bits spread evenly.  A bitmap that a large
-    input fills lets more rows through; the join that follows decides.
+    Every text is hashed again; a bitmap lets few other sets leave the task.
+    A bitmap that a large input fills lets more through, and the join decides.
     """
-    slot = lambda node: F.pmod(node, F.lit(FILTER_BITS))
-    per_block = 32_768                                    # positions of one of Spark's bitmaps
-    blocks = wanted.groupBy(F.floor(slot(F.col("w")) / per_block).alias("f_block")).agg(
-        F.bitmap_construct_agg(slot(F.col("w")) % per_block).alias("f_bits"))
-    bit = slot(F.col("node")) % per_block
-    byte = F.conv(F.hex(F.substring("f_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return rows.join(F.broadcast(blocks), F.floor(slot(F.col("node")) / per_block) == F.col("f_block")).where(
-        F.getbit(byte, (bit % 8).cast("int")) == 1).drop("f_block", "f_bits")
+    held, renumbered = _bitmap(wanted), clashes is not None
+
+    def maybe(key: bytes) -> bool:
+        names = [_node(key)] + [int.from_bytes(key[8:15], "big")] * renumbered
+        return any(held[(n % FILTER_BITS) >> 3] >> (n % 8) & 1 for n in names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[bytes] = set()
+        for _, sets in _each_batch(batches, size):
+            if len(known) >= KNOWN:
+                known.clear()
+            own = []
+            for s in sets:
+                key = _key(s)
+                if key is not None and key not in known and maybe(key):
+                    known.add(key)
+                    own.append((_node(key), key, s.tobytes()))
+            if own:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*own, strict=True), (pa.int64(), pa.binary(), pa.binary()),
+                                                    strict=True)], names=["node", "key", "shingles"])
+
+    found = _renumbered(texts.select("text").mapInArrow(run, "node long, key binary, shingles binary"), clashes)
+    return written(found.select("node", "shingles").join(wanted, F.col("node") == F.col("w"), "left_semi")
+                   .dropDuplicates(["node"]), "set-members")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, clashes: DataFrame | None, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -519,10 +589,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
     pairs = written(pairs, "set-pairs")
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-    # of equal sets, each task has kept one copy; one of them is enough
-    held = _maybe_among(docs.where("shingles IS NOT NULL").select("node", "shingles"), wanted).join(
-        wanted, F.col("node") == F.col("w"), "left_semi").dropDuplicates(["node"])
-    held = written(held, "set-members")
+    held = _members(texts, clashes, wanted, size)
+    release_shuffles(texts.sparkSession)
     both = pairs.join(held.select(F.col("node").alias("a_node"), F.col("shingles").alias("sa")),
                       F.col("a") == F.col("a_node")).drop("a_node").join(
         held.select(F.col("node").alias("b_node"), F.col("shingles").alias("sb")), F.col("b") == F.col("b_node"))
@@ -538,23 +606,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     equal).  A null id counts only where no linked document has an id.  An
     empty table gives no row; other columns are not read.
     """
-    partitions = shuffle_partitions(docs.sparkSession)
-    sets = build_sets(docs, id_col, text_col, size)
-    rows = _renumbered(sets)
+    spark = docs.sparkSession
+    partitions = shuffle_partitions(spark)
+    texts = _texts(docs, id_col, text_col)
+    sets = build_sets(texts, size)
+    clashes = _clashes(sets)
+    clashes = None if clashes.isEmpty() else written(clashes, "set-clashes")
+    rows = _renumbered(sets.where("kind = 'doc'"), clashes)
     hot = sets.where("kind = 'hot'").select(F.explode(F.arrays_zip("hashes", "seen")).alias("s")).groupBy(
         "s.hashes").agg(F.sum("s.seen").alias("seen")).where(F.col("seen") >= COMMON).orderBy(
         F.col("seen").desc(), "hashes").limit(HOT)
     hot = np.sort(np.array([r[0] for r in hot.select("hashes").collect()], np.int64).view(np.uint64))
-    blocks = _blocks(rows, hot, percent, partitions)
+    blocks = _blocks(texts, clashes, hot, size, percent, partitions)
     points = written(rows.where("counts IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"]), "points")
-    spark = docs.sparkSession
     release_shuffles(spark)
     pairs = written(_first_pairs(blocks, percent), "first-pairs")
     release_shuffles(spark)
-    links = written(_verified(_bounded(pairs, points, percent), rows, percent), "star-links")
+    links = written(_verified(_bounded(pairs, points, percent), texts, clashes, size, percent), "star-links")
     release_shuffles(spark)
     comps = written(connected_components(links), "star-components")
-    found = _verified(_open_pairs(blocks, points, comps, percent, partitions), rows, percent)
+    release_shuffles(spark)
+    found = _verified(_open_pairs(blocks, points, comps, percent, partitions), texts, clashes, size, percent)
     every = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
     comps = connected_components(every)
     slim = rows.select("id", "n", "node")
