@@ -42,7 +42,7 @@ STEPS = 512
 #: A segment ends with the document that brings it to this many ids.
 SEGMENT_IDS = 1 << 22
 LOW = np.uint64(1 << 31)
-CACHE_ENTRIES = 1 << 19
+CACHE_BYTES = 80 << 20
 
 
 # -- the coder -----------------------------------------------------------------
@@ -162,15 +162,19 @@ def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 
 #: Where a text may be cut: a blank between two other characters starts a word of a byte-level vocabulary.
 CUT = regex.compile(r"(?<=\S) (?=\S)")
-RUNS = regex.compile(r"\s\s|^\s|\s$")
+#: Between pieces encoded in one call: a word of its own whose last byte no piece holds.
+SEPARATOR = " \x00"
+AT_ONCE = 4096
 
 
 class CachedTokenizer:
-    """The tokenizers library on whole texts, each distinct piece between blanks encoded once.
+    """The tokenizers library on whole texts, each distinct piece encoded once.
 
-    A blank between two characters that aren't white space always starts a
-    new word in byte-level vocabularies' split pattern, so the pieces' ids,
-    one after another, are the text's.  Files of another kind get whole texts.
+    In byte-level vocabularies' split pattern a blank between two characters
+    that aren't white space always starts a new word, and a newline between
+    two such characters is a word.  So the pieces' ids, one after another, are
+    the text's.  Files of another kind get whole texts.  Pieces are kept in two
+    generations of at most about ``CACHE_BYTES`` each.
     """
 
     def __init__(self, path: str):
@@ -180,37 +184,66 @@ class CachedTokenizer:
         self.cut = type(self.lib.pre_tokenizer).__name__ == "ByteLevel" and self.lib.normalizer is None
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
+        if self.cut:
+            self.newline, self.end = (self.lib.encode(x, add_special_tokens=False).ids for x in ("\n", SEPARATOR))
+            self.cut = len(self.newline) == 1
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         got = self.lib.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
+    def _joined(self, pieces: list[str], between: str, last: list[int]) -> list[bytes]:
+        """The pieces' ids, from texts of many pieces; ``between`` is ``last`` and starts and ends words."""
+        out = []
+        for k in range(0, len(pieces), AT_ONCE):
+            text = between.join([*pieces[k:k + AT_ONCE], ""])
+            ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            after = np.flatnonzero(ids == last[-1]) + 1
+            raw, starts = ids.tobytes(), np.concatenate([[0], after[:-1]])
+            out += [raw[4 * a:4 * b] for a, b in zip(starts.tolist(), (after - len(last)).tolist(), strict=True)]
+        return out
+
+    def _learn(self, missing: set[str]) -> None:
+        plain, lone = [], []
+        for p in missing:
+            held = self.old.get(p)
+            if held is not None:
+                self.new[p] = held
+            elif "\x00" in p or p[-1:].isspace() or not p:
+                lone.append(p)
+            else:
+                plain.append(p)
+        spaced = [p for p in plain if p[0] == " "]
+        # without a blank before them, pieces are told apart by newlines, so they hold no white space
+        bare = [p for p in plain if p[0] != " " and len(p.split()) == 1 and not p[0].isspace()]
+        lone += set(plain).difference(spaced, bare)
+        for names, ids in ((spaced, self._joined(spaced, SEPARATOR, self.end)),
+                           (bare, self._joined(bare, "\n", self.newline)), (lone, self._encode(lone))):
+            self.new.update(zip(names, ids, strict=True))
+            self.held += sum(map(len, names)) + sum(map(len, ids)) + 200 * len(names)
+
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if not self.cut:
             return self._encode(batch)
-        cut = []
+        cut, every = [], set()
         for text in batch:
-            pieces = CUT.split(text) if RUNS.search(text) else text.split(" ")
-            first, pieces[0] = pieces[0], None
-            cut.append((first, pieces))
-        if len(self.new) >= CACHE_ENTRIES:
-            self.new, self.old = {}, self.new
-        new, old = self.new, self.old
-        missing: dict[str, None] = {}
-        for _, pieces in cut:
-            for p in pieces:
-                if p not in new and p is not None:
-                    got = old.get(p)
-                    if got is None:
-                        missing[p] = None
-                    else:
-                        new[p] = got
-        if missing:
-            new.update(zip(missing, self._encode([" " + p for p in missing]), strict=True))
-        firsts = self._encode([first for first, _ in cut])
-        return [b"".join([head, *map(new.__getitem__, pieces[1:])])
-                for head, (_, pieces) in zip(firsts, cut, strict=True)]
+            words = text.split()
+            # is every white space one character between two others?
+            single = len("".join(words)) + len(words) - 1 == len(text)
+            lines = []
+            for line in text.split("\n") if single else [text]:
+                pieces = line.replace(" ", "\n ").split("\n") if single else [
+                    " " * (k > 0) + p for k, p in enumerate(CUT.split(line))]
+                lines.append(pieces)
+                every.update(pieces)
+            cut.append(lines)
+        if self.held >= CACHE_BYTES:
+            self.new, self.old, self.held = {}, self.new, 0
+        self._learn(every.difference(self.new))
+        known, newline = self.new.__getitem__, np.array(self.newline, "<u4").tobytes()
+        return [newline.join([b"".join(map(known, pieces)) for pieces in lines]) for lines in cut]
 
 
 _LOADED: dict[tuple[str, float], CachedTokenizer] = {}
