@@ -17,8 +17,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,15 +49,17 @@ COMMON = frozenset(
 #: Such words that make a literal as good as random.
 PHRASE = 5
 
-# a name, perhaps quoted, then an operator: the left side of a pair
-_PAIR = re.compile(
-    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)(?P=q)[ \t]*(?P<op>:=|=>|=(?![=~])|:(?![:/]))[ \t]*""")
+# the letters of names; a name starts at the first letter or underscore of such a run and takes the rest of it
+_RUN = re.compile(r"[A-Za-z0-9_.-]++")
+_FIRST = re.compile(r"[A-Za-z_]")
+# then an operator: the left side of a pair
+_OPERATOR = re.compile(r"[ \t]*(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*")
 # one operand of the right side
-_OPERAND = re.compile(
-    r"""(?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<word>[A-Za-z0-9+/_.=~@!$%^&*-]+)""")
+_QUOTED = re.compile(r""""(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'""")
+_WORD = re.compile(r"[A-Za-z0-9+/_.=~@!$%^&*-]+")
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*+")
 
 
 def sensitivity(name: str) -> float:
@@ -69,15 +73,38 @@ def randomness(literal: str) -> float:
     n = len(literal)
     if n < SHORTEST:
         return 0.0
-    if " " in literal:
-        return _phrase(literal.split())
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
+    return _phrase(literal.split()) if " " in literal else _mixture(Counter(literal), n)
+
+
+def _mixture(counts: Counter, n: int) -> float:
+    """``randomness`` of ``n`` characters (none of them a blank) by their counts."""
+    if n < SHORTEST:
+        return 0.0
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     share = min(1.0, entropy / math.log2(min(n, 64)))
-    kinds = (any(c.isdigit() for c in literal) + any(c.islower() for c in literal) + any(c.isupper() for c in literal)
-             + any(not c.isalnum() for c in literal))
+    kinds = (any(c.isdigit() for c in counts) + any(c.islower() for c in counts) + any(c.isupper() for c in counts)
+             + any(not c.isalnum() for c in counts))
     return share * (0.5 if kinds < 2 else 0.85 if kinds == 2 else 1.0)
 
 
+def _scored(text: str, wanted: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+    """The spans whose literal's randomness times ``wanted``'s factor reaches the threshold.
+
+    Literals that end together are each other's ends (``a=b=c``), so their
+    characters are counted once, from the last to the first.
+    """
+    out, end, at, counts = [], None, 0, Counter()
+    for a, b in sorted(wanted, key=lambda span: (span[1], -span[0])):
+        if b != end:
+            end, at, counts = b, b, Counter()
+        counts.update(text[a:at])
+        at = a
+        score = randomness(text[a:b]) if counts[" "] else _mixture(counts, b - a)
+        if wanted[a, b] * score >= THRESHOLD:
+            out.append((a, b))
+    return sorted(out)
+
+
 def _phrase(words: list[str]) -> float:
     """0 to 1: distinct uncommon words, by number and share; or the most random word that mixes letters and digits."""
     if not words:
@@ -88,24 +115,47 @@ def _phrase(words: list[str]) -> float:
     return max([min(1.0, uncommon / PHRASE) * uncommon / len(words), *map(randomness, mixed)])
 
 
-def pairs(text: str) -> list[tuple[str, list[tuple[int, int, str]], list[str]]]:
-    """(name, literals with their spans, names used) of each assignment of a text."""
+def _assignments(text: str) -> Iterator[tuple[str, int]]:
+    """(name, where its right side starts) of each assignment; every run of letters is looked at once."""
+    done = 0
+    for run in _RUN.finditer(text):
+        end = run.end()
+        if not (start := _FIRST.search(text, run.start(), end)):
+            continue
+        at = start.start()
+        quote = text[at - 1:at] if at > done else ""
+        # a quote before the name goes with one after it
+        operator = _OPERATOR.match(text, end + 1) if quote in ("'", '"') and quote and text[end:end + 1] == quote else None
+        operator = operator or _OPERATOR.match(text, end)
+        if operator:
+            done = operator.end()
+            yield text[at:end], done
+
+
+def pairs(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
+    """(name, spans of literals, names used) of each assignment of a text."""
     out = []
-    for m in _PAIR.finditer(text):
-        at, literals, used = m.end(), [], []
-        while operand := _OPERAND.match(text, at):
-            at = operand.end()
-            if operand["quoted"] is not None:
-                literals.append((operand.start() + 1, at - 1, operand["quoted"][1:-1]))
+    words = [m.span() for m in _WORD.finditer(text)]
+    starts = [a for a, _ in words]
+    for name, at in _assignments(text):
+        literals, used = [], []
+        while True:
+            if quoted := _QUOTED.match(text, at):
+                at = quoted.end()
+                literals.append((quoted.start() + 1, at - 1))
             else:
-                word = operand["word"]
-                if _NAME.match(word):
-                    used.append(word)
-                literals.append((operand.start(), at, word))
+                # the run of word letters that holds this place; runs are found once, however many pairs one holds
+                k = bisect_right(starts, at) - 1
+                if k < 0 or words[k][1] <= at:
+                    break
+                start, at = at, words[k][1]
+                if (m := _NAME.match(text, start, at)) and m.end() == at:
+                    used.append(text[start:at])
+                literals.append((start, at))
             if not (plus := _PLUS.match(text, at)):
                 break
             at = plus.end()
-        out.append((m["name"], literals, used))
+        out.append((name, literals, used))
     return out
 
 
@@ -116,7 +166,6 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
     found = pairs(text)
     if not found:
         return []
-    best: dict[tuple[int, int], tuple[float, str]] = {}
     reach = {name: sensitivity(name) for name, _, _ in found}
     # a name is as sensitive as the most sensitive name that is built from it: the most sensitive first, each
     # passes its sensitivity on along all bindings, and no name is visited twice
@@ -132,15 +181,14 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
                 visited.add(name)
                 reach[name] = reach[start]
                 waiting += uses[name]
-    bound = {name for name, _, _ in found}
+    longest = max(map(len, reach))
+    wanted: dict[tuple[int, int], float] = {}
     for name, literals, _ in found:
-        for start, end, literal in literals:
-            if literal in bound or not reach[name]:
-                continue
-            score = reach[name] * randomness(literal)
-            if score > best.get((start, end), (0.0, ""))[0]:
-                best[(start, end)] = (score, literal)
-    return sorted(span for span, (score, _) in best.items() if score >= THRESHOLD)
+        for a, b in literals if reach[name] else ():
+            # what a bound name stands for is scored where it is bound
+            if b - a > longest or text[a:b] not in reach:
+                wanted[a, b] = max(wanted.get((a, b), 0.0), reach[name])
+    return _scored(text, wanted)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -159,8 +207,10 @@ def in_order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, all spans), each ordered by start, then kind."""
     base = in_order(base_spans(text))
+    starts = [s for _, s, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))      # how far base spans that start up to here reach
     more = [("literal", a, b) for a, b in lexed_spans(text)
-            if not any(s <= a and b <= e for _, s, e in base)]
+            if not ((k := bisect_right(starts, a)) and reach[k - 1] >= b)]
     return base, in_order(base + more)
 
 
