@@ -19,8 +19,9 @@ union.  The join is exact, and a document is one of a class of equal sets.
 4. Then, in every large block whose members are not yet one component, an
    R-tree of the points is searched for partners in other components: a box
    bounds the overlap by the sum of the smaller of its largest counts and the
-   query's.  Blocks beyond ``PART`` members are split into parts, which meet in
-   pairs.
+   query's.  Points that stay are bounded again by counts of ``FINE`` groups,
+   which tell large sets apart.  Blocks beyond ``PART`` members are split into
+   parts, which meet in pairs.
 5. Surviving pairs are verified on the sets themselves, and links become
    components by rounds of joins.
 
@@ -43,8 +44,9 @@ from trendlens.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 75
-#: Groups of the count vectors (a power of two).
+#: Groups of the count vectors (a power of two), and of those that points found by the tree are bounded by.
 GROUPS = 256
+FINE = 2048
 #: Shingles that at least this many sets were seen to hold are ordered last, the commonest ``HOT`` of them.
 COMMON = 16
 HOT = 1 << 18
@@ -145,10 +147,10 @@ def needed_overlap(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _counts(s: np.ndarray) -> np.ndarray:
+def _counts(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Group counts in a byte each; ``FULL`` stands for itself or more."""
-    group = (s >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64)
-    return np.minimum(np.bincount(group, minlength=GROUPS), FULL).astype(np.uint8)
+    group = (s >> np.uint64(64 - groups.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(group, minlength=groups), FULL).astype(np.uint8)
 
 
 def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -162,9 +164,10 @@ def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 # -- sets -------------------------------------------------------------------------------
 
-_SETS = "kind string, id long, n int, key binary, node long, counts binary, hashes array<long>, seen array<int>"
-_SETS_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()),
-               pa.list_(pa.int32())]
+_SETS = ("kind string, id long, n int, key binary, node long, counts binary, fine binary, hashes array<long>, "
+         "seen array<int>")
+_SETS_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(),
+               pa.list_(pa.int64()), pa.list_(pa.int32())]
 _SETS_NAMES = [c.split()[0] for c in _SETS.split(", ")]
 #: Hashes of a task's sets that are counted at once, and digests of sets it remembers.
 HELD = 1 << 18
@@ -214,13 +217,13 @@ def build_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
         def hot() -> pa.RecordBatch:
             value, seen = np.unique(np.concatenate(fresh), return_counts=True)
             often = seen >= 2
-            row = ("hot", None, None, None, None, None, value[often].view(np.int64), seen[often].astype(np.int32))
+            row = ("hot", None, None, None, None, None, None, value[often].view(np.int64), seen[often].astype(np.int32))
             fresh.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _SETS_KINDS, strict=True)],
                                               names=_SETS_NAMES)
 
         for batch, sets in _each_batch(batches, size):
-            rows: list[list] = [[] for _ in range(4)]
+            rows: list[list] = [[] for _ in range(5)]
             if len(known) >= KNOWN:
                 known.clear()
             for s in sets:
@@ -231,7 +234,8 @@ def build_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
                     fresh.append(s)
                     held += len(s)
                 for column, value in zip(rows, (len(s), key, _node(key) if key else None,
-                                                _counts(s).tobytes() if new else None), strict=True):
+                                                _counts(s).tobytes() if new else None,
+                                                _counts(s, FINE).tobytes() if new else None), strict=True):
                     column.append(value)
             n = batch.num_rows
             values = [["doc"] * n, batch.column("id"), *rows, [None] * n, [None] * n]
@@ -478,7 +482,7 @@ def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: in
         "meets", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     placed = dealt.select("h", F.least("part", "meets").alias("i"), F.greatest("part", "meets").alias("j"), "part",
                           "node", "n", "component")
-    counts = points.select(F.col("node").alias("p_node"), "counts")
+    counts = points.select(F.col("node").alias("p_node"), "counts", "fine")
     full = placed.join(counts, F.col("node") == F.col("p_node")).drop("p_node")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -486,7 +490,8 @@ def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: in
             yield pairs(table, bounds)
 
     def pairs(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
+        counts, fine = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(-1, groups)
+                        for c, groups in (("counts", GROUPS), ("fine", FINE)))
         size, part, i, j, node, comp = (table.column(c).to_numpy() for c in
                                         ("n", "part", "i", "j", "node", "component"))
         left, right = [], []
@@ -502,6 +507,9 @@ def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: in
                 found = found[comp[found] != comp[q]]
                 if own:
                     found = found[found > q]
+                if len(found):
+                    bound = overlap_bound(fine[found], fine[q])
+                    found = found[bound >= needed_overlap(size[found].astype(np.int64), int(size[q]), percent)]
                 left.append(np.full(len(found), node[q]))
                 right.append(node[found])
         return _pair_batch(left, right)
@@ -618,7 +626,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("seen").desc(), "hashes").limit(HOT)
     hot = np.sort(np.array([r[0] for r in hot.select("hashes").collect()], np.int64).view(np.uint64))
     blocks = _blocks(texts, clashes, hot, size, percent, partitions)
-    points = written(rows.where("counts IS NOT NULL").select("node", "n", "counts").dropDuplicates(["node"]), "points")
+    points = written(rows.where("counts IS NOT NULL").select("node", "n", "counts", "fine").dropDuplicates(["node"]),
+                     "points")
     release_shuffles(spark)
     pairs = written(_first_pairs(blocks, percent), "first-pairs")
     release_shuffles(spark)
