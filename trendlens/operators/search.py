@@ -20,22 +20,29 @@ Scoring contract (the search server's own rules are external; these are ours):
   query also matches;
 - scores are rounded to 6 places; ``ranked`` orders by score, then id.
 
-Work plan: the store is indexed once (``SearchIndex.build``); a query filters
-the postings by term (pushed into the Parquet scan), counts documents per
-matched term and joins the hits back to the documents.
-``N`` is a scalar subquery, not a join.
+Work plan.  The store is indexed once (``SearchIndex.build``).  A query is a
+tree over leaves, each a set of terms of one field.  The leaves are resolved
+against the dictionary first (``term_index``), which also gives df and the
+ranges of postings to read; then one read of the postings serves all leaves of
+the tree, a bit of a mask per leaf; a sum per document and leaf follows, and the
+tree is one expression over these sums.  ``N`` is a scalar subquery.  A search
+for the best ``size`` hits of a sum of terms reads only postings ranges that can
+still hold one of them.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import analyze
 from trendlens.operators.store import STORE_KEYS, hits_json
+from trendlens.operators.term_index import POSTING_COLUMNS, RANGE, TermIndex, write_postings, write_terms
 
 KEYS = STORE_KEYS
 SCORE_DIGITS = 6
@@ -119,8 +126,141 @@ def wildcard_to_like(pattern: str) -> str:
     return "".join(out)
 
 
+@dataclass(frozen=True)
+class Leaf:
+    """Terms of one field that a query asks for.
+
+    ``pick`` names them: ``in`` (the values), ``prefix``, ``like`` (a wildcard
+    pattern) or ``near`` (value, edits, prefix).  A scored leaf adds up its
+    terms' scores; a constant one gives ``boost``.
+    """
+
+    field: str
+    pick: str
+    values: tuple
+    boost: float
+    scored: bool
+
+    def test(self, term: Column) -> Column:
+        """The leaf as a condition on a term (where there is no dictionary)."""
+        if self.pick == "in":
+            return term.isin(list(self.values))
+        if self.pick == "prefix":
+            return term.startswith(self.values[0])
+        if self.pick == "like":
+            return term.like(wildcard_to_like(self.values[0]))
+        value, edits, prefix = self.values
+        close = (F.abs(F.length(term) - F.lit(len(value))) <= edits) & (F.levenshtein(term, F.lit(value), edits) >= 0)
+        return term.startswith(prefix) & close if prefix else close
+
+    def terms(self, index: TermIndex) -> DataFrame:
+        if self.pick == "in":
+            return index.exact(self.field, list(self.values))
+        if self.pick == "prefix":
+            return index.prefixed(self.field, self.values[0])
+        if self.pick == "like":
+            return index.like(self.field, self.values[0], wildcard_to_like(self.values[0]))
+        return index.near(self.field, *self.values)
+
+
+class Tree:
+    """A query over the sums ``_s<i>`` of its leaves (null: no term of leaf i in the document)."""
+
+    def __init__(self, spark, query):
+        self.spark, self.leaves = spark, []
+        self.root = self._node(query)
+
+    def _leaf(self, *args) -> tuple:
+        leaf = Leaf(*args)
+        if leaf not in self.leaves:
+            self.leaves.append(leaf)
+        return "leaf", self.leaves.index(leaf)
+
+    def _node(self, q) -> tuple:
+        if isinstance(q, Term):
+            return self._leaf(q.field, "in", (q.value,), float(q.boost), True)
+        if isinstance(q, MultiMatch):
+            tokens = tuple(query_tokens(self.spark, q.text))
+            return "best", [self._leaf(f, "in", tokens, float(q.boost), True) for f in q.fields]
+        if isinstance(q, Fuzzy):
+            return self._leaf(q.field, "near", (q.value, q.max_edits, q.value[:q.prefix_length]), float(q.boost), True)
+        if isinstance(q, MatchAll):
+            return "all", float(q.boost)
+        if isinstance(q, Prefix):
+            return self._leaf(q.field, "prefix", (q.value,), float(q.boost), False)
+        if isinstance(q, Wildcard):
+            return self._leaf(q.field, "like", (q.pattern,), float(q.boost), False)
+        if isinstance(q, Bool):
+            return "bool", [[self._node(c) for c in part] for part in (q.must, q.should, q.must_not)]
+        if isinstance(q, Boosting):
+            return "boost", (self._node(q.positive), self._node(q.negative), float(q.negative_boost))
+        raise TypeError(f"unsupported query {q!r}")
+
+    def hit(self, node: tuple) -> Column:
+        kind, what = node
+        if kind == "leaf":
+            return F.col(f"_s{what}").isNotNull()
+        if kind == "all":
+            return F.lit(True)
+        if kind == "best":
+            return reduce(or_, [self.hit(n) for n in what])
+        if kind == "boost":
+            return self.hit(what[0])
+        must, should, must_not = what
+        conds = [self.hit(n) for n in must] or ([reduce(or_, [self.hit(n) for n in should])] if should else [F.lit(True)])
+        return reduce(and_, conds + [~self.hit(n) for n in must_not])
+
+    def score(self, node: tuple) -> Column:
+        """The score of a document that the node hits."""
+        kind, what = node
+        if kind == "leaf":
+            return F.col(f"_s{what}")
+        if kind == "all":
+            return F.lit(what)
+        if kind == "best":
+            scores = [self.score(n) for n in what]
+            return F.greatest(*scores) if len(scores) > 1 else scores[0]
+        if kind == "boost":
+            positive, negative, factor = what
+            return self.score(positive) * F.when(self.hit(negative), F.lit(factor)).otherwise(F.lit(1.0))
+        must, should, _ = what
+        if not must and not should:
+            return F.lit(1.0)
+        parts = [self.score(n) for n in must]
+        parts += [F.when(self.hit(n), self.score(n)).otherwise(F.lit(0.0)) for n in should]
+        return reduce(lambda a, b: a + b, parts)
+
+    def hits_nothing_read(self, node: tuple | None = None) -> bool:
+        """Does a document without any term of the leaves match?"""
+        kind, what = node or self.root
+        if kind == "bool":
+            must, should, must_not = what
+            none = self.hits_nothing_read
+            return (all(map(none, must)) if must else any(map(none, should)) if should else True) and not any(
+                map(none, must_not))
+        return kind == "all" or kind == "boost" and self.hits_nothing_read(what[0])
+
+    def sum_of_terms(self, node: tuple | None = None) -> bool:
+        """Is the score a sum or best of term scores, so that more postings never lower it?"""
+        kind, what = node or self.root
+        if kind == "leaf":
+            return self.leaves[what].scored and self.leaves[what].boost >= 0
+        if kind == "best":
+            return all(map(self.sum_of_terms, what))
+        return kind == "bool" and not what[0] and bool(what[1]) and not what[2] and all(map(self.sum_of_terms, what[1]))
+
+
+def _wanted(block: dict) -> tuple:
+    return block["field"], block["term"], block["df"], block["mask"], block[RANGE]
+
+
 BUCKET = "_b"
 
+#: Resolved terms that are kept as values of the plan; more are written as a table.
+MOST_VALUES = 4096
+
+RESOLVED = f"field string, term string, df bigint, mask bigint, {RANGE} int"
+
 
 def key_bucket(buckets: int) -> Column:
     """The document bucket: ``pmod(hash(index, type, id), buckets)``."""
@@ -135,28 +275,32 @@ class SearchIndex:
     document and distinct analysed term, counted without a shuffle because
     the store is partitioned by document key.  ``stats``: documents per
     ``(index, type)``, so ``N`` never needs a scan of the documents.
-
-    ``build`` writes all three as Parquet under the shared checkpoint folder:
-    postings files sorted by ``(field, term)``, so a term or prefix filter is
-    pushed into the scan and skips row groups; documents partitioned into hash
-    buckets of their key, so joining a query's hits back to the documents
-    reads only the buckets holding hits (dynamic partition pruning) instead of
-    every stored text.  Every query after the build reads the index; nothing
-    is re-tokenised.
+    ``terms``: the dictionary (``term_index``); None where the index is not
+    written (``from_store``) or grows (a live index), whose postings are
+    filtered by term instead.
+
+    ``build`` writes all of it as Parquet under the shared checkpoint folder;
+    documents are partitioned into hash buckets of their key, so joining a
+    query's hits back to the documents reads only the buckets holding hits
+    (dynamic partition pruning) instead of every stored text.  Every query
+    after the build reads the index; nothing is re-tokenised.
     """
 
     def __init__(self, docs: DataFrame, postings: DataFrame, fields: tuple[str, ...] = ("text",),
                  stats: DataFrame | None = None, doc_buckets: int | None = None,
-                 version_col: str | None = None):
+                 version_col: str | None = None, terms: TermIndex | None = None, n_docs: int | None = None):
         self.docs = docs
         self.postings = postings
         self.fields = fields
         self.stats = stats
         self.doc_buckets = doc_buckets
+        self.terms = terms
         # rows of a kept-up index carry a version; only a document's newest
         # version counts, and it is looked up for matched documents alone
         self.version_col = version_col
-        if stats is not None:
+        if n_docs is not None:
+            self.n_docs = F.lit(n_docs)
+        elif stats is not None:
             self.n_docs = stats.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
         elif version_col:
             self.n_docs = docs.select(*KEYS).distinct().select(F.count(F.lit(1))).scalar()
@@ -189,12 +333,14 @@ class SearchIndex:
 
     @classmethod
     def build(cls, store: DataFrame, path: str | None = None, fields: tuple[str, ...] = ("text",),
-              doc_buckets: int | None = None, bucket_bytes: int = 128 * 1024 ** 2) -> SearchIndex:
-        """Write the store, its postings and counts under ``path`` (default: a fresh folder in the checkpoint dir).
-
-        ``doc_buckets`` should leave about ``bucket_bytes`` of text per
-        bucket; by default it is derived from the store's text size (one
-        aggregate, which also materialises the cache).
+              doc_buckets: int | None = None, bucket_bytes: int = 128 * 1024 ** 2,
+              range_bytes: int = 64 * 1024 ** 2, ranges: int | None = None) -> SearchIndex:
+        """Write the store, its postings, dictionary and counts under ``path`` (default: a fresh folder in the checkpoint dir).
+
+        ``doc_buckets`` should leave about ``bucket_bytes`` of text per bucket
+        and ``ranges`` about ``range_bytes`` of postings per range; by default
+        both are derived from the store's text size (one aggregate, which also
+        materialises the cache), with a range for each core at least.
         """
         from trendlens.session import scratch_path
 
@@ -208,55 +354,52 @@ class SearchIndex:
             text_bytes = int(cached.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
             if doc_buckets is None:
                 doc_buckets = max(1, -(-text_bytes // bucket_bytes))
-            # postings take about twice the text
-            postings_files = max(1, -(-2 * text_bytes // bucket_bytes))
+            if ranges is None:
+                # postings take about twice the text
+                ranges = max(spark.sparkContext.defaultParallelism, -(-2 * text_bytes // range_bytes))
             # a range of buckets per writer: about one bucket each, and keys hash evenly over buckets
             (cached.withColumn(BUCKET, key_bucket(doc_buckets)).repartitionByRange(doc_buckets, BUCKET)
                 .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/docs"))
-            postings = cls.postings_of(cached, fields)
-            # coalesce only ever lowers the file count (no shuffle), for stores
-            # partitioned more finely than their size needs
-            (postings.coalesce(postings_files).sortWithinPartitions("field", "term")
-                .write.mode("overwrite").parquet(f"{path}/postings"))
             cached.groupBy("index", "type").agg(F.count(F.lit(1)).alias("n")) \
                 .withColumn("buckets", F.lit(doc_buckets)).write.mode("overwrite").parquet(f"{path}/stats")
+            # dealt by ranges, which samples them first: kept, not counted twice
+            postings = cls.postings_of(cached, fields).persist()
+            try:
+                write_postings(postings, f"{path}/postings", ranges)
+            finally:
+                postings.unpersist()
         finally:
             cached.unpersist()
+        write_terms(cls._stored(spark, path), path, ranges)
         return cls.open(spark, path, fields)
 
+    @staticmethod
+    def _stored(spark, path: str) -> DataFrame:
+        return spark.read.schema(f"{POSTING_COLUMNS}, {RANGE} int").parquet(f"{path}/postings")
+
     @classmethod
     def open(cls, spark, path: str, fields: tuple[str, ...] = ("text",)) -> SearchIndex:
         """Read an index written by ``build`` (schemas are known, so nothing is inferred from files)."""
         extra = "".join(f", `{f}` string" for f in fields if f != "text")
         docs_schema = f"index string, type string, id string, text string, count bigint{extra}, {BUCKET} int"
-        postings_schema = "index string, type string, id string, field string, doc_len int, term string, tf bigint"
         stats = spark.read.schema("index string, type string, n bigint, buckets int").parquet(f"{path}/stats")
-        # one row per (index, type)
-        buckets = stats.agg(F.max("buckets")).first()[0]
-        return cls(spark.read.schema(docs_schema).parquet(f"{path}/docs"),
-                   spark.read.schema(postings_schema).parquet(f"{path}/postings"), fields,
-                   stats.select("index", "type", "n"), int(buckets) if buckets is not None else None)
+        # one row
+        kept = stats.agg(F.max("buckets"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        return cls(spark.read.schema(docs_schema).parquet(f"{path}/docs"), cls._stored(spark, path), fields,
+                   stats.select("index", "type", "n"), int(kept[0]) if kept[0] is not None else None,
+                   terms=TermIndex(spark, path), n_docs=kept[1])
 
     def restrict(self, indices: list[str] | None = None, types: list[str] | None = None) -> SearchIndex:
         """Only documents of the given indices and types."""
-        docs, postings, stats = self.docs, self.postings, self.stats
-        for col, values in (("index", indices), ("type", types)):
-            if values:
-                cond = F.col(col).isin(list(values))
-                docs, postings = docs.where(cond), postings.where(cond)
-                stats = stats.where(cond) if stats is not None else None
-        return SearchIndex(docs, postings, self.fields, stats, self.doc_buckets, self.version_col)
-
-    # -- building blocks -------------------------------------------------
-    def _matches(self, fld: str, pred) -> DataFrame:
-        m = self.postings.where((F.col("field") == F.lit(fld)) & pred(F.col("term")))
-        if not self.version_col:
-            return m
-        v = self.version_col
-        newest = self.docs.select(*KEYS, v).join(m.select(*KEYS).distinct(), KEYS, "left_semi") \
-            .groupBy(*KEYS).agg(F.max(v).alias(v))
-        return m.join(newest, [*KEYS, v]).drop(v)
-
+        conds = [F.col(c).isin(list(values)) for c, values in (("index", indices), ("type", types)) if values]
+        if not conds:
+            return self
+        cond = reduce(and_, conds)
+        return SearchIndex(self.docs.where(cond), self.postings.where(cond), self.fields,
+                           self.stats.where(cond) if self.stats is not None else None, self.doc_buckets,
+                           self.version_col, self.terms.restricted(cond) if self.terms else None)
+
+    # -- leaves to postings -----------------------------------------------------
     def _current(self, docs: DataFrame) -> DataFrame:
         """Only the newest version of each document in ``docs``."""
         if not self.version_col:
@@ -265,106 +408,136 @@ class SearchIndex:
         return docs.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop(
             "_rank", self.version_col)
 
-    def term_scores(self, fld: str, pred, boost: float, max_terms: int | None = None) -> DataFrame:
-        """``KEYS + [score]``: summed term scores of the documents with a matching term in ``fld``.
-
-        Document frequencies are one row per matched term, combined map-side
-        (a term found in every document is no hot spot).  When the query names
-        its terms, ``max_terms`` bounds that table and it is broadcast; term
-        expansions (fuzzy) leave the choice to AQE's runtime sizes.
+    def _filtered(self, leaves: list[Leaf]) -> DataFrame:
+        """Postings of the leaves' terms with df and mask, found by testing every posting (no dictionary)."""
+        tests = [(F.col("field") == leaf.field) & leaf.test(F.col("term")) for leaf in leaves]
+        m = self.postings.where(reduce(or_, tests))
+        if self.version_col:
+            v = self.version_col
+            newest = self.docs.select(*KEYS, v).join(m.select(*KEYS).distinct(), KEYS, "left_semi") \
+                .groupBy(*KEYS).agg(F.max(v).alias(v))
+            m = m.join(newest, [*KEYS, v]).drop(v)
+        mask = reduce(lambda a, b: a.bitwiseOR(b), [
+            F.when(t, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, t in enumerate(tests)])
+        dfreq = m.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+        return m.withColumn("mask", mask).join(dfreq, ["field", "term"])
+
+    def _terms(self, leaves: list[Leaf]) -> DataFrame:
+        """The dictionary's rows of the leaves' terms, each leaf's with its bit as ``mask``."""
+        return reduce(DataFrame.unionByName, [leaf.terms(self.terms).select(
+            "field", "term", "index", "type", "df", "first", "last", "blocks", F.lit(1 << i).cast("bigint").alias("mask"))
+            for i, leaf in enumerate(leaves)])
+
+    def _resolve(self, leaves: list[Leaf]) -> list[dict] | DataFrame:
+        """The leaves' terms: field, term, df, mask and range blocks (``_r, n, weight``) of the documents searched.
+
+        Up to ``MOST_VALUES`` rows of the dictionary are put together here;
+        more are grouped as a table of ``RESOLVED``.
         """
-        tf = self._matches(fld, pred)
-        dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        if max_terms is not None:
-            dfreq = F.broadcast(dfreq)
-        idf = F.lit(1.0) + F.log(self.n_docs / (F.col("df") + F.lit(1)))
-        score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len")) * F.lit(float(boost))
-        per_term = tf.join(dfreq, "term").select(*KEYS, score.alias("score"))
-        if max_terms == 1:
-            # postings hold one row per (document, field, term): with a single
-            # term every document has at most one row, so there is nothing to sum
-            return per_term
-        return per_term.groupBy(*KEYS).agg(F.sum("score").alias("score"))
-
-    def constant(self, fld: str | None, pred, boost: float) -> DataFrame:
-        """``KEYS + [score=boost]`` for documents with a matching term (all documents when ``pred`` is None)."""
-        if pred is None:
-            return self.docs.select(*KEYS).distinct().withColumn("score", F.lit(float(boost)))
-        hit = self._matches(fld, pred).select(*KEYS).distinct()
-        return hit.select(*KEYS, F.lit(float(boost)).alias("score"))
-
-    # -- compilation -------------------------------------------------------
+        found = self._terms(leaves)
+        rows = found.limit(MOST_VALUES + 1).collect()
+        # as many rows as the query has terms (and the dictionary indices), or few enough
+        if len(rows) > MOST_VALUES and not all(leaf.pick == "in" for leaf in leaves):
+            return found
+        if len(rows) > MOST_VALUES:
+            rows = found.collect()
+        terms: dict[tuple, dict] = {}
+        for r in rows:
+            t = terms.setdefault((r["field"], r["term"]), {"df": {}, "mask": 0, "blocks": {}})
+            t["df"][r["index"], r["type"]] = r["df"]
+            t["mask"] |= r["mask"]
+            for b in r["blocks"]:
+                # a term's row of one index and type comes once for each leaf that asks for it
+                t["blocks"].setdefault(b[RANGE], {})[r["index"], r["type"]] = (b["n"], b["weight"])
+        return [{"field": f, "term": w, "df": sum(t["df"].values()), "mask": t["mask"], RANGE: k,
+                 "n": sum(n for n, _ in held.values()), "weight": max(x for _, x in held.values())}
+                for (f, w), t in terms.items() for k, held in t["blocks"].items()]
+
+    def _table(self, found: DataFrame) -> DataFrame:
+        """Very many resolved terms as a written table of ``RESOLVED``, whose size Spark knows."""
+        from trendlens.session import scratch_path
+
+        own = found.groupBy("field", "term", "index", "type").agg(
+            F.bit_or("mask").alias("mask"), F.first("df").alias("df"), F.first("first").alias("first"),
+            F.first("last").alias("last"))
+        wanted = own.groupBy("field", "term").agg(
+            F.sum("df").alias("df"), F.bit_or("mask").alias("mask"), F.min("first").alias("first"),
+            F.max("last").alias("last")).select("field", "term", "df", "mask",
+                                                F.explode(F.sequence("first", "last")).alias(RANGE))
+        path = scratch_path(self.docs.sparkSession, "resolved-terms")
+        wanted.write.parquet(path)
+        return self.docs.sparkSession.read.schema(RESOLVED).parquet(path)
+
+    def _read(self, wanted: DataFrame | list[tuple]) -> DataFrame:
+        """Postings of resolved (field, term, range) rows, with df and mask; only those ranges are read."""
+        spark = self.docs.sparkSession
+        if isinstance(wanted, DataFrame):
+            return self.postings.join(wanted, ["field", "term", RANGE])
+        ranges = sorted({row[-1] for row in wanted})
+        terms = sorted({row[1] for row in wanted})
+        m = self.postings.where(F.col(RANGE).isin(ranges))
+        if 0 < len(terms) <= 64:
+            m = m.where(F.col("term").isin(terms))
+        # at most MOST_VALUES rows
+        return m.join(F.broadcast(spark.createDataFrame(wanted, RESOLVED)), ["field", "term", RANGE])
+
+    def _postings(self, leaves: list[Leaf]) -> DataFrame:
+        """``KEYS, tf, doc_len, df, mask``: one read of the postings of all leaves' terms."""
+        if self.terms is None:
+            return self._filtered(leaves)
+        found = self._resolve(leaves)
+        return self._read(self._table(found) if isinstance(found, DataFrame) else [_wanted(b) for b in found])
+
+    def _idf(self, n_docs: Column) -> Column:
+        return F.lit(1.0) + F.log(n_docs / (F.col("df") + F.lit(1)))
+
+    def _sums(self, leaves: list[Leaf], postings: DataFrame) -> DataFrame:
+        """``KEYS + [_s0, _s1, ...]``: what each leaf gives each document that holds one of its terms."""
+        idf = self._idf(self.n_docs)
+        # a column of its own: aggregates take no subquery (N)
+        postings = postings.withColumn("_gain", F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len")))
+        gain = F.col("_gain")
+        own = [F.col("mask").bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(leaves))]
+        values = [F.when(o, gain * F.lit(leaf.boost) if leaf.scored else F.lit(leaf.boost))
+                  for o, leaf in zip(own, leaves, strict=True)]
+        if len(leaves) == 1 and leaves[0].pick == "in" and len(leaves[0].values) == 1:
+            # postings hold one row per (document, field, term): nothing to sum
+            return postings.select(*KEYS, values[0].alias("_s0"))
+        return postings.groupBy(*KEYS).agg(*[
+            (F.sum(v) if leaf.scored else F.max(v)).alias(f"_s{i}")
+            for i, (v, leaf) in enumerate(zip(values, leaves, strict=True))])
+
+    def _hits(self, tree: Tree, postings: DataFrame | None = None) -> DataFrame:
+        sums = self._sums(tree.leaves, self._postings(tree.leaves) if postings is None else postings)
+        return sums.where(tree.hit(tree.root)).select(*KEYS, tree.score(tree.root).alias("score"))
+
+    # -- queries -------------------------------------------------------------------
     def scored(self, q) -> DataFrame:
         """``KEYS + [score]`` for every document matching ``q``."""
-        if isinstance(q, Term):
-            return self.term_scores(q.field, lambda t: t == F.lit(q.value), q.boost, max_terms=1)
-        if isinstance(q, MultiMatch):
-            qtoks = query_tokens(self.docs.sparkSession, q.text)
-            per_field = [self.term_scores(f, lambda t: t.isin(qtoks), q.boost, max_terms=len(qtoks))
-                         for f in q.fields]
-            if len(per_field) == 1:
-                return per_field[0]
-            return reduce(DataFrame.unionByName, per_field).groupBy(*KEYS).agg(F.max("score").alias("score"))
-        if isinstance(q, Fuzzy):
-            n = q.max_edits
-            prefix = q.value[: q.prefix_length]
-
-            def pred(t: Column) -> Column:
-                # within n edits the lengths differ by at most n: a cheap test first
-                c = (F.abs(F.length(t) - F.lit(len(q.value))) <= F.lit(n)) & \
-                    (F.levenshtein(t, F.lit(q.value), n) >= 0)
-                return t.startswith(prefix) & c if prefix else c
-            return self.term_scores(q.field, pred, q.boost)
-        if isinstance(q, MatchAll):
-            return self.constant(None, None, q.boost)
-        if isinstance(q, Prefix):
-            return self.constant(q.field, lambda t: t.startswith(q.value), q.boost)
-        if isinstance(q, Wildcard):
-            like = wildcard_to_like(q.pattern)
-            lead = q.pattern.split("*")[0].split("?")[0]
-
-            def pred(t: Column) -> Column:
-                # the literal lead is pushed into the scan as a prefix filter
-                return t.startswith(lead) & t.like(like) if lead else t.like(like)
-            return self.constant(q.field, pred, q.boost)
-        if isinstance(q, Bool):
-            return self._bool(q)
-        if isinstance(q, Boosting):
-            pos = self.scored(q.positive)
-            neg = self.scored(q.negative).select(*KEYS, F.lit(True).alias("_neg"))
-            factor = F.when(F.col("_neg"), F.lit(float(q.negative_boost))).otherwise(F.lit(1.0))
-            return pos.join(neg, KEYS, "left").select(*KEYS, (F.col("score") * factor).alias("score"))
-        raise TypeError(f"unsupported query {q!r}")
-
-    def _bool(self, q: Bool) -> DataFrame:
-        if q.must:
-            hits = self.scored(q.must[0])
-            for clause in q.must[1:]:
-                other = self.scored(clause).withColumnRenamed("score", "_s")
-                hits = hits.join(other, KEYS, "inner").select(*KEYS, (F.col("score") + F.col("_s")).alias("score"))
-            for clause in q.should:
-                other = self.scored(clause).withColumnRenamed("score", "_s")
-                hits = hits.join(other, KEYS, "left").select(
-                    *KEYS, (F.col("score") + F.coalesce(F.col("_s"), F.lit(0.0))).alias("score"))
-        elif q.should:
-            hits = reduce(DataFrame.unionByName, [self.scored(c) for c in q.should])
-            hits = hits.groupBy(*KEYS).agg(F.sum("score").alias("score"))
-        else:
-            hits = self.constant(None, None, 1.0)
-        for clause in q.must_not:
-            hits = hits.join(self.scored(clause).select(*KEYS), KEYS, "left_anti")
-        return hits
-
-    def search(self, q) -> DataFrame:
-        """All hits of ``q``: ``index, type, id, text, count, score, json`` (unordered)."""
-        if isinstance(q, MatchAll) or isinstance(q, Bool) and not q.must and not q.should:
-            # every document but those of must-not clauses: the documents need no join to themselves
-            out = self._current(self.docs)
-            for clause in getattr(q, "must_not", ()):
-                out = out.join(self.scored(clause).select(*KEYS), KEYS, "left_anti")
-            return hits_json(out.select(*KEYS, "text", "count",
-                                        F.lit(float(getattr(q, "boost", 1.0))).alias("score")))
-        hits = self.scored(q)
+        tree = Tree(self.docs.sparkSession, q)
+        if not tree.hits_nothing_read():
+            return self._hits(tree)
+        docs = self.docs.select(*KEYS).distinct()
+        return self._over(docs, tree).select(*KEYS, "score")
+
+    def _over(self, docs: DataFrame, tree: Tree) -> DataFrame:
+        """``docs`` that match, with ``score``, where documents without any of the query's terms may match."""
+        if tree.leaves:
+            docs = docs.join(self._sums(tree.leaves, self._postings(tree.leaves)), KEYS, "left")
+        return docs.where(tree.hit(tree.root)).withColumn("score", tree.score(tree.root))
+
+    def search(self, q, size: int | None = None) -> DataFrame:
+        """Hits of ``q``: ``index, type, id, text, count, score, json`` -- all, unordered, or the best ``size`` in order."""
+        tree = Tree(self.docs.sparkSession, q)
+        if tree.hits_nothing_read():
+            out = self._over(self._current(self.docs), tree)
+            hits = hits_json(out.select(*KEYS, "text", "count", F.round("score", SCORE_DIGITS).alias("score")))
+            return hits if size is None else ranked(hits, size)
+        if size is not None:
+            return ranked(self._texts(ranked(self._best(tree, size), size)))
+        return self._texts(self._hits(tree))
+
+    def _texts(self, hits: DataFrame) -> DataFrame:
         on = KEYS
         if self.doc_buckets:
             # the bucket in the join lets Spark prune the document partitions to the hit buckets
@@ -374,6 +547,61 @@ class SearchIndex:
             *KEYS, "text", "count", F.round(F.col("score"), SCORE_DIGITS).alias("score"))
         return hits_json(out)
 
+    # -- the best hits ---------------------------------------------------------------
+    def _best(self, tree: Tree, size: int) -> DataFrame:
+        """``KEYS + [score]`` (rounded) of hits that include the best ``size``."""
+        rounded = F.round("score", SCORE_DIGITS).alias("score")
+        if self.terms is None or not tree.sum_of_terms():
+            return self._hits(tree).select(*KEYS, rounded)
+        blocks = self._kept_blocks(tree, size)
+        if blocks is None:
+            return self._hits(tree).select(*KEYS, rounded)
+        return self._hits(tree, self._read([_wanted(b) for b in blocks if b["kept"]])).select(*KEYS, rounded)
+
+    def top_blocks(self, q, size: int) -> list[dict] | None:
+        """The postings blocks (term, range) of ``q``: their rows ``n``, largest gain ``most``, and whether a search for ``size`` hits reads them."""
+        return self._kept_blocks(Tree(self.docs.sparkSession, q), size)
+
+    def _kept_blocks(self, tree: Tree, size: int) -> list[dict] | None:
+        """Block-max: blocks that cannot hold one of the best ``size`` documents are not read.
+
+        Every term's best block is read first, and the blocks of the largest
+        gains as far as ``size`` postings.  Their documents' scores so far are lower bounds
+        (the score is a sum of terms), so the ``size``-th of them bounds what
+        the best hits have.  A document in another block has at most that
+        block's largest gain and the largest of every other term: below the
+        bound, neither it nor its other postings matter.  None where the query
+        has more than ``MOST_VALUES`` terms.
+        """
+        blocks = self._resolve(tree.leaves)
+        if isinstance(blocks, DataFrame):           # too many terms to look at one by one
+            return None
+        n_docs = self.docs.sparkSession.range(1).select(self.n_docs.cast("bigint")).first()[0]
+        most: dict[tuple, float] = {}
+        for b in blocks:
+            idf = 1.0 + math.log(n_docs / (b["df"] + 1)) if n_docs else 0.0
+            boost = sum(leaf.boost for i, leaf in enumerate(tree.leaves) if b["mask"] >> i & 1)
+            b["most"], b["kept"] = b["weight"] * idf * idf * boost, True
+            key = b["field"], b["term"]
+            most[key] = max(most.get(key, 0.0), b["most"])
+        blocks.sort(key=lambda b: (-b["most"], b["field"], b["term"], b[RANGE]))
+        first, held, seen = [], 0, set()
+        for b in blocks:
+            if held < size or (b["field"], b["term"]) not in seen:
+                first.append(_wanted(b))
+                held += b["n"]
+            seen.add((b["field"], b["term"]))
+        if len(first) == len(blocks):
+            return blocks
+        bounds = self._hits(tree, self._read(first)).select(F.round("score", SCORE_DIGITS).alias("score")).orderBy(
+            F.col("score").desc()).limit(size).collect()
+        if len(bounds) == size:
+            bound, total = bounds[-1]["score"], sum(most.values())
+            for b in blocks:
+                # a unit of the last place more, since scores are rounded before they are compared
+                b["kept"] = b["most"] + total - most[b["field"], b["term"]] >= bound - 10.0 ** -SCORE_DIGITS
+        return blocks
+
 
 def query_tokens(spark, text: str) -> list[str]:
     """The analysed tokens of a query string, by the same Spark expression as the documents.
@@ -386,21 +614,27 @@ def query_tokens(spark, text: str) -> list[str]:
 
 
 def search(index: SearchIndex | DataFrame, q, indices: list[str] | None = None,
-           types: list[str] | None = None) -> DataFrame:
-    """J3 + Q-*: evaluate ``q`` over an index (or a store, indexed lazily), restricted to ``indices``/``types``."""
+           types: list[str] | None = None, size: int | None = None) -> DataFrame:
+    """J3 + Q-*: evaluate ``q`` over an index (or a store, indexed lazily), restricted to ``indices``/``types``.
+
+    ``size``: only the best ``size`` hits, in order.
+    """
     if isinstance(index, DataFrame):
         index = SearchIndex.from_store(index)
-    return index.restrict(indices, types).search(q)
+    return index.restrict(indices, types).search(q, size)
 
 
-def search_requests(index: SearchIndex | DataFrame, requests: DataFrame, fld: str = "text") -> DataFrame:
+def search_requests(index: SearchIndex | DataFrame, requests: DataFrame, fld: str = "text",
+                    size: int | None = None) -> DataFrame:
     """J3 + A3: answers a table of requests in one plan.
 
     ``requests`` holds ``request_id, kind, value, index, type``; ``kind`` is
     ``term`` (the value is one analysed token) or ``match`` (the value is
     analysed; every token scores).  Equal requests are answered once, under
-    their smallest id.  Requests' tokens are joined to the postings once, so
-    the work follows the matched postings, not the number of requests.
+    their smallest id.  Requests' tokens meet the dictionary, which gives df
+    once per term and the term's ranges; then each (term, range) meets that
+    range's postings, so a term of a third of all documents is joined range by
+    range.  ``size`` keeps the best hits of each request.
     Result: ``request_id`` and the columns of ``search``.
     """
     if isinstance(index, DataFrame):
@@ -409,14 +643,25 @@ def search_requests(index: SearchIndex | DataFrame, requests: DataFrame, fld: st
     terms = F.when(F.col("kind") == "term", F.array("value")).when(
         F.col("kind") == "match", F.array_distinct(analyze(F.col("value"))))
     tokens = asked.select("request_id", "index", "type", F.explode(terms).alias("term"))
-    stats = index.stats if index.stats is not None else index.docs.groupBy("index", "type").agg(
+    stats = index.stats if index.stats is not None else index._current(index.docs).groupBy("index", "type").agg(
         F.count(F.lit(1)).alias("n"))
     known = tokens.join(stats.groupBy("index", "type").agg(F.sum("n").alias("_n")), ["index", "type"])
-    tf = index._matches(fld, lambda t: t.isNotNull()).join(known, ["index", "type", "term"])
-    dfreq = tf.groupBy("request_id", "term").agg(F.count(F.lit(1)).alias("df"))
+    if index.terms is not None:
+        words = index.terms.terms.where(F.col("field") == fld).select(
+            "index", "type", "term", "df", F.explode(F.sequence("first", "last")).alias(RANGE))
+        tf = index.postings.where(F.col("field") == fld).join(
+            known.join(words, ["index", "type", "term"]), ["index", "type", "term", RANGE])
+    else:
+        # the dictionary of the asked terms, counted from the postings
+        every = index._filtered([Leaf(fld, "prefix", ("",), 1.0, True)]).drop("df", "mask")
+        dfreq = every.groupBy("index", "type", "term").agg(F.count(F.lit(1)).alias("df"))
+        tf = every.join(known.join(dfreq, ["index", "type", "term"]), ["index", "type", "term"])
     idf = F.lit(1.0) + F.log(F.col("_n") / (F.col("df") + F.lit(1)))
     score = F.sqrt(F.col("tf")) * idf * idf / F.sqrt(F.col("doc_len"))
-    hits = tf.join(dfreq, ["request_id", "term"]).groupBy("request_id", *KEYS).agg(F.sum(score).alias("score"))
+    hits = tf.groupBy("request_id", *KEYS).agg(F.sum(score).alias("score"))
+    if size is not None:
+        best = Window.partitionBy("request_id").orderBy(F.round("score", SCORE_DIGITS).desc(), F.col("id"))
+        hits = hits.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= size).drop("_rank")
     on = KEYS
     if index.doc_buckets:
         hits, on = hits.withColumn(BUCKET, key_bucket(index.doc_buckets)), KEYS + [BUCKET]
