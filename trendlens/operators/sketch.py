@@ -7,8 +7,11 @@ spread over ``depth`` rows by double hashing, ``bucket_i = (h1 + i*h2) mod width
 Building is one aggregation on ``(row, bucket)``: every task combines its own
 items into at most ``depth x width`` partial cells before that shuffle.  By
 default items are counted first, a shuffle of each task's distinct items.
-Estimating reads all cells, whose number the parameters fix, as one array: an
-item's estimate is the least of ``depth`` array entries, in one projection.
+Estimating packs the cells of ``BLOCK`` neighbouring buckets of a row into one
+row (no row holds more, however wide the sketch); an item's ``depth`` positions
+join to their blocks, and the least of the cells found is its estimate.  Blocks
+are broadcast while the parameters say that all cells take at most
+``BROADCAST_BYTES``; a larger sketch is joined by block.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ from trendlens.functions.hashing import HASH_KINDS, base_hashes, bucket
 
 CELL_SCHEMA = "row int, bucket bigint, cnt bigint"
 
+#: Buckets of a block, and the size up to which all blocks are broadcast.
+BLOCK = 64
+BROADCAST_BYTES = 8 << 20
+
 
 class SketchMergeError(ValueError):
     """Raised when sketches with different depth, width or seed are merged."""
@@ -118,13 +125,19 @@ class CountMinSketch:
         """A10: total weight added (every hash row sums to it); one row ``total``."""
         return self.cells.where(F.col("row") == 0).agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("total"))
 
-    def _entries(self) -> Column:
-        """All ``depth x width`` counters as one array, cell ``(row, bucket)`` at ``row * width + bucket``."""
-        slots = self.cells.sparkSession.range(self.params.cells).withColumnRenamed("id", "_slot")
-        held = self.cells.select((F.col("row").cast("bigint") * self.params.width + F.col("bucket")).alias("_at"), "cnt")
-        full = slots.join(held, F.col("_slot") == F.col("_at"), "left").agg(F.array_sort(F.collect_list(
-            F.struct("_slot", F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt")))).alias("_all"))
-        return full.select(F.transform("_all", lambda x: x["cnt"])).scalar()
+    def _blocks(self) -> DataFrame:
+        """``_slot, _cells``: the counters of ``BLOCK`` buckets of a row, by offset; a block without any is absent."""
+        per_row = -(-self.params.width // BLOCK)
+        slot = F.col("row").cast("bigint") * per_row + F.floor(F.col("bucket") / BLOCK)
+        held = self.cells.select(slot.alias("_slot"), F.struct(
+            (F.col("bucket") % BLOCK).cast("int").alias("at"), "cnt").alias("_cell"))
+        # at most BLOCK cells; most blocks of a used sketch are full, and then sorting them is all
+        packed = held.groupBy("_slot").agg(F.array_sort(F.collect_list("_cell")).alias("_held"))
+        by_offset = F.map_from_entries("_held")
+        return packed.select("_slot", F.when(
+            F.size("_held") == BLOCK, F.transform("_held", lambda c: c["cnt"])).otherwise(
+            F.transform(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda i: F.coalesce(
+                F.element_at(by_offset, i), F.lit(0).cast("bigint")))).alias("_cells"))
 
     def estimate(self, items: DataFrame, col: str = "w", out: str = "estimate",
                  distinct: bool = True, own_count_col: str | None = None) -> DataFrame:
@@ -146,14 +159,21 @@ class CountMinSketch:
             asked = asked.distinct()
         h1, h2 = base_hashes(F.col(col), self.params.hash)
         hashed = asked.select(*cols, h1.alias("_h1"), h2.alias("_h2"))
-        entries, width = self._entries(), self.params.width
-        found = [F.get(entries, (F.lit(r).cast("bigint") * width
-                                 + bucket(F.col("_h1"), F.col("_h2"), r, width)).cast("int"))
-                 for r in range(self.params.depth)]
-        least = F.least(*found) if len(found) > 1 else found[0]
+        width, per_row = self.params.width, -(-self.params.width // BLOCK)
+        spots = hashed.select(*cols, F.explode(F.array(*[
+            F.lit(r).cast("bigint") * per_row * BLOCK + bucket(F.col("_h1"), F.col("_h2"), r, width)
+            for r in range(self.params.depth)])).alias("_spot"))
+        spots = spots.select(*cols, F.shiftright("_spot", BLOCK.bit_length() - 1).alias("_slot"),
+                             F.col("_spot").bitwiseAND(F.lit(BLOCK - 1)).cast("int").alias("_at"))
+        blocks = self._blocks()
+        if self.params.cells * 8 <= BROADCAST_BYTES:
+            blocks = F.broadcast(blocks)
+        found = spots.join(blocks, "_slot", "left").select(*cols, F.coalesce(
+            F.get("_cells", F.col("_at")), F.lit(0).cast("bigint")).alias("_cell"))
+        least = F.min("_cell")
         if own_count_col:
-            least = F.greatest(least, F.col(own_count_col))
-        return hashed.select(col, least.cast("bigint").alias(out))
+            least = F.greatest(least, F.max(own_count_col))
+        return found.groupBy(col).agg(least.cast("bigint").alias(out))
 
     def save(self, path: str, mode: str = "overwrite") -> None:
         """Cells and parameters as Parquet under ``path``."""
