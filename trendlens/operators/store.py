@@ -9,6 +9,7 @@ all posts is reduced inside every task before the one shuffle on the key.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +101,18 @@ def hits_json(df: DataFrame, out: str = "json") -> DataFrame:
 
 
 def write_store(store: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``overwrite`` drops and recreates the stored index; ``append`` keeps it and adds rows of new keys only."""
+    """``overwrite`` drops and recreates the stored index; ``append`` keeps it and adds rows of new keys only.
+
+    Appending to a folder that does not exist yet writes the whole store.
+    """
+    if mode == "append":
+        try:
+            held = store.sparkSession.read.schema(store.schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            store = store.join(held.select(*STORE_KEYS), STORE_KEYS, "left_anti")
     store.write.mode(mode).parquet(path)
 
 
@@ -120,7 +132,7 @@ def parse_search_args(df: DataFrame, col: str = "args", keep: list[str] | None =
     Index and type are the last two space-free words, so a query holding
     spaces survives (quirk X6).
     """
-    pattern = r"^(.*) (\S+) (\S+)$"
+    pattern = r"(?s)^(.*) (\S+) (\S+)$"
     return df.select(
         *(keep or []),
         F.regexp_extract(F.col(col), pattern, 1).alias("query"),

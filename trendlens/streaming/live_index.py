@@ -41,7 +41,7 @@ def running_search_index(posts: DataFrame, snapshots: Snapshots, checkpoint: str
             prev = snapshots.latest_commit(spark, before=batch_id)
             state, base = changed, batch_id
             if prev is not None and batch_id - prev[1] >= compact_every:
-                old = snapshots.read_keyed(spark, "store", STORE_KEYS, version=prev)
+                old = snapshots.read_keyed(spark, "store", STORE_KEYS, version=prev[0])
                 state = old.join(changed.select(*STORE_KEYS), STORE_KEYS, "left_anti").unionByName(changed)
             elif prev is not None:
                 base = prev[1]
@@ -59,9 +59,8 @@ def running_search_index(posts: DataFrame, snapshots: Snapshots, checkpoint: str
 
 def live_index(spark: SparkSession, snapshots: Snapshots) -> SearchIndex | None:
     """The search index as of the latest committed micro-batch (None before the first)."""
-    commit = snapshots.latest_commit(spark)
-    if commit is None:
+    chain = snapshots.chain(spark)
+    if not chain:
         return None
-    top, base = commit
-    return SearchIndex(snapshots.read_versions(spark, "store", base, top),
-                       snapshots.read_versions(spark, "postings", base, top), version_col="_v")
+    return SearchIndex(snapshots.read_versions(spark, "store", chain),
+                       snapshots.read_versions(spark, "postings", chain), version_col="_v")
