@@ -183,6 +183,10 @@ def scored_sql(q) -> str:
     raise TypeError(q)
 
 
+def top_sql(q, size: int) -> str:
+    return f"SELECT * FROM ({hits_sql(q)}) ORDER BY score DESC, id LIMIT {size}"
+
+
 def hits_sql(q) -> str:
     return f"""
     WITH {store_cte()}
@@ -310,3 +314,99 @@ ORACLE |= {
         SELECT x.request_id, x.id, s.count, round(x.score, 6) AS score FROM scored x JOIN store s USING (id)
     """,
 }
+
+
+def _two_fields_sql(text: str) -> str:
+    """Pages scored per field like stored texts; a page has its better field's score."""
+    field = lambda name: f"""
+        SELECT '{name}' AS f, id, len(arr) AS dl, unnest(arr) AS term
+        FROM (SELECT page_id::VARCHAR AS id, {analyze("html" if name == "text" else "url")} AS arr FROM pages)"""
+    return f"""
+    WITH toks AS ({field("text")} UNION ALL {field("url")}),
+    tf AS (SELECT f, id, dl, term, count(*) AS tf FROM toks
+           WHERE list_contains({analyze(_quote(text))}, term) GROUP BY ALL),
+    dfs AS (SELECT f, term, count(*) AS df FROM tf GROUP BY ALL),
+    sums AS (SELECT f, id, sum(sqrt(tf) * (1 + ln((SELECT count(*) FROM pages) / (df + 1))) ^ 2 / sqrt(dl)) AS score
+             FROM tf JOIN dfs USING (f, term) GROUP BY f, id)
+    SELECT 'my_index' AS "index", 'page' AS "type", id, 1::BIGINT AS count, round(max(score), 6) AS score
+    FROM sums GROUP BY id
+    """
+
+
+def _bloom_held(bits: int, probes: int, members: str, asked: str) -> str:
+    """CTEs ``asked`` (its columns, and ``maybe``): the positions of each distinct word, joined to the members' positions."""
+    return f"""
+    members AS ({members}), asked0 AS ({asked}),
+    bits AS MATERIALIZED (SELECT DISTINCT ({h1('w')} + i * {h2('w')}) % {bits} AS pos FROM members, range({probes}) t(i)),
+    spots AS MATERIALIZED (
+        SELECT w, ({h1('w')} + i * {h2('w')}) % {bits} AS pos FROM (SELECT DISTINCT w FROM asked0), range({probes}) t(i)),
+    held AS (SELECT w, count(bits.pos) = count(*) AS maybe FROM spots LEFT JOIN bits USING (pos) GROUP BY w),
+    asked AS (SELECT asked0.*, maybe FROM asked0 JOIN held USING (w))
+    """
+
+
+# 100,000 items at 1 %: floor(100000 * ln(100) / ln(2)^2) bits and round(bits / 100000 * ln 2) probes
+BLOOM_LARGE_BITS, BLOOM_LARGE_PROBES = 958505, 7
+
+_LANG_WORDS = ("SELECT DISTINCT lang, w FROM (SELECT lang, unnest(string_split(lower(text), ' ')) AS w FROM documents) "
+               "WHERE w <> ''")
+
+ORACLE |= {
+    "hits_top_term": top_sql(S.Term(Q.TOP_TERM), Q.TOP_HITS),
+    "hits_top_match": top_sql(S.MultiMatch(Q.TOP_MATCH), Q.TOP_HITS),
+    "hits_two_fields": _two_fields_sql(Q.PAGE_MATCH),
+    "requests_search_whole": f"""
+        WITH {store_cte()},
+        req AS (SELECT min(item_id) AS request_id, text FROM benchmark GROUP BY text),
+        terms AS (SELECT request_id, unnest(list_distinct({analyze('text')})) AS term FROM req),
+        tf AS (SELECT id, term, dl, count(*) AS tf FROM toks GROUP BY ALL),
+        dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        gains AS (SELECT id, term, sqrt(tf) * (1 + ln((SELECT n FROM nd) / (df + 1))) ^ 2 / sqrt(dl) AS gain
+                  FROM tf JOIN dfs USING (term)),
+        scored AS (SELECT request_id, id, sum(gain) AS score FROM terms JOIN gains USING (term) GROUP BY ALL)
+        SELECT x.request_id, x.id, s.count, round(x.score, 6) AS score FROM scored x JOIN store s USING (id)
+    """,
+    # a line that lost its last character, a word, and a text where a number belongs are bad; each keeps its text
+    "parsed_posts_whole": """
+        WITH bad AS (
+            SELECT unnest([length(json_object('id', doc_id, 'text', text, 'lang', lang)::VARCHAR) - 1,
+                           length(lang) + 1, length(lang) + 10]) AS chars FROM documents)
+        SELECT lang, count(*) AS posts, sum(length(text))::BIGINT AS chars FROM documents GROUP BY lang
+        UNION ALL SELECT NULL, count(*), sum(chars)::BIGINT FROM bad
+    """,
+    "documents_info": f"""
+        SELECT lower(text) AS sentence, {java_hash_text('lower(text)')} AS id, 'my_index' AS "index", 'my_type' AS "type"
+        FROM documents WHERE text IS NOT NULL
+    """,
+    "store_appended": f"""
+        WITH {store_cte()}, english AS (
+            SELECT id, min(s) AS text, count(*) AS count
+            FROM (SELECT lower(text) AS s, {java_hash_text('lower(text)')} AS id FROM documents WHERE lang = 'en') GROUP BY id)
+        SELECT "index", "type", id, coalesce(e.text, s.text) AS text, coalesce(e.count, s.count) AS count
+        FROM store s LEFT JOIN english e USING (id)
+    """,
+    "bloom_flags": f"""
+        WITH {_bloom_held(BLOOM_BITS, BLOOM_PROBES, f"SELECT lower(unnest({STOP_LIST})) AS w",
+                          f"SELECT w, count(*) AS n FROM ({DOC_WORDS}) GROUP BY w")}
+        SELECT length(w)::INTEGER AS letters, maybe, count(*) AS words, sum(n)::BIGINT AS count FROM asked GROUP BY ALL
+    """,
+    "bloom_large": f"""
+        WITH {_bloom_held(BLOOM_LARGE_BITS, BLOOM_LARGE_PROBES, f"SELECT w FROM ({_LANG_WORDS}) WHERE lang = 'en'",
+                          _LANG_WORDS)}
+        SELECT lang, maybe, count(*) AS words FROM asked GROUP BY ALL
+    """,
+}
+
+ORACLE |= {
+    "polled_counts": ORACLE["doc_counts"],
+    "stream_own_sketch": ORACLE["topk_words_cms"],
+    "user_word_counts": """
+        SELECT lang, w, count(*) AS count FROM (SELECT lang, unnest(string_split(lower(text), ' ')) AS w FROM documents)
+        WHERE w <> '' GROUP BY ALL
+    """,
+    "user_reduced": """
+        SELECT lang, count(*) AS docs, sum(length(text))::BIGINT AS chars,
+               first(text ORDER BY length(text) DESC, text) AS longest
+        FROM documents GROUP BY lang
+    """,
+}

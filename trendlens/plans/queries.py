@@ -10,8 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlens.functions.text import split_keep_empty
+from trendlens.functions.user import SplitWords, reduce_groups, row_function
 from trendlens.operators.bloom import bloom_drop, build_bloom
 from trendlens.operators.entities import extract_entities
 from trendlens.operators.search import (
@@ -41,8 +43,13 @@ from trendlens.operators.store import (
     DEFAULT_INDEX,
     DEFAULT_TYPE,
     STORE_KEYS,
+    build_documents,
     doc_store,
+    document_info,
+    drop_nulls,
+    parse_posts,
     parse_search_args,
+    sentences,
     update_store,
     write_store,
 )
@@ -65,7 +72,11 @@ from trendlens.streaming import (
     Snapshots,
     land_posts,
     live_index,
+    own_sketch_top_k,
+    poll,
+    running_counts_state,
     running_doc_counts,
+    running_own_sketch,
     running_search_index,
     running_sketch_top_k,
     running_word_top_k,
@@ -79,6 +90,7 @@ LOOKUP_REQUEST = "to the apple ties under trash"
 BLOOM_CAPACITY = 500
 OWN_STOP_WORDS = 30
 BLOOM_FPP = 0.01
+BLOOM_LARGE = 100_000
 TRACK_KEYWORDS = ("trash", "idiot", "under the")
 SPLIT_SEPARATOR = ","
 
@@ -92,6 +104,10 @@ PREFIX_VALUE = "thr"
 WILDCARD_PATTERN = "t??e*"
 NEGATIVE_BOOST = 0.2
 TERM_FR = "étre"
+TOP_HITS = 10
+TOP_TERM = "the"
+TOP_MATCH = "the trash under of"
+PAGE_MATCH = "example article the"
 
 STREAM_FILES = 32         # landed JSON files ...
 STREAM_FILES_PER_TRIGGER = 8   # ... taken 8 per micro-batch (4 micro-batches, 8 tasks each)
@@ -241,6 +257,33 @@ SEARCHES = {
 }
 
 
+def hits_top_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-SCORE: the best ten hits of a very common term, by block maxima."""
+    return search(search_index(spark, sf_dir), Term(TOP_TERM), size=TOP_HITS).select(*HIT_COLUMNS)
+
+
+def hits_top_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-SCORE: the best ten hits of a match of several terms, by block maxima."""
+    return search(search_index(spark, sf_dir), MultiMatch(TOP_MATCH), size=TOP_HITS).select(*HIT_COLUMNS)
+
+
+def _page_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a store of two text fields: the markup as ``text``, and ``url``."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"], fan_out=session_fan_out(spark))
+    return pages.select(F.lit(DEFAULT_INDEX).alias("index"), F.lit("page").alias("type"),
+                        F.col("page_id").cast("string").alias("id"), F.lower("html").alias("text"),
+                        F.lit(1).cast("bigint").alias("count"), F.lower("url").alias("url"))
+
+
+def hits_two_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-MATCH: pages whose markup or address holds any of three words; the better field scores."""
+    key = (spark.conf.get("spark.app.id", None), sf_dir, "pages")
+    if key not in _INDEXES:
+        _INDEXES[key] = SearchIndex.build(_page_store(spark, sf_dir), fields=("text", "url"))
+    found = search(_INDEXES[key], MultiMatch(PAGE_MATCH, ("text", "url")))
+    return found.select("index", "type", "id", "count", "score")
+
+
 # -- entities ------------------------------------------------------------------
 
 def entities_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,6 +347,26 @@ def parsed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.sum(F.length("_corrupt")).alias("chars")))
 
 
+def parsed_posts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a raw JSON line, and cut, foreign and empty lines on top; posts and bad lines by language."""
+    docs = _docs(spark, sf_dir, ["doc_id", "text", "lang"])
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), "text", "lang"))
+    # the line, the line without its end, a line that is no JSON, and one whose id is no number
+    lines = F.array(line, F.substring(line, F.lit(1), F.length(line) - 1), F.concat(F.lit("x"), F.col("lang")),
+                    F.concat(F.lit('{"id": "'), F.col("lang"), F.lit('"}')))
+    good, bad = parse_raw_posts(docs.select(F.explode(lines).alias("value")))
+    return good.groupBy("lang").agg(F.count(F.lit(1)).alias("posts"), F.sum(F.length("text")).alias("chars")).unionByName(
+        bad.agg(F.lit(None).cast("string").alias("lang"), F.count(F.lit(1)).alias("posts"),
+                F.sum(F.length("_corrupt")).alias("chars")))
+
+
+def documents_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every post as a document, with the id, index and type read back out of it."""
+    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
+    docs = document_info(build_documents(sentences(drop_nulls(parse_posts(posts), "text"))))
+    return docs.select("sentence", "id", "index", "type")
+
+
 def cms_from_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells of a sketch sized from error targets (0.2 % at 99.9 %)."""
     params = SketchParams.from_error(0.002, 0.999)
@@ -327,6 +390,41 @@ def store_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return update_store(kept, doc_store(posts.where(~english)))
 
 
+def store_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store of the English documents, kept; appending all documents' store adds the texts it lacks."""
+    posts = documents_as_posts(_docs(spark, sf_dir, ["doc_id", "text", "lang", "source"]))
+    path = scratch_path(spark, "store")
+    write_store(doc_store(posts.where(F.coalesce(F.col("lang") == "en", F.lit(False)))), path)
+    write_store(doc_store(posts), path, mode="append")
+    return spark.read.schema("index string, type string, id string, text string, count bigint").parquet(path)
+
+
+def bloom_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words, and how often, the filter of the stop list holds, by length of the word."""
+    bloom = build_bloom(stop_words_df(spark), "w", BLOOM_CAPACITY, BLOOM_FPP)
+    counts = word_counts(_doc_words(spark, sf_dir), "w", out="count")
+    return bloom.flag(counts, "w").groupBy(F.length("w").alias("letters"), "maybe").agg(
+        F.count(F.lit(1)).alias("words"), F.sum("count").alias("count"))
+
+
+def bloom_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter of many blocks, of the English documents' words, probed with all words; who is held, by language."""
+    words = tokens(_docs(spark, sf_dir, ["text", "lang"]), "text", out="w", keep=["lang"]).distinct()
+    bloom = build_bloom(words.where(F.col("lang") == "en"), "w", BLOOM_LARGE, BLOOM_FPP)
+    return bloom.flag(words, "w").groupBy("lang", "maybe").agg(F.count(F.lit(1)).alias("words"))
+
+
+def requests_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark text, whole, as a request; parsed, de-duplicated and answered together."""
+    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    args = bench.select("item_id", F.concat("text", F.lit(f" {DEFAULT_INDEX} {DEFAULT_TYPE}")).alias("args"))
+    parsed = parse_search_args(args, keep=["item_id"])
+    requests = parsed.select(F.col("item_id").alias("request_id"), F.lit("match").alias("kind"),
+                             F.col("query").alias("value"), F.get("indices", 0).alias("index"),
+                             F.get("types", 0).alias("type"))
+    return search_requests(search_index(spark, sf_dir), requests).select("request_id", "id", "count", "score")
+
+
 def requests_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests made of the benchmark's texts, parsed, de-duplicated and answered together."""
     bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
@@ -407,6 +505,51 @@ def stream_hits_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(live_index(spark, snaps), SEARCHES["hits_term"]).select(*HIT_COLUMNS)
 
 
+def polled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts asked for while batches run, through the state store; the state after the last batch."""
+    root = scratch_path(spark, "polled-counts")
+    checkpoint = f"{root}/checkpoint"
+    query = running_doc_counts(_stream_posts(spark, sf_dir), Snapshots(f"{root}/snapshots"), checkpoint,
+                               state_partitions=_state_partitions(spark))
+    state, seen = None, -1
+    for batch, answer in poll(query, lambda: running_counts_state(spark, checkpoint)):
+        if answer is not None:
+            # counts only grow: every answer holds what the one before it held
+            now = answer.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+            if now < seen:
+                raise RuntimeError(f"batch {batch} has lost counts: {now} after {seen}")
+            state, seen = answer, now
+    return state
+
+
+def stream_own_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4: sketch and heap as a state updater of our own, per part of the words; the top-5 by the merged sketch."""
+    snaps = _run_stream(spark, sf_dir, "stream-own-sketch",
+                        lambda posts, s, ckpt, **kw: running_own_sketch(posts, s, ckpt, params=TOPK_PARAMS, **kw))
+    return own_sketch_top_k(snaps.read_keyed(spark, "sketch", ["part"]), TOP_K, TOPK_PARAMS).select(
+        F.col("w").alias("word"), "estimate")
+
+
+def user_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' words by a row function of the user's, counted by language."""
+    docs = _docs(spark, sf_dir, ["text", "lang"])
+    return row_function(docs, SplitWords, "text").groupBy("lang", "w").agg(F.count(F.lit(1)).alias("count"))
+
+
+def user_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents reduced by language with a reducer of the user's: how many, their letters, the longest text."""
+    def reduce(value: tuple, row: dict) -> tuple:
+        text = row["text"] or ""
+        return value[0] + 1, value[1] + len(text), min(value[2], (-len(text), text))
+
+    def merge(a: tuple, b: tuple) -> tuple:
+        return a[0] + b[0], a[1] + b[1], min(a[2], b[2])
+
+    return reduce_groups(_docs(spark, sf_dir, ["lang", "text"]), ["lang"], lambda: (0, 0, (1, "")), reduce, merge,
+                         lambda v: {"docs": v[0], "chars": v[1], "longest": v[2][1]},
+                         T.StructType().add("docs", "long").add("chars", "long").add("longest", "string"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_words_exact": topk_words_exact,
     "topk_words_cms": topk_words_cms,
@@ -423,6 +566,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_counts_sha2": doc_counts_sha2,
     **{name: _hits(q) for name, q in SEARCHES.items()},
     "hits_term_fr": _hits(Term(TERM_FR)),
+    "hits_top_term": hits_top_term,
+    "hits_top_match": hits_top_match,
+    "hits_two_fields": hits_two_fields,
     "entities_reply": entities_reply,
     "entities_source": entities_source,
     "entities_url": entities_url,
@@ -435,8 +581,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cms_saved": cms_saved,
     "store_updated": store_updated,
     "requests_search": requests_search,
+    "requests_search_whole": requests_search_whole,
+    "parsed_posts_whole": parsed_posts_whole,
+    "documents_info": documents_info,
+    "store_appended": store_appended,
+    "bloom_flags": bloom_flags,
+    "bloom_large": bloom_large,
     "stream_doc_counts": stream_doc_counts,
     "stream_topk": stream_topk,
     "stream_sketch_topk": stream_sketch_topk,
     "stream_hits_term": stream_hits_term,
+    "polled_counts": polled_counts,
+    "stream_own_sketch": stream_own_sketch,
+    "user_word_counts": user_word_counts,
+    "user_reduced": user_reduced,
 }
