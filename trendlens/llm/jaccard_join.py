@@ -14,8 +14,9 @@ union.  The join is exact, and a document is one of a class of equal sets.
    the same such shingle form a block; only sets of one block are compared.
 3. The pairs of blocks of up to ``SMALL`` members, no more than two leaves, are
    bounded directly.  Of a larger block, first each member is compared to the
-   block's first member, which joins large groups of near copies into
-   components without their pairs.
+   block's first member, and then, where the block is not one component yet,
+   to ``CENTERS`` members drawn from it, which joins large groups of near copies
+   into components without their pairs.
 4. Then, in every large block whose members are not yet one component, an
    R-tree of the points is searched for partners in other components: a box
    bounds the overlap by the sum of the smaller of its largest counts and the
@@ -55,6 +56,8 @@ PART = 512
 LEAF = 16
 #: The largest count a byte holds.
 FULL = 255
+#: Members of a large block that all its members are compared with before its trees are built.
+CENTERS = 8
 #: Members up to which a block's pairs are bounded directly: no more than two leaves.
 SMALL = 2 * LEAF
 #: Bits of the filter that keeps sets no pair names from being shuffled for verification: 1 MB, whatever the input.
@@ -463,8 +466,8 @@ def _pair_batch(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
-def _open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """(a, b) of the pairs of one large block, in different components, that the trees let through."""
+def _open_members(blocks: DataFrame, comps: DataFrame) -> DataFrame:
+    """``h, node, n, component, members`` of the large blocks whose members are not yet one component, written."""
     rows = blocks.where("kind = 'member'").select("h", "node", "n").join(
         comps.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select(
         "h", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -472,7 +475,19 @@ def _open_pairs(blocks: DataFrame, points: DataFrame, comps: DataFrame, percent:
     open_blocks = rows.groupBy(F.col("h").alias("o_h")).agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where(
         "low <> high").drop("low", "high")
-    return _tree_pairs(rows.join(open_blocks, F.col("h") == F.col("o_h")).drop("o_h"), points, percent, partitions)
+    return written(rows.join(open_blocks, F.col("h") == F.col("o_h")).drop("o_h"), "open-members")
+
+
+def _center_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of open blocks with ``CENTERS`` members of the block, drawn by hash, of other components."""
+    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("draw"), "node", "n", "component")).alias(f"c{k}")
+             for k in range(CENTERS)]
+    centers = rows.groupBy(F.col("h").alias("c_h")).agg(*drawn).select(
+        "c_h", F.explode(F.array_distinct(F.array(*[f"c{k}" for k in range(CENTERS)]))).alias("c"))
+    near = rows.join(centers, F.col("h") == F.col("c_h")).where(
+        (F.col("component") != F.col("c.component"))
+        & (F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent))
+    return near.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
 def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: int) -> DataFrame:
@@ -605,6 +620,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, clashes: DataFrame | None, siz
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links."""
+    return connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
     """Per document: ``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links).
@@ -635,9 +655,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     release_shuffles(spark)
     comps = written(connected_components(links), "star-components")
     release_shuffles(spark)
-    found = _verified(_open_pairs(blocks, points, comps, percent, partitions), texts, clashes, size, percent)
-    every = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
-    comps = connected_components(every)
+    # what the first member leaves open, members drawn from the block join as a rule; the trees find the rest
+    near = _center_pairs(_open_members(blocks, comps), percent)
+    links = _verified(_bounded(near, points, percent), texts, clashes, size, percent)
+    comps = written(_joined(comps, links), "center-components")
+    release_shuffles(spark)
+    found = _tree_pairs(_open_members(blocks, comps), points, percent, partitions)
+    comps = _joined(comps, _verified(found, texts, clashes, size, percent))
     slim = rows.select("id", "n", "node")
     firsts = slim.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("first"))
     named = written(firsts.join(comps.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left").select(
