@@ -2,7 +2,9 @@
 
 Each source's target is a number of words.  A row of source ``s`` is taken
 ``target(s) / size(s)`` times on average: the whole part always, the fraction
-as an inclusion probability.  The cube method turns these probabilities into
+as an inclusion probability.  Equal rows (one id, source and size) are a unit:
+its rows together are taken so often, and only the fraction that their whole
+number of takes leaves is one row's probability.  The cube method turns these probabilities into
 zeros and ones while it keeps, within every source, both the words taken and
 the rows taken at their expected totals:
 
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import WORD_PATTERN, fresh, shuffle_partitions, written
+from trendlens.llm.ordered import positions
 
 #: Rows of a source that fly together; at most two of them stay fractional.
 BLOCK = 512
@@ -166,9 +169,8 @@ _UNIT = "unit_id long, source string, size long, n long, whole long, pi double,
 def _block_flight(land: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def fly_block(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["draw", "unit_id", "size"], kind="stable").reset_index(drop=True)
-        n = rows["n"].to_numpy()
         draws = (rows["draw"].to_numpy().astype(np.uint64) >> np.uint64(11)).astype(float) / (1 << 53)
-        done = fly(rows["pi"].to_numpy(), rows["size"].to_numpy() * n, draws, land)
+        done = fly(rows["pi"].to_numpy(), rows["size"].to_numpy(), draws, land)
         rows["whole"] = rows["whole"] + (done == 1)
         rows["pi"] = np.where((done == 0) | (done == 1), 0.0, done)
         return rows[["unit_id", "source", "size", "n", "whole", "pi", "draw"]]
@@ -177,12 +179,13 @@ def _block_flight(land: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def plan(units: DataFrame, targets: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
-    """``copies`` of every unit: (unit_id, source, size, n) rows with distinct (unit_id, source, size)."""
+    """``copies`` of every unit's ``n`` rows together: (unit_id, source, size, n) rows with distinct (unit_id, source, size)."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
-    rate = F.when(F.abs(rate - F.round(rate)) < EPS, F.round(rate)).otherwise(rate)
+    takes = rate * F.col("n")
+    takes = F.when(F.abs(takes - F.round(takes)) < EPS * F.col("n"), F.round(takes)).otherwise(takes)
     t = targets.withColumnRenamed("source", "t_source")
     todo = units.join(t, F.col("source").eqNullSafe(F.col("t_source"))).select(
-        "unit_id", "source", "size", "n", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("pi"),
+        "unit_id", "source", "size", "n", F.floor(takes).alias("whole"), (takes - F.floor(takes)).alias("pi"),
         F.xxhash64(F.lit(seed), "unit_id", "source", "size").alias("draw"))
     settled = []
     todo = written(todo, "mix-round")
@@ -211,9 +214,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     ``id_col``, ``size`` (words, null text: 0), ``source_size``, ``target``,
     ``taken`` (words taken, repeats counted), ``source`` and ``copies``.  A
-    null source is a source of its own, last in order.  Rows of one id, source
-    and size are one unit and share one decision; a source without words has
-    rate 1.  An empty table gives no row; other columns are not read.
+    null source is a source of its own, last in order.  The takes of rows of
+    one id, source and size are dealt over them, no two rows apart by more than
+    one; a source without words has rate 1.  An empty table gives no row; other columns are not read.
     """
     sized = _sized(docs, id_col, text_col, source_col)
     planned, targets = _planned(sized, most, weights, seed)
@@ -221,12 +224,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     steps = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / 10_000)))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(10_000), F.col("n") - F.col("step") * 10_000)))
     rows = planned.withColumn("step", steps).withColumn("each", each)
+    rows = rows.withColumn("copies", _dealt(F.col("copies"), F.col("n"), F.col("step") * 10_000 + F.col("each") - 1))
     t = targets.withColumnRenamed("source", "t_source")
     return rows.join(t, F.col("source").eqNullSafe(F.col("t_source"))).select(
         F.col("unit_id").alias(id_col), "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
+def _dealt(copies: Column, n: Column, at: Column) -> Column:
+    """What the row at place ``at`` (from 0) of a unit's ``n`` rows gets of its copies."""
+    return F.floor(copies / n) + F.when(at < copies % n, 1).otherwise(0)
+
+
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("unit_id"), F.col(source_col).alias("source"),
                        word_count(F.col(text_col)).alias("size"))
@@ -243,10 +252,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     most: float = MOST, weights: tuple[float, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, with all columns."""
     planned, _ = _planned(_sized(docs, id_col, text_col, source_col), most, weights, seed)
-    uid, usource, usize, copies, each = fresh(docs.columns, "unit_id", "unit_source", "unit_size", "copies", "each")
-    takes = planned.where("copies > 0").select(F.col("unit_id").alias(uid), F.col("source").alias(usource),
-                                               F.col("size").alias(usize), F.col("copies").alias(copies))
+    uid, usource, usize, un, copies, place, unit, each = fresh(
+        docs.columns, "unit_id", "unit_source", "unit_size", "unit_n", "copies", "place", "unit", "each")
+    takes = planned.where("copies > 0").select(
+        F.col("unit_id").alias(uid), F.col("source").alias(usource), F.col("size").alias(usize), F.col("n").alias(un),
+        F.col("copies").alias(copies))
     kept = docs.join(takes, F.col(id_col).cast("long").eqNullSafe(F.col(uid))
                      & F.col(source_col).eqNullSafe(F.col(usource))
                      & (word_count(F.col(text_col)) == F.col(usize)))
+    if not planned.where("n > 1").isEmpty():
+        # equal rows are numbered, however many there are, to deal out their unit's copies
+        many = positions(kept.where(F.col(un) > 1).withColumn(unit, F.xxhash64(uid, usource, usize)), unit, [], place,
+                         name="mix-equal")
+        dealt = many.withColumn(copies, _dealt(F.col(copies), F.col(un), F.col(place))).drop(unit, place)
+        kept = kept.where(F.col(un) == 1).unionByName(dealt.where(F.col(copies) > 0))
     return kept.withColumn(each, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)

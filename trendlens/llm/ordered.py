@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from trendlens.llm.common import shuffle_partitions, written
+from trendlens.llm.common import fresh, shuffle_partitions, written
 
 
 def runs_of(keys: pa.Array) -> np.ndarray:
@@ -37,12 +37,13 @@ def positions(rows: DataFrame, key: str, order: Sequence[str], out: str, drop: S
     result is written, in order, so a lost task cannot renumber rows.
     """
     spark = rows.sparkSession
-    salted = rows.withColumn("_salt", F.monotonically_increasing_id())
-    by = [key, *order, "_salt"]
-    dealt = salted.repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions(*by).drop("_salt", *drop)
+    salt, run, part, p, k, held, before = fresh([*rows.columns, out], "_salt", "_run", "_part", "_p", "_k", "_held", "_before")
+    by = [key, *order, salt]
+    dealt = rows.withColumn(salt, F.monotonically_increasing_id()).repartitionByRange(
+        shuffle_partitions(spark), *by).sortWithinPartitions(*by).drop(salt, *drop)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, carried = TaskContext.get().partitionId(), None, 0
+        task, last, carried = TaskContext.get().partitionId(), None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -53,16 +54,15 @@ def positions(rows: DataFrame, key: str, order: Sequence[str], out: str, drop: S
                 at[starts == 0] += carried
             last, carried = (keys[-1].as_py(),), int(at[-1]) + 1
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(at, pa.int64()), pa.array(np.full(batch.num_rows, part), pa.int32())],
-                names=[*batch.schema.names, "_run", "_part"])
+                [*batch.columns, pa.array(at, pa.int64()), pa.array(np.full(batch.num_rows, task), pa.int32())],
+                names=[*batch.schema.names, run, part])
 
-    schema = StructType([*dealt.schema.fields, StructField("_run", LongType()), StructField("_part", IntegerType())])
+    schema = StructType([*dealt.schema.fields, StructField(run, LongType()), StructField(part, IntegerType())])
     counted = written(dealt.mapInArrow(count, schema), name)
-    held = counted.groupBy("_part", key).agg((F.max("_run") + 1).alias("_held"))
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counted.groupBy(part, key).agg((F.max(run) + 1).alias(held))
+    earlier = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     # at most the first key of each task has rows in earlier tasks: one row a task
-    spans = held.withColumn("_before", F.sum("_held").over(earlier)).where("_before > 0").select(
-        F.col("_part").alias("_p"), F.col(key).alias("_k"), "_before")
-    return counted.join(F.broadcast(spans), (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_k")),
-                        "left").withColumn(out, F.col("_run") + F.coalesce("_before", F.lit(0))).drop(
-        "_run", "_part", "_p", "_k", "_before")
+    spans = runs.withColumn(before, F.sum(held).over(earlier)).where(F.col(before) > 0).select(
+        F.col(part).alias(p), F.col(key).alias(k), before)
+    return counted.join(F.broadcast(spans), (F.col(part) == F.col(p)) & F.col(key).eqNullSafe(F.col(k)),
+                        "left").withColumn(out, F.col(run) + F.coalesce(before, F.lit(0))).drop(run, part, p, k, before)
