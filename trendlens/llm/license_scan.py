@@ -1,12 +1,12 @@
 """License scans: exact set-similarity join of text blocks with license templates, in DataFrame operations only.
 
-A block is a line of a document, or a run of words across its lines; its set
-and a template's set are their distinct words.  A block matches a template
-when it holds at least ``THRESHOLD`` of the template's words.  A run reaches
-as far to both sides of a template's rare word as the template is long, and
-``SLACK`` of that for words that wrapped lines add (comment marks such as
-``dnl``), so a notice is found wherever its lines are broken.  The join is
-exact:
+A block is a line of a document that is no longer than a run, or a run of
+words; its set and a template's set are their distinct words.  A block matches
+a template when it holds at least ``THRESHOLD`` of the template's words.  A run
+reaches as far to both sides of a template's rare word as the template is
+long, and ``SLACK`` of that for words that wrapped lines add (comment marks such
+as ``dnl``), so a notice is found wherever its lines are broken, and words that
+lie scattered over a long line are none.  The join is exact:
 
 - the templates' words are ordered by how many blocks of the corpus hold them,
   rarest first (ties by word);
@@ -126,16 +126,24 @@ def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=(*TE
     # rows of the prefix: at most the words of all templates, so its size is fixed by the parameter
     heads = [r["word"] for r in prefix.select("word").distinct().collect()]
     held = (blocks.where(F.size(F.filter(F.split(lowered, _BREAK), lambda w: w.isin(heads))) > 0)
-            .withColumn("b_words", F.array_distinct(words(F.col("block")))).drop("block"))
-    pairs = held.select("d_id", "d_hash", "b_words", F.explode("b_words").alias("word")).join(
-        F.broadcast(prefix), "word").groupBy("d_id", "d_hash", "b_words", "template").agg(F.min("place").alias("first"))
-    lines = pairs.join(F.broadcast(template_rows), "template")
-    # what lies within a line is found there; runs are cut from texts of several lines, around each rare word
-    most = max((_reach(notice) for _, notice in templates), default=1)
-    wrapped = docs.where(F.instr(text_col, "\n") > 0).select(
-        F.col(id_col).alias("d_id"), F.xxhash64(text_col).alias("d_hash"), words(F.col(text_col)).alias("all_words"))
-    near = wrapped.select("d_id", "d_hash", "all_words", F.posexplode("all_words").alias("at", "word")).where(
-        F.col("word").isin(heads)).withColumn("from", F.greatest(F.lit(0), F.col("at") - most + 1)).select(
+            .withColumn("all", words(F.col("block"))).withColumn("b_len", F.size("all"))
+            .withColumn("b_words", F.array_distinct("all")).drop("block", "all"))
+    pairs = held.select("d_id", "d_hash", "b_words", "b_len", F.explode("b_words").alias("word")).join(
+        F.broadcast(prefix), "word").groupBy("d_id", "d_hash", "b_words", "b_len", "template").agg(
+        F.min("place").alias("first"))
+    lines = pairs.join(F.broadcast(template_rows), "template").where(F.col("b_len") <= F.col("reach"))
+    # what lies within a short line is found there; runs are cut around each rare word from texts of several lines
+    # and from long lines
+    reaches = [_reach(notice) for _, notice in templates] or [1]
+    most = max(reaches)
+    every = docs.select(F.col(id_col).alias("d_id"), F.xxhash64(text_col).alias("d_hash"),
+                        (F.instr(text_col, "\n") > 0).alias("broken"), words(F.col(text_col)).alias("all_words"))
+    wrapped = every.where((F.size("all_words") > 0) & (F.col("broken") | (F.size("all_words") > min(reaches))))
+    rare = F.filter(F.sequence(F.lit(0), F.size("all_words") - 1),
+                    lambda i: F.get(F.col("all_words"), i).isin(heads))
+    near = wrapped.select("d_id", "d_hash", "all_words", F.explode(rare).alias("at")).withColumn(
+        "word", F.get("all_words", F.col("at"))).withColumn(
+        "from", F.greatest(F.lit(0), F.col("at") - most + 1)).select(
         "d_id", "d_hash", "word", (F.col("at") - F.col("from")).alias("at"),
         F.slice("all_words", F.col("from") + 1, F.lit(2 * most - 1)).alias("near"))
     start = F.greatest(F.lit(0), F.col("at") - F.col("reach") + 1)
