@@ -409,3 +409,162 @@ def test_sets_whose_numbers_clash_stay_apart(spark, monkeypatch):
     again = jaccard_join._renumbered(sets.where("kind = 'doc'"), jaccard_join._clashes(sets))
     assert again.select("node", "key").distinct().count() == again.select("node").distinct().count() == 20
     assert want == {i: i - i % 2 for i in range(40)}
+
+
+def test_equal_rows_share_their_takes(spark):
+    # a thousand equal rows without id: together they come near the target, and no two are apart by more than one
+    rows = [(None, "w " * 10, "a", 1)] * 1000 + [(i, "w " * 10, "b", 2) for i in range(300)] + [(7, "w " * 10, "b", 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, _part int").repartition(5)
+    got = cube_mix.mix(frame).toPandas()
+    by = got.groupby("source")
+    assert len(got) == 1301 and all(abs(by.taken.sum() - by.target.first()) <= 10)
+    assert by.copies.max().a - by.copies.min().a <= 1 and by.copies.max().max() <= 3
+    mixed = cube_mix.mixed_documents(frame)
+    assert mixed.columns == frame.columns
+    counts = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert counts == by.copies.sum().to_dict()
+
+
+def test_words_scattered_over_a_long_line_are_no_notice(spark):
+    filler = " ".join(f"w{i}" for i in range(300))
+    label, notice = license_scan.TEMPLATES[0]
+    scattered = f" {filler} ".join(notice.split())
+    rows = [(1, scattered), (2, scattered.replace(" ", "\n")), (3, f"{filler} {notice} {filler}"),
+            (4, f"{filler}\n{notice}\n{filler}"), (5, notice)]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan_documents(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == got[2] == "" and all(label in got[k].split(",") for k in (3, 4, 5))
+
+
+def test_secrets_in_one_long_line_take_linear_time():
+    import time
+    for text in ("a" * 1_000_000 + " x=1", "key=1&" * 100_000, "password: " * 100_000, "1" * 1_000_000):
+        began = time.process_time()
+        secret_scan.scan(text)
+        assert time.process_time() - began < 20
+
+
+def base_by_rule(text):
+    """Base spans character by character, without the module's patterns."""
+    names, value = ("password", "passwd", "secret", "token", "api_key", "apikey"), set(
+        "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+    fold = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    def assign(at):
+        for name in names:
+            if not fold.startswith(name, at):
+                continue
+            for quote in (1, 0):
+                k = at + len(name)
+                if quote:
+                    if text[k:k + 1] not in ("'", '"'):
+                        continue
+                    k += 1
+                k = run(k, " ")
+                if text[k:k + 1] not in (":", "="):
+                    continue
+                k = run(k + 1, " ")
+                for after in (k + (text[k:k + 1] in ("'", '"')), k):
+                    if (end := run(after, value)) > after:
+                        return end, end - after >= 12
+        return None
+
+    def plain(lead, allowed, least):
+        def at_place(at):
+            if not text.startswith(lead, at):
+                return None
+            end = run(at + len(lead), allowed)
+            return (end, end - at >= least) if end > at + len(lead) else None
+        return at_place
+
+    upper = set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    out = []
+    for kind, find in (("assign", assign), ("access", plain("AKIA", upper, 18)), ("hex", plain("", set("0123456789abcdef"), 16))):
+        at = 0
+        while at < len(text):
+            found = find(at)
+            if found is None:
+                at += 1
+                continue
+            if found[1]:
+                out.append((kind, at, found[0]))
+            at = found[0]
+    return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def test_base_spans_by_rule():
+    rng = random.Random(12)
+    parts = ["password", "PassWD", "api_key", "apikey", "token", "SECRET", "'", '"', " ", "  ", "=", ":", "==", "AKIA", "ABCDEF012345",
+             "abcdef0123456789", "hunter2hunter2", "x", "é", "\n", "K", "ſ"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert secret_scan.scan(text)[0] == base_by_rule(text), text
+
+
+def fingerprint_by_bytes(data):
+    """The fingerprint, one byte at a time and one chunk at a time."""
+    factors = [1]
+    for _ in range(6):
+        factors.append((factors[-1] * 0x01000193 + 2) % 2 ** 32)
+    rolling = []
+    for i in range(len(data)):
+        r = sum((data[i - k] + 1) * f for k, f in enumerate(factors) if i >= k) % 2 ** 32
+        r = (r ^ r >> 15) * 0x9E3779B1 % 2 ** 32
+        rolling.append(r ^ r >> 13)
+
+    def signature(block):
+        out, start = "", 0
+        for i in range(len(data)):
+            if rolling[i] % block == block - 1 or i == len(data) - 1:
+                code = sum((b + 0x100) * pow(0x9E3779B97F4A7C15, k, 2 ** 64) for k, b in enumerate(data[start:i + 1])) + i + 1 - start
+                code %= 2 ** 64
+                code = (code ^ code >> 29) * 0x9E3779B97F4A7C15 % 2 ** 64
+                out += "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-"[code >> 58]
+                start = i + 1
+        return out
+
+    block = 3
+    while len(signature(block)) > 64:
+        block *= 2
+    return f"{block}:{signature(block)}:{signature(2 * block)}"
+
+
+def likeness_by_table(a, b):
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            above, row[0] = row[0], i
+            for j, d in enumerate(y, 1):
+                above, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, above + (c != d))
+        return row[-1]
+
+    if a == b:
+        return 1.0
+    (m, *x), (n, *y) = a.split(":"), b.split(":")
+    found = [1 - distance(p, q) / max(len(p), len(q)) if p or q else 1.0
+             for i, p in enumerate(x) for j, q in enumerate(y) if int(m) << i == int(n) << j]
+    return max(found, default=0.0)
+
+
+def test_fingerprints_byte_by_byte(spark):
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choice("abc def\né") for _ in range(rng.choice([0, 1, 2, 7, 30, 400, 3000])))) for i in range(40)]
+    rows += [(100, rows[9][1]), (101, rows[9][1][:-1] + "x"), (None, "z"), (102, None)]
+    got = {r["doc_id"]: r for r in piecewise_hash.fingerprint_documents(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    back = sorted(rows, key=lambda r: -1 if r[0] is None else r[0], reverse=True)
+    for k, (doc, text) in enumerate(back):
+        text, after = text or "", back[(k + 1) % len(back)][1] or ""
+        third = len(text) // 3
+        new = text[:len(text) - third] + after[:third]
+        own, mended, following = (fingerprint_by_bytes(t.encode()) for t in (text, new, after))
+        row = got[doc]
+        assert (row["fingerprint"], row["edited_fingerprint"], row["n_chars"]) == (own, mended, len(text))
+        assert row["near_edited"] == pytest.approx(likeness_by_table(own, mended))
+        assert row["near_next"] == pytest.approx(likeness_by_table(own, following))
