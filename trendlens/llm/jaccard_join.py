@@ -478,16 +478,48 @@ def _open_members(blocks: DataFrame, comps: DataFrame) -> DataFrame:
     return written(rows.join(open_blocks, F.col("h") == F.col("o_h")).drop("o_h"), "open-members")
 
 
-def _center_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of open blocks with ``CENTERS`` members of the block, drawn by hash, of other components."""
+def _center_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """(a, b): members of open blocks with ``CENTERS`` members of the block, drawn by hash, where counts allow a link.
+
+    A block is dealt in parts of about ``PART`` members, each with the block's
+    centers before them; a part is streamed past its centers.
+    """
     drawn = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("draw"), "node", "n", "component")).alias(f"c{k}")
              for k in range(CENTERS)]
-    centers = rows.groupBy(F.col("h").alias("c_h")).agg(*drawn).select(
-        "c_h", F.explode(F.array_distinct(F.array(*[f"c{k}" for k in range(CENTERS)]))).alias("c"))
-    near = rows.join(centers, F.col("h") == F.col("c_h")).where(
-        (F.col("component") != F.col("c.component"))
-        & (F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent))
-    return near.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    parts = F.ceil(F.col("members") / PART)
+    picked = rows.groupBy("h", "members").agg(*drawn).select("h", "members", F.explode(F.array_distinct(F.array(*[
+        F.struct(f"c{k}.node", f"c{k}.n", f"c{k}.component") for k in range(CENTERS)]))).alias("c"))
+    centers = picked.select("h", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(0).alias("kind"),
+                            "c.node", "c.n", "c.component")
+    members = rows.select("h", F.pmod(F.xxhash64("node"), parts).alias("part"), F.lit(1).alias("kind"), "node", "n",
+                          "component")
+    counts = points.select(F.col("node").alias("p_node"), "counts", "fine")
+    full = centers.unionByName(members).join(counts, F.col("node") == F.col("p_node")).drop("p_node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            left, right = [], []
+            for h, part, kind, node, n, component, counts, fine in zip(
+                    *(batch.column(c).to_pylist() for c in ("h", "part", "kind", "node", "n", "component", "counts", "fine")),
+                    strict=True):
+                if (h, part) != at:
+                    at, held = (h, part), []
+                if kind == 0:
+                    held.append((node, n, component, np.frombuffer(counts, np.uint8), np.frombuffer(fine, np.uint8)))
+                    continue
+                for c_node, c_n, c_component, *c_counts in held:
+                    if c_component == component or 100 * min(n, c_n) < percent * max(n, c_n):
+                        continue
+                    needed = needed_overlap(n, c_n, percent)
+                    if all(overlap_bound(np.frombuffer(mine, np.uint8)[None], theirs)[0] >= needed
+                           for mine, theirs in zip((counts, fine), c_counts, strict=True)):
+                        left.append(node)
+                        right.append(c_node)
+            yield _pair_batch([np.array(left, np.int64)], [np.array(right, np.int64)])
+
+    ordered = full.repartition(partitions, "h", "part").sortWithinPartitions("h", "part", "kind")
+    return ordered.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: int) -> DataFrame:
@@ -656,8 +688,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comps = written(connected_components(links), "star-components")
     release_shuffles(spark)
     # what the first member leaves open, members drawn from the block join as a rule; the trees find the rest
-    near = _center_pairs(_open_members(blocks, comps), percent)
-    links = _verified(_bounded(near, points, percent), texts, clashes, size, percent)
+    near = _center_pairs(_open_members(blocks, comps), points, percent, partitions)
+    links = _verified(near, texts, clashes, size, percent)
     comps = written(_joined(comps, links), "center-components")
     release_shuffles(spark)
     found = _tree_pairs(_open_members(blocks, comps), points, percent, partitions)
