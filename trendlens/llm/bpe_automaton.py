@@ -46,8 +46,10 @@ from trendlens.llm.common import batches_of, texts
 
 #: Letters that every Unicode version knows alike; others are pre-split by the tokenizers library's own tables.
 OUTSIDE_LATIN = regex.compile("[^\x00-\u017f]")
-#: Entries a worker keeps of each look-up table before it starts a new one.
+#: Entries a worker keeps of the automaton's tables before it starts new ones.
 CACHE_ENTRIES = 1 << 19
+#: About the bytes of each of the two generations of known pieces (an entry takes some 200 beside its text and ids).
+CACHE_BYTES = 56 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -205,6 +207,7 @@ class WordTokenizer:
         self.final = [symbol[c + mark] for c in self.bytes]
         self._chunks: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._held = 0
         self._label_bytes = [x.encode() for x in self.labels]
 
     def _word(self, word: bytes) -> list[int]:
@@ -245,9 +248,11 @@ class WordTokenizer:
                 got = older.get(chunk)
                 if got is None:
                     got = self._chunk(chunk)
-                if len(known) >= CACHE_ENTRIES:
+                if self._held >= CACHE_BYTES:
                     self._chunks, self._older = known, older = {}, known
+                    self._held = 0
                 known[chunk] = got
+                self._held += len(chunk) + len(got) + 200
             out.append(got)
         return b"".join(out)
 
@@ -277,16 +282,19 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()        # the tables hold no cycles; scanning their millions of entries would cost more than the work
-        tok = tokenizer(path)
-        for whole in batches:
-            for batch in batches_of(whole, "text"):
-                ids = [tok.encode(t) for t in texts(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("id"),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array([tok.decode(x) for x in ids], pa.binary()),
-                ], names=["id", "n_tokens", "ids", "decoded"])
+        try:
+            tok = tokenizer(path)
+            for whole in batches:
+                for batch in batches_of(whole, "text", 4 << 20):
+                    ids = [tok.encode(t) for t in texts(batch.column("text"))]
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("id"),
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array(ids, pa.binary()),
+                        pa.array([tok.decode(x) for x in ids], pa.binary()),
+                    ], names=["id", "n_tokens", "ids", "decoded"])
+        finally:
+            gc.enable()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
