@@ -147,6 +147,16 @@ def test_bloom_keeps_nulls_and_repeats(spark):
     assert sorted(str(r["w"]) for r in bloom_drop(df, bloom, "w").collect()) == ["None", "b", "b"]
 
 
+def test_words_are_probed_after_they_are_counted(spark):
+    bloom = build_bloom(spark.createDataFrame([("a",)], "w string"), "w")
+    df = spark.createDataFrame([("A b b",), ("b c",), (None,)], "text string")
+    kept = bloom_drop(word_counts(tokens(df, "text"), "w", out="count"), bloom, "w")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Aggregate [w#")
+    assert kept.columns == ["w", "count"]
+    assert sorted((r["w"], r["count"]) for r in kept.collect()) == [("b", 3), ("c", 1)]
+
+
 def test_builtin_alternatives(spark):
     from trendlens.operators.sketch import sketch_blob
     from trendlens.operators.topk import approx_top_k

@@ -64,9 +64,12 @@ class BloomFilter:
         if self.num_bits <= BLOCK_BITS:
             bits = self.blocks.select("bits").scalar()      # 4 KB, or null where no item was added
             h1, h2 = base_hashes(value, self.hash_kind)
-            held = [self._is_set(bits, F.pmod(h1 + h2 * i, F.lit(self.num_bits).cast("bigint")))
+            # hashed in a step of its own, once a row; a filter on the flag stays above it, so that
+            # counted words are probed after they are counted, not at each place
+            hashed = items.select("*", F.inline(F.array(F.struct(h1.alias("_h1"), h2.alias("_h2")))))
+            held = [self._is_set(bits, F.pmod(F.col("_h1") + F.col("_h2") * i, F.lit(self.num_bits).cast("bigint")))
                     for i in range(self.num_hashes)]
-            return items.withColumn(out, F.coalesce(reduce(and_, held), F.lit(False)))
+            return hashed.withColumn(out, F.coalesce(reduce(and_, held), F.lit(False))).drop("_h1", "_h2")
         # each distinct value is probed once
         asked = items.select(value.alias("_item")).where(F.col("_item").isNotNull()).distinct()
         pos = F.transform(positions(F.col("_item"), self.num_bits, self.num_hashes, self.hash_kind),
