@@ -198,6 +198,32 @@ def test_requests_are_answered_like_searches(spark, store, index):
             (r["id"], r["score"]) for r in search(index, Term("the"), size=3).collect())
 
 
+def test_requests_in_many_blocks_make_one_row_a_hit(spark, store, index, monkeypatch):
+    from trendlens.operators import search as module
+
+    rng, words = random.Random(3), ["the", "trash", "under", "of", "is", "absent", "ties", "to"]
+    # ids repeat and may be null; their requests' scores add up
+    asked = [(None if i == 7 else i // 2, "match", " ".join(rng.sample(words, 5)), "my_index", "my_type") for i in range(10)]
+    requests = spark.createDataFrame(asked, "request_id long, kind string, value string, index string, type string")
+    first: dict[str, int | None] = {}
+    for i, _, value, *_ in asked:
+        first[value] = i if first.get(value) is None else first[value] if i is None else min(first[value], i)
+    want: dict[tuple, float] = {}
+    for value, i in first.items():
+        for hit in search(SearchIndex.from_store(store), MultiMatch(value)).collect():
+            want[i, hit["id"]] = want.get((i, hit["id"]), 0.0) + hit["score"]
+    for limits in ((256, 1 << 15, 1 << 21), (3, 5, 2)):
+        for name, value in zip(("REQUEST_BLOCK", "ANSWERED_ROWS", "PRODUCTS"), limits, strict=True):
+            monkeypatch.setattr(module, name, value)
+        found = search_requests(index, requests)
+        got = {(r["request_id"], r["id"]): r["score"] for r in found.collect()}
+        assert found.count() == len(got) and got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-5 for k in want)
+    # a (request, document) pair is made as a hit, not for each token the two share
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "sum(" not in plan
+
+
 def test_many_resolved_terms_become_a_table(index, monkeypatch):
     from trendlens.operators import search as module
 
