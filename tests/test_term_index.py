@@ -238,3 +238,38 @@ def test_empty_texts_and_an_empty_index(spark, store):
         assert search(empty, q).collect() == [] and search(empty, q, size=3).collect() == []
     bare = store.limit(1).withColumn("text", F.lit("")).unionByName(store.limit(1).withColumn("id", F.lit("x")))
     assert search(SearchIndex.build(bare), MatchAll()).count() == 2
+
+
+def test_written_rows_hold_many_postings_and_the_same_ones(spark):
+    from trendlens.operators.term_index import CHUNK, read_rows
+
+    # keys repeat, with one length and with two; parts of keys and texts are null; one document is longer than a stretch
+    texts = [("a", "t", f"{i % 90}", f"The of, w{i} x{i % 7} the {'y ' * (i % 3)}") for i in range(300)]
+    texts += [("a", "t", "1", "the the of"), ("a", "t", "1", "the of of"), ("a", "t", "1", "the"), (None, "t", None, "the é ß日本語漢字")]
+    texts += [("b", None, "1", None), ("b", "t", "2", ""), ("b", None, "3", "the long" + " of longer" * 3000)]
+    store = spark.createDataFrame(texts, "index string, type string, id string, text string").withColumn(
+        "count", F.lit(1).cast("bigint")).repartition(3)
+
+    def found(df):
+        return sorted(map(str, df.select("index", "type", "id", "field", "doc_len", "term", "tf").collect()))
+
+    for docs in (store, store.dropDuplicates(["index", "type", "id"]).cache()):
+        built = SearchIndex.build(docs, ranges=4, chunk=CHUNK)
+        want = found(SearchIndex.postings_of(docs))
+        assert found(built.postings) == want
+        path = built.postings.inputFiles()[0].split("/_r=")[0]
+        rows_of = read_rows(spark, path).select(F.size("ids").alias("n"), "weight", F.array_max(F.transform(
+            F.arrays_zip("lens", "tfs"), lambda p: F.sqrt(p["tfs"]) / F.sqrt(p["lens"]))).alias("most")).collect()
+        assert sum(r["n"] for r in rows_of) == len(want) and len(rows_of) < len(want) * 0.8
+        assert max(r["n"] for r in rows_of) <= CHUNK and all(r["weight"] == r["most"] for r in rows_of)
+
+
+def test_grams_are_those_of_the_marked_term(spark):
+    from trendlens.operators.term_index import grams_of
+
+    words = ["", "a", "aaaa", "trash", "日本語", "é"]
+    got = grams_of(spark.createDataFrame([("text", w) for w in words], "field string, term string")).collect()
+    want = {(f"\x02{w}\x03"[i:i + 2], w) for w in words for i in range(len(w) + 1)}
+    assert sorted((r["gram"], r["term"]) for r in got) == sorted(want)
+    by_number = [r["gram"] for r in sorted(got, key=lambda r: r["_p"])]
+    assert [g.encode() for g in by_number] == sorted(g.encode() for g in by_number)
