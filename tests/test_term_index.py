@@ -248,14 +248,16 @@ def test_written_rows_hold_many_postings_and_the_same_ones(spark):
     texts += [("a", "t", "1", "the the of"), ("a", "t", "1", "the of of"), ("a", "t", "1", "the"), (None, "t", None, "the é ß日本語漢字")]
     texts += [("b", None, "1", None), ("b", "t", "2", ""), ("b", None, "3", "the long" + " of longer" * 3000)]
     store = spark.createDataFrame(texts, "index string, type string, id string, text string").withColumn(
-        "count", F.lit(1).cast("bigint")).repartition(3)
+        "count", F.lit(1).cast("bigint")).withColumn("url", F.concat_ws(" ", F.lit("w1 the"), "id", F.substring("text", 1, 9)))
+    store = store.repartition(3)
 
     def found(df):
         return sorted(map(str, df.select("index", "type", "id", "field", "doc_len", "term", "tf").collect()))
 
-    for docs in (store, store.dropDuplicates(["index", "type", "id"]).cache()):
-        built = SearchIndex.build(docs, ranges=4, chunk=CHUNK)
-        want = found(SearchIndex.postings_of(docs))
+    once = store.groupBy("index", "type", "id").agg(*[F.max(c).alias(c) for c in ("text", "count", "url")])
+    for docs in (store, once):
+        built = SearchIndex.build(docs, ranges=4, chunk=CHUNK, fields=("text", "url"))
+        want = found(SearchIndex.postings_of(docs, ("text", "url")))
         assert found(built.postings) == want
         path = built.postings.inputFiles()[0].split("/_r=")[0]
         rows_of = read_rows(spark, path).select(F.size("ids").alias("n"), "weight", F.array_max(F.transform(
