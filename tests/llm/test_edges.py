@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -568,3 +569,12 @@ def test_fingerprints_byte_by_byte(spark):
         assert (row["fingerprint"], row["edited_fingerprint"], row["n_chars"]) == (own, mended, len(text))
         assert row["near_edited"] == pytest.approx(likeness_by_table(own, mended))
         assert row["near_next"] == pytest.approx(likeness_by_table(own, following))
+
+
+@pytest.mark.parametrize("n", [0, 1, 300, 9000, 900_000])
+def test_packed_counts_hold_both_grains_and_take_a_third(n):
+    s = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1))
+    packed = jaccard_join._packed(s)
+    counts, fine = jaccard_join._unpacked(pa.array([packed, packed], pa.binary()))
+    assert (fine == jaccard_join._counts(s, jaccard_join.FINE)).all() and (counts == jaccard_join._counts(s)).all()
+    assert len(packed) < jaccard_join.FINE * 3 // 5 and (n > 300 or len(packed) < jaccard_join.FINE // 5)

@@ -32,6 +32,7 @@ no pair of sets in different components, so no link between components is lost.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,6 +157,20 @@ def _counts(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.minimum(np.bincount(group, minlength=groups), FULL).astype(np.uint8)
 
 
+def _packed(s: np.ndarray) -> bytes:
+    """Counts of ``FINE`` groups, mostly 0 and 1: about a third of what Spark's own compression leaves of them."""
+    coder = zlib.compressobj(1, zlib.DEFLATED, -15, 8, zlib.Z_RLE)
+    return coder.compress(_counts(s, FINE).tobytes()) + coder.flush()
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(counts, fine) of packed counts, a row each; the coarse counts follow from the fine ones, ``FULL`` included."""
+    raw = b"".join([zlib.decompress(x, -15, FINE) for x in column.to_pylist()])
+    fine = np.frombuffer(raw, np.uint8).reshape(-1, FINE)
+    sums = fine.reshape(len(fine), GROUPS, FINE // GROUPS).sum(2, dtype=np.uint16)
+    return np.minimum(sums, FULL).astype(np.uint8), fine
+
+
 def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """At least the intersection of sets (or of any set in a box) with these counts, per row."""
     least = np.minimum(x, y)
@@ -238,7 +253,7 @@ def build_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
                     held += len(s)
                 for column, value in zip(rows, (len(s), key, _node(key) if key else None,
                                                 _counts(s).tobytes() if new else None,
-                                                _counts(s, FINE).tobytes() if new else None), strict=True):
+                                                _packed(s) if new else None), strict=True):
                     column.append(value)
             n = batch.num_rows
             values = [["doc"] * n, batch.column("id"), *rows, [None] * n, [None] * n]
@@ -493,30 +508,35 @@ def _center_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions:
                             "c.node", "c.n", "c.component")
     members = rows.select("h", F.pmod(F.xxhash64("node"), parts).alias("part"), F.lit(1).alias("kind"), "node", "n",
                           "component")
-    counts = points.select(F.col("node").alias("p_node"), "counts", "fine")
+    counts = points.select(F.col("node").alias("p_node"), "fine")
     full = centers.unionByName(members).join(counts, F.col("node") == F.col("p_node")).drop("p_node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             left, right = [], []
-            for h, part, kind, node, n, component, counts, fine in zip(
-                    *(batch.column(c).to_pylist() for c in ("h", "part", "kind", "node", "n", "component", "counts", "fine")),
-                    strict=True):
-                if (h, part) != at:
-                    at, held = (h, part), []
-                if kind == 0:
-                    held.append((node, n, component, np.frombuffer(counts, np.uint8), np.frombuffer(fine, np.uint8)))
+            h, part, kind, node, n, component = (batch.column(c).to_numpy() for c in
+                                                 ("h", "part", "kind", "node", "n", "component"))
+            counts, fine = _unpacked(batch.column("fine"))
+            change = np.flatnonzero((h[1:] != h[:-1]) | (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, b in zip([0, *change.tolist()], [*change.tolist(), len(h)], strict=True):
+                if (h[a], part[a]) != at:
+                    at, held = (h[a], part[a]), []
+                if kind[a] == 0:
+                    held += [(node[k], n[k], component[k], counts[k].copy(), fine[k].copy()) for k in range(a, b)]
                     continue
                 for c_node, c_n, c_component, *c_counts in held:
-                    if c_component == component or 100 * min(n, c_n) < percent * max(n, c_n):
-                        continue
-                    needed = needed_overlap(n, c_n, percent)
-                    if all(overlap_bound(np.frombuffer(mine, np.uint8)[None], theirs)[0] >= needed
-                           for mine, theirs in zip((counts, fine), c_counts, strict=True)):
-                        left.append(node)
-                        right.append(c_node)
-            yield _pair_batch([np.array(left, np.int64)], [np.array(right, np.int64)])
+                    found = a + np.flatnonzero((component[a:b] != c_component) & (
+                        100 * np.minimum(n[a:b], c_n) >= percent * np.maximum(n[a:b], c_n)))
+                    for mine, theirs in zip((counts, fine), c_counts, strict=True):
+                        if len(found):
+                            bound = overlap_bound(mine[found], theirs)
+                            found = found[bound >= needed_overlap(n[found].astype(np.int64), int(c_n), percent)]
+                    left.append(node[found])
+                    right.append(np.full(len(found), c_node))
+            yield _pair_batch(left, right)
 
     ordered = full.repartition(partitions, "h", "part").sortWithinPartitions("h", "part", "kind")
     return ordered.mapInArrow(compare, "a long, b long").distinct()
@@ -529,7 +549,7 @@ def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: in
         "meets", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     placed = dealt.select("h", F.least("part", "meets").alias("i"), F.greatest("part", "meets").alias("j"), "part",
                           "node", "n", "component")
-    counts = points.select(F.col("node").alias("p_node"), "counts", "fine")
+    counts = points.select(F.col("node").alias("p_node"), "fine")
     full = placed.join(counts, F.col("node") == F.col("p_node")).drop("p_node")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -537,8 +557,7 @@ def _tree_pairs(rows: DataFrame, points: DataFrame, percent: int, partitions: in
             yield pairs(table, bounds)
 
     def pairs(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
-        counts, fine = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(-1, groups)
-                        for c, groups in (("counts", GROUPS), ("fine", FINE)))
+        counts, fine = _unpacked(table.column("fine"))
         size, part, i, j, node, comp = (table.column(c).to_numpy() for c in
                                         ("n", "part", "i", "j", "node", "component"))
         left, right = [], []
@@ -598,10 +617,11 @@ def _bitmap(wanted: DataFrame) -> np.ndarray:
 
 
 def _members(texts: DataFrame, clashes: DataFrame | None, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` of the sets that ``wanted`` (column ``w``) names, once each, written.
+    """``node, shingles`` of the sets that ``wanted`` (column ``w``) names and a few others, once each.
 
     Every text is hashed again; a bitmap lets few other sets leave the task.
-    A bitmap that a large input fills lets more through, and the join decides.
+    A bitmap that a large input fills lets more through, and the reader's join
+    decides.  One shuffle by ``node`` serves this and the joins on ``node``.
     """
     held, renumbered = _bitmap(wanted), clashes is not None
 
@@ -626,8 +646,7 @@ def _members(texts: DataFrame, clashes: DataFrame | None, wanted: DataFrame, siz
                                                     strict=True)], names=["node", "key", "shingles"])
 
     found = _renumbered(texts.select("text").mapInArrow(run, "node long, key binary, shingles binary"), clashes)
-    return written(found.select("node", "shingles").join(wanted, F.col("node") == F.col("w"), "left_semi")
-                   .dropDuplicates(["node"]), "set-members")
+    return found.select("node", "shingles").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, clashes: DataFrame | None, size: int, percent: int) -> DataFrame:
