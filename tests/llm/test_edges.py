@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties and repeated rows, empty tables, clashing columns; units by brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -578,3 +579,25 @@ def test_packed_counts_hold_both_grains_and_take_a_third(n):
     counts, fine = jaccard_join._unpacked(pa.array([packed, packed], pa.binary()))
     assert (fine == jaccard_join._counts(s, jaccard_join.FINE)).all() and (counts == jaccard_join._counts(s)).all()
     assert len(packed) < jaccard_join.FINE * 3 // 5 and (n > 300 or len(packed) < jaccard_join.FINE // 5)
+
+
+def test_pieces_taken_over_count_in_the_tokenizers_cache():
+    tok = token_files.CachedTokenizer(queries.BYTE_BPE)
+    tok.encode(["one two\nthree  four"])
+    before, pieces = tok.held, len(tok.new)
+    tok.new, tok.old, tok.held = {}, tok.new, 0
+    tok.encode(["one two\nthree  four"])
+    assert len(tok.new) == pieces and tok.held == before > 0
+
+
+def test_a_segment_takes_little_memory_besides_its_ids():
+    ids = np.random.default_rng(3).integers(0, 50_000, 1 << 21).astype("<u4")
+    tracemalloc.start()
+    data = token_files.encode_segment([1], np.array([len(ids)]), ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    back = token_files.decode_segment(data)[2]
+    again = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert (back == ids).all() and peak < 50e6 and again < 33e6, (peak, again)

@@ -43,6 +43,10 @@ STEPS = 512
 SEGMENT_IDS = 1 << 22
 LOW = np.uint64(1 << 31)
 CACHE_BYTES = 80 << 20
+#: Blocks coded side by side, which bounds the arrays a segment takes besides its ids.
+BLOCKS = 64
+#: Bytes of texts whose pieces are held at once.
+TEXT_BYTES = 2 << 20
 
 
 # -- the coder -----------------------------------------------------------------
@@ -79,34 +83,41 @@ def encode_segment(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarr
     if count:
         index = np.zeros(int(symbols[-1]) + 1, np.int64)
         index[symbols] = np.arange(len(symbols))
-        padded = np.full(blocks * steps * LANES, np.argmax(freq), np.int64)
-        padded[:count] = index[ids]
-        # [step, block x lane]; a block's ids run along its steps, lane by lane
-        grid = np.ascontiguousarray(padded.reshape(blocks, steps, LANES).transpose(1, 0, 2).reshape(steps, -1))
         f64 = freq.astype(np.uint64)
         start = np.concatenate([[0], np.cumsum(f64)[:-1]]).astype(np.uint64)
         limit = f64 << np.uint64(63 - bits)
-        state = np.full(grid.shape[1], LOW, np.uint64)
-        out = np.zeros(grid.shape, "<u4")
-        full = np.zeros(grid.shape, bool)
         scale, word = np.uint64(bits), np.uint64(32)
-        for t in range(steps - 1, -1, -1):
-            row = grid[t]
-            f = f64[row]
-            big = state >= limit[row]
-            full[t] = big
-            out[t] = state.astype("<u4")
-            state = np.where(big, state >> word, state)
-            whole = state // f
-            state = (whole << scale) + (state - whole * f) + start[row]
-        full = full.reshape(steps, blocks, LANES).transpose(1, 0, 2)
-        sizes = full.reshape(blocks, -1).sum(1)
-        offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        words = out.reshape(steps, blocks, LANES).transpose(1, 0, 2)[full].tobytes()
         each = steps * LANES
-        raw = ids.astype("<u4")
-        sums = np.array([zlib.crc32(raw[b * each:(b + 1) * each].tobytes()) for b in range(blocks)], "<u4")
-        marks = offsets.astype("<u8").tobytes() + sums.tobytes() + state.astype("<u8").tobytes()
+        offsets, sums, states, coded, held = [], [], [], [], 0
+        for b in range(0, blocks, BLOCKS):
+            some = ids[b * each:(b + BLOCKS) * each]
+            n = -(-len(some) // each)
+            padded = np.full(n * each, np.argmax(freq), np.int64)
+            padded[:len(some)] = index[some]
+            # [step, block x lane]; a block's ids run along its steps, lane by lane
+            grid = np.ascontiguousarray(padded.reshape(n, steps, LANES).transpose(1, 0, 2).reshape(steps, -1))
+            state = np.full(grid.shape[1], LOW, np.uint64)
+            out = np.zeros(grid.shape, "<u4")
+            full = np.zeros(grid.shape, bool)
+            for t in range(steps - 1, -1, -1):
+                row = grid[t]
+                f = f64[row]
+                big = state >= limit[row]
+                full[t] = big
+                out[t] = state.astype("<u4")
+                state = np.where(big, state >> word, state)
+                whole = state // f
+                state = (whole << scale) + (state - whole * f) + start[row]
+            full = full.reshape(steps, n, LANES).transpose(1, 0, 2)
+            sizes = full.reshape(n, -1).sum(1)
+            offsets.append(held + np.cumsum(sizes) - sizes)
+            held += int(sizes.sum())
+            coded.append(out.reshape(steps, n, LANES).transpose(1, 0, 2)[full].tobytes())
+            states.append(state)
+            sums += [zlib.crc32(some[k:k + each].astype("<u4").tobytes()) for k in range(0, len(some), each)]
+        words = b"".join(coded)
+        marks = b"".join([np.concatenate(offsets).astype("<u8").tobytes(), np.array(sums, "<u4").tobytes(),
+                          np.concatenate(states).astype("<u8").tobytes()])
     head = struct.pack("<4s8I", MAGIC, bits, LANES, steps, blocks, count, len(doc_ids), len(table), 0)
     keys = np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes()
     nulls = np.array([d is None for d in doc_ids], np.uint8).tobytes()
@@ -114,7 +125,7 @@ def encode_segment(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarr
 
 
 def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """(document ids, lengths, ids) of a segment; all its blocks are decoded side by side."""
+    """(document ids, lengths, ids) of a segment; ``BLOCKS`` of its blocks are decoded side by side."""
     magic, bits, lanes, steps, blocks, count, docs, table_size, _ = struct.unpack_from("<4s8I", data)
     if magic != MAGIC:
         raise ValueError("not a token segment")
@@ -134,24 +145,30 @@ def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
         return doc_ids, lengths, np.zeros(0, "<u4")
     symbols, freq = table[:len(table) // 2], table[len(table) // 2:].astype(np.uint64)
     offsets, sums, state = take("<u8", blocks).astype(np.int64), take("<u4", blocks), take("<u8", blocks * lanes).copy()
-    words = np.concatenate([np.frombuffer(data, "<u4", -1, at), np.zeros(1, "<u4")]).astype(np.uint64)
+    words = np.concatenate([np.frombuffer(data, "<u4", -1, at), np.zeros(1, "<u4")])
     start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
     slot = np.repeat(np.arange(len(symbols), dtype=np.int32), freq.astype(np.int64))
-    grid = np.empty((steps, blocks * lanes), np.int32)
     mask, scale, word = np.uint64((1 << bits) - 1), np.uint64(bits), np.uint64(32)
-    for t in range(steps):
-        low = state & mask
-        row = slot[low]
-        grid[t] = row
-        state = freq[row] * (state >> scale) + low - start[row]
-        need = (state < LOW).reshape(blocks, lanes)
-        rank = np.cumsum(need, axis=1)
-        where = (offsets[:, None] + rank - 1)[need]
-        offsets = offsets + rank[:, -1]
-        flat = need.ravel()
-        state[flat] = (state[flat] << word) | words[where]
-    ids = symbols[grid.reshape(steps, blocks, lanes).transpose(1, 0, 2).reshape(-1)][:count].astype("<u4")
     each = steps * lanes
+
+    def decode(out: np.ndarray, offsets: np.ndarray, state: np.ndarray) -> None:
+        grid = np.empty((steps, len(state)), np.int32)
+        for t in range(steps):
+            low = state & mask
+            row = slot[low]
+            grid[t] = row
+            state = freq[row] * (state >> scale) + low - start[row]
+            need = (state < LOW).reshape(-1, lanes)
+            rank = np.cumsum(need, axis=1)
+            where = (offsets[:, None] + rank - 1)[need]
+            offsets = offsets + rank[:, -1]
+            flat = need.ravel()
+            state[flat] = (state[flat] << word) | words[where].astype(np.uint64)
+        out[:] = symbols[grid.reshape(steps, -1, lanes).transpose(1, 0, 2).reshape(-1)[:len(out)]]
+
+    ids = np.empty(count, "<u4")
+    for b in range(0, blocks, BLOCKS):
+        decode(ids[b * each:(b + BLOCKS) * each], offsets[b:b + BLOCKS], state[b * lanes:(b + BLOCKS) * lanes])
     for b in range(blocks):
         if zlib.crc32(ids[b * each:(b + 1) * each].tobytes()) != int(sums[b]):
             raise ValueError(f"token segment: block {b} fails its checksum")
@@ -162,8 +179,6 @@ def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 
 #: Where a text may be cut: a blank between two other characters starts a word of a byte-level vocabulary.
 CUT = regex.compile(r"(?<=\S) (?=\S)")
-#: Between pieces encoded in one call: a word of its own whose last byte no piece holds.
-SEPARATOR = " \x00"
 AT_ONCE = 4096
 
 
@@ -173,8 +188,10 @@ class CachedTokenizer:
     In byte-level vocabularies' split pattern a blank between two characters
     that aren't white space always starts a new word, and a newline between
     two such characters is a word.  So the pieces' ids, one after another, are
-    the text's.  Files of another kind get whole texts.  Pieces are kept in two
-    generations of at most about ``CACHE_BYTES`` each.
+    the text's.  Files of another kind get whole texts.  Words behind a blank
+    are encoded one after another in one call and told apart by the bytes that
+    each id stands for.  Pieces are kept in two generations of at most about
+    ``CACHE_BYTES`` each, those taken over from the older one included.
     """
 
     def __init__(self, path: str):
@@ -186,64 +203,102 @@ class CachedTokenizer:
         self.old: dict[str, bytes] = {}
         self.held = 0
         if self.cut:
-            self.newline, self.end = (self.lib.encode(x, add_special_tokens=False).ids for x in ("\n", SEPARATOR))
+            self.newline = self.lib.encode("\n", add_special_tokens=False).ids
             self.cut = len(self.newline) == 1
+            # each character of a byte-level token is a byte; an added token is its text
+            vocab = self.lib.get_vocab(with_added_tokens=True)
+            self.bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+            self.bytes[list(vocab.values())] = list(map(len, vocab))
+            for k, token in self.lib.get_added_tokens_decoder().items():
+                self.bytes[k] = len(token.content.encode())
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         got = self.lib.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def _joined(self, pieces: list[str], between: str, last: list[int]) -> list[bytes]:
-        """The pieces' ids, from texts of many pieces; ``between`` is ``last`` and starts and ends words."""
+    def _after_blanks(self, words: list[str]) -> list[bytes]:
+        """The ids of words behind a blank, from texts of many words."""
+        out = []
+        for k in range(0, len(words), AT_ONCE):
+            some = words[k:k + AT_ONCE]
+            text = " " + " ".join(some)
+            ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(self.bytes[ids])
+            want = np.cumsum(list(map(len, some if text.isascii() else map(str.encode, some)))) + np.arange(1, len(some) + 1)
+            at = np.searchsorted(ends, want)
+            if not len(ids) or ends[-1] != want[-1] or (ends[at] != want).any():
+                out += self._encode([f" {w}" for w in some])    # an id that does not stand for the bytes it was made of
+                continue
+            raw, after = ids.tobytes(), (4 * (at + 1)).tolist()
+            out += [raw[a:b] for a, b in zip([0, *after[:-1]], after, strict=True)]
+        return out
+
+    def _of_lines(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces without white space, from texts of many pieces, a line each."""
         out = []
         for k in range(0, len(pieces), AT_ONCE):
-            text = between.join([*pieces[k:k + AT_ONCE], ""])
+            text = "\n".join([*pieces[k:k + AT_ONCE], ""])
             ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            after = np.flatnonzero(ids == last[-1]) + 1
+            after = np.flatnonzero(ids == self.newline[0]) + 1
             raw, starts = ids.tobytes(), np.concatenate([[0], after[:-1]])
-            out += [raw[4 * a:4 * b] for a, b in zip(starts.tolist(), (after - len(last)).tolist(), strict=True)]
+            out += [raw[4 * a:4 * b] for a, b in zip(starts.tolist(), (after - 1).tolist(), strict=True)]
         return out
 
     def _learn(self, missing: set[str]) -> None:
-        plain, lone = [], []
+        words, bare, lone = [], [], []
         for p in missing:
             held = self.old.get(p)
             if held is not None:
                 self.new[p] = held
-            elif "\x00" in p or p[-1:].isspace() or not p:
-                lone.append(p)
+                self.held += len(p) + len(held) + 200
+            elif p[0] != "\n":
+                words.append(p)
+            # without a blank before them, pieces are told apart by newlines, so they hold no white space
+            elif len(p.split()) == 1 and not p[1].isspace() and not p[-1].isspace():
+                bare.append(p)
             else:
-                plain.append(p)
-        spaced = [p for p in plain if p[0] == " "]
-        # without a blank before them, pieces are told apart by newlines, so they hold no white space
-        bare = [p for p in plain if p[0] != " " and len(p.split()) == 1 and not p[0].isspace()]
-        lone += set(plain).difference(spaced, bare)
-        for names, ids in ((spaced, self._joined(spaced, SEPARATOR, self.end)),
-                           (bare, self._joined(bare, "\n", self.newline)), (lone, self._encode(lone))):
+                lone.append(p)
+        for names, ids in ((words, self._after_blanks(words)), (bare, self._of_lines([p[1:] for p in bare])),
+                           (lone, self._encode([p[1:] for p in lone]))):
             self.new.update(zip(names, ids, strict=True))
             self.held += sum(map(len, names)) + sum(map(len, ids)) + 200 * len(names)
 
+    @staticmethod
+    def _pieces(text: str) -> list[list[str]]:
+        """Lines of pieces: a word stands for itself behind a blank, any other piece has a newline before it."""
+        lines = []
+        for line in text.split("\n"):
+            words = line.split()
+            # is every white space a blank between two others?
+            if line.count(" ") != len(words) - 1 or len("".join(words)) + len(words) - 1 != len(line):
+                return [[f"\n{' ' * (k > 0)}{p}" for k, p in enumerate(CUT.split(text))]]
+            words[0] = f"\n{words[0]}"
+            lines.append(words)
+        return lines
+
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if not self.cut:
             return self._encode(batch)
-        cut, every = [], set()
+        if self.held >= CACHE_BYTES:
+            self.new, self.old, self.held = {}, self.new, 0
+        cut, gaps, missing, known = [], [], set(), self.new.get
         for text in batch:
-            words = text.split()
-            # is every white space one character between two others?
-            single = len("".join(words)) + len(words) - 1 == len(text)
             lines = []
-            for line in text.split("\n") if single else [text]:
-                pieces = line.replace(" ", "\n ").split("\n") if single else [
-                    " " * (k > 0) + p for k, p in enumerate(CUT.split(line))]
-                lines.append(pieces)
-                every.update(pieces)
+            for pieces in self._pieces(text):
+                found = list(map(known, pieces))
+                gap = [(k, pieces[k]) for k, x in enumerate(found) if x is None]
+                if gap:
+                    gaps.append((found, gap))
+                    missing.update([p for _, p in gap])
+                lines.append(found)
             cut.append(lines)
-        if self.held >= CACHE_BYTES:
-            self.new, self.old, self.held = {}, self.new, 0
-        self._learn(every.difference(self.new))
-        known, newline = self.new.__getitem__, np.array(self.newline, "<u4").tobytes()
-        return [newline.join([b"".join(map(known, pieces)) for pieces in lines]) for lines in cut]
+        self._learn(missing)
+        for found, gap in gaps:
+            for k, p in gap:
+                found[k] = self.new[p]
+        newline = np.array(self.newline, "<u4").tobytes()
+        return [newline.join(map(b"".join, lines)) for lines in cut]
 
 
 _LOADED: dict[tuple[str, float], CachedTokenizer] = {}
@@ -289,7 +344,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             return row
 
         for whole in batches:
-            for batch in batches_of(whole, "text"):
+            for batch in batches_of(whole, "text", TEXT_BYTES):
                 encoded = tok.encode(texts(batch.column("text")))
                 for key, ids in zip(batch.column("id").to_pylist(), encoded, strict=True):
                     keys.append(key)
