@@ -1,9 +1,11 @@
 """Nulls, empty and long texts, ties and repeated rows, empty tables, clashing columns; units by brute force."""
 
+import gc
 import random
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -177,6 +179,16 @@ def test_cached_pieces_equal_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
 
 
+def test_workers_let_the_tokenizer_go(spark):
+    def loaded(frames):
+        for _ in frames:
+            yield pd.DataFrame({"n": [sum(type(o).__name__ == "WordTokenizer" for o in gc.get_objects())]})
+
+    texts = spark.range(0, 64, 1, 8).selectExpr("id AS doc_id", "concat('words of text ', id) AS text")
+    assert bpe_automaton.encode_texts(texts, queries.WORD_BPE).count() == 64
+    assert {r.n for r in spark.range(0, 64, 1, 8).mapInPandas(loaded, "n long").collect()} == {0}
+
+
 def _components(texts):
     sets = []
     for t in texts:

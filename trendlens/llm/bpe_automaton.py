@@ -21,7 +21,7 @@ the last label of the prefix read.  Both tables fill as words need them.  A
 word costs one look-up per character; decoding emits the labels of the arcs.
 
 The file named here holds the merges, the vocabulary, the pre-split pattern
-and the word-end mark; it is read in each Python worker and never copied.
+and the word-end mark; each task reads it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
-import os
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -42,14 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trendlens.llm.common import batches_of, texts
+from trendlens.llm.common import batches_of, give_back_memory, texts
 
 #: Letters that every Unicode version knows alike; others are pre-split by the tokenizers library's own tables.
 OUTSIDE_LATIN = regex.compile("[^\x00-\u017f]")
-#: Entries a worker keeps of the automaton's tables before it starts new ones.
-CACHE_ENTRIES = 1 << 19
+#: Entries a task keeps of the automaton's tables before it starts new ones.
+CACHE_ENTRIES = 1 << 16
 #: About the bytes of each of the two generations of known pieces (an entry takes some 200 beside its text and ids).
-CACHE_BYTES = 56 << 20
+CACHE_BYTES = 16 << 20
+#: Bytes of texts that are encoded at once.
+TEXT_BYTES = 1 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -261,15 +262,9 @@ class WordTokenizer:
         return b" ".join(map(self._label_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-_LOADED: dict[tuple[str, float], WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer per Python worker and file."""
-    key = (path, os.path.getmtime(path))
-    if key not in _LOADED:
-        _LOADED[key] = WordTokenizer(path)
-    return _LOADED[key]
+    """A tokenizer of its own for the caller, who lets it go when done."""
+    return WordTokenizer(path)
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,14 +273,16 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     Columns: ``id_col``, ``n_tokens`` long, ``ids`` binary (little-endian
     unsigned 32-bit), ``decoded`` binary (UTF-8).  Null text counts as empty
     (no ids); null ids and repeated rows are kept, one row each; an empty
-    table gives no row; other columns are not read.
+    table gives no row; other columns are not read.  The tokenizer is loaded
+    for each task and goes with it: Spark's Python workers live on, and what
+    they held would take memory from every later job.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()        # the tables hold no cycles; scanning their millions of entries would cost more than the work
         try:
             tok = tokenizer(path)
             for whole in batches:
-                for batch in batches_of(whole, "text", 4 << 20):
+                for batch in batches_of(whole, "text", TEXT_BYTES):
                     ids = [tok.encode(t) for t in texts(batch.column("text"))]
                     yield pa.RecordBatch.from_arrays([
                         batch.column("id"),
@@ -294,7 +291,9 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                         pa.array([tok.decode(x) for x in ids], pa.binary()),
                     ], names=["id", "n_tokens", "ids", "decoded"])
         finally:
+            tok = whole = batch = ids = None
             gc.enable()
+            give_back_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
