@@ -179,6 +179,28 @@ def test_cached_pieces_equal_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
 
 
+def test_plain_words_go_straight_to_the_merges():
+    tok = token_files.CachedTokenizer(queries.BYTE_BPE)
+    lib, rng = tok.lib, random.Random(8)
+    stems = ["".join(rng.choice("abcdefgtheinñçóßßüABŽſ") for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    tails = ["", ".", ",", "'", "!!", "...", "?\")", "]", "'s", "7", "ª", "\u0387", "<|endoftext|>", "-x", "’"]
+    texts = ["a " + " ".join(s + rng.choice(tails) for s in stems[k:k + 30]) for k in range(0, 3000, 30)]
+
+    class Counting:
+        pieces = 0
+
+        def encode_batch_fast(self, batch, **options):
+            self.pieces += sum(len(b.split()) for b in batch)
+            return lib.encode_batch_fast(batch, **options)
+
+    tok.lib = Counting()
+    for text, ids in zip(texts, tok.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+    others = sum(token_files.PLAIN.fullmatch(w) is None for t in texts for w in t.split())
+    assert Counting.pieces == 0 < others and tok.lib.pieces < others + 20
+    assert np.frombuffer(tok.encode([stems[0]])[0], "<u4").tolist() == lib.encode(stems[0], add_special_tokens=False).ids
+
+
 def test_workers_let_the_tokenizer_go(spark):
     def loaded(frames):
         for _ in frames:

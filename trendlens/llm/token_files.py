@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
+from trendlens.llm.bpe_automaton import byte_symbols
 from trendlens.llm.common import batches_of, prefix_sums, shuffle_partitions, texts, written
 
 MAGIC = b"RAS1"
@@ -180,6 +183,10 @@ def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 #: Where a text may be cut: a blank between two other characters starts a word of a byte-level vocabulary.
 CUT = regex.compile(r"(?<=\S) (?=\S)")
 AT_ONCE = 4096
+#: Letters in every Unicode version, then ASCII punctuation: the split pattern makes one word of each behind a blank.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([!-/:-@\\[-`{-~]*)")
+#: Runs of punctuation whose ids are kept.
+TAILS = 1 << 12
 
 
 class CachedTokenizer:
@@ -188,10 +195,13 @@ class CachedTokenizer:
     In byte-level vocabularies' split pattern a blank between two characters
     that aren't white space always starts a new word, and a newline between
     two such characters is a word.  So the pieces' ids, one after another, are
-    the text's.  Files of another kind get whole texts.  Words behind a blank
-    are encoded one after another in one call and told apart by the bytes that
-    each id stands for.  Pieces are kept in two generations of at most about
-    ``CACHE_BYTES`` each, those taken over from the older one included.
+    the text's.  Files of another kind get whole texts.  Words of letters behind
+    a blank, which the split pattern leaves whole, go straight to the library's
+    merges, and the punctuation after them is encoded alone.  Other words behind
+    a blank are encoded one after another in one call and told apart by the
+    bytes that each id stands for.  Pieces are kept in two generations of at
+    most about ``CACHE_BYTES`` each, those taken over from the older one
+    included.
     """
 
     def __init__(self, path: str):
@@ -209,13 +219,52 @@ class CachedTokenizer:
             vocab = self.lib.get_vocab(with_added_tokens=True)
             self.bytes = np.zeros(max(vocab.values()) + 1, np.int64)
             self.bytes[list(vocab.values())] = list(map(len, vocab))
-            for k, token in self.lib.get_added_tokens_decoder().items():
+            added = self.lib.get_added_tokens_decoder()
+            for k, token in added.items():
                 self.bytes[k] = len(token.content.encode())
+        # an added token that plain words may hold would cut them
+        self.merges = self.lib.model if self.cut and self.lib.pre_tokenizer.use_regex and (
+            type(self.lib.model) is BPE) and not any(PLAIN.fullmatch(f"a{t.content}") or PLAIN.search(t.content[:1]) for t in added.values()) else None
+        self.tails: dict[str, bytes] = {}
+        shown = byte_symbols()
+        self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         got = self.lib.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
+    def _plain(self, words: list[str]) -> list[str]:
+        """Learns the words of letters, with or without punctuation behind, and returns the others."""
+        rest, plain, stems = [], [], {}
+        for word in words:
+            if word.isascii() and word.isalpha():
+                stem, tail = word, ""
+            elif found := PLAIN.fullmatch(word):
+                stem, tail = found.groups()
+            else:
+                rest.append(word)
+                continue
+            plain.append((word, stem, tail))
+            stems[stem] = self.new.get(stem)
+        missing = [stem for stem, ids in stems.items() if ids is None]
+        for k in range(0, len(missing), AT_ONCE):
+            some = missing[k:k + AT_ONCE]
+            tokens = [self.merges.tokenize("\u0120" + (w if w.isascii() else w.translate(self.shown))) for w in some]
+            raw = np.array([t.id for own in tokens for t in own], "<u4").tobytes()
+            after = (4 * np.cumsum(list(map(len, tokens)))).tolist()
+            stems.update(zip(some, [raw[a:b] for a, b in zip([0, *after[:-1]], after, strict=True)], strict=True))
+        for word, stem, tail in plain:
+            ids = stems[stem]
+            if tail:
+                if tail not in self.tails:
+                    if len(self.tails) >= TAILS:
+                        self.tails.clear()
+                    self.tails[tail] = self._encode([tail])[0]
+                ids += self.tails[tail]
+            self.new[word] = ids
+            self.held += len(word) + len(ids) + 200
+        return rest
+
     def _after_blanks(self, words: list[str]) -> list[bytes]:
         """The ids of words behind a blank, from texts of many words."""
         out = []
@@ -244,7 +293,7 @@ class CachedTokenizer:
             out += [raw[4 * a:4 * b] for a, b in zip(starts.tolist(), (after - 1).tolist(), strict=True)]
         return out
 
-    def _learn(self, missing: set[str]) -> None:
+    def _learn(self, missing: list[str]) -> None:
         words, bare, lone = [], [], []
         for p in missing:
             held = self.old.get(p)
@@ -258,23 +307,27 @@ class CachedTokenizer:
                 bare.append(p)
             else:
                 lone.append(p)
+        if self.merges is not None:
+            words = self._plain(words)
         for names, ids in ((words, self._after_blanks(words)), (bare, self._of_lines([p[1:] for p in bare])),
                            (lone, self._encode([p[1:] for p in lone]))):
             self.new.update(zip(names, ids, strict=True))
             self.held += sum(map(len, names)) + sum(map(len, ids)) + 200 * len(names)
 
     @staticmethod
-    def _pieces(text: str) -> list[list[str]]:
-        """Lines of pieces: a word stands for itself behind a blank, any other piece has a newline before it."""
-        lines = []
+    def _pieces(text: str) -> list[str]:
+        """Pieces: a word stands for itself behind a blank, a blank for a newline; any other has a newline before it."""
+        pieces = []
         for line in text.split("\n"):
             words = line.split()
             # is every white space a blank between two others?
             if line.count(" ") != len(words) - 1 or len("".join(words)) + len(words) - 1 != len(line):
-                return [[f"\n{' ' * (k > 0)}{p}" for k, p in enumerate(CUT.split(text))]]
+                return [f"\n{' ' * (k > 0)}{p}" for k, p in enumerate(CUT.split(text))]
             words[0] = f"\n{words[0]}"
-            lines.append(words)
-        return lines
+            pieces += words
+            pieces.append(" ")
+        pieces.pop()
+        return pieces
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -282,23 +335,28 @@ class CachedTokenizer:
             return self._encode(batch)
         if self.held >= CACHE_BYTES:
             self.new, self.old, self.held = {}, self.new, 0
-        cut, gaps, missing, known = [], [], set(), self.new.get
+        self.new[" "] = np.array(self.newline, "<u4").tobytes()
+        pieces, sizes = [], []
         for text in batch:
-            lines = []
-            for pieces in self._pieces(text):
-                found = list(map(known, pieces))
-                gap = [(k, pieces[k]) for k, x in enumerate(found) if x is None]
-                if gap:
-                    gaps.append((found, gap))
-                    missing.update([p for _, p in gap])
-                lines.append(found)
-            cut.append(lines)
-        self._learn(missing)
-        for found, gap in gaps:
-            for k, p in gap:
-                found[k] = self.new[p]
-        newline = np.array(self.newline, "<u4").tobytes()
-        return [newline.join(map(b"".join, lines)) for lines in cut]
+            own = self._pieces(text)
+            pieces += own
+            sizes.append(len(own))
+        # each piece of the batch is looked up once; the texts' ids are then taken from its pieces' side by side
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        del pieces
+        names, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        found = list(map(self.new.get, names))
+        gap = [k for k, x in enumerate(found) if x is None]
+        self._learn([names[k] for k in gap])
+        for k in gap:
+            found[k] = self.new[names[k]]
+        pool = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.array(list(map(len, found)), np.int64) // 4
+        each = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        raw = pool[np.repeat((np.cumsum(lengths) - lengths)[at] - ends[:-1], each) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[np.cumsum([0, *sizes])]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _LOADED: dict[tuple[str, float], CachedTokenizer] = {}
