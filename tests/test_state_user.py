@@ -1,12 +1,16 @@
 """State asked through the state store, state of our own, user functions, and the store's append."""
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlens.functions.user import SplitWords, reduce_groups, row_function
 from trendlens.operators.sketch import SketchParams, build_sketch, sketch_top_k
 from trendlens.operators.store import doc_store, update_store, write_store
-from trendlens.operators.words import tokens, word_counts
+from trendlens.operators import words as words_module
+from trendlens.operators.words import drop_stop_words, tokens, word_counts
 from trendlens.plans import queries
 from trendlens.sources import documents_as_posts, read_posts_stream
 from trendlens.streaming import (
@@ -18,6 +22,7 @@ from trendlens.streaming import (
     running_doc_counts,
     running_own_sketch,
 )
+from trendlens.streaming import state as state_module
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,6 +60,59 @@ def test_a_state_of_our_own_survives_a_restart(spark, tmp_path):
     assert own_sketch_top_k(state, 5, params).collect() == want.collect()
 
 
+def test_a_tasks_equal_words_are_counted_before_they_travel(spark):
+    texts = [("A  b a " * 500,), ("",), (None,), ("  ",), (" ".join(f"w{i}" for i in range(100)),), ("À b",)]
+    df = spark.createDataFrame(texts, "text string").repartition(2)
+    got = tokens(df, "text", out="word", count="n").collect()
+    want = {r["w"]: r["count"] for r in word_counts(tokens(df, "text")).collect()}
+    assert len(got) <= 2 * len(want) and want["a"] == 1000
+    assert sum((Counter({r["word"]: r["n"]}) for r in got), Counter()) == want
+
+
+def test_counted_words_stay_whole_in_bounded_memory(monkeypatch):
+    rows = [["a", "b", "a"], [], ["c" * 30, "b"], ["a"]] * 10
+    batches = [pa.record_batch([pa.array([r], pa.list_(pa.string()))], ["w"]) for r in rows]
+    for limits in ((16 << 20, 32 << 20), (40, 10_000), (40, 1)):
+        monkeypatch.setattr(words_module, "COUNT_BYTES", limits[0])
+        monkeypatch.setattr(words_module, "HELD_BYTES", limits[1])
+        got = [r for b in words_module._count_runs(iter(batches)) for r in b.to_pylist()]
+        assert (len(got) > 3) == (limits[1] == 1)
+        total = Counter()
+        for r in got:
+            total[r["w"]] += r["n"]
+        assert total == {"a": 30, "b": 20, "c" * 30: 10}
+    assert list(words_module._count_runs(iter([]))) == []
+
+
+def test_words_travel_packed_to_a_state_of_our_own():
+    words = [f"w{i:04}" for i in range(1000)] + ["x" * 9000, "y", "z" * 9000]
+    batch = pa.record_batch([[i % 3 for i in range(1003)], words, range(1, 1004)], ["part", "w", "n"])
+    [packed] = state_module._pack(iter([batch.slice(0, 0), batch]))
+    rows = packed.to_pylist()
+    assert len(rows) < 20 and max(len(r["words"]) for r in rows) <= state_module.ROW_WORDS
+    assert max(sum(map(len, r["words"])) for r in rows) <= state_module.ROW_BYTES + 9000
+    got = sorted((r["part"], w, n) for r in rows for w, n in zip(r["words"], r["counts"], strict=True))
+    assert got == sorted(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+
+
+def test_a_state_of_our_own_holds_every_word(spark, tmp_path):
+    # words that repeat in a text and over texts, more of them than a packed row and a step of the updater take
+    df = spark.range(400).select("id", F.concat_ws(" ", F.lit("often Often the"), F.transform(
+        F.sequence(F.col("id") * 100, F.col("id") * 100 + 149), lambda i: F.concat(F.lit("w"), i))).alias("text"))
+    posts = df.unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "x" * 20_000)], "id long, text string"))
+    landing, params = str(tmp_path / "landing"), SketchParams(4, 700)
+    land_posts(posts, landing, 4)
+    snaps = Snapshots(str(tmp_path / "s"))
+    query = running_own_sketch(read_posts_stream(spark, landing, 2), snaps, str(tmp_path / "ckpt"), params, parts=2,
+                               state_partitions=2)
+    query.awaitTermination()
+    state = snaps.read_keyed(spark, "sketch", ["part"])
+    cells = state.select(F.posexplode("cells").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).where("n > 0")
+    want = build_sketch(drop_stop_words(tokens(posts, "text")), "w", params).cells
+    assert {r["at"]: r["n"] for r in cells.collect()} == {r["row"] * 700 + r["bucket"]: r["cnt"] for r in want.collect()}
+    assert own_sketch_top_k(state, 1, params).first()["w"] == "often"
+
+
 def test_row_functions(spark):
     df = spark.createDataFrame([(1, "A  b"), (2, ""), (3, None), (4, "c")], "id long, text string")
     got = [(r["id"], r["w"]) for r in row_function(df, SplitWords, "text").collect()]
